@@ -1,0 +1,7 @@
+"""Streaming operators.
+
+Intentionally empty: the lifecycle job this package re-expresses is a one-shot
+batch run with no stream reads, watermarks or state, so there is nothing to
+model with Structured Streaming.  Batch loads are idempotent partition
+overwrites instead (see ``tidemart.sources.tables.overwrite_partitions``).
+"""
