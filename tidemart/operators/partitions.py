@@ -63,13 +63,14 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _rows_per_partition(spark: SparkSession, mart: Mart) -> DataFrame:
-    """Row count per partition folder from parquet footers (no column is decoded)."""
+    """Row count per partition from a scan that decodes no column: the key
+    values are constants of each file, so the per-row work is one short hash."""
+    keys = list(mart.partition_by)
     if not path_exists(spark, mart.path):
-        return spark.createDataFrame([], "partition string, rows bigint")
+        return spark.createDataFrame(
+            [], ", ".join([f"`{k}` string" for k in keys] + ["rows bigint"]))
     data = spark.read.schema(mart.schema).parquet(mart.path)
-    fp = F.try_url_decode(F.replace(data["_metadata.file_path"], F.lit("+"), F.lit("%2B")))
-    return (data.select(_relative_partition(fp, mart.partition_by).alias("partition"))
-            .groupBy("partition").agg(F.count(F.lit(1)).alias("rows")))
+    return data.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
 # M2 ----------------------------------------------------------------------------
@@ -85,20 +86,27 @@ def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True)
     keys = list(mart.partition_by)
     files = file_listing(spark, mart.path)
     part = _relative_partition(F.col("path"), keys)
+    # the folder is a function of the partition text, so grouping by both keeps
+    # a hash aggregate (no string aggregation buffer)
     inv = (files.select(part.alias("partition"),
-                        F.regexp_replace("path", "/[^/]+$", "").alias("dir"),
+                        F.regexp_replace("path", "/[^/]+$", "").alias("location"),
                         "length", "modificationTime")
            .where(F.col("partition").isNotNull())
-           .groupBy("partition")
-           .agg(F.min("dir").alias("location"), F.count(F.lit(1)).alias("files"),
-                F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified_at")))
+           .groupBy("partition", "location")
+           .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+                F.max("modificationTime").alias("modified_at")))
     inv = inv.select("partition", *[_key_value(F.col("partition"), k).alias(k) for k in keys],
                      "location", "files", "bytes", "modified_at",
                      instant_text("modified_at").alias("modified_utc"))
     if with_rows:
         rows = _rows_per_partition(spark, mart)
-        inv = (inv.join(rows, "partition", "left")
-               .withColumn("rows", F.coalesce(F.col("rows"), F.lit(0).cast("bigint"))))
+        if keys:
+            rows = rows.select(*[F.col(k).alias(f"__r_{k}") for k in keys], "rows")
+            cond = [inv[k].eqNullSafe(rows[f"__r_{k}"]) for k in keys]
+            inv = inv.join(rows, cond, "left").drop(*[f"__r_{k}" for k in keys])
+        else:
+            inv = inv.join(rows.withColumn("partition", F.lit("")), "partition", "left")
+        inv = inv.withColumn("rows", F.coalesce(F.col("rows"), F.lit(0).cast("bigint")))
     return inv
 
 
@@ -155,6 +163,21 @@ def compact_partitions(spark: SparkSession, mart: Mart, plan: DataFrame) -> Data
                                 StructField("factor", LongType())])
     if not todo:
         return spark.createDataFrame([], result_schema)
+    out = compaction_frame(spark, mart, todo)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*keys).parquet(mart.path))
+    refresh_catalog(spark, mart)
+    return spark.createDataFrame(
+        [(r["partition"], int(r["files"]), int(r["factor"])) for r in todo], result_schema)
+
+
+def compaction_frame(spark: SparkSession, mart: Mart, todo) -> DataFrame:
+    """The rows of the planned partitions, bucketed and shuffled for the rewrite.
+
+    ``todo`` holds one (collected) plan row per partition: ``location``, the
+    key values and ``factor``.
+    """
+    keys = list(mart.partition_by)
     src = (spark.read.schema(mart.schema).option("basePath", mart.path)
            .parquet(*[r["location"] for r in todo]))
     src = src.select(*mart.columns, spread_key(src).alias("__spread"))
@@ -162,19 +185,14 @@ def compact_partitions(spark: SparkSession, mart: Mart, plan: DataFrame) -> Data
                                    StructType([StructField(f"__k{i}", StringType())
                                                for i in range(len(keys))]
                                               + [StructField("__factor", LongType())]))
-    if len(todo) <= BROADCAST_PLAN_ROWS:
+    if len(todo) <= BROADCAST_PLAN_ROWS:  # the plan has one row per partition: size known
         lookup = F.broadcast(lookup)
     cond = [src[k].eqNullSafe(lookup[f"__k{i}"]) for i, k in enumerate(keys)]
     joined = src.join(lookup, cond, "inner")
     bucket = F.pmod(F.col("__spread"), F.col("__factor")).alias("__bucket")
     n = max(sum(int(r["factor"]) for r in todo), 1)
-    out = (joined.select(*mart.columns, bucket)
-           .repartition(n, *keys, "__bucket").drop("__bucket"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*keys).parquet(mart.path))
-    refresh_catalog(spark, mart)
-    return spark.createDataFrame(
-        [(r["partition"], int(r["files"]), int(r["factor"])) for r in todo], result_schema)
+    return (joined.select(*mart.columns, bucket)
+            .repartition(n, *keys, "__bucket").drop("__bucket"))
 
 
 def compact(spark: SparkSession, mart: Mart, column: str | None = None,
