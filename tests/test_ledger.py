@@ -87,3 +87,43 @@ def test_refresh_with_empty_source_skips_transfer(spark, scratch):
     empty = fx.orders_source(spark, SF_SMALL).where("1 = 0")
     s = refresh_mart(spark, empty, mart, ledger, RunSettings(1, "2001-09-01 00:00:00")).first()
     assert s["count_rows"] == 0 and s["is_change"] == 0 and s["relevance_value"] is None
+
+
+def test_table_ops_by_name(spark, scratch):
+    from tidemart.plans.by_name import TableOps
+    from tidemart.plans.fixtures import ORDERS_MART_SCHEMA
+    src_view = "tm_test_orders_src"
+    fx.orders_source(spark, SF_SMALL).createOrReplaceTempView(src_view)
+    target = S.create_mart(spark, "tm_test_orders_mart",
+                           Mart(scratch("bynamemart"), ORDERS_MART_SCHEMA, ("report_dt",)))
+    ops = TableOps(spark)
+    assert ops.count("") == 0
+    ops.transfer(src_view, target.table, ctl_loading=5, ctl_validfrom="2001-09-01 00:00:00")
+    n = spark.table(src_view).count()
+    assert ops.count(target.table) == n
+    assert ops.columns(target.table)[-1] == ("report_dt", "string")
+    assert ops.location(target.table).rstrip("/").endswith(target.path.rstrip("/").split("/")[-1])
+    assert ops.last_partition(target.table) == {"report_dt": "2001-08-01"}
+    assert ops.max_value(target.table, "ctl_validfrom", "report_dt = '2001-08-01'") == "2001-09-01 00:00:00"
+    assert ops.scalar("SELECT max(report_dt) FROM IDENTIFIER(:t)", {"t": target.table}) == "2001-08-01"
+    ops.compact(target.table)
+    gone = ops.expire(target.table, 730, "report_dt", "2001-09-01 00:00:00").count()
+    assert gone > 0 and ops.count(target.table) < n
+    assert ops.last_modified(target.table) is not None
+    ledger = S.create_mart(spark, "tm_test_bn_ledger", Mart(scratch("bnledger"), RUN_LEDGER_SCHEMA))
+    ops.append(ledger.table, calculated_table="x", count_rows=1)
+    assert ops.count(ledger.table) == 1
+
+
+def test_sql_files_sorted_with_names(spark, scratch, local_dir):
+    import os
+    loc = scratch("sqlfiles")
+    with open(os.path.join(local_dir, "b_select.sql"), "w") as fh:
+        fh.write("SELECT count(*) AS n FROM IDENTIFIER(:t);\n")
+    with open(os.path.join(local_dir, "a_create.sql"), "w") as fh:
+        fh.write("DROP TABLE IF EXISTS tm_test_sqlfiles;\n"
+                 "CREATE TABLE tm_test_sqlfiles (id bigint) USING PARQUET LOCATION '{loc}';\n"
+                 "INSERT INTO tm_test_sqlfiles VALUES (1), (2);")
+    out = S.run_sql_files(spark, os.path.join(local_dir, "*.sql"), {"t": "tm_test_sqlfiles"},
+                          {"loc": loc})
+    assert out.first()["n"] == 2

@@ -36,6 +36,7 @@ class RunSettings:
     retention_column: str | None = None   # None = by partition modification time
     compaction_column: str | None = None  # None = partitions modified since load_time
     business_date_column: str = "report_dt"
+    source_condition: str | None = None  # optional SQL filter on the source (incremental load)
     block_bytes: int = DEFAULT_BLOCK_BYTES
     blocks_per_file: float = DEFAULT_BLOCKS_PER_FILE
 
@@ -50,6 +51,8 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
     """Refresh ``mart`` from ``source`` and record the run; returns a one-row
     summary (the ledger row plus business date, newest mark and kept rows)."""
     name = table_name or mart.table or mart.path
+    if run.source_condition:
+        source = source.filter(F.expr(run.source_condition))
     relevance = run.relevance
     if relevance is None:
         relevance = relevance_value(source, run.business_date_column).first()[0]

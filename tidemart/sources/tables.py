@@ -83,28 +83,21 @@ def _check_not_reading(df: DataFrame, path: str) -> None:
 
 
 # S5 ----------------------------------------------------------------------------
-def overwrite_partitions(df: DataFrame, mart: Mart, by_position: bool = False,
-                         files_per_partition: int | None = None) -> Mart:
+def overwrite_partitions(df: DataFrame, mart: Mart, by_position: bool = False) -> Mart:
     """Replace the partitions present in ``df``; all other partitions stay.
 
     Rows are rebalanced on the partition columns before the write so that each
     partition lands in few files, while AQE splits a hot partition over several
-    tasks.  For an unpartitioned mart the whole table is replaced.
+    tasks.  For an unpartitioned mart the whole table is replaced (refused when
+    ``df`` reads from that same folder).
     """
     out = rename_by_position(df, mart.schema) if by_position else conform_schema(df, mart.schema)
     if mart.is_partitioned:
-        if files_per_partition:
-            n = max(int(files_per_partition), 1)
-            bucket = F.pmod(F.xxhash64(*[F.col(c) for c in mart.columns]), F.lit(n))
-            out = out.repartition(max(n, _shuffle_partitions(df)), *mart.partition_by, bucket)
-        else:
-            out = out.hint("rebalance", *mart.partition_by)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (out.hint("rebalance", *mart.partition_by)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*mart.partition_by).parquet(mart.path))
     else:
         _check_not_reading(df, mart.path)
-        if files_per_partition:
-            out = out.repartition(int(files_per_partition))
         out.write.mode("overwrite").parquet(mart.path)
     refresh_catalog(df.sparkSession, mart)
     return mart
@@ -231,11 +224,18 @@ def archive_reload(spark: SparkSession, marts: Mapping[str, Mart],
 
 # S12 ---------------------------------------------------------------------------
 def run_sql_script(spark: SparkSession, statements: Sequence[str],
-                   args: Mapping[str, object] | None = None) -> DataFrame | None:
-    """Run statements in order with named parameters (``:name``,
-    ``IDENTIFIER(:table)``); returns the last statement's result."""
+                   args: Mapping[str, object] | None = None,
+                   names: Mapping[str, str] | None = None) -> DataFrame | None:
+    """Run statements in order; returns the last statement's result.
+
+    Values are bound as named parameters (``:name``, ``IDENTIFIER(:table)``).
+    ``names`` fills ``{name}`` placeholders in the text first, for the places
+    SQL does not accept a parameter (a DDL ``LOCATION``, for instance).
+    """
     result = None
     for stmt in statements:
+        if names:
+            stmt = stmt.format_map(dict(names))
         if not stmt.strip():
             continue
         used = {k: v for k, v in (args or {}).items() if f":{k}" in stmt}
@@ -249,28 +249,69 @@ def split_statements(text: str) -> list[str]:
 
 
 def run_sql_files(spark: SparkSession, pattern: str,
-                  args: Mapping[str, object] | None = None) -> DataFrame | None:
+                  args: Mapping[str, object] | None = None,
+                  names: Mapping[str, str] | None = None) -> DataFrame | None:
     """Run every script matching a glob, in sorted file order."""
+    paths = sorted(_glob.glob(pattern))
+    if not paths:
+        raise FileNotFoundError(f"no SQL script matches {pattern}")
     result = None
-    for path in sorted(_glob.glob(pattern)):
+    for path in paths:
         with open(path, encoding="utf-8") as fh:
-            result = run_sql_script(spark, split_statements(fh.read()), args) or result
+            result = run_sql_script(spark, split_statements(fh.read()), args, names) or result
     return result
 
 
 # S13 ---------------------------------------------------------------------------
 def scalar_query(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None,
-                 alias: str = "value") -> DataFrame:
+                 alias: str = "value", names: Mapping[str, str] | None = None) -> DataFrame:
     """First cell of a query as text (NULL stays NULL), as a one-row frame."""
-    df = run_sql_script(spark, [sql], args)
+    df = run_sql_script(spark, [sql], args, names)
     return df.select(F.col(df.columns[0]).cast("string").alias(alias)).limit(1)
 
 
-def scalar_value(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None
-                 ) -> str | None:
-    row = scalar_query(spark, sql, args).first()
+def scalar_value(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None,
+                 names: Mapping[str, str] | None = None) -> str | None:
+    row = scalar_query(spark, sql, args, names=names).first()
     return None if row is None else row[0]
 
 
 def exists(spark: SparkSession, mart: Mart) -> bool:
     return path_exists(spark, mart.path)
+
+
+# folded helpers ------------------------------------------------------------------
+def table_location(spark: SparkSession, table: str) -> str:
+    """Storage location of a catalog table (``DESC FORMATTED`` → Location)."""
+    row = (spark.sql(f"DESC FORMATTED {table}")
+           .where(F.col("col_name") == "Location").select("data_type").first())
+    if row is None:
+        raise ValueError(f"{table} has no location")
+    return row[0]
+
+
+def mart_for_table(spark: SparkSession, table: str) -> Mart:
+    """A :class:`Mart` for a registered table: location, schema in positional
+    order (partition columns last) and partition columns."""
+    cols = spark.catalog.listColumns(table)
+    keys = tuple(c.name for c in cols if c.isPartition)
+    schema = spark.table(table).schema
+    return Mart(table_location(spark, table), schema, keys, table)
+
+
+def parquet_column_plan(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Ordered ``(name, type)`` list of the parquet data under a folder."""
+    return column_plan(spark.read.parquet(path).schema)
+
+
+def block_size(spark: SparkSession, default: int = 128 * 1024 * 1024) -> int:
+    """The file system block size from the Hadoop configuration."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for key in ("dfs.blocksize", "dfs.block.size"):
+        value = conf.get(key)
+        if value:
+            try:
+                return int(value)
+            except ValueError:
+                return int(conf.getLongBytes(key, default))
+    return default
