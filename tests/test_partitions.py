@@ -197,3 +197,48 @@ def test_values_with_separators_round_trip(spark, scratch):
     assert inv == {"a=b/c", "x y+z%"}  # Q11
     P.compact(spark, mart, block_bytes=1, blocks_per_file=1.0)
     assert sorted(r["dt"] for r in mart.read(spark).collect()) == ["a=b/c", "x y+z%"]
+
+
+def test_compaction_in_bounded_jobs(spark, scratch):
+    rows = [(i, "x" * 40, f"d{i % 5}") for i in range(3000)]
+    mart = make_mart(spark, scratch, rows, writers=6)
+    before = checksum(mart.read(spark))
+    jobs = []
+    orig = P.compaction_frame
+
+    def spy(spark_, mart_, batch):
+        jobs.append(len(batch))
+        return orig(spark_, mart_, batch)
+    P.compaction_frame = spy
+    try:
+        plan = P.compaction_plan(P.partition_inventory(spark, mart, with_rows=False),
+                                 block_bytes=1 << 20, blocks_per_file=1.0)
+        P.compact_partitions(spark, mart, plan, max_job_bytes=1)  # every partition its own job
+    finally:
+        P.compaction_frame = orig
+    assert jobs == [1] * 5
+    assert checksum(mart.read(spark)) == before
+    assert all(len(files_in(os.path.join(local(mart.path), f"dt=d{i}"))) == 1 for i in range(5))
+
+
+def test_retention_partition_sets_property(spark, scratch):
+    from hypothesis import given, settings, strategies as st
+
+    days = [f"2020-01-{d:02d}" for d in range(1, 29)]
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.sets(st.sampled_from(days), min_size=1, max_size=8), st.integers(0, 30))
+    def check(present, lifetime):
+        mart = make_mart(spark, scratch, [(i, "v", d) for i, d in enumerate(sorted(present))])
+        gone = {r["partition"] for r in
+                P.retention(spark, mart, lifetime, column="dt", now="2020-01-29 12:00:00").collect()}
+        kept = {f"dt={r['dt']}" for r in mart.read(spark).collect()}
+        assert gone | kept == {f"dt={d}" for d in present} and not (gone & kept)
+        cutoff = "2020-01-29 12:00:00" if lifetime == 0 else None
+        if lifetime:
+            from tidemart.functions.columns import cutoff_text
+            cutoff = cutoff_text("2020-01-29 12:00:00", lifetime)
+            assert all(p[3:] <= cutoff for p in gone) and all(k[3:] > cutoff for k in kept)
+        else:
+            assert not gone and cutoff
+    check()

@@ -28,6 +28,10 @@ from tidemart.sources.tables import clear_mart, refresh_catalog, spread_key
 
 #: above this many partitions a plan is joined with a shuffle, not broadcast
 BROADCAST_PLAN_ROWS = 200_000
+#: input bytes rewritten by one compaction job (bounds one shuffle)
+DEFAULT_MAX_JOB_BYTES = 2 * 1024 ** 4
+#: parallel folder deletions issued by the driver (metadata calls only)
+DELETE_THREADS = 16
 
 
 def _relative_partition(path: Column, keys: Sequence[str]) -> Column:
@@ -142,35 +146,54 @@ def _window_value(mart: Mart, column: str | None) -> Column:
 
 
 # M5 ----------------------------------------------------------------------------
-def compact_partitions(spark: SparkSession, mart: Mart, plan: DataFrame) -> DataFrame:
-    """Rewrite every planned partition into at most ``factor`` files, in one job.
+def compact_partitions(spark: SparkSession, mart: Mart, plan: DataFrame,
+                       max_job_bytes: int = DEFAULT_MAX_JOB_BYTES) -> DataFrame:
+    """Rewrite every planned partition into at most ``factor`` files.
 
     The chosen folders are read with the mart's pinned schema, each row gets a
     bucket ``hash(file, row position) mod factor`` and the rows are hash
     partitioned on (keys, bucket) with ``sum(factor)`` shuffle partitions; a
     dynamic-overwrite path write then replaces exactly those folders.  A large
     partition therefore spreads over many tasks, and identical rows do too.
-    Returns the rewritten partitions with their file counts before and target.
+
+    Partitions are grouped into jobs of at most ``max_job_bytes`` input (a
+    partition larger than that is a job of its own), which bounds the shuffle
+    of one job however much of the mart is being compacted; small runs are a
+    single job.  Returns the rewritten partitions with their file counts.
     """
     keys = list(mart.partition_by)
     if not keys:
         raise ValueError("compact_partitions needs a partitioned mart; use compact_flat")
     todo_df = plan.filter(F.col("needs_rewrite")).select("partition", "location", *keys,
-                                                          "files", "factor")
+                                                          "files", "bytes", "factor")
     todo = todo_df.collect()  # one row per partition folder to rewrite
     result_schema = StructType([StructField("partition", StringType()),
                                 StructField("files_before", LongType()),
                                 StructField("factor", LongType())])
     if not todo:
         return spark.createDataFrame([], result_schema)
-    out = compaction_frame(spark, mart, todo)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*keys).parquet(mart.path))
+    for batch in _batches(todo, max_job_bytes):
+        out = compaction_frame(spark, mart, batch)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*keys).parquet(mart.path))
     refresh_catalog(spark, mart)
     return spark.createDataFrame(
         [(r["partition"], int(r["files"]), int(r["factor"])) for r in todo], result_schema)
 
 
+def _batches(todo, max_job_bytes: int):
+    batch, size = [], 0
+    for r in sorted(todo, key=lambda r: r["partition"]):
+        b = int(r["bytes"] or 0)
+        if batch and size + b > max_job_bytes:
+            yield batch
+            batch, size = [], 0
+        batch.append(r)
+        size += b
+    if batch:
+        yield batch
+
+
 def compaction_frame(spark: SparkSession, mart: Mart, todo) -> DataFrame:
     """The rows of the planned partitions, bucketed and shuffled for the rewrite.
 
@@ -198,14 +221,20 @@ def compaction_frame(spark: SparkSession, mart: Mart, todo) -> DataFrame:
 def compact(spark: SparkSession, mart: Mart, column: str | None = None,
             lower: str | None = None, upper: str | None = None,
             block_bytes: int = DEFAULT_BLOCK_BYTES,
-            blocks_per_file: float = DEFAULT_BLOCKS_PER_FILE) -> DataFrame:
-    """Inventory -> window -> plan -> rewrite (M2 + M4 + M3 + M5, or M6 when flat)."""
+            blocks_per_file: float = DEFAULT_BLOCKS_PER_FILE,
+            inventory: DataFrame | None = None,
+            max_job_bytes: int = DEFAULT_MAX_JOB_BYTES) -> DataFrame:
+    """Inventory -> window -> plan -> rewrite (M2 + M4 + M3 + M5, or M6 when flat).
+
+    A current ``inventory`` of the mart may be passed to skip the listing.
+    """
     if not mart.is_partitioned:
         compact_flat(spark, mart, block_bytes, blocks_per_file)
         return spark.createDataFrame([], "partition string, files_before bigint, factor bigint")
-    inv = partition_inventory(spark, mart, with_rows=False)
+    inv = inventory if inventory is not None else partition_inventory(spark, mart, with_rows=False)
     chosen = compaction_candidates(inv, mart, column, lower, upper)
-    return compact_partitions(spark, mart, compaction_plan(chosen, block_bytes, blocks_per_file))
+    return compact_partitions(spark, mart, compaction_plan(chosen, block_bytes, blocks_per_file),
+                              max_job_bytes)
 
 
 # M6 ----------------------------------------------------------------------------
@@ -295,13 +324,15 @@ def _drop_specs(spark: SparkSession, table: str, keys: Sequence[str], rows, batc
 
 def delete_partitions(spark: SparkSession, mart: Mart, column: str | None = None,
                       lower: str | None = None, upper: str | None = None,
-                      allow_full_delete: bool = False) -> DataFrame:
+                      allow_full_delete: bool = False,
+                      inventory: DataFrame | None = None) -> DataFrame:
     """Remove partitions whose key (``column``) or newest modification time lies
     in ``[lower, upper]``; returns the removed partitions.
 
     Unknown key columns raise, NULL keys never match, and an unpartitioned mart
     is emptied only with ``allow_full_delete=True``.  Registered marts lose the
-    partitions from the catalog as well as from disk.
+    partitions from the catalog as well as from disk.  A current ``inventory``
+    may be passed to skip the listing.
     """
     out_schema = "partition string, location string"
     if not mart.is_partitioned:
@@ -311,20 +342,42 @@ def delete_partitions(spark: SparkSession, mart: Mart, column: str | None = None
         clear_mart(spark, mart)
         return spark.createDataFrame([("", mart.path)], out_schema)
     value = _window_value(mart, column)
-    inv = partition_inventory(spark, mart, with_rows=False)
+    inv = inventory if inventory is not None else partition_inventory(spark, mart, with_rows=False)
     doomed = (inv.filter(range_predicate(value, lower, upper))
               .select("partition", "location", *mart.partition_by).collect())
     if mart.table and doomed:
         _drop_specs(spark, mart.table, mart.partition_by, doomed)
-    for r in doomed:
-        delete_path(spark, r["location"])
+    _delete_folders(spark, [r["location"] for r in doomed])
     refresh_catalog(spark, mart)
     return spark.createDataFrame([(r["partition"], r["location"]) for r in doomed], out_schema)
 
 
+def _delete_folders(spark: SparkSession, locations: Sequence[str]) -> None:
+    """Delete partition folders with a few parallel metadata calls; any failure
+    is raised (after the others finished), never dropped."""
+    if not locations:
+        return
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(DELETE_THREADS, len(locations))) as pool:
+        results = list(pool.map(lambda loc: _try_delete(spark, loc), locations))
+    failed = [loc for loc, err in zip(locations, results) if err is not None]
+    if failed:
+        raise RuntimeError(f"could not delete {len(failed)} partition folders, e.g. {failed[0]}: "
+                           f"{results[locations.index(failed[0])]}")
+
+
+def _try_delete(spark: SparkSession, location: str):
+    try:
+        delete_path(spark, location)
+        return None
+    except Exception as exc:  # noqa: BLE001 - reported together by the caller
+        return exc
+
+
 # M8 ----------------------------------------------------------------------------
 def retention(spark: SparkSession, mart: Mart, lifetime_days: int, column: str | None = None,
-              now: str | None = None, allow_full_delete: bool = False) -> DataFrame:
+              now: str | None = None, allow_full_delete: bool = False,
+              inventory: DataFrame | None = None) -> DataFrame:
     """Delete partitions older than ``now - lifetime_days`` (0 days = keep all).
 
     The bound is inclusive and compared as text, so a day key equal to the
@@ -334,7 +387,7 @@ def retention(spark: SparkSession, mart: Mart, lifetime_days: int, column: str |
         return spark.createDataFrame([], "partition string, location string")
     cutoff = cutoff_text(now, int(lifetime_days))
     return delete_partitions(spark, mart, column, upper=cutoff,
-                             allow_full_delete=allow_full_delete)
+                             allow_full_delete=allow_full_delete, inventory=inventory)
 
 
 def run_stamp() -> str:

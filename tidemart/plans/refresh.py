@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import (DEFAULT_BLOCK_BYTES, DEFAULT_BLOCKS_PER_FILE,
-                                        DEFAULT_LIFETIME_DAYS)
+                                        DEFAULT_LIFETIME_DAYS, partition_spec_map)
 from tidemart.operators.aggregate import max_value, relevance_value
-from tidemart.operators.partitions import (compact, compact_flat, last_partition_spec,
-                                           partition_inventory, retention)
+from tidemart.operators.partitions import (compact, compact_flat, partition_inventory,
+                                           retention)
 from tidemart.operators.project import partition_filter, transfer_projection
 from tidemart.plans.ledger import record_run, run_ledger_rows, run_statistics
 from tidemart.plans.mart import Mart
@@ -65,26 +65,31 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
                                      {"ctl_loading": run.loading_id, "ctl_validfrom": run.load_time},
                                      date_column=run.business_date_column)
         overwrite_partitions(loaded, mart)
-    count_rows = mart.read(spark).count()
-
-    if run.compaction_column:
-        compact(spark, mart, column=run.compaction_column,
-                block_bytes=run.block_bytes, blocks_per_file=run.blocks_per_file)
-    else:
-        compact(spark, mart, lower=run.load_time,
-                block_bytes=run.block_bytes, blocks_per_file=run.blocks_per_file)
-    retention(spark, mart, run.lifetime_days, column=run.retention_column, now=run.load_time)
-
+    # one listing + one footer pass serve the row count, the compaction plan and
+    # (retention by key: the key set does not change when files are rewritten)
+    before = partition_inventory(spark, mart, with_rows=True).cache()
+    count_rows = int(before.agg(F.sum("rows")).first()[0] or 0)
+    window = ({"column": run.compaction_column} if run.compaction_column
+              else {"lower": run.load_time})
+    compact(spark, mart, block_bytes=run.block_bytes, blocks_per_file=run.blocks_per_file,
+            inventory=before if mart.is_partitioned else None, **window)
+    retention(spark, mart, run.lifetime_days, column=run.retention_column, now=run.load_time,
+              inventory=before if run.retention_column else None)
+    before.unpersist()
+
+    after = partition_inventory(spark, mart, with_rows=True)
+    totals = after.agg(F.sum("rows").alias("rows"), F.max("modified_utc").alias("last_mod"),
+                       F.max(F.when(F.col("partition") != "", F.col("partition"))).alias("last"))
+    totals = totals.select("*", partition_spec_map("last").alias("spec")).first()
+    rows_kept = int(totals["rows"] or 0)
+    last_mod = totals["last_mod"]
+    last = dict(totals["spec"] or {})
     current = mart.read(spark)
-    last = last_partition_spec(spark, mart)
     if run.business_date_column in last:
         business_date = last[run.business_date_column]
     else:
         business_date = max_value(current, run.business_date_column).first()[0]
     max_cdc = max_value(partition_filter(current, last), "ctl_validfrom").first()[0]
-    inv = partition_inventory(spark, mart, with_rows=False)
-    last_mod = inv.agg(F.max("modified_utc")).first()[0]
-    rows_kept = current.count()
 
     stats = spark.createDataFrame([(name, count_rows, last_mod)],
                                   "calculated_table string, count_rows bigint, last_modified string")
