@@ -2,7 +2,8 @@
 
 orders   -> a monthly mart keyed by ``report_dt`` (the transfer target)
 events   -> a daily mart keyed by ``event_type`` / ``dt``
-lineitem -> a monthly mart keyed by ``ship_month`` written as many small files
+lineitem -> a monthly mart keyed by ``ship_month`` written as many small files,
+            or with one file per return flag
 nation   -> a tiny flat table
 """
 
@@ -100,6 +101,18 @@ def lineitem_small_files(spark: SparkSession, sf_dir: str, label: str,
     return mart
 
 
+def lineitem_file_per_flag(spark: SparkSession, sf_dir: str, label: str) -> Mart:
+    """lineitem by ship month with exactly one file per return flag present in
+    the month (one append per flag, clustered by month), so file counts are known."""
+    mart = Mart(work_path(spark, label), LINEITEM_MART_SCHEMA, ("ship_month",))
+    rows = lineitem_rows(spark, sf_dir)
+    flags = [r[0] for r in rows.select("l_returnflag").distinct().collect()]  # a handful of codes
+    for flag in sorted(f for f in flags if f is not None):
+        (rows.where(F.col("l_returnflag") == flag).repartition("ship_month")
+         .write.mode("append").partitionBy("ship_month").parquet(mart.path))
+    return mart
+
+
 def flat_copy(spark: SparkSession, df: DataFrame, label: str, files: int = 8) -> str:
     """Write ``df`` as an unpartitioned parquet folder of ``files`` files."""
     path = work_path(spark, label)

@@ -573,11 +573,15 @@ def q_partition_inventory(spark, sf):
                       ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("has_files"))
 
 
-@register("compaction_plan")  # file sizes are not SQL-derivable: rows-only check + pytest
+@register("compaction_plan", f"""
+SELECT 'ship_month=' || ship_month AS partition, CAST(COUNT(DISTINCT l_returnflag) AS BIGINT) AS files,
+       CAST(1 AS BIGINT) AS factor, COUNT(DISTINCT l_returnflag) > 1 AS needs_rewrite
+FROM {_LI} GROUP BY ship_month""")
 def q_compaction_plan(spark, sf):
-    mart = fx.lineitem_small_files(spark, sf, "plan")
+    # one file per return flag and month; every month is far below one target file
+    mart = fx.lineitem_file_per_flag(spark, sf, "plan")
     inv = parts.partition_inventory(spark, mart, with_rows=False)
-    return parts.compaction_plan(inv).select("partition", "files", "bytes", "factor", "needs_rewrite")
+    return parts.compaction_plan(inv).select("partition", "files", "factor", "needs_rewrite")
 
 
 @register("compaction_candidates", f"""
