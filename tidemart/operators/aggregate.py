@@ -1,6 +1,6 @@
 """Aggregates (A1-A8) and step ordering (T2).
 
-The reference computes each of these as a global scalar per table; here they
+The original job computes each of these as a global scalar per table; here they
 are DataFrames (grouped by table or target where that lets one job serve many
 tables), so the driver only ever sees the final, tiny result.
 """

@@ -166,7 +166,7 @@ def append_rows(spark: SparkSession, rows: DataFrame | Iterable[Mapping[str, obj
 
 # S7 / S8 / S9 ------------------------------------------------------------------
 def column_plan(schema: StructType) -> list[tuple[str, str]]:
-    """Ordered ``(name, type)`` list of a schema (the reference's ``dtypes``)."""
+    """Ordered ``(name, type)`` list of a schema (what ``DataFrame.dtypes`` gives)."""
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
