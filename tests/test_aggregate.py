@@ -65,3 +65,9 @@ def test_load_delta(spark, scratch):
     r = A.load_delta(spark, target, load).first()
     assert (r["rows_before"], r["rows_after"]) == (2, 4)
     assert state["df"] is None
+
+
+def test_max_values_one_pass(spark):
+    df = spark.createDataFrame([(1, "a"), (5, "b"), (3, "a")], "v int, k string")
+    r = A.max_values(df, {"all": ("v", None), "a": ("v", "k = 'a'"), "none": ("v", "k = 'z'")}).first()
+    assert (r["all"], r["a"], r["none"]) == (5, 3, None)

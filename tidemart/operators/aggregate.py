@@ -43,6 +43,21 @@ def max_value(df: DataFrame, column: str, condition: str | None = None,
     return filter_condition(df, condition).agg(F.max(F.col(column)).alias(alias))
 
 
+def max_values(df: DataFrame, specs: Mapping[str, tuple[str, str | None]]) -> DataFrame:
+    """Several filtered maxima in one pass: ``{alias: (column, condition)}``.
+
+    Each condition becomes a conditional aggregate (``max(CASE WHEN cond THEN
+    col END)``), so one scan answers all of them; empty matches give NULL.
+    """
+    aggs = []
+    for alias, (column, condition) in specs.items():
+        value = F.col(column)
+        if condition and condition.strip():
+            value = F.when(F.expr(condition), value)
+        aggs.append(F.max(value).alias(alias))
+    return df.agg(*aggs)
+
+
 # A3 ----------------------------------------------------------------------------
 def relevance_value(df: DataFrame, column: str = "report_dt") -> DataFrame:
     """Newest value of the business-date column, as text."""

@@ -279,13 +279,10 @@ SELECT (SELECT strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') FROM lineitem) AS
        (SELECT max(l_tax) FROM lineitem WHERE 1 = 0) AS max_empty""")
 def q_max_value(spark, sf):
     li = fx.table(spark, sf, "lineitem")
-    a = agg.max_value(li, "l_shipdate", alias="m").select(fx.time_text("m").alias("max_shipdate"))
-    b = agg.max_value(li, "l_extendedprice", "l_returnflag = 'N'", alias="max_price")
-    c = agg.max_value(li, "l_tax", "1 = 0", alias="max_empty")
-    # three one-row aggregates side by side: attach by a constant key
-    k = F.lit(1).alias("__k")
-    return (a.select("*", k).join(b.select("*", k), "__k").join(c.select("*", k), "__k")
-            .drop("__k"))
+    m = agg.max_values(li, {"m": ("l_shipdate", None),
+                            "max_price": ("l_extendedprice", "l_returnflag = 'N'"),
+                            "max_empty": ("l_tax", "1 = 0")})
+    return m.select(fx.time_text("m").alias("max_shipdate"), "max_price", "max_empty")
 
 
 @register("relevance_value", """
