@@ -1,0 +1,83 @@
+import os
+
+import pytest
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from tidemart.plans.mart import Mart
+from tidemart.sources import tables as S
+
+SCHEMA = StructType([StructField("id", LongType()), StructField("v", StringType()),
+                     StructField("dt", StringType())])
+
+
+def test_scan_dir_loses_keys_scan_partition_recovers_them(spark, scratch):
+    mart = Mart(scratch("m"), SCHEMA, ("dt",))
+    spark.createDataFrame([(1, "a", "01"), (2, "b", "02")], SCHEMA).write.partitionBy("dt") \
+        .parquet(mart.path)
+    one = S.scan_parquet_dir(spark, mart.path + "/dt=01")
+    assert one.columns == ["id", "v"] and one.count() == 1
+    both = S.scan_partitions(spark, mart, [mart.path + "/dt=01", mart.path + "/dt=02"])
+    assert sorted((r["id"], r["dt"]) for r in both.collect()) == [(1, "01"), (2, "02")]
+    assert dict(both.dtypes)["dt"] == "string"  # H1: '01' is not re-typed as 1
+    assert S.scan_partitions(spark, mart, []).count() == 0
+
+
+def test_load_from_dir_positional_and_append(spark, scratch):
+    src = scratch("src")
+    spark.createDataFrame([(i, f"x{i}", "d1" if i < 3 else "d2") for i in range(6)],
+                          "a long, b string, c string").write.parquet(src)
+    mart = Mart(scratch("dst"), SCHEMA, ("dt",))
+    S.load_from_dir(spark, src, mart, n_files=2)
+    got = mart.read(spark)
+    assert got.count() == 6 and sorted(r["dt"] for r in got.select("dt").distinct().collect()) == ["d1", "d2"]
+    S.load_from_dir(spark, src, mart, n_files=1, overwrite=False)
+    assert mart.read(spark).count() == 12
+    S.load_from_dir(spark, src, mart, n_files=1, overwrite=True)
+    assert mart.read(spark).count() == 6
+
+
+def test_clear_and_archive_reload_keep_ledger(spark, scratch):
+    mart = Mart(scratch("m"), SCHEMA, ("dt",))
+    ledger = Mart(scratch("l"), StructType(SCHEMA.fields[:2]))
+    S.overwrite_partitions(spark.createDataFrame([(1, "a", "d1")], SCHEMA), mart)
+    S.append_rows(spark, [{"id": 1, "v": "run"}], ledger)
+    assert S.archive_reload(spark, {"mart": mart, "ledger": ledger}) == ["mart"]
+    assert mart.read(spark).count() == 0 and ledger.read(spark).count() == 1
+
+
+def test_create_mart_keeps_existing_data_and_drops_definition_only(spark, scratch):
+    mart = Mart(scratch("m"), SCHEMA, ("dt",))
+    S.overwrite_partitions(spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2")], SCHEMA), mart)
+    t = S.create_mart(spark, "tm_test_create", mart)
+    assert spark.table("tm_test_create").count() == 2
+    t = S.create_mart(spark, "tm_test_create", mart)  # re-definition over the same location
+    assert spark.table(t.table).count() == 2
+    assert sorted(r[0] for r in spark.sql("SHOW PARTITIONS tm_test_create").collect()) == ["dt=d1", "dt=d2"]
+    assert S.table_location(spark, t.table).rstrip("/").endswith(mart.path.rstrip("/").split("/")[-1])
+    back = S.mart_for_table(spark, t.table)
+    assert back.partition_by == ("dt",) and back.columns == ["id", "v", "dt"]
+
+
+def test_recreate_flat_table_from_plan(spark, scratch):
+    loc = scratch("flat")
+    spark.createDataFrame([(1, "a")], "id long, `odd name` string").write.parquet(loc)
+    t = S.recreate_flat_table(spark, "tm_test_flat", [("id", "bigint"), ("odd name", "string")], loc)
+    assert [tuple(r) for r in spark.table(t.table).collect()] == [(1, "a")]
+    assert S.parquet_column_plan(spark, loc) == [("id", "bigint"), ("odd name", "string")]
+
+
+def test_sql_script_splitting_and_params(spark):
+    assert S.split_statements("SELECT 1;\n;  SELECT 2 ;\n") == ["SELECT 1", "SELECT 2"]
+    df = S.run_sql_script(spark, ["", "SELECT :a + 1 AS x"], {"a": 41, "unused": 0})
+    assert df.first()["x"] == 42
+    assert S.scalar_value(spark, "SELECT CAST(NULL AS INT)") is None
+    assert S.scalar_value(spark, "SELECT 7") == "7"
+
+
+def test_missing_script_raises(spark, local_dir):
+    with pytest.raises(FileNotFoundError):
+        S.run_sql_files(spark, os.path.join(local_dir, "nothing_*.sql"))
+
+
+def test_block_size_default(spark):
+    assert S.block_size(spark) > 0
