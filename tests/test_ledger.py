@@ -127,3 +127,36 @@ def test_sql_files_sorted_with_names(spark, scratch, local_dir):
     out = S.run_sql_files(spark, os.path.join(local_dir, "*.sql"), {"t": "tm_test_sqlfiles"},
                           {"loc": loc})
     assert out.first()["n"] == 2
+
+
+def test_steps_from_sql_files(spark, scratch, local_dir):
+    import os
+    from tidemart.plans.ledger import step_of, steps_from_sql_files
+    assert step_of("stat12.sql") == 12 and step_of("1stat.sql") == 1
+    for bad in ("stat.sql", "stat1_1.sql", "12stat1.sql"):
+        with pytest.raises(ValueError):
+            step_of(bad)
+    target = S.create_mart(spark, "tm_test_steps_target", Mart(scratch("st"), RUN_LEDGER_SCHEMA))
+    sub = os.path.join(local_dir, "nested")
+    os.makedirs(sub)
+    with open(os.path.join(local_dir, "step2.sql"), "w") as fh:
+        fh.write("INSERT INTO IDENTIFIER(:t) (calculated_table) VALUES ('two');")
+    with open(os.path.join(sub, "step10.sql"), "w") as fh:
+        fh.write("INSERT INTO {table} (calculated_table) VALUES ('ten');")
+    steps = steps_from_sql_files(local_dir)
+    assert sorted(s.number for s in steps) == [2, 10]
+    ledger = Mart(scratch("steps_ledger"), STEP_LEDGER_SCHEMA)
+    rows = stepped_load(spark, steps, ledger, target, "t", "2024-01-01 00:00:00", "r",
+                        params={"t": target.table, "names": {"table": target.table}})
+    assert [(r["step"], r["rows_before"], r["rows_after"]) for r in rows.collect()] == [(2, 0, 1), (10, 1, 2)]
+
+
+def test_recovery_runs_step_zero_when_nothing_finished(spark, scratch):
+    ledger = Mart(scratch("steps0"), STEP_LEDGER_SCHEMA)
+    calls = []
+    steps = [Step(0, lambda s, p: calls.append(0)), Step(1, lambda s, p: calls.append(1))]
+    stepped_load(spark, steps, ledger, None, "t", "2024-01-01 00:00:00", "r", recovery_mode=True)
+    assert calls == [0, 1]
+    calls.clear()
+    stepped_load(spark, steps, ledger, None, "t", "2024-01-01 00:00:00", "r", recovery_mode=True)
+    assert calls == []

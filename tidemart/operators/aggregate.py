@@ -100,11 +100,13 @@ def computed_tables(entries: DataFrame) -> DataFrame:
 
 
 # A8 ----------------------------------------------------------------------------
-def resume_steps(step_ledger: DataFrame, relevance_value: str | None) -> DataFrame:
+def resume_steps(step_ledger: DataFrame, relevance_value: str | None,
+                 none_value: int = 0) -> DataFrame:
     """Per target, the last step finished in its newest run for this relevance.
 
     Among the target's rows with the newest load time, the largest step whose
-    relevance equals ``relevance_value``; 0 when that newest run has none.
+    relevance equals ``relevance_value``; ``none_value`` (0) when that newest
+    run has none.
     One aggregation pass (max over a (load time, step) struct), so a target
     holding most of the ledger is combined map-side like any other.
     """
@@ -112,19 +114,22 @@ def resume_steps(step_ledger: DataFrame, relevance_value: str | None) -> DataFra
     probe = F.struct(F.col("ctl_validfrom").alias("t"),
                      F.when(matching, F.col("step")).otherwise(F.lit(-1)).alias("s"))
     return (step_ledger.groupBy("target").agg(F.max(probe).alias("m"))
-            .select("target", F.greatest(F.col("m.s"), F.lit(0)).cast("int")
-                    .alias("last_computed_step")))
+            .select("target", F.when(F.col("m.s") >= 0, F.col("m.s"))
+                    .otherwise(F.lit(none_value)).cast("int").alias("last_computed_step")))
 
 
 def resume_step(spark: SparkSession, step_ledger: DataFrame, target: str,
-                relevance_value: str | None, recovery_mode: bool) -> DataFrame:
-    """One-row ``last_computed_step`` for one target (0 outside recovery mode)."""
-    zero = spark.range(1).select(F.lit(0).alias("last_computed_step"))
+                relevance_value: str | None, recovery_mode: bool,
+                none_value: int = 0) -> DataFrame:
+    """One-row ``last_computed_step`` for one target (``none_value`` outside
+    recovery mode or when nothing matches)."""
     if not recovery_mode:
-        return zero
-    found = (resume_steps(step_ledger.where(F.col("target") == F.lit(target)), relevance_value)
+        return spark.range(1).select(F.lit(none_value).alias("last_computed_step"))
+    found = (resume_steps(step_ledger.where(F.col("target") == F.lit(target)), relevance_value,
+                          none_value)
              .agg(F.max("last_computed_step").alias("last_computed_step")))
-    return found.select(F.coalesce(F.col("last_computed_step"), F.lit(0)).alias("last_computed_step"))
+    return found.select(F.coalesce(F.col("last_computed_step"), F.lit(none_value))
+                        .alias("last_computed_step"))
 
 
 # T2 ----------------------------------------------------------------------------

@@ -78,7 +78,8 @@ def _rows_per_partition(spark: SparkSession, mart: Mart) -> DataFrame:
 
 
 # M2 ----------------------------------------------------------------------------
-def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True) -> DataFrame:
+def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True,
+                        pattern: str | None = None) -> DataFrame:
     """One row per partition folder of ``mart``.
 
     Columns: ``partition`` (folder text, as SHOW PARTITIONS prints it), one
@@ -86,6 +87,7 @@ def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True)
     ``location``, ``files``, ``bytes``, ``modified_at`` (newest file),
     ``modified_utc`` (its UTC text) and, when ``with_rows``, ``rows``.
     An unpartitioned mart gives a single row with ``partition = ''``.
+    ``pattern`` keeps only folders whose full location matches it.
     """
     keys = list(mart.partition_by)
     files = file_listing(spark, mart.path)
@@ -99,6 +101,8 @@ def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True)
            .groupBy("partition", "location")
            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
                 F.max("modificationTime").alias("modified_at")))
+    if pattern:
+        inv = inv.where(F.col("location").rlike("^(?:" + pattern + ")$"))
     inv = inv.select("partition", *[_key_value(F.col("partition"), k).alias(k) for k in keys],
                      "location", "files", "bytes", "modified_at",
                      instant_text("modified_at").alias("modified_utc"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from pathlib import Path
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,7 @@ from tidemart.functions.columns import change_flag, statistic_payload
 from tidemart.operators.aggregate import resume_step
 from tidemart.operators.project import conform_schema
 from tidemart.plans.mart import Mart
-from tidemart.sources.tables import append_rows
+from tidemart.sources.tables import append_rows, run_sql_script, split_statements
 
 # ---------------------------------------------------------------------------
 # Ledger layout and statistic ids
@@ -114,6 +116,34 @@ class Step:
             raise ValueError(f"step must be an int >= 0, got {self.number!r}")
 
 
+def step_of(file_name: str) -> int:
+    """Step number of a script name: its single run of digits (``stat12.sql`` -> 12)."""
+    runs = re.findall(r"\d+", file_name)
+    if len(runs) != 1:
+        raise ValueError(f"expected exactly one number in the file name {file_name!r}")
+    return int(runs[0])
+
+
+def sql_step(number: int, statements: Sequence[str], name: str = "") -> Step:
+    """A step that runs SQL statements; step params bind as ``:name`` parameters
+    and, under the key ``names``, fill ``{name}`` placeholders."""
+    def run(spark: SparkSession, params: Mapping[str, object]):
+        params = dict(params)
+        names = params.pop("names", None)
+        return run_sql_script(spark, statements, params, names)
+    return Step(number, run, name)
+
+
+def steps_from_sql_files(directory: str, pattern: str = "*.sql") -> list[Step]:
+    """One SQL step per script found (recursively) under ``directory``; the step
+    number comes from the file name, which must hold exactly one number."""
+    steps = []
+    for path in sorted(Path(directory).rglob(pattern)):
+        steps.append(sql_step(step_of(path.name), split_statements(path.read_text(encoding="utf-8")),
+                              str(path)))
+    return steps
+
+
 def stepped_load(spark: SparkSession, steps: Sequence[Step], step_ledger: Mart,
                  target: Mart | None, target_name: str, ctl_validfrom: str,
                  relevance_value: str | None, recovery_mode: bool = False,
@@ -121,13 +151,13 @@ def stepped_load(spark: SparkSession, steps: Sequence[Step], step_ledger: Mart,
     """Run the steps in ascending order, skipping those already finished in the
     newest run for this relevance (recovery mode), and record each step's row
     counts before and after in the step ledger.  Returns this run's rows."""
-    done = 0
+    done = -1  # nothing finished yet (so a step 0 still runs)
     if recovery_mode:
         done = resume_step(spark, step_ledger.read(spark), target_name, relevance_value,
-                           True).first()[0]
+                           True, none_value=-1).first()[0]
     recorded = []
     for step in sorted(steps, key=lambda s: s.number):
-        if step.number <= done and recovery_mode:
+        if step.number <= done:
             continue
         before = target.read(spark).count() if target is not None else 0
         step.run(spark, dict(params or {}))
