@@ -242,3 +242,22 @@ def test_retention_partition_sets_property(spark, scratch):
         else:
             assert not gone and cutoff
     check()
+
+
+def test_sized_overwrite_writes_target_file_counts(spark, scratch):
+    src_path = scratch("sized_src")
+    rows = [(i, "x" * 30, "big" if i % 10 else "small") for i in range(5000)]
+    spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(src_path)
+    mart = Mart(scratch("sized"), SCHEMA, ("dt",))
+    src = spark.read.schema(SCHEMA).parquet(src_path)
+    S.overwrite_partitions_sized(src, mart, bytes_per_row=10.0, target_file_bytes=10_000)
+    # 4500 rows * 10 B / 10 kB -> 5 buckets; 500 rows -> 1 bucket
+    assert 1 < len(files_in(os.path.join(local(mart.path), "dt=big"))) <= 5
+    assert len(files_in(os.path.join(local(mart.path), "dt=small"))) == 1
+    assert checksum(mart.read(spark)) == checksum(src)
+    bpr = P.bytes_per_row(spark, mart)
+    assert bpr and bpr > 0
+    # not a file scan: falls back to the rebalanced write, same rows
+    agg = src.groupBy("id", "v", "dt").count().drop("count")
+    S.overwrite_partitions_sized(agg, mart, bytes_per_row=10.0, target_file_bytes=10_000)
+    assert checksum(mart.read(spark)) == checksum(src)

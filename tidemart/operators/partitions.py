@@ -11,6 +11,7 @@ ever brought to the driver, and only to name the folders to read or delete.
 from __future__ import annotations
 
 import time
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -118,6 +119,26 @@ def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True,
     return inv
 
 
+def bytes_per_row(spark: SparkSession, mart: Mart, sample_partitions: int = 16) -> float | None:
+    """Stored bytes per row of the mart, measured on its newest partitions
+    (a listing plus a footer count of at most ``sample_partitions`` folders);
+    None when the mart holds no rows yet."""
+    from tidemart.operators.project import spec_predicate
+    keys = list(mart.partition_by)
+    listing = partition_inventory(spark, mart, with_rows=False)
+    if keys:
+        listing = listing.orderBy(F.col("partition").desc()).limit(sample_partitions)
+    top = listing.select("partition", *keys, "bytes").collect()
+    if not top:
+        return None
+    data = mart.read_files(spark)
+    if keys:
+        preds = [spec_predicate({k: r[k] for k in keys}) for r in top]
+        data = data.where(reduce(lambda a, b: a | b, preds))
+    rows = data.count()
+    return sum(int(r["bytes"]) for r in top) / rows if rows else None
+
+
 # P8 ----------------------------------------------------------------------------
 def partitions_with_data(inventory: DataFrame) -> DataFrame:
     return inventory.filter(F.col("bytes") > 0)

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from tidemart.functions.columns import (DEFAULT_BLOCK_BYTES, DEFAULT_BLOCKS_PER_FILE,
                                         DEFAULT_LIFETIME_DAYS, partition_spec_map)
 from tidemart.operators.aggregate import max_value, relevance_value
-from tidemart.operators.partitions import (compact, compact_flat, partition_inventory,
-                                           retention)
+from tidemart.operators.partitions import (bytes_per_row, compact, compact_flat,
+                                           partition_inventory, retention)
 from tidemart.operators.project import partition_filter, transfer_projection
 from tidemart.plans.ledger import record_run, run_ledger_rows, run_statistics
 from tidemart.plans.mart import Mart
-from tidemart.sources.tables import clear_mart, overwrite_partitions
+from tidemart.sources.tables import (clear_mart, overwrite_partitions,
+                                     overwrite_partitions_sized)
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,7 @@ class RunSettings:
     compaction_column: str | None = None  # None = partitions modified since load_time
     business_date_column: str = "report_dt"
     source_condition: str | None = None  # optional SQL filter on the source (incremental load)
+    size_files_on_load: bool = True       # size files from the mart's bytes per row when known
     block_bytes: int = DEFAULT_BLOCK_BYTES
     blocks_per_file: float = DEFAULT_BLOCKS_PER_FILE
 
@@ -64,7 +66,12 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
         loaded = transfer_projection(source, mart.schema,
                                      {"ctl_loading": run.loading_id, "ctl_validfrom": run.load_time},
                                      date_column=run.business_date_column)
-        overwrite_partitions(loaded, mart)
+        bpr = (bytes_per_row(spark, mart)
+               if run.size_files_on_load and mart.is_partitioned else None)
+        if bpr:
+            overwrite_partitions_sized(loaded, mart, bpr, int(run.block_bytes * run.blocks_per_file))
+        else:
+            overwrite_partitions(loaded, mart)
     # one listing + one footer pass serve the row count, the compaction plan and
     # (retention by key: the key set does not change when files are rewritten)
     before = partition_inventory(spark, mart, with_rows=True).cache()

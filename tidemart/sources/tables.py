@@ -103,6 +103,48 @@ def overwrite_partitions(df: DataFrame, mart: Mart, by_position: bool = False) -
     return mart
 
 
+def overwrite_partitions_sized(df: DataFrame, mart: Mart, bytes_per_row: float,
+                               target_file_bytes: int, max_lookup_rows: int = 200_000) -> Mart:
+    """:func:`overwrite_partitions` that writes each partition straight into
+    about ``rows * bytes_per_row / target_file_bytes`` files.
+
+    A first, cheap pass counts rows per partition key (only the key inputs are
+    read, combined map-side); each row then gets a bucket from the hash of its
+    source file and position, and the rows are shuffled on (keys, bucket) into
+    ``sum(buckets)`` tasks, one file each.  Large partitions are thereby split
+    and small ones are not, so no compaction rewrite is needed afterwards.
+    Falls back to the rebalanced write when ``df`` is not a projection of a
+    file scan (no per-row file position to hash).
+    """
+    from pyspark.errors import AnalysisException
+    keys = list(mart.partition_by)
+    if not keys:
+        return overwrite_partitions(df, mart)
+    try:
+        spread = F.xxhash64(df["_metadata.file_path"], df["_metadata.row_index"])
+    except AnalysisException:
+        return overwrite_partitions(df, mart)
+    out = df.select(*conform_columns(df, mart.schema), spread.alias("__spread"))
+    counts = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
+    if not counts:
+        return mart
+    per_file = max(float(target_file_bytes) / max(float(bytes_per_row), 1e-9), 1.0)
+    plan = [tuple(r[k] for k in keys) + (max(1, int(-(-r["n"] // per_file))),) for r in counts]
+    lookup = df.sparkSession.createDataFrame(
+        plan, ", ".join([f"`__k{i}` string" for i in range(len(keys))] + ["__buckets bigint"]))
+    if len(plan) <= max_lookup_rows:
+        lookup = F.broadcast(lookup)
+    cond = [out[k].eqNullSafe(lookup[f"__k{i}"]) for i, k in enumerate(keys)]
+    n = max(sum(p[-1] for p in plan), 1)
+    (out.join(lookup, cond, "inner")
+     .select(*mart.columns, F.pmod(F.col("__spread"), F.col("__buckets")).alias("__bucket"))
+     .repartition(n, *keys, "__bucket").drop("__bucket")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*keys).parquet(mart.path))
+    refresh_catalog(df.sparkSession, mart)
+    return mart
+
+
 def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
