@@ -447,7 +447,9 @@ def q_overwrite_partitions(spark, sf):
     mart = fx.events_mart(spark, sf, "overwrite")
     clicks = (fx.events_rows(spark, sf).where(F.col("event_type") == "click")
               .withColumn("value", F.col("value") * 2))
-    src.overwrite_partitions(clicks, mart)
+    # the mart holds data, so the load is sized from its measured bytes per row
+    src.overwrite_partitions_sized(clicks, mart, parts.bytes_per_row(spark, mart),
+                                   target_file_bytes=64 * 1024)
     return mart.read_files(spark).select("event_id", "event_type", "dt", "value")
 
 
