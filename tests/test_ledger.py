@@ -160,3 +160,15 @@ def test_recovery_runs_step_zero_when_nothing_finished(spark, scratch):
     calls.clear()
     stepped_load(spark, steps, ledger, None, "t", "2024-01-01 00:00:00", "r", recovery_mode=True)
     assert calls == []
+
+
+def test_refresh_source_condition_limits_the_load(spark, scratch):
+    mart = fx.orders_mart(spark, "test-incremental")
+    ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)
+    source = fx.orders_source(spark, SF_SMALL)
+    run = RunSettings(1, "2001-09-01 00:00:00", lifetime_days=0,
+                      source_condition="report_dt >= '2001-01-01'")
+    s = refresh_mart(spark, source, mart, ledger, run).first()
+    expected = source.where("report_dt >= '2001-01-01'").count()
+    assert s["count_rows"] == expected == mart.read(spark).count()
+    assert min(r[0] for r in mart.read(spark).select("report_dt").distinct().collect()) >= "2001-01-01"

@@ -261,3 +261,18 @@ def test_sized_overwrite_writes_target_file_counts(spark, scratch):
     agg = src.groupBy("id", "v", "dt").count().drop("count")
     S.overwrite_partitions_sized(agg, mart, bytes_per_row=10.0, target_file_bytes=10_000)
     assert checksum(mart.read(spark)) == checksum(src)
+
+
+def test_rebalanced_write_splits_a_hot_partition(spark, scratch):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "16k")  # small advisory size so the split shows at test scale
+    try:
+        rows = [(i, "y" * 40, "hot" if i % 3 else f"c{i % 7}") for i in range(30000)]
+        src = spark.createDataFrame(rows, SCHEMA).repartition(8)
+        mart = Mart(scratch("hot"), SCHEMA, ("dt",))
+        S.overwrite_partitions(src, mart)
+    finally:
+        spark.conf.set(key, old)
+    assert len(files_in(os.path.join(local(mart.path), "dt=hot"))) > 1
+    assert mart.read(spark).where("dt = 'hot'").count() == 20000
