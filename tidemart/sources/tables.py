@@ -116,33 +116,41 @@ def overwrite_partitions_sized(df: DataFrame, mart: Mart, bytes_per_row: float,
     Falls back to the rebalanced write when ``df`` is not a projection of a
     file scan (no per-row file position to hash).
     """
+    out = sized_write_frame(df, mart, bytes_per_row, target_file_bytes, max_lookup_rows)
+    if out is None:
+        return overwrite_partitions(df, mart)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*mart.partition_by).parquet(mart.path))
+    refresh_catalog(df.sparkSession, mart)
+    return mart
+
+
+def sized_write_frame(df: DataFrame, mart: Mart, bytes_per_row: float, target_file_bytes: int,
+                      max_lookup_rows: int = 200_000) -> DataFrame | None:
+    """The bucketed, shuffled rows of a sized write (None when not applicable)."""
     from pyspark.errors import AnalysisException
     keys = list(mart.partition_by)
     if not keys:
-        return overwrite_partitions(df, mart)
+        return None
     try:
         spread = F.xxhash64(df["_metadata.file_path"], df["_metadata.row_index"])
     except AnalysisException:
-        return overwrite_partitions(df, mart)
+        return None
     out = df.select(*conform_columns(df, mart.schema), spread.alias("__spread"))
     counts = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
     if not counts:
-        return mart
+        return out.drop("__spread")
     per_file = max(float(target_file_bytes) / max(float(bytes_per_row), 1e-9), 1.0)
     plan = [tuple(r[k] for k in keys) + (max(1, int(-(-r["n"] // per_file))),) for r in counts]
     lookup = df.sparkSession.createDataFrame(
         plan, ", ".join([f"`__k{i}` string" for i in range(len(keys))] + ["__buckets bigint"]))
-    if len(plan) <= max_lookup_rows:
+    if len(plan) <= max_lookup_rows:  # one row per partition: the size is known
         lookup = F.broadcast(lookup)
     cond = [out[k].eqNullSafe(lookup[f"__k{i}"]) for i, k in enumerate(keys)]
     n = max(sum(p[-1] for p in plan), 1)
-    (out.join(lookup, cond, "inner")
-     .select(*mart.columns, F.pmod(F.col("__spread"), F.col("__buckets")).alias("__bucket"))
-     .repartition(n, *keys, "__bucket").drop("__bucket")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*keys).parquet(mart.path))
-    refresh_catalog(df.sparkSession, mart)
-    return mart
+    return (out.join(lookup, cond, "inner")
+            .select(*mart.columns, F.pmod(F.col("__spread"), F.col("__buckets")).alias("__bucket"))
+            .repartition(n, *keys, "__bucket").drop("__bucket"))
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
