@@ -81,3 +81,17 @@ def test_missing_script_raises(spark, local_dir):
 
 def test_block_size_default(spark):
     assert S.block_size(spark) > 0
+
+
+def test_sized_write_registers_new_partitions(spark, scratch):
+    from tidemart.operators import partitions as P
+    src_path = scratch("reg_src")
+    spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2"), (3, "c", None)], SCHEMA).write.parquet(src_path)
+    mart = S.create_mart(spark, "tm_test_sized_reg", Mart(scratch("reg"), SCHEMA, ("dt",)))
+    src = spark.read.schema(SCHEMA).parquet(src_path)
+    S.overwrite_partitions_sized(src.where("dt is not null"), mart, 10.0, 1000)
+    assert sorted(r[0] for r in spark.sql("SHOW PARTITIONS tm_test_sized_reg").collect()) == ["dt=d1", "dt=d2"]
+    S.overwrite_partitions_sized(src, mart, 10.0, 1000)  # NULL key: falls back to a folder scan
+    assert spark.table(mart.table).count() == 3
+    P.delete_partitions(spark, mart, "dt", "d2", "d2")
+    assert sorted(r["id"] for r in spark.table(mart.table).collect()) == [1, 3]

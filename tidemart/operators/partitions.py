@@ -25,7 +25,7 @@ from tidemart.functions.columns import (DEFAULT_BLOCK_BYTES, DEFAULT_BLOCKS_PER_
                                         unescape_partition_value)
 from tidemart.operators.project import range_predicate
 from tidemart.plans.mart import Mart, delete_path, path_exists
-from tidemart.sources.tables import clear_mart, refresh_catalog, spread_key
+from tidemart.sources.tables import alter_partitions, clear_mart, refresh_catalog, spread_key
 
 #: above this many partitions a plan is joined with a shuffle, not broadcast
 BROADCAST_PLAN_ROWS = 200_000
@@ -201,7 +201,7 @@ def compact_partitions(spark: SparkSession, mart: Mart, plan: DataFrame,
         out = compaction_frame(spark, mart, batch)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*keys).parquet(mart.path))
-    refresh_catalog(spark, mart)
+    refresh_catalog(spark, mart, "none")  # same partitions, new files
     return spark.createDataFrame(
         [(r["partition"], int(r["files"]), int(r["factor"])) for r in todo], result_schema)
 
@@ -304,7 +304,7 @@ def compact_flat(spark: SparkSession, mart: Mart, block_bytes: int = DEFAULT_BLO
     fs.delete(root_p, True)
     if not fs.rename(staged_p, root_p):
         raise RuntimeError(f"could not move {staged} to {root}; the verified copy is at {staged}")
-    refresh_catalog(spark, mart)
+    refresh_catalog(spark, mart, "none")
     return {"rewritten": True, "files_before": files_before, "factor": factor, "rows": written}
 
 
@@ -338,15 +338,6 @@ def last_partition_spec(spark: SparkSession, mart: Mart, column: str | None = No
 
 
 # M7 ----------------------------------------------------------------------------
-def _drop_specs(spark: SparkSession, table: str, keys: Sequence[str], rows, batch: int = 200):
-    def lit(v):
-        return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    for i in range(0, len(rows), batch):
-        specs = ", ".join("PARTITION (" + ", ".join(f"`{k}` = {lit(r[k])}" for k in keys) + ")"
-                          for r in rows[i:i + batch])
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-
-
 def delete_partitions(spark: SparkSession, mart: Mart, column: str | None = None,
                       lower: str | None = None, upper: str | None = None,
                       allow_full_delete: bool = False,
@@ -371,9 +362,9 @@ def delete_partitions(spark: SparkSession, mart: Mart, column: str | None = None
     doomed = (inv.filter(range_predicate(value, lower, upper))
               .select("partition", "location", *mart.partition_by).collect())
     if mart.table and doomed:
-        _drop_specs(spark, mart.table, mart.partition_by, doomed)
+        alter_partitions(spark, mart.table, mart.partition_by, doomed, "DROP IF EXISTS")
     _delete_folders(spark, [r["location"] for r in doomed])
-    refresh_catalog(spark, mart)
+    refresh_catalog(spark, mart, "none")
     return spark.createDataFrame([(r["partition"], r["location"]) for r in doomed], out_schema)
 
 

@@ -63,18 +63,44 @@ def scan_partitions(spark: SparkSession, mart: Mart, partition_dirs: Sequence[st
 
 # S10 ---------------------------------------------------------------------------
 def recover_partitions(spark: SparkSession, table: str) -> None:
-    """Make the catalog's partition list equal to the folders on disk."""
+    """Make the catalog's partition list equal to the folders on disk (adds the
+    new folders and forgets the vanished ones)."""
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
-def refresh_catalog(spark: SparkSession, mart: Mart) -> None:
+def refresh_catalog(spark: SparkSession, mart: Mart, partitions: str = "add",
+                    specs: Sequence[Mapping[str, object]] | None = None) -> None:
+    """Tell a registered mart's catalog entry about a change on disk.
+
+    ``partitions``: ``"add"`` registers new partition folders (after a write),
+    ``"sync"`` also forgets vanished ones, ``"none"`` only refreshes the file
+    cache (the partition set did not change).  When the written partitions are
+    known (``specs``), only those are added instead of listing every folder.
+    """
     if not mart.table:
         return
     if mart.is_partitioned:
-        recover_partitions(spark, mart.table)
+        known = specs is not None and all(v is not None for sp in specs for v in sp.values())
+        if known and partitions == "add":
+            alter_partitions(spark, mart.table, mart.partition_by, specs, "ADD IF NOT EXISTS")
+        elif partitions in ("add", "sync"):
+            spark.sql(f"MSCK REPAIR TABLE {mart.table} {partitions.upper()} PARTITIONS")
     spark.sql(f"REFRESH TABLE {mart.table}")
 
 
+def alter_partitions(spark: SparkSession, table: str, keys: Sequence[str],
+                     specs: Sequence[Mapping[str, object]], action: str, batch: int = 200) -> None:
+    """``ALTER TABLE t <action> PARTITION (...), ...`` in batches of ``batch`` specs."""
+    def lit(v):
+        return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    specs = list(specs)
+    for i in range(0, len(specs), batch):
+        joiner = ", " if action.startswith("DROP") else " "
+        parts = joiner.join("PARTITION (" + ", ".join(f"`{k}` = {lit(r[k])}" for k in keys) + ")"
+                            for r in specs[i:i + batch])
+        spark.sql(f"ALTER TABLE {table} {action} {parts}")
+
+
 def _check_not_reading(df: DataFrame, path: str) -> None:
     root = path.rstrip("/") + "/"
     if any(root in f or f.startswith(root) for f in df.inputFiles()):
@@ -116,18 +142,20 @@ def overwrite_partitions_sized(df: DataFrame, mart: Mart, bytes_per_row: float,
     Falls back to the rebalanced write when ``df`` is not a projection of a
     file scan (no per-row file position to hash).
     """
-    out = sized_write_frame(df, mart, bytes_per_row, target_file_bytes, max_lookup_rows)
-    if out is None:
+    sized = sized_write_frame(df, mart, bytes_per_row, target_file_bytes, max_lookup_rows)
+    if sized is None:
         return overwrite_partitions(df, mart)
+    out, written = sized
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*mart.partition_by).parquet(mart.path))
-    refresh_catalog(df.sparkSession, mart)
+    refresh_catalog(df.sparkSession, mart, specs=written)
     return mart
 
 
 def sized_write_frame(df: DataFrame, mart: Mart, bytes_per_row: float, target_file_bytes: int,
-                      max_lookup_rows: int = 200_000) -> DataFrame | None:
-    """The bucketed, shuffled rows of a sized write (None when not applicable)."""
+                      max_lookup_rows: int = 200_000):
+    """``(frame, specs)``: the bucketed, shuffled rows of a sized write and the
+    partition specs it covers; None when not applicable."""
     from pyspark.errors import AnalysisException
     keys = list(mart.partition_by)
     if not keys:
@@ -139,7 +167,7 @@ def sized_write_frame(df: DataFrame, mart: Mart, bytes_per_row: float, target_fi
     out = df.select(*conform_columns(df, mart.schema), spread.alias("__spread"))
     counts = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
     if not counts:
-        return out.drop("__spread")
+        return out.drop("__spread"), []
     per_file = max(float(target_file_bytes) / max(float(bytes_per_row), 1e-9), 1.0)
     plan = [tuple(r[k] for k in keys) + (max(1, int(-(-r["n"] // per_file))),) for r in counts]
     lookup = df.sparkSession.createDataFrame(
@@ -148,9 +176,10 @@ def sized_write_frame(df: DataFrame, mart: Mart, bytes_per_row: float, target_fi
         lookup = F.broadcast(lookup)
     cond = [out[k].eqNullSafe(lookup[f"__k{i}"]) for i, k in enumerate(keys)]
     n = max(sum(p[-1] for p in plan), 1)
-    return (out.join(lookup, cond, "inner")
-            .select(*mart.columns, F.pmod(F.col("__spread"), F.col("__buckets")).alias("__bucket"))
-            .repartition(n, *keys, "__bucket").drop("__bucket"))
+    frame = (out.join(lookup, cond, "inner")
+             .select(*mart.columns, F.pmod(F.col("__spread"), F.col("__buckets")).alias("__bucket"))
+             .repartition(n, *keys, "__bucket").drop("__bucket"))
+    return frame, [{k: r[k] for k in keys} for r in counts]
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -256,7 +285,7 @@ def clear_mart(spark: SparkSession, mart: Mart) -> Mart:
     if mart.is_partitioned:
         writer = writer.partitionBy(*mart.partition_by)
     writer.parquet(mart.path)
-    refresh_catalog(spark, mart)
+    refresh_catalog(spark, mart, "sync")
     return mart
 
 

@@ -38,7 +38,7 @@ def main():
     show("compaction of all planned partitions (one job)", P.compaction_frame(spark, mart, todo))
     from tidemart.sources.tables import sized_write_frame
     show("sized write of a new load (mart already holds data)",
-         sized_write_frame(loaded, fx.orders_mart(spark, "plans_sized"), 40.0, 64 * 1024))
+         sized_write_frame(loaded, fx.orders_mart(spark, "plans_sized"), 40.0, 64 * 1024)[0])
     ev = fx.events_mart(spark, sf, "plans_events")
     spec = P.last_partition_spec(spark, ev)
     show("newest-partition read (partition pruning)",
