@@ -144,11 +144,16 @@ def retention_cutoff(now_text: Column | str, days) -> Column:
     return F.date_format(F.timestamp_add("DAY", -_lit(days), ts), TIME_FORMAT)
 
 
-def cutoff_text(now_text: str | None, days: int) -> str:
-    """Driver-side twin of :func:`retention_cutoff` for a scalar parameter."""
-    now = (_dt.datetime.strptime(now_text, PY_TIME_FORMAT) if now_text
-           else _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-    return (now - _dt.timedelta(days=days)).strftime(PY_TIME_FORMAT)
+def now_text() -> str:
+    """The current UTC time as TIME_FORMAT text (a run's load time)."""
+    return _dt.datetime.now(_dt.timezone.utc).strftime(PY_TIME_FORMAT)
+
+
+def cutoff_text(now: str | None, days: int) -> str:
+    """Driver-side twin of :func:`retention_cutoff` for a scalar parameter
+    (``now`` defaults to the current UTC time)."""
+    start = _dt.datetime.strptime(now or now_text(), PY_TIME_FORMAT)
+    return (start - _dt.timedelta(days=days)).strftime(PY_TIME_FORMAT)
 
 
 # F10 -----------------------------------------------------------------------
