@@ -95,3 +95,10 @@ def test_sized_write_registers_new_partitions(spark, scratch):
     assert spark.table(mart.table).count() == 3
     P.delete_partitions(spark, mart, "dt", "d2", "d2")
     assert sorted(r["id"] for r in spark.table(mart.table).collect()) == [1, 3]
+
+
+def test_scalar_from_file(spark, local_dir):
+    with open(os.path.join(local_dir, "relevance.sql"), "w") as fh:
+        fh.write("SELECT MAX(id) FROM IDENTIFIER(:t)\n")
+    spark.range(5).createOrReplaceTempView("tm_test_scalar_view")
+    assert S.scalar_from_file(spark, os.path.join(local_dir, "*.sql"), {"t": "tm_test_scalar_view"}) == "4"

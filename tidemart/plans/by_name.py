@@ -63,6 +63,10 @@ class TableOps:
                names: Mapping[str, str] | None = None) -> str | None:
         return src.scalar_value(self.spark, sql, args, names)
 
+    def scalar_from_file(self, pattern: str, args: Mapping[str, object] | None = None,
+                         names: Mapping[str, str] | None = None) -> str | None:
+        return src.scalar_from_file(self.spark, pattern, args, names)
+
     # changes ---------------------------------------------------------------------
     def run_sql(self, statements: Sequence[str], args: Mapping[str, object] | None = None,
                 names: Mapping[str, str] | None = None) -> DataFrame | None:

@@ -355,6 +355,19 @@ def scalar_value(spark: SparkSession, sql: str, args: Mapping[str, object] | Non
     return None if row is None else row[0]
 
 
+def scalar_from_file(spark: SparkSession, pattern: str, args: Mapping[str, object] | None = None,
+                     names: Mapping[str, str] | None = None) -> str | None:
+    """First cell of the query in the first (sorted) script matching a glob."""
+    paths = sorted(_glob.glob(pattern))
+    if not paths:
+        raise FileNotFoundError(f"no SQL script matches {pattern}")
+    with open(paths[0], encoding="utf-8") as fh:
+        statements = split_statements(fh.read())
+    if not statements:
+        raise ValueError(f"{paths[0]} holds no statement")
+    return scalar_value(spark, statements[-1], args, names)
+
+
 def exists(spark: SparkSession, mart: Mart) -> bool:
     return path_exists(spark, mart.path)
 
