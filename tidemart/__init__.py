@@ -6,5 +6,6 @@ effects (they write or delete parquet data under a mart's location).
 """
 
 from tidemart.plans.mart import Mart
+from tidemart.plans.refresh import RunSettings, refresh_mart
 
-__all__ = ["Mart"]
+__all__ = ["Mart", "RunSettings", "refresh_mart"]
