@@ -172,3 +172,19 @@ def test_refresh_source_condition_limits_the_load(spark, scratch):
     expected = source.where("report_dt >= '2001-01-01'").count()
     assert s["count_rows"] == expected == mart.read(spark).count()
     assert min(r[0] for r in mart.read(spark).select("report_dt").distinct().collect()) >= "2001-01-01"
+
+
+def test_refresh_registered_mart_keeps_catalog_in_step(spark, scratch):
+    from tidemart.operators import partitions as P
+    mart = S.create_mart(spark, "tm_test_refresh_reg", fx.orders_mart(spark, "test-refresh-reg"))
+    ledger = S.create_mart(spark, "tm_test_refresh_reg_ledger", Mart(scratch("l"), RUN_LEDGER_SCHEMA))
+    source = fx.orders_source(spark, SF_SMALL)
+    for i in (1, 2):  # the second run is sized from the first run's bytes per row
+        run = RunSettings(i, "2001-09-01 00:00:00", retention_column="report_dt")
+        s = refresh_mart(spark, source, mart, ledger, run).first()
+        shown = sorted(r[0] for r in spark.sql("SHOW PARTITIONS tm_test_refresh_reg").collect())
+        on_disk = sorted(r["partition"] for r in
+                         P.partition_inventory(spark, mart, with_rows=False).collect())
+        assert shown == on_disk and all(p > "report_dt=1999-09-02" for p in shown)
+        assert spark.table(mart.table).count() == s["rows_kept"]
+    assert spark.table(ledger.table).count() == 2
