@@ -25,7 +25,8 @@ from tidemart.functions.columns import (DEFAULT_BLOCK_BYTES, DEFAULT_BLOCKS_PER_
                                         unescape_partition_value)
 from tidemart.operators.project import range_predicate
 from tidemart.plans.mart import Mart, delete_path, path_exists
-from tidemart.sources.tables import alter_partitions, clear_mart, refresh_catalog, spread_key
+from tidemart.sources.tables import (alter_partitions, clear_mart, refresh_catalog, spread_key,
+                                     write_tasks)
 
 #: above this many partitions a plan is joined with a shuffle, not broadcast
 BROADCAST_PLAN_ROWS = 200_000
@@ -238,7 +239,11 @@ def compaction_frame(spark: SparkSession, mart: Mart, todo) -> DataFrame:
     cond = [src[k].eqNullSafe(lookup[f"__k{i}"]) for i, k in enumerate(keys)]
     joined = src.join(lookup, cond, "inner")
     bucket = F.pmod(F.col("__spread"), F.col("__factor")).alias("__bucket")
-    n = max(sum(int(r["factor"]) for r in todo), 1)
+    # per-file size bound of the plan: bytes / factor < target for every partition
+    target = max(int(r["bytes"] or 0) / max(int(r["factor"]), 1) for r in todo)
+    n = write_tasks(sum(int(r["factor"]) for r in todo),
+                    sum(int(r["bytes"] or 0) for r in todo), target,
+                    int(spark.conf.get("spark.sql.shuffle.partitions")))
     return (joined.select(*mart.columns, bucket)
             .repartition(n, *keys, "__bucket").drop("__bucket"))
 

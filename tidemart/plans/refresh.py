@@ -22,7 +22,7 @@ from tidemart.operators.project import partition_filter, transfer_projection
 from tidemart.plans.ledger import record_run, run_ledger_rows, run_statistics
 from tidemart.plans.mart import Mart
 from tidemart.sources.tables import (clear_mart, overwrite_partitions,
-                                     overwrite_partitions_sized)
+                                     overwrite_partitions_sized, source_bytes_per_row)
 
 
 @dataclass(frozen=True)
@@ -63,11 +63,20 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
         clear_mart(spark, mart)  # full reload; the ledger keeps its history
 
     if relevance is not None:  # nothing to load when the source is empty
-        loaded = transfer_projection(source, mart.schema,
-                                     {"ctl_loading": run.loading_id, "ctl_validfrom": run.load_time},
+        constants = {"ctl_loading": run.loading_id, "ctl_validfrom": run.load_time}
+        loaded = transfer_projection(source, mart.schema, constants,
                                      date_column=run.business_date_column)
-        bpr = (bytes_per_row(spark, mart)
-               if run.size_files_on_load and mart.is_partitioned else None)
+        bpr = None
+        if run.size_files_on_load and mart.is_partitioned:
+            # measured on the mart itself; for a first load, estimated from the
+            # source files scaled by the share of target columns taken from them
+            bpr = bytes_per_row(spark, mart)
+            if bpr is None:
+                src_bpr = source_bytes_per_row(source)
+                taken = [c for c in mart.data_columns
+                         if c in source.columns and c not in constants]
+                if src_bpr:
+                    bpr = src_bpr * max(len(taken), 1) / max(len(source.columns), 1)
         if bpr:
             overwrite_partitions_sized(loaded, mart, bpr, int(run.block_bytes * run.blocks_per_file))
         else:

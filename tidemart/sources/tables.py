@@ -175,13 +175,41 @@ def sized_write_frame(df: DataFrame, mart: Mart, bytes_per_row: float, target_fi
     if len(plan) <= max_lookup_rows:  # one row per partition: the size is known
         lookup = F.broadcast(lookup)
     cond = [out[k].eqNullSafe(lookup[f"__k{i}"]) for i, k in enumerate(keys)]
-    n = max(sum(p[-1] for p in plan), 1)
+    n = write_tasks(sum(p[-1] for p in plan), sum(r["n"] for r in counts) * float(bytes_per_row),
+                    target_file_bytes, _shuffle_partitions(df))
     frame = (out.join(lookup, cond, "inner")
              .select(*mart.columns, F.pmod(F.col("__spread"), F.col("__buckets")).alias("__bucket"))
              .repartition(n, *keys, "__bucket").drop("__bucket"))
     return frame, [{k: r[k] for k in keys} for r in counts]
 
 
+def write_tasks(buckets: int, total_bytes: float, target_file_bytes: float,
+                parallelism: int = 1) -> int:
+    """Shuffle partitions for a bucketed write: at most one per bucket, about
+    ``total / target`` for big writes and at least ``parallelism`` (the
+    session's shuffle partitions) so small writes still use the cluster.
+    A task writes one file per partition it holds, so files per partition stay
+    at or below that partition's bucket count whatever the task count."""
+    import math
+    needed = math.ceil(total_bytes / max(float(target_file_bytes), 1.0)) if total_bytes else 1
+    return max(1, min(int(buckets), max(needed, int(parallelism))))
+
+
+def source_bytes_per_row(df: DataFrame) -> float | None:
+    """Stored bytes per row of the files behind ``df`` (None unless ``df`` is a
+    projection or filter of a file scan).  Reads only footers: per file the
+    size and the number of rows that reach ``df``."""
+    from pyspark.errors import AnalysisException
+    try:
+        path, size = df["_metadata.file_path"], df["_metadata.file_size"]
+    except AnalysisException:
+        return None
+    per_file = (df.select(path.alias("f"), size.alias("z")).groupBy("f")
+                .agg(F.count(F.lit(1)).alias("n"), F.max("z").alias("z")))
+    total = per_file.agg(F.sum("z").alias("bytes"), F.sum("n").alias("rows")).first()
+    return float(total["bytes"]) / total["rows"] if total and total["rows"] else None
+
+
 def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
