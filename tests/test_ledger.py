@@ -188,3 +188,15 @@ def test_refresh_registered_mart_keeps_catalog_in_step(spark, scratch):
         assert shown == on_disk and all(p > "report_dt=1999-09-02" for p in shown)
         assert spark.table(mart.table).count() == s["rows_kept"]
     assert spark.table(ledger.table).count() == 2
+
+
+def test_change_flag_when_retention_removes_everything(spark, scratch):
+    import datetime as dt
+    mart = fx.orders_mart(spark, "test-all-expired")
+    ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)
+    # a load time safely before the files are written (second-granularity texts)
+    started = (dt.datetime.now(dt.timezone.utc) - dt.timedelta(minutes=1)).strftime("%Y-%m-%d %H:%M:%S")
+    s = refresh_mart(spark, fx.orders_source(spark, SF_SMALL), mart, ledger,
+                     RunSettings(1, started, retention_column="report_dt", lifetime_days=1)).first()
+    # every loaded partition is older than a day: all expire, yet the run did change the mart
+    assert s["rows_kept"] == 0 and s["count_rows"] > 0 and s["is_change"] == 1

@@ -84,7 +84,8 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
     # one listing + one footer pass serve the row count, the compaction plan and
     # (retention by key: the key set does not change when files are rewritten)
     before = partition_inventory(spark, mart, with_rows=True).cache()
-    count_rows = int(before.agg(F.sum("rows")).first()[0] or 0)
+    after_load = before.agg(F.sum("rows").alias("rows"), F.max("modified_utc").alias("mod")).first()
+    count_rows, loaded_mod = int(after_load["rows"] or 0), after_load["mod"]
     window = ({"column": run.compaction_column} if run.compaction_column
               else {"lower": run.load_time})
     compact(spark, mart, block_bytes=run.block_bytes, blocks_per_file=run.blocks_per_file,
@@ -98,7 +99,9 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
                        F.max(F.when(F.col("partition") != "", F.col("partition"))).alias("last"))
     totals = totals.select("*", partition_spec_map("last").alias("spec")).first()
     rows_kept = int(totals["rows"] or 0)
-    last_mod = totals["last_mod"]
+    # newest file of the run: after the load, or later if compaction rewrote
+    # files (retention may have removed everything the load wrote)
+    last_mod = max((m for m in (loaded_mod, totals["last_mod"]) if m is not None), default=None)
     last = dict(totals["spec"] or {})
     current = mart.read(spark)
     if run.business_date_column in last:
