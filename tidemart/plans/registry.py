@@ -529,13 +529,15 @@ def q_archive_reload(spark, sf):
 @register("run_sql_script", """
 SELECT o_orderstatus, CAST(COUNT(*) AS BIGINT) AS n FROM orders WHERE o_totalprice >= 1000 GROUP BY o_orderstatus""")
 def q_run_sql_script(spark, sf):
-    view = unique_name("orders_src")
+    view, staged = unique_name("orders_src"), unique_name("orders_staged")
     fx.table(spark, sf, "orders").createOrReplaceTempView(view)
+    # a two-statement script: names fill the DDL, values bind as parameters
     return src.run_sql_script(spark, [
-        "SET spark.sql.ansi.enabled = true",
-        "SELECT o_orderstatus, COUNT(*) AS n FROM IDENTIFIER(:src) "
+        "CREATE OR REPLACE TEMPORARY VIEW {staged} AS "
+        "SELECT o_orderstatus, o_totalprice FROM {src}",
+        "SELECT o_orderstatus, COUNT(*) AS n FROM IDENTIFIER(:staged) "
         "WHERE o_totalprice >= :min_price GROUP BY o_orderstatus",
-    ], {"src": view, "min_price": 1000})
+    ], {"staged": staged, "min_price": 1000}, names={"staged": staged, "src": view})
 
 
 @register("scalar_query", """
