@@ -93,3 +93,37 @@ def test_change_flag(spark):
 def test_statistic_payload(spark):
     r = spark.range(1).select(fn.statistic_payload(5, 7, 11, F.lit("2024-01-01"))).first()[0]
     assert r == '{"loading_id":5,"entity_id":7,"stat_id":11,"avalue":["2024-01-01"]}'
+
+
+def test_shared_dir_fallback_sets_a_checkpoint_dir_only_when_unset():
+    from tidemart.session import shared_dir
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value or default
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getConf(self):
+            return Conf(None)
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = "file:" + d + "/abc"
+
+    class Session:
+        def __init__(self, value):
+            self.conf = Conf(value)
+            self.sparkContext = Ctx()
+
+    assert shared_dir(Session("/shared/ckpt/")) == "/shared/ckpt"
+    s = Session(None)
+    first = shared_dir(s)
+    assert first.startswith("file:") and shared_dir(s) == first

@@ -39,13 +39,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not conf_dir:
         conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            conf_dir = current
+        conf_dir = spark.sparkContext.getCheckpointDir()
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tidemart-ckpt-")
-        spark.sparkContext.setCheckpointDir(conf_dir)
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        # only a session without a shared folder (a unit test) gets a local one
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemart-ckpt-"))
+        conf_dir = spark.sparkContext.getCheckpointDir()
     return conf_dir.rstrip("/")
 
 
