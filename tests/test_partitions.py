@@ -276,3 +276,26 @@ def test_rebalanced_write_splits_a_hot_partition(spark, scratch):
         spark.conf.set(key, old)
     assert len(files_in(os.path.join(local(mart.path), "dt=hot"))) > 1
     assert mart.read(spark).where("dt = 'hot'").count() == 20000
+
+
+def test_compaction_assignment_is_deterministic(spark, scratch):
+    """A retried task must send every row to the same shuffle partition."""
+    rows = [(i % 50, "dup", f"d{i % 3}") for i in range(3000)]  # many identical rows
+    mart = make_mart(spark, scratch, rows, writers=5)
+    inv = P.partition_inventory(spark, mart, with_rows=False)
+    half = min(r["bytes"] for r in inv.collect()) // 2  # factor 3 per partition, 5 files each
+    todo = P.compaction_plan(inv, block_bytes=half, blocks_per_file=1.0) \
+        .filter("needs_rewrite").collect()
+    assert todo
+
+    def assignment():
+        frame = P.compaction_frame(spark, mart, todo)
+        return sorted(frame.groupBy(F.spark_partition_id().alias("p"), "dt", "id")
+                      .count().collect())
+    first, second = assignment(), assignment()
+    assert first == second
+    # copies of one row are spread over several tasks, not piled into one
+    per_row = {}
+    for r in first:
+        per_row.setdefault((r["dt"], r["id"]), set()).add(r["p"])
+    assert max(len(v) for v in per_row.values()) > 1

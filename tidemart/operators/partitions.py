@@ -227,6 +227,8 @@ def compaction_frame(spark: SparkSession, mart: Mart, todo) -> DataFrame:
     key values and ``factor``.
     """
     keys = list(mart.partition_by)
+    if not todo:
+        return spark.createDataFrame([], mart.schema)
     src = (spark.read.schema(mart.schema).option("basePath", mart.path)
            .parquet(*[r["location"] for r in todo]))
     src = src.select(*mart.columns, spread_key(src).alias("__spread"))
