@@ -81,6 +81,19 @@ def test_refresh_mart_end_to_end_and_force_reload(spark, scratch):
     assert stats == {1, 2, 5, 11, 15}
 
 
+def test_refresh_appends_statistics(spark, scratch):
+    from tidemart.plans.ledger import STATISTICS_SCHEMA
+    mart = fx.orders_mart(spark, "test-stats")
+    ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)
+    stats = Mart(scratch("stats"), STATISTICS_SCHEMA)
+    run = RunSettings(9, "2001-09-01 00:00:00", entity_id=3, application_id="app-9",
+                      retention_column="report_dt")
+    refresh_mart(spark, fx.orders_source(spark, SF_SMALL), mart, ledger, run, "m", statistics=stats)
+    got = {r["stat_id"]: r["value"] for r in stats.read(spark).collect()}
+    assert got == {15: "app-9", 11: "2001-09-01 00:00:00", 2: "1", 5: "2001-08-01",
+                   1: "2001-09-01 00:00:00"}
+
+
 def test_refresh_with_empty_source_skips_transfer(spark, scratch):
     mart = fx.orders_mart(spark, "test-empty")
     ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)

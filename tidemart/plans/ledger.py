@@ -40,6 +40,14 @@ STEP_LEDGER_SCHEMA = StructType([
     StructField("ctl_validfrom", StringType()),
     StructField("relevance_value", StringType()),
 ])
+#: columns of the long-form statistics table
+STATISTICS_SCHEMA = StructType([
+    StructField("loading_id", IntegerType()),
+    StructField("entity_id", IntegerType()),
+    StructField("stat_id", IntegerType()),
+    StructField("value", StringType()),
+    StructField("payload", StringType()),
+])
 #: statistic ids: application id, load time, change, business date, newest mark
 STAT_APPLICATION_ID = 15
 STAT_LOAD_TIME = 11

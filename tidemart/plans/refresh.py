@@ -21,7 +21,7 @@ from tidemart.operators.partitions import (bytes_per_row, compact, compact_flat,
 from tidemart.operators.project import partition_filter, transfer_projection
 from tidemart.plans.ledger import record_run, run_ledger_rows, run_statistics
 from tidemart.plans.mart import Mart
-from tidemart.sources.tables import (clear_mart, overwrite_partitions,
+from tidemart.sources.tables import (append_rows, clear_mart, overwrite_partitions,
                                      overwrite_partitions_sized, source_bytes_per_row)
 
 
@@ -49,9 +49,11 @@ SUMMARY_SCHEMA = ("calculated_table string, ctl_loading int, ctl_validfrom strin
 
 
 def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mart,
-                 run: RunSettings, table_name: str | None = None) -> DataFrame:
+                 run: RunSettings, table_name: str | None = None,
+                 statistics: Mart | None = None) -> DataFrame:
     """Refresh ``mart`` from ``source`` and record the run; returns a one-row
-    summary (the ledger row plus business date, newest mark and kept rows)."""
+    summary (the ledger row plus business date, newest mark and kept rows).
+    With ``statistics``, the run's long-form statistics are appended there."""
     name = table_name or mart.table or mart.path
     if run.source_condition:
         source = source.filter(F.expr(run.source_condition))
@@ -122,6 +124,8 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
           row["is_force_load"], row["count_rows"], row["is_change"],
           None if business_date is None else str(business_date),
           None if max_cdc is None else str(max_cdc), rows_kept)], SUMMARY_SCHEMA)
+    if statistics is not None:
+        append_rows(spark, refresh_statistics(summary, run), statistics)
     return summary
 
 
