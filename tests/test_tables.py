@@ -102,3 +102,13 @@ def test_scalar_from_file(spark, local_dir):
         fh.write("SELECT MAX(id) FROM IDENTIFIER(:t)\n")
     spark.range(5).createOrReplaceTempView("tm_test_scalar_view")
     assert S.scalar_from_file(spark, os.path.join(local_dir, "*.sql"), {"t": "tm_test_scalar_view"}) == "4"
+
+
+def test_load_from_dir_with_base_keeps_partition_columns(spark, scratch):
+    src = Mart(scratch("based_src"), SCHEMA, ("dt",))
+    spark.createDataFrame([(i, "v", "01" if i % 2 else "02") for i in range(10)], SCHEMA) \
+        .write.partitionBy("dt").parquet(src.path)
+    dst = Mart(scratch("based_dst"), SCHEMA, ("dt",))
+    S.load_from_dir(spark, [src.path + "/dt=01"], dst, n_files=2, base_dir=src.path)
+    got = dst.read(spark)
+    assert got.count() == 5 and [r[0] for r in got.select("dt").distinct().collect()] == ["01"]
