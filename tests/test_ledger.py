@@ -94,6 +94,18 @@ def test_refresh_appends_statistics(spark, scratch):
                    1: "2001-09-01 00:00:00"}
 
 
+def test_refresh_defaults_load_time_and_application_id(spark, scratch):
+    from tidemart.plans.ledger import STATISTICS_SCHEMA
+    mart = fx.orders_mart(spark, "test-defaults")
+    stats = Mart(scratch("stats"), STATISTICS_SCHEMA)
+    s = refresh_mart(spark, fx.orders_source(spark, SF_SMALL), mart,
+                     Mart(scratch("ledger"), RUN_LEDGER_SCHEMA), RunSettings(7, lifetime_days=0),
+                     statistics=stats).first()
+    assert s["ctl_validfrom"] and len(s["ctl_validfrom"]) == 19
+    got = {r["stat_id"]: r["value"] for r in stats.read(spark).collect()}
+    assert got[15] == spark.sparkContext.applicationId
+
+
 def test_refresh_with_empty_source_skips_transfer(spark, scratch):
     mart = fx.orders_mart(spark, "test-empty")
     ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)

@@ -8,13 +8,13 @@ ledger compacted) --> long-form statistics.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import (DEFAULT_BLOCK_BYTES, DEFAULT_BLOCKS_PER_FILE,
-                                        DEFAULT_LIFETIME_DAYS, partition_spec_map)
+                                        DEFAULT_LIFETIME_DAYS, now_text, partition_spec_map)
 from tidemart.operators.aggregate import max_value, relevance_value
 from tidemart.operators.partitions import (bytes_per_row, compact, compact_flat,
                                            partition_inventory, retention)
@@ -28,7 +28,7 @@ from tidemart.sources.tables import (append_rows, clear_mart, overwrite_partitio
 @dataclass(frozen=True)
 class RunSettings:
     loading_id: int
-    load_time: str                       # 'yyyy-MM-dd HH:mm:ss', the run's ctl_validfrom
+    load_time: str | None = None         # 'yyyy-MM-dd HH:mm:ss' (UTC), the run's ctl_validfrom; None = now
     entity_id: int = 0
     application_id: str | None = None
     relevance: str | None = None          # None = compute max(business date) of the source
@@ -55,6 +55,8 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
     summary (the ledger row plus business date, newest mark and kept rows).
     With ``statistics``, the run's long-form statistics are appended there."""
     name = table_name or mart.table or mart.path
+    run = replace(run, load_time=run.load_time or now_text(),
+                  application_id=run.application_id or spark.sparkContext.applicationId)
     if run.source_condition:
         source = source.filter(F.expr(run.source_condition))
     relevance = run.relevance
