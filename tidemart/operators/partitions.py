@@ -151,7 +151,8 @@ def compaction_plan(inventory: DataFrame, block_bytes: int = DEFAULT_BLOCK_BYTES
     """Target file count per partition and whether a rewrite would reduce it."""
     factor = file_factor(F.col("bytes"), block_bytes, blocks_per_file)
     return (inventory.withColumn("factor", factor)
-            .withColumn("needs_rewrite", (F.col("factor") > 0) & (F.col("files") > F.col("factor"))))
+            .withColumn("needs_rewrite", (F.col("factor") > 0) & (F.col("files") > F.col("factor")))
+            .withColumn("target_bytes", F.lit(int(block_bytes * blocks_per_file)).cast("bigint")))
 
 
 # M4 ----------------------------------------------------------------------------
@@ -191,7 +192,8 @@ def compact_partitions(spark: SparkSession, mart: Mart, plan: DataFrame,
     if not keys:
         raise ValueError("compact_partitions needs a partitioned mart; use compact_flat")
     todo_df = plan.filter(F.col("needs_rewrite")).select("partition", "location", *keys,
-                                                          "files", "bytes", "factor")
+                                                          "files", "bytes", "factor",
+                                                          "target_bytes")
     todo = todo_df.collect()  # one row per partition folder to rewrite
     result_schema = StructType([StructField("partition", StringType()),
                                 StructField("files_before", LongType()),
@@ -241,8 +243,7 @@ def compaction_frame(spark: SparkSession, mart: Mart, todo) -> DataFrame:
     cond = [src[k].eqNullSafe(lookup[f"__k{i}"]) for i, k in enumerate(keys)]
     joined = src.join(lookup, cond, "inner")
     bucket = F.pmod(F.col("__spread"), F.col("__factor")).alias("__bucket")
-    # per-file size bound of the plan: bytes / factor < target for every partition
-    target = max(int(r["bytes"] or 0) / max(int(r["factor"]), 1) for r in todo)
+    target = max(int(r["target_bytes"]) for r in todo)
     n = write_tasks(sum(int(r["factor"]) for r in todo),
                     sum(int(r["bytes"] or 0) for r in todo), target,
                     int(spark.conf.get("spark.sql.shuffle.partitions")))
