@@ -80,12 +80,14 @@ class TableOps:
                  condition: str | None = None, **constants) -> Mart:
         """Copy the source into the target's column order, replacing the
         partitions the data covers (``condition`` optionally limits the source)."""
+        from tidemart.plans.refresh import write_load
         target = self.mart(target_table)
         source = self.spark.table(source_table)
         if condition:
             source = source.filter(F.expr(condition))
         loaded = transfer_projection(source, target.schema, constants, date_column=date_column)
-        return src.overwrite_partitions(loaded, target)
+        return write_load(self.spark, source, loaded, target, constants,
+                          int(self.block_bytes * self.blocks_per_file))
 
     def append(self, table: str, **values) -> Mart:
         return src.append_rows(self.spark, [values], self.mart(table))

@@ -9,6 +9,7 @@ ledger compacted) --> long-form statistics.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,21 +71,9 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
         constants = {"ctl_loading": run.loading_id, "ctl_validfrom": run.load_time}
         loaded = transfer_projection(source, mart.schema, constants,
                                      date_column=run.business_date_column)
-        bpr = None
-        if run.size_files_on_load and mart.is_partitioned:
-            # measured on the mart itself; for a first load, estimated from the
-            # source files scaled by the share of target columns taken from them
-            bpr = bytes_per_row(spark, mart)
-            if bpr is None:
-                src_bpr = source_bytes_per_row(source)
-                taken = [c for c in mart.data_columns
-                         if c in source.columns and c not in constants]
-                if src_bpr:
-                    bpr = src_bpr * max(len(taken), 1) / max(len(source.columns), 1)
-        if bpr:
-            overwrite_partitions_sized(loaded, mart, bpr, int(run.block_bytes * run.blocks_per_file))
-        else:
-            overwrite_partitions(loaded, mart)
+        write_load(spark, source, loaded, mart, constants,
+                   int(run.block_bytes * run.blocks_per_file), run.size_files_on_load)
+
     # one listing + one footer pass serve the row count, the compaction plan and
     # (retention by key: the key set does not change when files are rewritten)
     before = partition_inventory(spark, mart, with_rows=True).cache()
@@ -131,6 +120,29 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
     return summary
 
 
+def write_load(spark: SparkSession, source: DataFrame, loaded: DataFrame, mart: Mart,
+               constants: Mapping[str, object], target_file_bytes: int,
+               sized: bool = True) -> Mart:
+    """Write a transferred load into ``mart``, replacing the partitions it covers.
+
+    Files are sized from the mart's measured bytes per row, or, for a first
+    load, from the source files scaled by the share of target columns taken
+    from them; without either (or with ``sized=False``) the rebalanced write
+    is used.
+    """
+    bpr = None
+    if sized and mart.is_partitioned:
+        bpr = bytes_per_row(spark, mart)
+        if bpr is None:
+            src_bpr = source_bytes_per_row(source)
+            taken = [c for c in mart.data_columns if c in source.columns and c not in constants]
+            if src_bpr:
+                bpr = src_bpr * max(len(taken), 1) / max(len(source.columns), 1)
+    if bpr:
+        return overwrite_partitions_sized(loaded, mart, bpr, target_file_bytes)
+    return overwrite_partitions(loaded, mart)
+
+
 def refresh_statistics(summary: DataFrame, run: RunSettings) -> DataFrame:
     """Long-form statistics (R2) of a refresh summary."""
     runs = summary.select(
