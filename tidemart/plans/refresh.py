@@ -120,24 +120,37 @@ def refresh_mart(spark: SparkSession, source: DataFrame, mart: Mart, ledger: Mar
     return summary
 
 
+# Typical in-memory width of a value per type, used only to split a
+# source's stored bytes per row among the columns a load keeps.
+_TYPE_WEIGHTS = {"boolean": 1, "byte": 1, "short": 2, "int": 4, "date": 4, "float": 4,
+                 "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+_DEFAULT_WEIGHT = 20  # strings, decimals and nested values
+
+
+def _type_weight(dt) -> int:
+    return _TYPE_WEIGHTS.get(dt.simpleString(), _DEFAULT_WEIGHT)
+
+
 def write_load(spark: SparkSession, source: DataFrame, loaded: DataFrame, mart: Mart,
                constants: Mapping[str, object], target_file_bytes: int,
                sized: bool = True) -> Mart:
     """Write a transferred load into ``mart``, replacing the partitions it covers.
 
     Files are sized from the mart's measured bytes per row, or, for a first
-    load, from the source files scaled by the share of target columns taken
-    from them; without either (or with ``sized=False``) the rebalanced write
-    is used.
+    load, from the source files scaled by the (type-weighted) share of the
+    source's columns the load keeps; without either (or with ``sized=False``)
+    the rebalanced write is used.
     """
     bpr = None
     if sized and mart.is_partitioned:
         bpr = bytes_per_row(spark, mart)
         if bpr is None:
             src_bpr = source_bytes_per_row(source)
-            taken = [c for c in mart.data_columns if c in source.columns and c not in constants]
+            weights = {f.name: _type_weight(f.dataType) for f in source.schema.fields}
+            taken = sum(weights[c] for c in mart.data_columns
+                        if c in weights and c not in constants)
             if src_bpr:
-                bpr = src_bpr * max(len(taken), 1) / max(len(source.columns), 1)
+                bpr = src_bpr * max(taken, 1) / max(sum(weights.values()), 1)
     if bpr:
         return overwrite_partitions_sized(loaded, mart, bpr, target_file_bytes)
     return overwrite_partitions(loaded, mart)
