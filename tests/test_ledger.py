@@ -225,3 +225,18 @@ def test_change_flag_when_retention_removes_everything(spark, scratch):
                      RunSettings(1, started, retention_column="report_dt", lifetime_days=1)).first()
     # every loaded partition is older than a day: all expire, yet the run did change the mart
     assert s["rows_kept"] == 0 and s["count_rows"] > 0 and s["is_change"] == 1
+
+
+def test_first_load_is_sized_from_the_source(spark, scratch):
+    import os
+    from conftest import SF_CHECK
+    mart = fx.orders_mart(spark, "test-first-sized")
+    ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)
+    run = RunSettings(1, "2001-09-01 00:00:00", lifetime_days=0, block_bytes=1024, blocks_per_file=1.0)
+    refresh_mart(spark, fx.orders_source(spark, SF_CHECK), mart, ledger, run)
+    root = mart.path[len("file:"):] if mart.path.startswith("file:") else mart.path
+    counts = [len([f for f in os.listdir(os.path.join(root, d)) if f.endswith(".parquet")])
+              for d in os.listdir(root) if d.startswith("report_dt=")]
+    # ~190 rows a month at ~1 kB per file: several files per month, written once
+    assert len(counts) == 80 and sum(c > 1 for c in counts) > 40
+    assert mart.read(spark).count() == fx.orders_source(spark, SF_CHECK).count()
