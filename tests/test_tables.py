@@ -112,3 +112,12 @@ def test_load_from_dir_with_base_keeps_partition_columns(spark, scratch):
     S.load_from_dir(spark, [src.path + "/dt=01"], dst, n_files=2, base_dir=src.path)
     got = dst.read(spark)
     assert got.count() == 5 and [r[0] for r in got.select("dt").distinct().collect()] == ["01"]
+
+
+def test_source_bytes_per_row(spark, scratch):
+    path = scratch("bpr")
+    spark.range(1000).selectExpr("id", "cast(id as string) AS s").write.parquet(path)
+    df = spark.read.parquet(path)
+    bpr = S.source_bytes_per_row(df)
+    assert bpr and 0 < bpr < 1000
+    assert S.source_bytes_per_row(df.groupBy("s").count()) is None

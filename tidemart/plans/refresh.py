@@ -23,7 +23,7 @@ from tidemart.operators.project import partition_filter, transfer_projection
 from tidemart.plans.ledger import record_run, run_ledger_rows, run_statistics
 from tidemart.plans.mart import Mart
 from tidemart.sources.tables import (append_rows, clear_mart, overwrite_partitions,
-                                     overwrite_partitions_sized, source_bytes_per_row)
+                                     overwrite_partitions_sized)
 
 
 @dataclass(frozen=True)
@@ -141,19 +141,14 @@ def write_load(spark: SparkSession, source: DataFrame, loaded: DataFrame, mart:
     source's columns the load keeps; without either (or with ``sized=False``)
     the rebalanced write is used.
     """
-    bpr = None
-    if sized and mart.is_partitioned:
-        bpr = bytes_per_row(spark, mart)
-        if bpr is None:
-            src_bpr = source_bytes_per_row(source)
-            weights = {f.name: _type_weight(f.dataType) for f in source.schema.fields}
-            taken = sum(weights[c] for c in mart.data_columns
-                        if c in weights and c not in constants)
-            if src_bpr:
-                bpr = src_bpr * max(taken, 1) / max(sum(weights.values()), 1)
-    if bpr:
-        return overwrite_partitions_sized(loaded, mart, bpr, target_file_bytes)
-    return overwrite_partitions(loaded, mart)
+    if not (sized and mart.is_partitioned):
+        return overwrite_partitions(loaded, mart)
+    bpr = bytes_per_row(spark, mart)
+    weights = {f.name: _type_weight(f.dataType) for f in source.schema.fields}
+    kept = sum(weights[c] for c in mart.data_columns if c in weights and c not in constants)
+    share = max(kept, 1) / max(sum(weights.values()), 1)
+    # bpr None (empty mart): estimated from the source files in the counting pass
+    return overwrite_partitions_sized(loaded, mart, bpr, target_file_bytes, source_share=share)
 
 
 def refresh_statistics(summary: DataFrame, run: RunSettings) -> DataFrame:

@@ -129,8 +129,9 @@ def overwrite_partitions(df: DataFrame, mart: Mart, by_position: bool = False) -
     return mart
 
 
-def overwrite_partitions_sized(df: DataFrame, mart: Mart, bytes_per_row: float,
-                               target_file_bytes: int, max_lookup_rows: int = 200_000) -> Mart:
+def overwrite_partitions_sized(df: DataFrame, mart: Mart, bytes_per_row: float | None,
+                               target_file_bytes: int, max_lookup_rows: int = 200_000,
+                               source_share: float = 1.0) -> Mart:
     """:func:`overwrite_partitions` that writes each partition straight into
     about ``rows * bytes_per_row / target_file_bytes`` files.
 
@@ -140,9 +141,12 @@ def overwrite_partitions_sized(df: DataFrame, mart: Mart, bytes_per_row: float,
     ``sum(buckets)`` tasks, one file each.  Large partitions are thereby split
     and small ones are not, so no compaction rewrite is needed afterwards.
     Falls back to the rebalanced write when ``df`` is not a projection of a
-    file scan (no per-row file position to hash).
+    file scan (no per-row file position to hash).  ``bytes_per_row=None``
+    estimates it from the source files in the counting pass (see
+    :func:`sized_write_frame`).
     """
-    sized = sized_write_frame(df, mart, bytes_per_row, target_file_bytes, max_lookup_rows)
+    sized = sized_write_frame(df, mart, bytes_per_row, target_file_bytes, max_lookup_rows,
+                              source_share)
     if sized is None:
         return overwrite_partitions(df, mart)
     out, written = sized
@@ -152,20 +156,42 @@ def overwrite_partitions_sized(df: DataFrame, mart: Mart, bytes_per_row: float,
     return mart
 
 
-def sized_write_frame(df: DataFrame, mart: Mart, bytes_per_row: float, target_file_bytes: int,
-                      max_lookup_rows: int = 200_000):
+def sized_write_frame(df: DataFrame, mart: Mart, bytes_per_row: float | None,
+                      target_file_bytes: int, max_lookup_rows: int = 200_000,
+                      source_share: float = 1.0):
     """``(frame, specs)``: the bucketed, shuffled rows of a sized write and the
-    partition specs it covers; None when not applicable."""
+    partition specs it covers; None when not applicable.
+
+    With ``bytes_per_row=None`` the estimate comes from the same counting pass:
+    rows per (partition, source file) with the file's size, so the source's
+    stored bytes per row (times ``source_share``, the part of a row the load
+    keeps) cost no extra scan.
+    """
     from pyspark.errors import AnalysisException
     keys = list(mart.partition_by)
     if not keys:
         return None
     try:
-        spread = F.xxhash64(df["_metadata.file_path"], df["_metadata.row_index"])
+        path, size = df["_metadata.file_path"], df["_metadata.file_size"]
+        spread = F.xxhash64(path, df["_metadata.row_index"])
     except AnalysisException:
         return None
     out = df.select(*conform_columns(df, mart.schema), spread.alias("__spread"))
-    counts = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
+    if bytes_per_row is None:
+        per_file_key = (df.select(*conform_columns(df, mart.schema), path.alias("__f"),
+                                  size.alias("__z"))
+                        .groupBy(*keys, "__f").agg(F.count(F.lit(1)).alias("n"),
+                                                   F.max("__z").alias("z"))
+                        .cache())  # small: one row per (partition, file); one scan feeds both
+        counts = per_file_key.groupBy(*keys).agg(F.sum("n").alias("n")).collect()
+        total = (per_file_key.groupBy("__f").agg(F.sum("n").alias("n"), F.max("z").alias("z"))
+                 .agg(F.sum("z").alias("z"), F.sum("n").alias("n")).first())
+        per_file_key.unpersist()
+        if not total or not total["n"]:
+            return out.drop("__spread"), []
+        bytes_per_row = float(total["z"]) / total["n"] * max(float(source_share), 1e-6)
+    else:
+        counts = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
     if not counts:
         return out.drop("__spread"), []
     per_file = max(float(target_file_bytes) / max(float(bytes_per_row), 1e-9), 1.0)
