@@ -4,8 +4,8 @@ The lexicon is learnt from labelled documents.  Its terms are whole words and wo
 beginnings; a term's weight is its smoothed log odds.  Texts and terms are folded alike:
 lower case, look-alike letters of other scripts to Latin, zero-width and combining marks
 removed, digits and signs that stand for letters replaced.  A document's hits outside the
-exception phrases are summed and normalised by its length in words; a logistic curve fitted
-on the same rows maps both figures to a score in 0..1.
+exception phrases are summed and normalised by its length in words; a logistic curve, fitted on
+rows that the terms used for them were not learnt from, maps both figures to 0..1.
 """
 
 from __future__ import annotations
@@ -28,7 +28,11 @@ MAX_TOXIC, MAX_CLEAN = 4096, 12288
 #: Terms of a lexicon, at most (the strongest).
 MAX_TERMS = 5000
 #: Evidence (G statistic) and share of toxic documents that make a term.
-MIN_EVIDENCE, MIN_PRECISION = 24.0, 0.9
+MIN_EVIDENCE, MIN_PRECISION = 20.0, 0.9
+#: Documents of doubt that shrink a term's weight.
+DOUBT = 2.0
+#: Parts of the labelled rows, each scored with terms learnt from the others.
+FOLDS = 5
 #: Lengths of the word beginnings that may become terms.
 STEMS = (4, 5, 6)
 #: Phrases whose words are harmless together.
@@ -132,17 +136,16 @@ def score(x: tuple[float, float], model: Model) -> float:
     return 1.0 / (1.0 + float(np.exp(-min(max(z, -40.0), 40.0))))
 
 
-_TERMS = "term string, toxic int"
+_TERMS = "term string, fold int, toxic int"
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(_TERMS)
     for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                               strict=True):
+        for text, fold_, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             words = set(_WORD.findall(fold(text)))
             terms = words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n}
-            yield record_batch(schema, len(terms), term=sorted(terms), toxic=toxic)
+            yield record_batch(schema, len(terms), term=sorted(terms), fold=fold_, toxic=toxic)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,39 +191,55 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
              .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
              .select("text", "toxic"))
     texts = texts.mapInArrow(_sketch, "text string, toxic int, mark long")
-    sample = saved(texts.groupBy("mark", "toxic").agg(F.min("text").alias("text"))
-                   .select("text", "toxic"), "training")
-    sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
+    sample = saved(texts.groupBy("mark", "toxic").agg(F.min("text").alias("text")).select(
+        "text", (F.col("mark") % FOLDS).cast("int").alias("fold"), "toxic"), "training")
+    sizes = np.zeros((FOLDS, 2))
+    for r in sample.groupBy("fold", "toxic").count().collect():
+        sizes[r.fold, r.toxic] = r["count"]
+    n_neg, n_pos = sizes.sum(axis=0)
     if not n_pos or not n_neg:
         return Model(base=0.5 if not n_pos and not n_neg else float(n_pos > 0))
     spread = sample.repartition(max(1, spark.sparkContext.defaultParallelism))
+    by_fold = [F.count(F.when((F.col("fold") == k) & (F.col("toxic") == y), 1)).alias(f"f{k}_{y}")
+               for k in range(FOLDS) for y in (0, 1)]
     counts = (spread.mapInArrow(_terms, _TERMS).groupBy("term")
-              .agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("n"))
+              .agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("n"), *by_fold)
               .filter(f"pos >= 3 and pos >= n * {MIN_PRECISION}")
               .orderBy(F.desc("pos"), "n", "term").limit(20 * MAX_TERMS).toPandas())
-    pos = counts["pos"].to_numpy(float)
-    neg = counts["n"].to_numpy(float) - pos
-    counts["evidence"] = _evidence(pos, neg, n_pos, n_neg)
-    counts["weight"] = np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1))
-    best = counts[counts["evidence"] >= MIN_EVIDENCE].nlargest(MAX_TERMS, "evidence")
-    model = Model({t: float(w) for t, w in zip(best["term"], best["weight"], strict=True)},
-                  base=n_pos / (n_pos + n_neg))
-    held = spark.sparkContext.broadcast(model)
+    terms = counts["term"].to_numpy()
+    cells = counts[[f"f{k}_{y}" for k in range(FOLDS) for y in (0, 1)]].to_numpy(float)
+    cells = cells.reshape(len(terms), FOLDS, 2)
+    held = spark.sparkContext.broadcast(
+        [_lexicon(terms, cells.sum(axis=1) - cells[:, k], sizes.sum(axis=0) - sizes[k])
+         for k in range(FOLDS)])
     rows = np.array([(r.x, r.y, r.toxic) for r in spread.mapInArrow(
         _features(held), "x double, y double, toxic int").collect()], dtype=float)
-    model.curve = _logistic(rows[:, :2], rows[:, 2])
-    return model
+    return Model(_lexicon(terms, cells.sum(axis=1), sizes.sum(axis=0)),
+                 curve=_logistic(rows[:, :2], rows[:, 2]), base=n_pos / (n_pos + n_neg))
 
 
-def _features(model):
+def _lexicon(terms: np.ndarray, cells: np.ndarray, sizes: np.ndarray) -> dict[str, float]:
+    """Terms with enough evidence; columns of ``cells`` and ``sizes``: clean, toxic."""
+    (neg, pos), (n_neg, n_pos) = cells.T, sizes
+    if not len(terms) or not n_pos or not n_neg:
+        return {}
+    prior = n_pos / n_neg
+    weight = np.log((pos + DOUBT * prior) / (neg + DOUBT)) - np.log(prior)
+    evidence = _evidence(pos, neg, n_pos, n_neg)
+    good = np.flatnonzero((evidence >= MIN_EVIDENCE) & (pos >= MIN_PRECISION * (pos + neg)))
+    best = good[np.argsort(-evidence[good], kind="stable")][:MAX_TERMS]
+    return {str(terms[i]): float(weight[i]) for i in best}
+
+
+def _features(lexicons):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = build_automaton(model.value)
+        made = [build_automaton(Model(terms)) for terms in lexicons.value]
         schema = arrow_schema("x double, y double, toxic int")
         for batch in batches:
-            found = [features(t, automaton) for t in batch.column(0).to_pylist()]
+            found = [features(t, made[k]) for t, k in
+                     zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield record_batch(schema, batch.num_rows, x=[f[0] for f in found],
-                               y=[f[1] for f in found], toxic=batch.column(1))
+                               y=[f[1] for f in found], toxic=batch.column(2))
     return run
 
 
