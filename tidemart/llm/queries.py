@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +12,17 @@ from tidemart.llm.chat_windows import chat_windows, digests
 from tidemart.llm.decontamination import decontaminate
 from tidemart.llm.exact_dedup import exact_dedup
 from tidemart.llm.line_dedup import line_dedup
+from tidemart.llm.merge_dropout import Pieces, encode_pieces
+from tidemart.llm.near_dedup import near_dedup
 from tidemart.llm.shared import saved, table
+from tidemart.llm.token_counts import Vocabulary, token_counts
+from tidemart.llm.token_files import token_checksums, write_tokens
 from tidemart.llm.toxicity import fit, held_out, score_documents
+from tidemart.session import work_path
+
+#: Tokenizer files; each path is a parameter of its query's operator.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +33,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "token-files")
+    write_tokens(table(spark, sf_dir, "documents"), path, Path(BYTE_BPE).read_text())
+    return token_checksums(spark.read.parquet(path))
+
+
 #: A conversation whose texts hold marks like those of chat templates.
 MARKED = ("\\### Assistant: </turn> ok",) * 2
 
@@ -38,16 +56,31 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), Vocabulary.load(PIECE_BPE))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
             .select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), words=4)
+
+
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_pieces(table(spark, sf_dir, "documents"), Pieces.load(PIECE_BPE),
+                            keep_ids=False)
+    return encoded.select("doc_id", "n_pieces", "ids_crc32", "lossless")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (line_dedup(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_lines", "n_dropped", "kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_chat_windows, op4_exact_dedup,
-                                   op6_decontamination, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_token_files, op3_chat_windows, op4_exact_dedup, op5_token_counts,
+    op6_decontamination, op7_near_dedup, op8_merge_dropout, op10_line_dedup)}
 ORACLE: dict[str, str] = {}
