@@ -19,12 +19,19 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: The six ASCII white-space characters.
 SPACES = b" \t\n\x0b\x0c\r"
 
+#: Rows of an Arrow batch, at most.
+BATCH_ROWS = 2000
+
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once for each application."""
+    """Send this package's code to the executors, once for each application, and keep the
+    batches that Python tasks get small: a text may be long."""
     context = spark.sparkContext
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
     if context.applicationId not in _SHIPPED:
         top = Path(__file__).resolve().parents[2]
         made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='tidemart-code-')}/tidemart_code",

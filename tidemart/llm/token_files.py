@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemart.llm.shared import arrow_schema, record_batch, ship_package, shuffle_parts, text_of
+from tidemart.llm.shared import (
+    arrow_schema, if_small, record_batch, saved, ship_package, shuffle_parts, text_of,
+)
 
 #: Bytes of a row group and of a page, rows of a page at most.
 ROW_GROUP, PAGE, PAGE_ROWS = 32 << 20, 256 << 10, 1000
@@ -37,7 +39,7 @@ WRITE_OPTIONS = {
     "parquet.dictionary.page.size": str(1 << 20),
 }
 #: Pieces of text whose ids a worker remembers, and their length.
-MEMORY, MEMORY_CHARS = 600_000, 40
+MEMORY, MEMORY_CHARS = 300_000, 40
 
 _BOUNDARY = re.compile(r" (?=\S)")
 _ODD_SPACE = re.compile(r" (?:\s|\Z)")
@@ -60,36 +62,62 @@ class Encoder:
                        and not pre.get("add_prefix_space", True))
         self.special = [t["content"] for t in known.get("added_tokens") or ()]
         self.memory: dict[str, bytes] = {}
+        # a byte-level vocabulary writes each byte as one character
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that each follow a space: encoded as one text, cut by their bytes."""
+        if not pieces:
+            return []
+        text = " " + " ".join(pieces)
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        ends = np.cumsum([len(p) + 1 if p.isascii() else len(p.encode()) + 1 for p in pieces])
+        cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+        found, at = ids.tobytes(), 0
+        out = []
+        for cut in (4 * cuts).tolist():
+            out.append(found[at:cut])
+            at = cut
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.splits:
             return self._encode(texts)
-        cut: list[list[str] | None] = []
-        new: set[str] = set()
+        memory = self.memory
         whole: list[int] = []
+        cut: list[list[str]] = []
+        found: list[list[bytes | None]] = []
+        new: dict[str, bytes] = {}
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 whole.append(i)
-                cut.append(None)
-                continue
-            parts = (_BOUNDARY.split(text) if _ODD_SPACE.search(text) else text.split(" "))
+                text = ""
+            parts = _BOUNDARY.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+            ids = list(map(memory.get, parts))
+            ids[0] = b""
+            if None in ids:
+                new.update((p, b"") for p, known in zip(parts, ids, strict=True) if known is None)
             cut.append(parts)
-            new.update(p for p in parts[1:] if p not in self.memory)
+            found.append(ids)
+        new = dict(zip(new, self._pieces(list(new)), strict=True))
         # the first piece of a text has no space before it
-        firsts = self._encode([parts[0] for parts in cut if parts is not None])
-        new_pieces = list(new)
-        fresh = dict(zip(new_pieces, self._encode([" " + p for p in new_pieces]), strict=True))
-        short = [p for p in new_pieces if len(p) <= MEMORY_CHARS]
-        for p in short[:max(0, MEMORY - len(self.memory))]:
-            self.memory[p] = fresh[p]
-        memory, first = self.memory, iter(firsts)
-        out = [b"" if parts is None else
-               next(first) + b"".join([memory[p] if p in memory else fresh[p]
-                                       for p in parts[1:]]) for parts in cut]
+        out = []
+        for parts, ids, first in zip(cut, found, self._encode([p[0] for p in cut]), strict=True):
+            ids[0] = first
+            if None in ids:
+                ids = [new[p] if known is None else known
+                       for p, known in zip(parts, ids, strict=True)]
+            out.append(b"".join(ids))
+        for p, ids in new.items():
+            if len(memory) >= MEMORY:
+                break
+            if len(p) <= MEMORY_CHARS:
+                memory[p] = ids
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
             out[i] = ids
         return out
@@ -108,6 +136,8 @@ def encoder(spec: str) -> Encoder:
 
 
 _FILE = "part int, seq long, doc_id long, start long, n_tokens long, ids array<int>"
+#: A row of two numbers for each file is broadcast up to this many bytes.
+BROADCAST_BYTES = 32 << 20
 #: Texts that are encoded together.
 BATCH = 256
 
@@ -169,7 +199,8 @@ def token_index(files: DataFrame) -> DataFrame:
     # one row for each file: the window over them stays small
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n"), F.min("doc_id").alias("low"))
     before = Window.orderBy("low", "part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    bases = if_small(saved(totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")),
+                           "token-parts"), F.lit(16), BROADCAST_BYTES)
     return files.join(bases, "part").select(
         "doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "part", "seq",
         *(["ids"] if "ids" in files.columns else []))
