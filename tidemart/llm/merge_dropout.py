@@ -1,8 +1,8 @@
 """SentencePiece encoding with seeded merge-dropout, and its inverse.
 
 The agenda holds the candidate merges of neighbouring pieces, best score first, then
-leftmost.  A candidate taken from it is skipped if a hash, keyed by seed and variant, of
-its word and its place in it falls under the dropout rate.  The hash alone decides: a run
+leftmost.  A candidate taken from it is skipped if a keyed hash (seed and variant) of its
+word, its place and its pieces' sizes falls under the dropout rate.  The hash alone decides: a run
 repeated on any cluster gives the same pieces.  The variant comes from the document and
 the word's position, so one word is segmented in up to ``VARIANTS`` ways.
 
@@ -30,9 +30,9 @@ from sentencepiece import SentencePieceProcessor
 from tidemart.llm.shared import arrow_schema, record_batch, ship_package, text_of
 
 SPACE = "▁"
-DROPOUT, VARIANTS = 0.1, 8
+DROPOUT, VARIANTS = 0.1, 4
 #: Words (with a variant) whose pieces a worker remembers, and their length.
-MEMORY, MEMORY_CHARS = 1_000_000, 40
+MEMORY, MEMORY_CHARS = 700_000, 40
 _MASK = (1 << 64) - 1
 
 
@@ -58,45 +58,52 @@ class Pieces:
                    {n: model.get_score(i) for n, i in zip(names, plain, strict=True)}, spelled)
 
 
-def segment(symbols: list[str], scores: dict[str, float], rate: float, key: int) -> list[str]:
+def ranks(scores: dict[str, float]) -> dict[str, int]:
+    """Places of the pieces in the agenda's order: the best score first, ties alike."""
+    place = {v: i for i, v in enumerate(sorted(set(scores.values()), reverse=True))}
+    return {p: place[v] for p, v in scores.items()}
+
+
+def skip_table(rate: float, seed: int) -> bytes:
+    """Keyed table of the hash values (16 bits) that skip a merge."""
+    return bytes(xxhash.xxh3_64_intdigest(i.to_bytes(2, "big"), seed=seed & _MASK)
+                 < rate * (1 << 64) for i in range(1 << 16))
+
+
+def segment(symbols: list[str], rank: dict[str, int], skips: bytes | None, key: int) -> list[str]:
     """Byte-pair merges of ``symbols`` by agenda; ``key`` decides which ones are skipped."""
     n = len(symbols)
-    limit = int(rate * (1 << 64))
+    bits = max(10, n.bit_length())
+    mask, top = (1 << bits) - 1, 3 * bits
     piece = list(symbols)
     size = [1] * n  # symbols in the piece that begins here; 0: merged away
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-    agenda: list[tuple[float, int, int, int]] = []
-
-    def offer(a: int, b: int) -> None:
-        score = scores.get(piece[a] + piece[b])
-        if score is not None:
-            agenda.append((-score, a, size[a], size[b]))
-
-    for a in range(n - 1):
-        offer(a, a + 1)
+    # an entry is one number: rank, place of the left piece, sizes of both
+    agenda = [(r << top) + (a << 2 * bits) + (1 << bits) + 1 for a, r in enumerate(
+        [rank.get(x + y) for x, y in zip(symbols, symbols[1:])]) if r is not None]
     heapq.heapify(agenda)
+    get, pop, push = rank.get, heapq.heappop, heapq.heappush
     while agenda:
-        _, a, left, right = heapq.heappop(agenda)
+        entry = pop(agenda)
+        a, left, right = (entry >> 2 * bits) & mask, (entry >> bits) & mask, entry & mask
         b = a + left
         if size[a] != left or b >= n or size[b] != right:
             continue  # one of its pieces has been merged meanwhile
-        if limit:
-            x = key ^ (a * 0x9E3779B97F4A7C15 + left * 0xC2B2AE3D27D4EB4F
-                       + right * 0x165667B19E3779F9 & _MASK)
-            x = (x ^ (x >> 31)) * 0x7FB5D329728EA185 & _MASK
-            x = (x ^ (x >> 27)) * 0x81DADEF4BC2DD44D & _MASK
-            if x ^ (x >> 33) < limit:
-                continue
-        piece[a] += piece[b]
+        if skips and skips[(key + a * 40503 + left * 30011 + right * 15559) & 0xFFFF]:
+            continue
+        piece[a] = merged = piece[a] + piece[b]
         size[a], size[b] = left + right, 0
-        after[a] = after[b]
-        if after[a] < n:
-            before[after[a]] = a
-        for x, y in ((before[a], a), (a, after[a])):
-            if x >= 0 and y < n:
-                score = scores.get(piece[x] + piece[y])
-                if score is not None:
-                    heapq.heappush(agenda, (-score, x, size[x], size[y]))
+        after[a] = c = after[b]
+        if c < n:
+            before[c] = a
+            r = get(merged + piece[c])
+            if r is not None:
+                push(agenda, (r << top) + (a << 2 * bits) + (size[a] << bits) + size[c])
+        c = before[a]
+        if c >= 0:
+            r = get(piece[c] + merged)
+            if r is not None:
+                push(agenda, (r << top) + (c << 2 * bits) + (size[c] << bits) + size[a])
     return [p for p, s in zip(piece, size, strict=True) if s]
 
 
@@ -104,6 +111,8 @@ class Codec:
     def __init__(self, pieces: Pieces, rate: float, seed: int, variants: int):
         self.pieces, self.rate, self.seed = pieces, rate, seed
         self.variants = variants if rate else 1
+        self.ranks = ranks(pieces.scores)
+        self.skips = skip_table(rate, seed) if rate else None
         self.memory: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.size = 0
         self.texts: dict[int, bytes] = {i: n.replace(SPACE, " ").encode()
@@ -115,7 +124,8 @@ class Codec:
         lead = len(word) - len(word.lstrip(" "))
         # a space mark in the text itself must not become a space: it has no symbol
         symbols = [SPACE] * (lead + 1) + ["" if c == SPACE else c for c in word[lead:]]
-        key = xxhash.xxh3_64_intdigest(word.encode(), seed=(self.seed * 1_000_003 + variant) & _MASK)
+        key = xxhash.xxh3_64_intdigest(
+            word.encode(), seed=(self.seed * 1_000_003 + variant) & _MASK) & 0xFFFF
         ids: list[int] = []
         runs = [symbols]
         if "" in symbols:  # nothing merges over such a place
@@ -131,7 +141,7 @@ class Codec:
             if run == [""]:
                 ids += [self.pieces.bytes_[b] for b in SPACE.encode()]
                 continue
-            for p in segment(run, self.pieces.scores, self.rate, key + number & _MASK):
+            for p in segment(run, self.ranks, self.skips, key + number):
                 known = self.pieces.ids.get(p)
                 ids += [known] if known is not None else [self.pieces.bytes_[b]
                                                           for b in p.encode()]

@@ -27,7 +27,7 @@ SPACE = "▁"
 #: What the tokenizer takes from the lowest score for an unknown character.
 UNKNOWN_PENALTY = 10.0
 #: Words whose result a worker remembers, and their length.
-MEMORY, MEMORY_CHARS = 1_000_000, 40
+MEMORY, MEMORY_CHARS = 700_000, 40
 
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*")
 

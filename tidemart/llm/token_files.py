@@ -39,7 +39,7 @@ WRITE_OPTIONS = {
     "parquet.dictionary.page.size": str(1 << 20),
 }
 #: Pieces of text whose ids a worker remembers, and their length.
-MEMORY, MEMORY_CHARS = 300_000, 40
+MEMORY, MEMORY_CHARS = 480_000, 40
 
 _BOUNDARY = re.compile(r" (?=\S)")
 _ODD_SPACE = re.compile(r" (?:\s|\Z)")
