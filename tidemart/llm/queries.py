@@ -15,6 +15,7 @@ from tidemart.llm.line_dedup import line_dedup
 from tidemart.llm.merge_dropout import Pieces, encode_pieces
 from tidemart.llm.near_dedup import near_dedup
 from tidemart.llm.shared import saved, table
+from tidemart.llm.suffix_dedup import suffix_dedup
 from tidemart.llm.token_counts import Vocabulary, token_counts
 from tidemart.llm.token_files import token_checksums, write_tokens
 from tidemart.llm.toxicity import fit, held_out, score_documents
@@ -75,6 +76,11 @@ def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_pieces", "ids_crc32", "lossless")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (suffix_dedup(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (line_dedup(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_lines", "n_dropped", "kept_sha256"))
@@ -82,5 +88,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_token_files, op3_chat_windows, op4_exact_dedup, op5_token_counts,
-    op6_decontamination, op7_near_dedup, op8_merge_dropout, op10_line_dedup)}
+    op6_decontamination, op7_near_dedup, op8_merge_dropout, op9_suffix_dedup,
+    op10_line_dedup)}
 ORACLE: dict[str, str] = {}
