@@ -164,7 +164,7 @@ def local_firsts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return first[starts]
 
 
-def _codes(schema: pa.Schema, block: int, names: np.ndarray, owners: int, **more):
+def _codes(schema: pa.Schema, block: int, names: np.ndarray, owners: int) -> pa.RecordBatch:
     """Sorted distinct names, cut at the owners' ranges and coded."""
     owner = (((names >> _U(NAME_BITS - 32)) * _U(owners)) >> _U(32)).astype(np.int64)
     cuts = np.searchsorted(owner, np.arange(owners + 1))
@@ -173,7 +173,7 @@ def _codes(schema: pa.Schema, block: int, names: np.ndarray, owners: int, **more
     return record_batch(schema, len(sent), block=block, owner=[o for o, _ in sent],
                         codes=[len(v) for _, v in sent], first=[int(v[0]) for _, v in sent],
                         low_bits=[c[0] for c in coded], high=[c[1] for c in coded],
-                        low=[c[2] for c in coded], **more)
+                        low=[c[2] for c in coded])
 
 
 _CODES = "block long, owner int, codes int, first long, low_bits int, high binary, low binary"
@@ -249,7 +249,7 @@ def _segments(repeated):
     return run
 
 
-_BLOCKS = ("kind int, " + _CODES + ", doc_ids array<long>, shas array<binary>, ats array<long>, "
+_BLOCKS = ("block long, doc_ids array<long>, shas array<binary>, ats array<long>, "
            "sizes array<int>, bytes binary, firsts binary")
 
 
@@ -260,35 +260,50 @@ def _starts(sizes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(inside <= np.repeat(sizes, sizes) - LENGTH)
 
 
-def _names(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return (prefix_names(data, LENGTH) >> _U(64 - NAME_BITS))[starts]
+def _sorted_block(number: int, rows: list[dict]) -> pa.RecordBatch:
+    sizes = np.array([len(r["bytes"]) for r in rows])
+    text = b"".join(r["bytes"] for r in rows)
+    data = np.frombuffer(text, dtype=np.uint8)
+    first = local_firsts(data, _starts(sizes))
+    return record_batch(
+        arrow_schema(_BLOCKS), 1, block=number, doc_ids=[[r["doc_id"] for r in rows]],
+        shas=[[r["sha"].encode() for r in rows]], ats=[[r["at"] for r in rows]],
+        sizes=[sizes.tolist()], bytes=text, firsts=np.packbits(first).tobytes())
 
 
-def _sort_blocks(owners: int):
-    def block(number: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema(_BLOCKS)
-        sizes = np.array([len(r["bytes"]) for r in rows])
-        text = b"".join(r["bytes"] for r in rows)
-        data, starts = np.frombuffer(text, dtype=np.uint8), _starts(sizes)
-        first = local_firsts(data, starts)
-        yield record_batch(
-            schema, 1, kind=0, block=number, doc_ids=[[r["doc_id"] for r in rows]],
-            shas=[[r["sha"].encode() for r in rows]], ats=[[r["at"] for r in rows]],
-            sizes=[sizes.tolist()], bytes=text, firsts=np.packbits(first).tobytes())
-        yield _codes(schema, number, np.unique(_names(data, starts[first])), owners, kind=1)
-
+def _sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ordered segments to suffix-sorted blocks, numbered in the same order."""
+    number = TaskContext.get().partitionId() << 24
+    rows, size, last = [], 0, None
+    for batch in batches:
+        for row in batch.to_pylist():
+            key = (row["doc_id"], row["sha"], row["at"])
+            if key == last:
+                continue  # a repeated row of the input
+            last = key
+            if rows and size + len(row["bytes"]) > BLOCK:
+                yield _sorted_block(number, rows)
+                number, rows, size = number + 1, [], 0
+            rows.append(row)
+            size += len(row["bytes"])
+    if rows:
+        yield _sorted_block(number, rows)
+
+
+def _firsts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: the bytes, the strings' places, which ones are firsts, and their names."""
+    data, starts = np.frombuffer(row["bytes"], dtype=np.uint8), _starts(np.array(row["sizes"]))
+    first = np.unpackbits(np.frombuffer(row["firsts"], dtype=np.uint8))[:len(starts)].astype(bool)
+    names = (prefix_names(data, LENGTH) >> _U(64 - NAME_BITS))[starts[first]]
+    return data, starts, first, names
+
+
+def _block_names(owners: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 24
-        rows, size = [], 0
+        schema = arrow_schema(_CODES)
         for batch in batches:
             for row in batch.to_pylist():
-                if rows and size + len(row["bytes"]) > BLOCK:
-                    yield from block(number, rows)
-                    number, rows, size = number + 1, [], 0
-                rows.append(row)
-                size += len(row["bytes"])
-        if rows:
-            yield from block(number, rows)
+                yield _codes(schema, row["block"], np.unique(_firsts(row)[3]), owners)
     return run
 
 
@@ -314,13 +329,11 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             sizes = np.array(row["sizes"])
-            data, starts = np.frombuffer(row["bytes"], dtype=np.uint8), _starts(sizes)
-            first = np.unpackbits(np.frombuffer(row["firsts"], dtype=np.uint8))[
-                :len(starts)].astype(bool)
+            data, starts, first, names = _firsts(row)
             answers = sorted(row["answers"], key=lambda a: a["owner"])
             marks = np.concatenate([np.unpackbits(np.frombuffer(a["marks"], dtype=np.uint8))[
                 :a["codes"]] for a in answers]).astype(bool)
-            distinct, place = np.unique(_names(data, starts[first]), return_inverse=True)
+            distinct, place = np.unique(names, return_inverse=True)
             gone = np.ones(len(starts), dtype=bool)
             gone[np.flatnonzero(first)] = marks[place]
             edge = np.zeros(len(data) + 1, dtype=np.int32)
@@ -408,22 +421,19 @@ def suffix_dedup(docs: DataFrame, owners: int | None = None) -> DataFrame:
             np.sort(np.concatenate(lists)).tobytes() if lists else b"")
     segments = saved(singles.select("doc_id", "sha", "text")
                      .mapInArrow(_segments(known), _SEGMENTS), "segments")
-    # rows that repeat a doc_id and its text are one document
-    segments = segments.dropDuplicates(["doc_id", "sha", "at"])
     total = segments.agg(F.sum("strings")).first()[0] or 0
     parts = max(shuffle_parts(spark), -(-total // (4 * BLOCK)))
     blocks = saved(segments.repartitionByRange(parts, "doc_id", "sha", "at")
                    .sortWithinPartitions("doc_id", "sha", "at")
                    .select("doc_id", "sha", "at", "bytes")
-                   .mapInArrow(_sort_blocks(owners), _BLOCKS), "blocks")
-    names = blocks.filter("kind = 1").select(*[c.split(" ")[0] for c in _CODES.split(", ")])
+                   .mapInArrow(_sort_blocks, _BLOCKS), "blocks")
+    names = blocks.select("block", "sizes", "bytes", "firsts").mapInArrow(
+        _block_names(owners), _CODES)
     answers = (names.groupBy("owner")
                .applyInArrow(_earlier, "block long, owner int, marks binary, codes int")
                .groupBy("block").agg(F.collect_list(F.struct("owner", "marks", "codes"))
                                      .alias("answers")))
-    found = (blocks.filter("kind = 0")
-             .select("block", "doc_ids", "shas", "ats", "sizes", "bytes", "firsts")
-             .join(answers, "block").drop("block").mapInArrow(_spans, _SPANS))
+    found = (blocks.join(answers, "block").drop("block").mapInArrow(_spans, _SPANS))
     spans = saved(found.groupBy("doc_id", "sha").agg(
         F.flatten(F.collect_list("starts")).alias("starts"),
         F.flatten(F.collect_list("ends")).alias("ends")), "spans")
