@@ -117,11 +117,46 @@ def test_compact_flat_and_interrupted_switch(spark, scratch):
     out = P.compact_flat(spark, flat)
     assert out["rewritten"] and len(files_in(flat.path)) == 1
     assert flat.read(spark).count() == 500
-    # simulate a crash after the original was removed: the verified copy is moved in
-    staged = local(flat.path) + "__compacting"
-    os.rename(local(flat.path), staged)
+
+
+@pytest.mark.parametrize("crash", ["staged", "aside", "aside-no-copy", "switched"])
+def test_compact_flat_crash_then_append_keeps_every_row(spark, scratch, crash):
+    """A crash at each point, then one append, then another compaction."""
+    flat = Mart(scratch("flat"), StructType(SCHEMA.fields[:2]))
+    root, schema = local(flat.path), flat.schema
+    rows = spark.createDataFrame([(i, "v") for i in range(500)], schema)
+    rows.repartition(7).write.parquet(flat.path)
+    if crash != "aside-no-copy":
+        rows.coalesce(1).write.parquet(flat.path + "__staged")
+    if crash != "staged":
+        os.rename(root, root + "__compacting")
+    if crash == "switched":
+        os.rename(root + "__staged", root)
+    spark.createDataFrame([(1000, "new")], schema).write.mode("append").parquet(flat.path)
     P.compact_flat(spark, flat)
-    assert flat.read(spark).count() == 500
+    assert sorted(r[0] for r in flat.read(spark).collect()) == [*range(500), 1000]
+    assert len(files_in(flat.path)) == 1
+    assert not os.path.exists(root + "__staged") and not os.path.exists(root + "__compacting")
+
+
+def test_delete_without_bounds_needs_consent(spark, scratch):
+    mart = make_mart(spark, scratch, [(1, "a", "2020-01-01")])
+    with pytest.raises(ValueError):
+        P.delete_partitions(spark, mart, "dt")
+    assert mart.read(spark).count() == 1
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_clear_mart_in_either_overwrite_mode(spark, scratch, mode):
+    mart = make_mart(spark, scratch, [(1, "a", "2020-01-01"), (2, "b", "2020-01-02")])
+    key, before = "spark.sql.sources.partitionOverwriteMode", None
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        S.clear_mart(spark, mart)
+    finally:
+        spark.conf.set(key, before)
+    assert mart.read(spark).count() == 0
 
 
 def test_h5_delete_keeps_catalog_and_disk_in_step(spark, scratch):

@@ -11,7 +11,6 @@ ever brought to the driver, and only to name the folders to read or delete.
 from __future__ import annotations
 
 import time
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,24 +119,11 @@ def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True,
     return inv
 
 
-def bytes_per_row(spark: SparkSession, mart: Mart, sample_partitions: int = 16) -> float | None:
-    """Stored bytes per row of the mart, measured on its newest partitions
-    (a listing plus a footer count of at most ``sample_partitions`` folders);
-    None when the mart holds no rows yet."""
-    from tidemart.operators.project import spec_predicate
-    keys = list(mart.partition_by)
-    listing = partition_inventory(spark, mart, with_rows=False)
-    if keys:
-        listing = listing.orderBy(F.col("partition").desc()).limit(sample_partitions)
-    top = listing.select("partition", *keys, "bytes").collect()
-    if not top:
-        return None
-    data = mart.read_files(spark)
-    if keys:
-        preds = [spec_predicate({k: r[k] for k in keys}) for r in top]
-        data = data.where(reduce(lambda a, b: a | b, preds))
-    rows = data.count()
-    return sum(int(r["bytes"]) for r in top) / rows if rows else None
+def bytes_per_row(spark: SparkSession, mart: Mart) -> float | None:
+    """Stored bytes per row of the whole mart (a listing and a count from the
+    footers); None when the mart holds no rows yet."""
+    total = partition_inventory(spark, mart).agg(F.sum("bytes"), F.sum("rows")).first()
+    return float(total[0]) / float(total[1]) if total[1] else None
 
 
 # P8 ----------------------------------------------------------------------------
@@ -277,41 +263,79 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _data_files(fs, folder) -> set[str]:
+    return {st.getPath().getName() for st in fs.listStatus(folder)
+            if st.isFile() and not st.getPath().getName().startswith(("_", "."))}
+
+
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise RuntimeError(f"could not move {source} to {target}; nothing was deleted")
+
+
+def _finish_switch(fs, root_p, staged_p, old_p, rows) -> None:
+    """Bring an interrupted :func:`compact_flat` to an end without losing a row.
+
+    The old folder exists only while a switch is under way.  With the staged copy
+    still beside it the switch did not happen: the old folder is the mart, and files
+    that were appended to a recreated root meanwhile move into it.  Without the
+    staged copy the root is the compacted mart and the old folder is spare.
+    """
+    if not fs.exists(old_p):
+        if fs.exists(staged_p):
+            fs.delete(staged_p, True)  # the root was never touched
+        return
+    if fs.exists(root_p) and not fs.exists(staged_p) and rows(root_p) >= rows(old_p):
+        fs.delete(old_p, True)
+        return
+    if fs.exists(root_p):
+        for name in _data_files(fs, root_p):
+            _rename(fs, root_p.suffix(f"/{name}"), old_p.suffix(f"/{name}"))
+        fs.delete(root_p, True)
+    _rename(fs, old_p, root_p)
+    if fs.exists(staged_p):
+        fs.delete(staged_p, True)
+
+
 def compact_flat(spark: SparkSession, mart: Mart, block_bytes: int = DEFAULT_BLOCK_BYTES,
                  blocks_per_file: float = DEFAULT_BLOCKS_PER_FILE) -> dict:
-    """Rewrite an unpartitioned mart into ``factor`` files without ever leaving
-    the rows in a single, unverified copy.
+    """Rewrite an unpartitioned mart into ``factor`` files; at no point is the only
+    copy of a row deleted.
 
-    1. write the new copy to a fresh sibling folder; 2. check its row count
-    equals the original; 3. remove the original folder; 4. rename the copy into
-    place.  A crash after 3 leaves a complete, verified copy that the next call
-    moves into place before doing anything else.
+    1. write the copy to a staged sibling and compare its row count; 2. move the
+    original aside; 3. if files were added to it since it was read, move it back and
+    raise; 4. move the copy into place; 5. delete the original.  The next call ends an
+    interrupted switch first (:func:`_finish_switch`), whatever was appended meanwhile.
     """
     root = mart.path.rstrip("/")
-    staged = root + "__compacting"
     root_p, fs = _fs(spark, root)
-    staged_p, _ = _fs(spark, staged)
-    if fs.exists(staged_p) and not fs.exists(root_p):
-        fs.rename(staged_p, root_p)  # finish an interrupted switch
+    staged_p, old_p = (_fs(spark, root + end)[0] for end in ("__staged", "__compacting"))
+
+    def rows(folder) -> int:
+        return spark.read.schema(mart.schema).parquet(str(folder)).count()
+
+    _finish_switch(fs, root_p, staged_p, old_p, rows)
     inv = compaction_plan(partition_inventory(spark, mart, with_rows=False),
                           block_bytes, blocks_per_file).collect()
     if not inv or not inv[0]["needs_rewrite"]:
         return {"rewritten": False, "files_before": inv[0]["files"] if inv else 0}
     factor, files_before = int(inv[0]["factor"]), int(inv[0]["files"])
-    if fs.exists(staged_p):
-        fs.delete(staged_p, True)  # a stale, unverified copy from a failed attempt
+    read = _data_files(fs, root_p)
     src = spark.read.schema(mart.schema).parquet(root)
     expected = src.count()
     (src.select(*mart.columns, F.pmod(spread_key(src), F.lit(factor)).alias("__bucket"))
      .repartition(factor, "__bucket").drop("__bucket")
-     .write.mode("errorifexists").parquet(staged))
-    written = spark.read.schema(mart.schema).parquet(staged).count()
+     .write.mode("errorifexists").parquet(str(staged_p)))
+    written = rows(staged_p)
     if written != expected:
         raise RuntimeError(f"compacted copy has {written} rows, original {expected}; "
                            f"original left untouched at {root}")
-    fs.delete(root_p, True)
-    if not fs.rename(staged_p, root_p):
-        raise RuntimeError(f"could not move {staged} to {root}; the verified copy is at {staged}")
+    _rename(fs, root_p, old_p)
+    if _data_files(fs, old_p) != read:
+        _finish_switch(fs, root_p, staged_p, old_p, rows)
+        raise RuntimeError(f"files were added to {root} while it was compacted; left as it was")
+    _rename(fs, staged_p, root_p)
+    fs.delete(old_p, True)
     refresh_catalog(spark, mart, "none")
     return {"rewritten": True, "files_before": files_before, "factor": factor, "rows": written}
 
@@ -354,7 +378,7 @@ def delete_partitions(spark: SparkSession, mart: Mart, column: str | None = None
     in ``[lower, upper]``; returns the removed partitions.
 
     Unknown key columns raise, NULL keys never match, and an unpartitioned mart
-    is emptied only with ``allow_full_delete=True``.  Registered marts lose the
+    is emptied, and a window without bounds taken, only with ``allow_full_delete=True``.  Registered marts lose the
     partitions from the catalog as well as from disk.  A current ``inventory``
     may be passed to skip the listing.
     """
@@ -365,6 +389,9 @@ def delete_partitions(spark: SparkSession, mart: Mart, column: str | None = None
                              "pass allow_full_delete=True to do so")
         clear_mart(spark, mart)
         return spark.createDataFrame([("", mart.path)], out_schema)
+    if lower is None and upper is None and not allow_full_delete:
+        raise ValueError("without bounds every partition would go; "
+                         "pass allow_full_delete=True to do so")
     value = _window_value(mart, column)
     inv = inventory if inventory is not None else partition_inventory(spark, mart, with_rows=False)
     doomed = (inv.filter(range_predicate(value, lower, upper))

@@ -107,8 +107,8 @@ def lineitem_file_per_flag(spark: SparkSession, sf_dir: str, label: str) -> Mart
     mart = Mart(work_path(spark, label), LINEITEM_MART_SCHEMA, ("ship_month",))
     rows = lineitem_rows(spark, sf_dir)
     flags = [r[0] for r in rows.select("l_returnflag").distinct().collect()]  # a handful of codes
-    for flag in sorted(f for f in flags if f is not None):
-        (rows.where(F.col("l_returnflag") == flag).repartition("ship_month")
+    for flag in sorted(flags, key=str):
+        (rows.where(F.col("l_returnflag").eqNullSafe(F.lit(flag))).repartition("ship_month")
          .write.mode("append").partitionBy("ship_month").parquet(mart.path))
     return mart
 

@@ -146,7 +146,7 @@ FROM customer""")
 def q_safe_cast(spark, sf):
     c = fx.table(spark, sf, "customer")
     return c.select("c_custkey",
-                    fn.safe_cast(F.substring("c_name", 10, 1 << 20), "bigint").alias("name_number"),
+                    fn.safe_cast(F.expr("substring(c_name, 10)"), "bigint").alias("name_number"),
                     fn.safe_cast("c_name", "bigint").alias("name_as_bigint"),
                     fn.safe_cast("c_mktsegment", "int").alias("segment_as_int"),
                     fn.safe_cast("c_nationkey", "string").alias("nation_text"))

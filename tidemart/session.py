@@ -7,6 +7,7 @@ our own is created only when that setting is missing, as in unit tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,7 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not conf_dir:
         conf_dir = spark.sparkContext.getCheckpointDir()
     if not conf_dir:
-        # only a session without a shared folder (a unit test) gets a local one
+        # only a local session without a shared folder (a unit test) gets one of its own
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemart-ckpt-"))
         conf_dir = spark.sparkContext.getCheckpointDir()
     return conf_dir.rstrip("/")

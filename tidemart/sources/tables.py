@@ -333,9 +333,10 @@ def recreate_flat_table(spark: SparkSession, name: str, columns: Sequence[tuple[
 
 # S11 ---------------------------------------------------------------------------
 def clear_mart(spark: SparkSession, mart: Mart) -> Mart:
-    """Remove every row of a mart by overwriting it with an empty frame."""
+    """Remove every row of a mart by overwriting it with an empty frame, whatever the
+    session's partition overwrite mode is."""
     empty = spark.createDataFrame([], mart.schema)
-    writer = empty.write.mode("overwrite")
+    writer = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if mart.is_partitioned:
         writer = writer.partitionBy(*mart.partition_by)
     writer.parquet(mart.path)
