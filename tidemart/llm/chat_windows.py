@@ -45,7 +45,8 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET,
     ``conversations`` has conv_id, turn, role, text.  Turns go by turn, role, text (null
     turns first); null roles and texts are empty; repeated rows are turns of their own;
     rows with a null conv_id are one conversation.  A window holds at most ``budget``
-    tokens unless one turn with its system turn alone is longer.
+    tokens unless one of its turns is longer than a span, which is half of what the
+    system turn and the history leave; such a turn is never cut.
     """
     c = conversations
     text = F.coalesce(c["text"], F.lit(""))
