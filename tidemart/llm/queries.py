@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.chat_windows import chat_windows, digests
-from tidemart.llm.decontamination import decontaminate
+from tidemart.llm.decontamination import WINDOW, decontaminate
 from tidemart.llm.exact_dedup import exact_dedup
 from tidemart.llm.line_dedup import line_dedup
 from tidemart.llm.merge_dropout import Pieces, encode_pieces
@@ -90,4 +90,49 @@ QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_token_files, op3_chat_windows, op4_exact_dedup, op5_token_counts,
     op6_decontamination, op7_near_dedup, op8_merge_dropout, op9_suffix_dedup,
     op10_line_dedup)}
-ORACLE: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPLIT = "string_split(coalesce(text, ''), chr(10))"
+_STRIPPED = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+_WORDS = (f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+#: The other queries have no SQL form (learnt scores, tokenizers, near duplicates, windows of
+#: a template, byte strings): tests/llm holds them against brute force.
+ORACLE: dict[str, str] = {
+    "op4_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+WINDOW same AS (PARTITION BY t)""",
+    "op6_decontamination": f"""
+WITH i AS (SELECT CAST(item_id AS VARCHAR) AS id, {_WORDS} AS ws FROM benchmark),
+p AS (SELECT DISTINCT id, n, array_to_string(ws[k:k + n - 1], ' ') AS win FROM (
+        SELECT id, ws, least({WINDOW}, len(ws)) AS n,
+               unnest(generate_series(1, greatest(1, len(ws) - {WINDOW - 1}))) AS k
+        FROM i WHERE len(ws) > 0)),
+d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+o AS (SELECT doc_id, k, n, id FROM (
+        SELECT doc_id, n, k, array_to_string(ws[k:k + n - 1], ' ') AS win FROM (
+          SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS k
+          FROM d, (SELECT DISTINCT n FROM p) WHERE len(ws) >= n)) JOIN p USING (n, win)),
+h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (
+        SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS j FROM o) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT doc_id, id FROM o) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(ws) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op10_line_dedup": f"""
+WITH l AS (SELECT doc_id, unnest({_SPLIT}) AS line,
+                  unnest(generate_series(1, len({_SPLIT}))) AS k FROM documents),
+m AS (SELECT doc_id, line, k, {_LOWER.format(_STRIPPED)} AS key FROM l),
+r AS (SELECT key, max(doc_id) AS keep_id FROM m WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+g AS (SELECT doc_id, line, k, keep_id IS NOT NULL AND keep_id <> doc_id AS gone
+      FROM m LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), ''))
+         AS kept_sha256
+FROM g GROUP BY doc_id""",
+}
