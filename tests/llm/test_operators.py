@@ -230,12 +230,28 @@ def test_merge_dropout_at_rate_zero_is_the_plain_segmentation():
     import numpy as np
     for i, t in DOCS:
         if t and len(t) < 900 and "▁" not in t:
-            ids = np.frombuffer(codec.encode(t, i), dtype="<u4").tolist()
+            ids = np.frombuffer(codec.encode([t], [i])[0], dtype="<u4").tolist()
             assert ids == model.encode(t)
             assert ids == brute.merges(t, pieces.ids, pieces.scores,
                                        lambda q: [pieces.bytes_[b] for b in q.encode()])
 
 
+def test_merge_dropout_of_many_words_equals_one_by_one():
+    pieces = merge_dropout.Pieces.load(PIECES)
+    rng = random.Random(7)
+    letters = "abcdeinorst" * 3 + "ABéßж語😀\n\t\0▁0"
+    words = sorted({"".join(rng.choices(letters, k=rng.randint(1, 24))) for _ in range(3000)}
+                   | {"", "   lead", "▁", "▁▁x", "a" * 59, "b" * 60, "ab" * 500, "\0", "\0\0"})
+    for rate in (0.0, 0.1, 0.7, 1.0):
+        codec = merge_dropout.Codec(pieces, rate, 3, 4)
+        for variant in range(codec.variants):
+            many = codec.words(words, variant)
+            assert many == [codec.word(w, variant) for w in words]
+    texts = ["", "a", " ", "  b  ", " ".join(words)]
+    codec = merge_dropout.Codec(pieces, 0.3, 3, 4)
+    assert [codec.decode(x) for x in codec.encode(texts, [1, 2, 3, 4, 5])] == texts
+
+
 def test_chat_windows(spark):
     rng = random.Random(2)
     rows = []

@@ -6,7 +6,8 @@ word, its place and its pieces' sizes falls under the dropout rate.  The hash al
 repeated on any cluster gives the same pieces.  The variant comes from the document and
 the word's position, so one word is segmented in up to ``VARIANTS`` ways.
 
-Words are independent (no piece of the vocabulary goes on after another character into
+The words of a batch of documents that a worker does not know yet are merged together:
+each has its own agenda, and a step takes the top of every one.  Words are independent (no piece of the vocabulary goes on after another character into
 a space), so a worker remembers the pieces of a word and variant.  Characters without
 a piece are spelled in bytes, and so is the space mark itself where a text contains it:
 decoding is lossless for every text.
@@ -107,25 +108,145 @@ def segment(symbols: list[str], rank: dict[str, int], skips: bytes | None, key:
     return [p for p, s in zip(piece, size, strict=True) if s]
 
 
+class Merges:
+    """Agendas of many words worked off at once, a step of each word at a time.
+
+    Symbols are numbers: the pieces' ids, then a number for each other character that
+    pieces hold, and one (``none``) that never merges, for all the rest.  A word is a
+    column; its candidates stand in the row of their left piece, so the smallest number of
+    a column, (rank, row), is the top of that word's agenda.  The pieces are those of
+    ``segment``, merge for merge.
+    """
+
+    #: Longest word in symbols, and words worked off together.
+    LENGTH, WORDS = 60, 1 << 13
+    _ROW = 6  # bits of a row in a candidate
+    _NEVER = np.iinfo(np.int32).max
+    _ODD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, ids: dict[str, int], rank: dict[str, int]):
+        self.first = max(ids.values()) + 1  # numbers from here on are no ids
+        number = dict(ids)
+        for c in sorted({c for n in ids for c in n} - ids.keys()):
+            number[c] = len(number) - len(ids) + self.first
+        self.none = max(number.values()) + 1
+        self.symbol = np.full(0x110000, self.none, dtype=np.int32)
+        for n, i in number.items():
+            if len(n) == 1:
+                self.symbol[ord(n)] = i
+        pairs = np.array([(number[n[:k]], number[n[k:]], rank[n], i) for n, i in ids.items()
+                          for k in range(1, len(n)) if n[:k] in number and n[k:] in number],
+                         dtype=np.int64).reshape(-1, 4)
+        # open addressing: a pair lies in the first free slot from its own one on
+        bits = max(4, (8 * len(pairs)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.rank = np.full(1 << bits, self._NEVER, dtype=np.int32)
+        self.made = np.zeros(1 << bits, dtype=np.int32)
+        keys = pairs[:, 0] * (self.none + 1) + pairs[:, 1]
+        slots, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slots[left]] == -1]
+            self.keys[slots[free]] = keys[free]  # of several in one slot the last one stays
+            done = left[self.keys[slots[left]] == keys[left]]
+            self.rank[slots[done]] = pairs[done, 2] << self._ROW
+            self.made[slots[done]] = pairs[done, 3]
+            left = np.setdiff1d(left, done, assume_unique=True)
+            slots[left] = (slots[left] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * self._ODD) >> self.shift).view(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Slots of pairs of symbols; a pair that is no piece gets an empty one."""
+        keys = left.astype(np.int64) * (self.none + 1) + right
+        slots = self._slots(keys)
+        found = self.keys[slots]
+        open_ = np.flatnonzero((found != keys) & (found != -1))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & self.mask
+            found = self.keys[slots[open_]]
+            open_ = open_[(found != keys[open_]) & (found != -1)]
+        return slots
+
+    def segment(self, symbols: np.ndarray, skips: np.ndarray | None,
+                keys: np.ndarray) -> np.ndarray:
+        """Pieces of words: ``symbols`` has a word in each column, a row of ``none`` before
+        and after it and -1 nowhere; the result has -1 where a symbol was merged away."""
+        rows, n = symbols.shape
+        out = symbols.copy()
+        word = np.arange(n)
+        piece, size = symbols.copy(), np.ones((rows, n), dtype=np.int32)
+        before = np.repeat(np.arange(-1, rows - 1, dtype=np.int32)[:, None], n, axis=1)
+        agenda = np.full((rows, n), self._NEVER, dtype=np.int32)
+        first = self.rank[self.find(piece[:-1].ravel(), piece[1:].ravel())].reshape(rows - 1, n)
+        row = np.arange(rows - 1, dtype=np.int32)[:, None]
+        agenda[:-1] = np.where(first == self._NEVER, first, first + row)
+        low = (1 << self._ROW) - 1
+        while n:
+            top = agenda.min(axis=0)
+            at = np.flatnonzero(top != self._NEVER)
+            if 4 * len(at) < 3 * n:  # words that are done make room
+                ended = np.flatnonzero(top == self._NEVER)
+                out[:, word[ended]] = piece[:, ended]
+                word, n = word[at], len(at)
+                piece, size, before, agenda = (
+                    np.ascontiguousarray(x[:, at]) for x in (piece, size, before, agenda))
+                top, at = top[at], np.arange(n)
+                if not n:
+                    break
+            flat = [x.reshape(-1) for x in (piece, size, before, agenda)]
+            pieces, sizes, befores, agendas = flat
+            a = (top[at] & low).astype(np.int64)
+            left_at = a * n + at
+            left = sizes[left_at]
+            right_at = left_at + left.astype(np.int64) * n
+            right = sizes[right_at]
+            if skips is not None:
+                skip = skips[(keys[word[at]] + (a - 1) * 40503 + left * 30011
+                              + right * 15559) & 0xFFFF]
+                agendas[left_at[skip]] = self._NEVER
+                go = np.flatnonzero(~skip)
+                at, a, left_at, right_at = at[go], a[go], left_at[go], right_at[go]
+                left, right = left[go], right[go]
+            merged = self.made[self.find(pieces[left_at], pieces[right_at])]
+            pieces[left_at], pieces[right_at] = merged, -1
+            sizes[left_at] = left + right
+            agendas[right_at] = self._NEVER
+            next_at = right_at + right.astype(np.int64) * n
+            befores[next_at] = a
+            prev = befores[left_at]
+            prev_at = prev.astype(np.int64) * n + at
+            for x, y, place, r in ((left_at, next_at, left_at, a), (prev_at, left_at, prev_at, prev)):
+                rank = self.rank[self.find(pieces[x], pieces[y])]
+                agendas[place] = np.where(rank == self._NEVER, rank, rank + r.astype(np.int32))
+        return out
+
+
 class Codec:
     def __init__(self, pieces: Pieces, rate: float, seed: int, variants: int):
         self.pieces, self.rate, self.seed = pieces, rate, seed
         self.variants = variants if rate else 1
         self.ranks = ranks(pieces.scores)
         self.skips = skip_table(rate, seed) if rate else None
+        self.skip_flags = np.frombuffer(self.skips, dtype=bool) if rate else None
+        self.merges = Merges(pieces.ids, self.ranks)
         self.memory: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.size = 0
         self.texts: dict[int, bytes] = {i: n.replace(SPACE, " ").encode()
                                         for n, i in pieces.ids.items()}
         self.texts |= {i: bytes([b]) for b, i in enumerate(pieces.bytes_)}
 
+    def _key(self, word: str, variant: int) -> int:
+        return xxhash.xxh3_64_intdigest(
+            word.encode(), seed=(self.seed * 1_000_003 + variant) & _MASK) & 0xFFFF
+
     def word(self, word: str, variant: int) -> bytes:
         """Ids of a word with one space before it, as 32-bit integers."""
         lead = len(word) - len(word.lstrip(" "))
         # a space mark in the text itself must not become a space: it has no symbol
         symbols = [SPACE] * (lead + 1) + ["" if c == SPACE else c for c in word[lead:]]
-        key = xxhash.xxh3_64_intdigest(
-            word.encode(), seed=(self.seed * 1_000_003 + variant) & _MASK) & 0xFFFF
+        key = self._key(word, variant)
         ids: list[int] = []
         runs = [symbols]
         if "" in symbols:  # nothing merges over such a place
@@ -147,9 +268,58 @@ class Codec:
                                                           for b in p.encode()]
         return np.array(ids, dtype="<u4").tobytes()
 
-    def encode(self, text: str, doc: int) -> bytes:
-        if not text:
-            return b""
+    def words(self, words: list[str], variant: int) -> list[bytes]:
+        """``word`` of many: long words and those with a space mark by themselves, the
+        rest in columns of similar length."""
+        made = self.merges
+        out = [b""] * len(words)
+        classes: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            if len(w) >= made.LENGTH or SPACE in w:
+                out[k] = self.word(w, variant)
+            else:
+                classes.setdefault(len(w) + 3 & ~3, []).append(k)
+        for length, members in classes.items():
+            for start in range(0, len(members), made.WORDS):
+                part = members[start:start + made.WORDS]
+                # "\0" fills up a column and is told apart by the word's length
+                joined = "".join([(SPACE + words[k].replace(" ", SPACE)).ljust(length + 1, "\0")
+                                  for k in part])
+                points = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4").reshape(
+                    len(part), length + 1).T
+                symbols = np.full((length + 3, len(part)), made.none, dtype=np.int32)
+                symbols[1:-1] = made.symbol[points]
+                lengths = np.array([len(words[k]) + 1 for k in part])
+                rows = np.arange(length + 1)[:, None]
+                filled = rows >= lengths
+                symbols[1:-1][filled] = made.none
+                keys = np.array([self._key(words[k], variant) for k in part], dtype=np.int64)
+                found = made.segment(symbols, self.skip_flags, keys)[1:-1]
+                found[filled] = -1
+                stays = found.T >= 0
+                ids = found.T[stays]
+                ends = np.cumsum(stays.sum(axis=1))
+                spelled = np.flatnonzero(ids >= made.first)
+                if len(spelled):  # characters without a piece
+                    ids, ends = self._spell(ids, ends, spelled, points.T[stays])
+                data, at = ids.astype("<u4").tobytes(), 0
+                for k, end in zip(part, (4 * ends).tolist(), strict=True):
+                    out[k] = data[at:end]
+                    at = end
+        return out
+
+    def _spell(self, ids: np.ndarray, ends: np.ndarray, spelled: np.ndarray,
+               points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``ids`` with byte pieces for the characters (``points``) at ``spelled``."""
+        encoded = [chr(p).encode() for p in points[spelled].tolist()]
+        counts = np.ones(len(ids), dtype=np.int64)
+        counts[spelled] = [len(b) for b in encoded]
+        longer = np.repeat(ids, counts)
+        places = np.repeat(ids >= self.merges.first, counts)
+        longer[places] = np.array(self.pieces.bytes_)[np.frombuffer(b"".join(encoded), np.uint8)]
+        return longer, np.concatenate([[0], np.cumsum(counts)])[ends]
+
+    def _split(self, text: str) -> list[str]:
         words = text.split(" ")
         if "" in words:  # runs of spaces belong to the word after them
             joined, lead = [], 0
@@ -160,22 +330,42 @@ class Codec:
                 else:
                     lead += 1
             words = [*joined, " " * lead + words[-1]]
-        first = xxhash.xxh3_64_intdigest(str(doc).encode(), seed=self.seed & _MASK)
-        out: list[bytes] = [b""] * len(words)
-        for v in range(min(self.variants, len(words))):
-            variant = (first + v) % self.variants
-            memory = self.memory[variant]
-            ids = []
-            for w in words[v::self.variants]:
-                got = memory.get(w)
-                if got is None:
-                    got = self.word(w, variant)
-                    if self.size < MEMORY and len(w) <= MEMORY_CHARS:
-                        memory[w] = got
-                        self.size += 1
-                ids.append(got)
-            out[v::self.variants] = ids
-        return b"".join(out)
+        return words
+
+    def encode(self, texts: list[str], docs: list[int]) -> list[bytes]:
+        """Ids of each text; the empty text has none."""
+        found: list[list[bytes | None]] = []
+        # slices of words that follow the same variant: text, first word, words, their ids
+        turns: list[list[tuple[int, int, list[str], list[bytes | None]]]] = [
+            [] for _ in range(self.variants)]
+        new: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        for k, (text, doc) in enumerate(zip(texts, docs, strict=True)):
+            words = self._split(text) if text else []
+            found.append([b""] * len(words))
+            first = xxhash.xxh3_64_intdigest(str(doc).encode(), seed=self.seed & _MASK)
+            for v in range(min(self.variants, len(words))):
+                variant = (first + v) % self.variants
+                mine = words[v::self.variants]
+                ids = list(map(self.memory[variant].get, mine))
+                if None in ids:
+                    new[variant].update(
+                        (w, b"") for w, known in zip(mine, ids, strict=True) if known is None)
+                turns[variant].append((k, v, mine, ids))
+        for variant, made in enumerate(new):
+            if made:
+                made = dict(zip(made, self.words(list(made), variant), strict=True))
+            for k, v, mine, ids in turns[variant]:
+                if None in ids:
+                    ids = [made[w] if known is None else known
+                           for w, known in zip(mine, ids, strict=True)]
+                found[k][v::self.variants] = ids
+            for w, ids in made.items():
+                if self.size >= MEMORY:
+                    break
+                if len(w) <= MEMORY_CHARS:
+                    self.memory[variant][w] = ids
+                    self.size += 1
+        return [b"".join(ids) for ids in found]
 
     def decode(self, ids: bytes) -> str:
         texts = self.texts
@@ -204,7 +394,7 @@ def _encode(pieces, rate: float, seed: int, variants: int, keep_ids: bool):
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                ids = [made.encode(t, d) for d, t in zip(docs, texts, strict=True)]
+                ids = made.encode(texts, docs)
                 lists = pa.nulls(len(ids), schema.field("ids").type)
                 if keep_ids:
                     ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
