@@ -10,9 +10,12 @@ metadata without any token.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ WRITE_OPTIONS = {
 }
 #: Pieces of text whose ids a worker remembers, and their length.
 MEMORY, MEMORY_CHARS = 480_000, 40
+#: New pieces that make up one text for the tokenizer: long texts cost it more a byte.
+TOGETHER = 300
 
 _BOUNDARY = re.compile(r" (?=\S)")
 _ODD_SPACE = re.compile(r" (?:\s|\Z)")
@@ -67,15 +72,17 @@ class Encoder:
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that each follow a space: encoded as one text, cut by their bytes."""
+        """Ids of pieces that each follow a space: encoded some hundred together, cut by
+        their bytes."""
         if not pieces:
             return []
-        text = " " + " ".join(pieces)
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        texts = [" " + " ".join(pieces[k:k + TOGETHER]) for k in range(0, len(pieces), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.array(list(chain.from_iterable(e.ids for e in found)), dtype="<u4")
         ends = np.cumsum([len(p) + 1 if p.isascii() else len(p.encode()) + 1 for p in pieces])
         cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
         found, at = ids.tobytes(), 0
@@ -92,7 +99,7 @@ class Encoder:
         whole: list[int] = []
         cut: list[list[str]] = []
         found: list[list[bytes | None]] = []
-        new: dict[str, bytes] = {}
+        new: dict[str, bytes | None] = {}
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 whole.append(i)
@@ -101,17 +108,16 @@ class Encoder:
             ids = list(map(memory.get, parts))
             ids[0] = b""
             if None in ids:
-                new.update((p, b"") for p, known in zip(parts, ids, strict=True) if known is None)
+                new.update(dict.fromkeys(compress(parts, map(is_, ids, repeat(None)))))
             cut.append(parts)
             found.append(ids)
         new = dict(zip(new, self._pieces(list(new)), strict=True))
         # the first piece of a text has no space before it
         out = []
         for parts, ids, first in zip(cut, found, self._encode([p[0] for p in cut]), strict=True):
-            ids[0] = first
             if None in ids:
-                ids = [new[p] if known is None else known
-                       for p, known in zip(parts, ids, strict=True)]
+                ids = list(map(new.get, parts, ids))
+            ids[0] = first
             out.append(b"".join(ids))
         for p, ids in new.items():
             if len(memory) >= MEMORY:
@@ -130,6 +136,7 @@ _ENCODERS: dict[int, Encoder] = {}
 def encoder(spec: str) -> Encoder:
     key = zlib.crc32(spec.encode())
     if key not in _ENCODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task keeps to its core
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(spec)
     return _ENCODERS[key]
