@@ -14,8 +14,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, compress, repeat
-from operator import is_
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +98,8 @@ class Encoder:
         whole: list[int] = []
         cut: list[list[str]] = []
         found: list[list[bytes | None]] = []
-        new: dict[str, bytes | None] = {}
+        gaps: list[list[int]] = []
+        new: dict[str, bytes] = {}
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 whole.append(i)
@@ -107,16 +107,19 @@ class Encoder:
             parts = _BOUNDARY.split(text) if _ODD_SPACE.search(text) else text.split(" ")
             ids = list(map(memory.get, parts))
             ids[0] = b""
-            if None in ids:
-                new.update(dict.fromkeys(compress(parts, map(is_, ids, repeat(None)))))
+            gap = [k for k, known in enumerate(ids) if known is None]
+            for k in gap:
+                new[parts[k]] = b""
+            gaps.append(gap)
             cut.append(parts)
             found.append(ids)
         new = dict(zip(new, self._pieces(list(new)), strict=True))
         # the first piece of a text has no space before it
         out = []
-        for parts, ids, first in zip(cut, found, self._encode([p[0] for p in cut]), strict=True):
-            if None in ids:
-                ids = list(map(new.get, parts, ids))
+        firsts = self._encode([p[0] for p in cut])
+        for parts, ids, gap, first in zip(cut, found, gaps, firsts, strict=True):
+            for k in gap:
+                ids[k] = new[parts[k]]
             ids[0] = first
             out.append(b"".join(ids))
         for p, ids in new.items():
