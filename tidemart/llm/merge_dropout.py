@@ -33,7 +33,7 @@ from tidemart.llm.shared import arrow_schema, record_batch, ship_package, text_o
 SPACE = "▁"
 DROPOUT, VARIANTS = 0.1, 4
 #: Words (with a variant) whose pieces a worker remembers, and their length.
-MEMORY, MEMORY_CHARS = 700_000, 40
+MEMORY, MEMORY_CHARS = 250_000, 40
 _MASK = (1 << 64) - 1
 
 
@@ -119,7 +119,7 @@ class Merges:
     """
 
     #: Longest word in symbols, and words worked off together.
-    LENGTH, WORDS = 60, 1 << 13
+    LENGTH, WORDS = 60, 1 << 12
     _ROW = 6  # bits of a row in a candidate
     _NEVER = np.iinfo(np.int32).max
     _ODD = np.uint64(0x9E3779B97F4A7C15)
