@@ -33,7 +33,7 @@ from tidemart.llm.shared import arrow_schema, record_batch, ship_package, text_o
 SPACE = "▁"
 DROPOUT, VARIANTS = 0.1, 4
 #: Words (with a variant) whose pieces a worker remembers, and their length.
-MEMORY, MEMORY_CHARS = 250_000, 40
+MEMORY, MEMORY_CHARS = 100_000, 40
 _MASK = (1 << 64) - 1
 
 
