@@ -140,6 +140,17 @@ def test_near_dedup_in_blocks(spark, monkeypatch):
     assert got(found, "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
 
 
+def test_near_dedup_links_short_near_copies(spark):
+    """Many pairs of 7 to 15 words, the second without the last word of the first."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(1800):
+        words = [f"w{rng.randrange(10 ** 9)}" for _ in range(8 if k % 2 else rng.randint(7, 15))]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:-1]))]
+    found = near_dedup.near_dedup(frame(spark, rows), words=4)
+    assert got(found, "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
+
+
 def test_near_dedup_null_ids_and_repeated_rows(spark):
     text = DOCS[50][1]
     rows = [(None, text), (5, text), (5, text), (7, None)]
