@@ -263,6 +263,26 @@ def test_merge_dropout_of_many_words_equals_one_by_one():
     assert [codec.decode(x) for x in codec.encode(texts, [1, 2, 3, 4, 5])] == texts
 
 
+def test_merge_dropout_segments_copies_and_repeated_words_differently():
+    """300 copies of one text: each has its own draws, and a word more than four segmentations."""
+    codec = merge_dropout.Codec(merge_dropout.Pieces.load(PIECES), 0.3, 1, merge_dropout.VARIANTS)
+    text = " ".join(["internationalization", "understandable", "everything"] * 20)
+    found = codec.encode([text] * 300, list(range(300)))
+    assert len(set(found)) == 300
+    assert codec.variants >= 8
+    assert len({codec.word("internationalization", v) for v in range(codec.variants)}) > 4
+    again = merge_dropout.Codec(codec.pieces, 0.3, 1, merge_dropout.VARIANTS)
+    assert again.encode([text] * 2, [7, 299]) == [found[7], found[299]]
+
+
+def test_merge_dropout_skips_at_the_rate():
+    """One candidate each ("a" + "b"): the share of unmerged words over many keys is the rate."""
+    keys = [merge_dropout.mixed_one(k) for k in range(20000)]
+    limit = merge_dropout.skip_limit(0.1)
+    left = sum(len(merge_dropout.segment(["a", "b"], {"ab": 0}, limit, k)) == 2 for k in keys)
+    assert 1850 < left < 2150
+
+
 def test_chat_windows(spark):
     rng = random.Random(2)
     rows = []

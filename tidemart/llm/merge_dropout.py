@@ -1,10 +1,11 @@
 """SentencePiece encoding with seeded merge-dropout, and its inverse.
 
 The agenda holds the candidate merges of neighbouring pieces, best score first, then
-leftmost.  A candidate taken from it is skipped if a keyed hash (seed and variant) of its
-word, its place and its pieces' sizes falls under the dropout rate.  The hash alone decides: a run
-repeated on any cluster gives the same pieces.  The variant comes from the document and
-the word's position, so one word is segmented in up to ``VARIANTS`` ways.
+leftmost.  A candidate taken from it is skipped if a keyed 64-bit hash (seed and variant) of
+its word, its place and its pieces' sizes falls under the dropout rate.  The hash alone decides:
+a run repeated on any cluster gives the same pieces.  The variant is a keyed hash of the document
+and the word's position: one word is segmented in up to ``VARIANTS`` ways, each occurrence
+by its own draw, so copies of a text are segmented differently.
 
 The words of a batch of documents that a worker does not know yet are merged together:
 each has its own agenda, and a step takes the top of every one.  Words are independent (no piece of the vocabulary goes on after another character into
@@ -31,7 +32,7 @@ from sentencepiece import SentencePieceProcessor
 from tidemart.llm.shared import arrow_schema, record_batch, ship_package, text_of
 
 SPACE = "▁"
-DROPOUT, VARIANTS = 0.1, 4
+DROPOUT, VARIANTS = 0.1, 8
 #: Words (with a variant) whose pieces a worker remembers, and their length.
 MEMORY, MEMORY_CHARS = 100_000, 40
 _MASK = (1 << 64) - 1
@@ -65,13 +66,29 @@ def ranks(scores: dict[str, float]) -> dict[str, int]:
     return {p: place[v] for p, v in scores.items()}
 
 
-def skip_table(rate: float, seed: int) -> bytes:
-    """Keyed table of the hash values (16 bits) that skip a merge."""
-    return bytes(xxhash.xxh3_64_intdigest(i.to_bytes(2, "big"), seed=seed & _MASK)
-                 < rate * (1 << 64) for i in range(1 << 16))
+def skip_limit(rate: float) -> int | None:
+    """The largest 64-bit hash that skips a merge."""
+    return round(rate * (1 << 64)) - 1 if rate else None
 
 
-def segment(symbols: list[str], rank: dict[str, int], skips: bytes | None, key: int) -> list[str]:
+_ODD, _M1, _M2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(_M1)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(_M2)
+    return x ^ (x >> np.uint64(31))
+
+
+def mixed_one(x: int) -> int:
+    """``mixed`` of one number."""
+    x = ((x ^ (x >> 30)) * _M1) & _MASK
+    x = ((x ^ (x >> 27)) * _M2) & _MASK
+    return x ^ (x >> 31)
+
+
+def segment(symbols: list[str], rank: dict[str, int], limit: int | None, key: int) -> list[str]:
     """Byte-pair merges of ``symbols`` by agenda; ``key`` decides which ones are skipped."""
     n = len(symbols)
     bits = max(10, n.bit_length())
@@ -90,7 +107,8 @@ def segment(symbols: list[str], rank: dict[str, int], skips: bytes | None, key:
         b = a + left
         if size[a] != left or b >= n or size[b] != right:
             continue  # one of its pieces has been merged meanwhile
-        if skips and skips[(key + a * 40503 + left * 30011 + right * 15559) & 0xFFFF]:
+        if limit is not None and mixed_one(
+                (key + ((a << 40) + (left << 20) + right) * _ODD) & _MASK) <= limit:
             continue
         piece[a] = merged = piece[a] + piece[b]
         size[a], size[b] = left + right, 0
@@ -122,7 +140,7 @@ class Merges:
     LENGTH, WORDS = 60, 1 << 12
     _ROW = 6  # bits of a row in a candidate
     _NEVER = np.iinfo(np.int32).max
-    _ODD = np.uint64(0x9E3779B97F4A7C15)
+    _ODD = np.uint64(_ODD)
 
     def __init__(self, ids: dict[str, int], rank: dict[str, int]):
         self.first = max(ids.values()) + 1  # numbers from here on are no ids
@@ -169,7 +187,7 @@ class Merges:
             open_ = open_[(found != keys[open_]) & (found != -1)]
         return slots
 
-    def segment(self, symbols: np.ndarray, skips: np.ndarray | None,
+    def segment(self, symbols: np.ndarray, limit: int | None,
                 keys: np.ndarray) -> np.ndarray:
         """Pieces of words: ``symbols`` has a word in each column, a row of ``none`` before
         and after it and -1 nowhere; the result has -1 where a symbol was merged away."""
@@ -202,9 +220,9 @@ class Merges:
             left = sizes[left_at]
             right_at = left_at + left.astype(np.int64) * n
             right = sizes[right_at]
-            if skips is not None:
-                skip = skips[(keys[word[at]] + (a - 1) * 40503 + left * 30011
-                              + right * 15559) & 0xFFFF]
+            if limit is not None:
+                place = ((a - 1) << 40) + (left.astype(np.int64) << 20) + right
+                skip = mixed(keys[word[at]] + place.view(np.uint64) * self._ODD) <= np.uint64(limit)
                 agendas[left_at[skip]] = self._NEVER
                 go = np.flatnonzero(~skip)
                 at, a, left_at, right_at = at[go], a[go], left_at[go], right_at[go]
@@ -228,8 +246,7 @@ class Codec:
         self.pieces, self.rate, self.seed = pieces, rate, seed
         self.variants = variants if rate else 1
         self.ranks = ranks(pieces.scores)
-        self.skips = skip_table(rate, seed) if rate else None
-        self.skip_flags = np.frombuffer(self.skips, dtype=bool) if rate else None
+        self.limit = skip_limit(rate)
         self.merges = Merges(pieces.ids, self.ranks)
         self.memory: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.size = 0
@@ -239,7 +256,7 @@ class Codec:
 
     def _key(self, word: str, variant: int) -> int:
         return xxhash.xxh3_64_intdigest(
-            word.encode(), seed=(self.seed * 1_000_003 + variant) & _MASK) & 0xFFFF
+            word.encode(), seed=(self.seed * 1_000_003 + variant) & _MASK)
 
     def word(self, word: str, variant: int) -> bytes:
         """Ids of a word with one space before it, as 32-bit integers."""
@@ -262,7 +279,7 @@ class Codec:
             if run == [""]:
                 ids += [self.pieces.bytes_[b] for b in SPACE.encode()]
                 continue
-            for p in segment(run, self.ranks, self.skips, key + number):
+            for p in segment(run, self.ranks, self.limit, (key + number) & _MASK):
                 known = self.pieces.ids.get(p)
                 ids += [known] if known is not None else [self.pieces.bytes_[b]
                                                           for b in p.encode()]
@@ -293,8 +310,8 @@ class Codec:
                 rows = np.arange(length + 1)[:, None]
                 filled = rows >= lengths
                 symbols[1:-1][filled] = made.none
-                keys = np.array([self._key(words[k], variant) for k in part], dtype=np.int64)
-                found = made.segment(symbols, self.skip_flags, keys)[1:-1]
+                keys = np.array([self._key(words[k], variant) for k in part], dtype=np.uint64)
+                found = made.segment(symbols, self.limit, keys)[1:-1]
                 found[filled] = -1
                 stays = found.T >= 0
                 ids = found.T[stays]
@@ -332,40 +349,42 @@ class Codec:
             words = [*joined, " " * lead + words[-1]]
         return words
 
+    def _turns(self, doc: int, n: int) -> list[int]:
+        """The variant of each of a document's ``n`` words, by keyed hash."""
+        if self.variants == 1:
+            return [0] * n
+        first = xxhash.xxh3_64_intdigest(str(doc).encode(), seed=self.seed & _MASK)
+        drawn = mixed(np.uint64(first) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_ODD))
+        return (((drawn >> np.uint64(32)) * np.uint64(self.variants)) >> np.uint64(32)).tolist()
+
     def encode(self, texts: list[str], docs: list[int]) -> list[bytes]:
         """Ids of each text; the empty text has none."""
-        found: list[list[bytes | None]] = []
-        # slices of words that follow the same variant: text, first word, words, their ids
-        turns: list[list[tuple[int, int, list[str], list[bytes | None]]]] = [
-            [] for _ in range(self.variants)]
+        found: list[tuple[list[str], list[int], list[bytes | None]]] = []
         new: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        for k, (text, doc) in enumerate(zip(texts, docs, strict=True)):
+        known = [m.get for m in self.memory]
+        for text, doc in zip(texts, docs, strict=True):
             words = self._split(text) if text else []
-            found.append([b""] * len(words))
-            first = xxhash.xxh3_64_intdigest(str(doc).encode(), seed=self.seed & _MASK)
-            for v in range(min(self.variants, len(words))):
-                variant = (first + v) % self.variants
-                mine = words[v::self.variants]
-                ids = list(map(self.memory[variant].get, mine))
-                if None in ids:
-                    new[variant].update(
-                        (w, b"") for w, known in zip(mine, ids, strict=True) if known is None)
-                turns[variant].append((k, v, mine, ids))
+            turns = self._turns(doc, len(words))
+            ids = [known[v](w) for v, w in zip(turns, words, strict=True)]
+            if None in ids:
+                for v, w, x in zip(turns, words, ids, strict=True):
+                    if x is None:
+                        new[v][w] = b""
+            found.append((words, turns, ids))
         for variant, made in enumerate(new):
             if made:
-                made = dict(zip(made, self.words(list(made), variant), strict=True))
-            for k, v, mine, ids in turns[variant]:
-                if None in ids:
-                    ids = [made[w] if known is None else known
-                           for w, known in zip(mine, ids, strict=True)]
-                found[k][v::self.variants] = ids
+                new[variant] = dict(zip(made, self.words(list(made), variant), strict=True))
+        out = [b"".join([new[v][w] if x is None else x
+                         for w, v, x in zip(words, turns, ids, strict=True)])
+               if None in ids else b"".join(ids) for words, turns, ids in found]
+        for variant, made in enumerate(new):
             for w, ids in made.items():
                 if self.size >= MEMORY:
                     break
                 if len(w) <= MEMORY_CHARS:
                     self.memory[variant][w] = ids
                     self.size += 1
-        return [b"".join(ids) for ids in found]
+        return out
 
     def decode(self, ids: bytes) -> str:
         texts = self.texts
