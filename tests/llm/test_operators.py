@@ -173,6 +173,67 @@ def test_suffix_dedup_over_many_blocks_and_without_filter(docs, monkeypatch):
     assert got(suffix_dedup.suffix_dedup(docs), *cols) == brute.repeats(DOCS)
 
 
+def test_suffix_dedup_keeps_strings_whose_names_collide(docs, monkeypatch):
+    """Names of a few bits collide all the time; only truly repeated bytes go."""
+    made = suffix_dedup._firsts
+
+    def weak(row):
+        data, starts, first, names = made(row)
+        return data, starts, first, names >> 52 << 52
+
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 2000)
+    rows = [r for r in DOCS if len(r[1] or "") < 2000][:70]
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    blocks = [suffix_dedup._sorted_block(k, [{"doc_id": i, "sha": "s", "at": 0, "bytes": t}])
+              .to_pylist()[0] for k, (i, t) in enumerate(texts) if len(t) >= 100]
+    monkeypatch.setattr(suffix_dedup, "_firsts", weak)
+    import pyarrow as pa
+
+    def asked(step, tables, name):
+        table = pa.Table.from_batches(tables)
+        for owner in set(table["owner"].to_pylist()):
+            mine = table.filter(pa.compute.equal(table["owner"], owner))
+            for r in step(mine).to_pylist():
+                blocks[r["block"]].setdefault(name, []).append(r)
+
+    for b in blocks:
+        b["block"] = blocks.index(b)
+    feed = [pa.RecordBatch.from_pylist([b]) for b in blocks]
+    asked(suffix_dedup._shared, list(suffix_dedup._block_names(3)(iter(feed))), "answers")
+    feed = [pa.RecordBatch.from_pylist([b]) for b in blocks]
+    asked(suffix_dedup._earlier, list(suffix_dedup._send_pairs(iter(feed))), "earlier")
+    for b in blocks:
+        b.setdefault("earlier", None)
+    feed = [pa.RecordBatch.from_pylist([b]) for b in blocks]
+    found = pa.Table.from_batches(list(suffix_dedup._spans(iter(feed)))).to_pylist()
+    gone = {r["doc_id"]: sum(r["ends"]) - sum(r["starts"]) for r in found}
+    want = {i: r[1] for i, r in brute.repeats(rows).items()}
+    assert {i: gone.get(i, 0) for i in want} == want
+
+
+def test_suffix_dedup_filter_holds_at_every_size(spark, monkeypatch):
+    """Beyond FILTER_BYTES only the surroundings of repeats are sorted, as below it."""
+    rng = random.Random(4)
+    passage = " ".join(str(rng.random()) for _ in range(20))
+    rows = [(k, " ".join(str(rng.random()) for _ in range(300))) for k in range(40)]
+    rows += [(100 + k, passage) for k in range(3)] + [(200, "x " + passage), (201, "y" + passage)]
+    kept, made = [], suffix_dedup.saved
+
+    def watched(df, label):
+        out = made(df, label)
+        if label == "segments":
+            kept.append(out.agg(F.sum("strings")).first()[0])
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "saved", watched)
+    results = []
+    for limit in (suffix_dedup.FILTER_BYTES, -1):
+        monkeypatch.setattr(suffix_dedup, "FILTER_BYTES", limit)
+        results.append(got(suffix_dedup.suffix_dedup(frame(spark, rows)), "doc_id", "n_removed",
+                           "kept_sha256"))
+    assert results[0] == results[1] and kept[0] == kept[1] < 2000
+
+
 def test_suffix_array_is_sorted():
     import numpy as np
     rng = random.Random(5)

@@ -9,7 +9,9 @@
    names, the remaining suffixes merged in; the recursion ends once the names cover 100
    bytes.  Adjacent suffixes with equal prefixes are the block's repeats.
 3. Blocks send the names of their distinct prefixes, sorted and Golomb-coded, to owners,
-   which mark those that an earlier block has as well.
+   which mark those that another block has as well.  Of the marked ones the blocks send a
+   second, independent 64-bit hash with the name; only an earlier string that agrees in
+   both counts as equal.
 4. A string that starts earlier in the order (doc_id, place) removes its later copies.
 
 A suffix array over all blocks at once would move each suffix several times for each of its
@@ -36,9 +38,9 @@ from tidemart.llm.shared import (
 LENGTH, GRAM = 100, 32
 #: Bytes of a block, at most (but for one segment's end).
 BLOCK = 1 << 20
-#: Bits of the names that travel; repeated names count as equal strings.
+#: Bits of the names that travel; strings of one name are told apart by a second hash.
 NAME_BITS = 62
-#: Repeated fingerprints go to all tasks up to this many bytes; beyond it nothing is left out.
+#: Repeated fingerprints go to all tasks up to this many bytes; beyond it they are joined.
 FILTER_BYTES = 64 << 20
 #: Spans and ids of copies are broadcast up to this many bytes; beyond it joins shuffle.
 BROADCAST_BYTES = 32 << 20
@@ -51,11 +53,17 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
-def prefix_names(data: np.ndarray, length: int) -> np.ndarray:
+#: Multipliers of the names and of the second hash.
+_NAME = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_SECOND = 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F
+
+
+def prefix_names(data: np.ndarray, length: int, by: tuple[int, int] = _NAME,
+                 start: int = 1) -> np.ndarray:
     """A 64-bit name of the ``length`` bytes from each place on, by doubling."""
     if len(data) < length:
         return np.zeros(0, dtype=_U)
-    power, size = _mixed(data.astype(_U) + _U(1)), 1
+    power, size = _mixed(data.astype(_U) + _U(start)), 1
     whole, done = None, 0
     while True:
         if length & size:
@@ -63,11 +71,11 @@ def prefix_names(data: np.ndarray, length: int) -> np.ndarray:
                 whole = power
             else:
                 n = len(data) - done - size + 1
-                whole = _mixed(whole[:n] * _U(0x9E3779B97F4A7C15) + power[done:done + n])
+                whole = _mixed(whole[:n] * _U(by[0]) + power[done:done + n])
             done += size
         if done == length:
             return whole[:len(data) - length + 1]
-        power = _mixed(power[:-size] * _U(0xD6E8FEB86659FD93) + power[size:])
+        power = _mixed(power[:-size] * _U(by[1]) + power[size:])
         size *= 2
 
 
@@ -210,32 +218,56 @@ def _repeated(table: pa.Table) -> pa.Table:
                      "low": pa.array([coded[2]], pa.binary())})
 
 
+_PRINTS = "doc_id long, name long"
+
+
+def _doc_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct fingerprints of each document."""
+    schema = arrow_schema(_PRINTS)
+    for batch in batches:
+        names = [np.unique(winnow(t)[1]) for t in batch.column(1).to_pylist()]
+        rows = pa.array(np.repeat(np.arange(len(names)), [len(x) for x in names]), pa.int32())
+        yield record_batch(schema, len(rows), doc_id=batch.column(0).take(rows),
+                           name=np.concatenate([np.zeros(0, dtype=_U), *names]).view(np.int64))
+
+
+def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Golomb-coded fingerprints, one by one."""
+    schema = arrow_schema("name long")
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["codes"]:
+                names = golomb_decode(r["codes"], r["first"], r["low_bits"], r["high"], r["low"])
+                yield record_batch(schema, len(names), name=names.astype(np.int64))
+
+
 _SEGMENTS = "doc_id long, sha string, at long, bytes binary, strings int"
 
 
 def _segments(repeated):
-    """Surroundings of repeated fingerprints, in pieces that start at most BLOCK strings."""
+    """Surroundings of repeated fingerprints, in pieces that start at most BLOCK strings;
+    a fourth column has each document's repeated fingerprints if they are not broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(_SEGMENTS)
-        known = None if repeated is None else np.frombuffer(repeated.value, dtype=_U)
+        every = None if repeated is None else np.frombuffer(repeated.value, dtype=_U)
         for batch in batches:
             rows, at, cut, strings = [], [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 if len(text) < LENGTH:
                     continue
-                lo, hi = np.array([0]), np.array([len(text)])
-                if known is not None:
-                    places, names = winnow(text)
-                    found = np.searchsorted(known, names)
-                    hit = places[(found < len(known))
-                                 & (known[np.minimum(found, len(known) - 1)] == names)
-                                 ] if len(known) else places[:0]
-                    if not len(hit):
-                        continue
-                    lo = np.maximum(hit - (LENGTH - GRAM), 0)
-                    hi = np.minimum(hit + LENGTH, len(text))
-                    new = np.concatenate([[True], lo[1:] > hi[:-1]])
-                    lo, hi = lo[new], hi[np.append(np.flatnonzero(new)[1:] - 1, len(hi) - 1)]
+                known = every if every is not None else np.sort(
+                    np.array(batch.column(3)[i].as_py(), dtype=np.int64)).view(_U)
+                places, names = winnow(text)
+                found = np.searchsorted(known, names)
+                hit = places[(found < len(known))
+                             & (known[np.minimum(found, len(known) - 1)] == names)
+                             ] if len(known) else places[:0]
+                if not len(hit):
+                    continue
+                lo = np.maximum(hit - (LENGTH - GRAM), 0)
+                hi = np.minimum(hit + LENGTH, len(text))
+                new = np.concatenate([[True], lo[1:] > hi[:-1]])
+                lo, hi = lo[new], hi[np.append(np.flatnonzero(new)[1:] - 1, len(hi) - 1)]
                 for a, b in zip(lo.tolist(), hi.tolist(), strict=True):
                     for start in range(a, b - LENGTH + 1, BLOCK):
                         end = min(b, start + BLOCK + LENGTH - 1)
@@ -307,19 +339,80 @@ def _block_names(owners: int):
     return run
 
 
-def _earlier(table: pa.Table) -> pa.Table:
-    """One owner: for each block a bitmap of its names that an earlier block has sent."""
-    rows, lists = _decoded(table)
-    seen = np.unique(np.concatenate(lists), return_index=True)
-    new = np.zeros(sum(map(len, lists)), dtype=bool)
-    new[seen[1]] = True  # the lists are in the blocks' order
-    marks = np.split(~new, np.cumsum([len(x) for x in lists])[:-1])
+def _bitmaps(rows: list[dict], marked: np.ndarray) -> pa.Table:
+    """For each row of sent strings its part of ``marked``."""
+    marks = np.split(marked, np.cumsum([r["codes"] for r in rows])[:-1])
     return pa.table({"block": pa.array([r["block"] for r in rows], pa.int64()),
                      "owner": pa.array([r["owner"] for r in rows], pa.int32()),
                      "marks": pa.array([np.packbits(m).tobytes() for m in marks], pa.binary()),
                      "codes": pa.array([r["codes"] for r in rows], pa.int32())})
 
 
+_ANSWERS = "block long, owner int, marks binary, codes int"
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """One owner: for each block a bitmap of its names that another block has sent."""
+    rows, lists = _decoded(table)
+    _, place, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    return _bitmaps(rows, count[place] > 1)
+
+
+_PAIRS = _CODES + ", seconds binary"
+
+
+def _pairs(row: dict, block: tuple) -> tuple[np.ndarray,
+                                             list[tuple[int, np.ndarray, np.ndarray]]]:
+    """Of a block (and its ``_firsts``) with the owners' bitmaps: for each first the place of its string in the
+    list of all strings that are sent again (-1: in no other block), and that list: for
+    each owner names and second hashes, in this order and each pair once."""
+    data, starts, first, names = block
+    answers = sorted(row["answers"], key=lambda a: a["owner"])
+    bits = [np.unpackbits(np.frombuffer(a["marks"], dtype=np.uint8))[:a["codes"]]
+            for a in answers]
+    distinct, place = np.unique(names, return_inverse=True)
+    again = np.concatenate(bits).astype(bool)[place] if bits else np.zeros(0, dtype=bool)
+    owner = np.repeat([a["owner"] for a in answers], [a["codes"] for a in answers])[place[again]]
+    second = prefix_names(data, LENGTH, _SECOND, 257)[starts[first][again]]
+    name = names[again]
+    order = np.lexsort((second, name))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = ((name[order][1:] != name[order][:-1])
+               | (second[order][1:] != second[order][:-1]))
+    at = np.full(len(names), -1)
+    at[np.flatnonzero(again)[order]] = np.cumsum(new) - 1
+    kept = order[new]
+    cuts = np.flatnonzero(np.diff(owner[kept], prepend=-1))
+    return at, [(int(owner[part[0]]), name[part], second[part])
+                for part in np.split(kept, cuts[1:]) if len(part)]
+
+
+def _send_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = arrow_schema(_PAIRS)
+    for batch in batches:
+        for row in batch.to_pylist():
+            sent = _pairs(row, _firsts(row))[1]
+            coded = [golomb_encode(n) for _, n, _ in sent]
+            yield record_batch(schema, len(sent), block=row["block"], owner=[o for o, _, _ in sent],
+                               codes=[len(n) for _, n, _ in sent],
+                               first=[int(n[0]) for _, n, _ in sent],
+                               low_bits=[c[0] for c in coded], high=[c[1] for c in coded],
+                               low=[c[2] for c in coded], seconds=[x.tobytes() for _, _, x in sent])
+
+
+def _earlier(table: pa.Table) -> pa.Table:
+    """One owner: for each block a bitmap of its strings that an earlier block has sent,
+    equal in name and second hash."""
+    rows, lists = _decoded(table)
+    name = np.concatenate(lists)
+    second = np.concatenate([np.frombuffer(r["seconds"], dtype=_U) for r in rows])
+    order = np.lexsort((second, name))  # stable: the blocks' order within equal strings
+    marked = np.zeros(len(order), dtype=bool)
+    marked[order[1:]] = ((name[order[1:]] == name[order[:-1]])
+                         & (second[order[1:]] == second[order[:-1]]))
+    return _bitmaps(rows, marked)
+
+
 _SPANS = "doc_id long, sha string, starts array<long>, ends array<long>"
 
 
@@ -329,13 +422,15 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             sizes = np.array(row["sizes"])
-            data, starts, first, names = _firsts(row)
-            answers = sorted(row["answers"], key=lambda a: a["owner"])
-            marks = np.concatenate([np.unpackbits(np.frombuffer(a["marks"], dtype=np.uint8))[
-                :a["codes"]] for a in answers]).astype(bool)
-            distinct, place = np.unique(names, return_inverse=True)
+            block = _firsts(row)
+            data, starts, first, _ = block
+            at, _ = _pairs(row, block)
+            marks = np.concatenate([np.zeros(0, dtype=np.uint8), *(
+                np.unpackbits(np.frombuffer(a["marks"], dtype=np.uint8))[:a["codes"]]
+                for a in sorted(row["earlier"] or (), key=lambda a: a["owner"]))]).astype(bool)
             gone = np.ones(len(starts), dtype=bool)
-            gone[np.flatnonzero(first)] = marks[place]
+            gone[np.flatnonzero(first)] = [False] * len(at) if not len(marks) else (
+                (at >= 0) & marks[at])
             edge = np.zeros(len(data) + 1, dtype=np.int32)
             np.add.at(edge, starts[gone], 1)
             np.add.at(edge, starts[gone] + LENGTH, -1)
@@ -382,6 +477,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                            kept_sha256=[hashlib.sha256(k).hexdigest() for k in kept])
 
 
+def _by_block(answers: DataFrame, name: str) -> DataFrame:
+    return answers.groupBy("block").agg(
+        F.collect_list(F.struct("owner", "marks", "codes")).alias(name))
+
+
 def suffix_dedup(docs: DataFrame, owners: int | None = None) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans
     (maximal removed runs), bytes (what remains; it may cut a character) and kept_sha256.
@@ -413,14 +513,19 @@ def suffix_dedup(docs: DataFrame, owners: int | None = None) -> DataFrame:
     repeated = saved(sent.groupBy("owner").applyInArrow(
         _repeated, "codes int, first long, low_bits int, high binary, low binary"), "repeated")
     n_repeated = repeated.agg(F.sum("codes")).first()[0] or 0
-    known = None
     if 8 * n_repeated <= FILTER_BYTES:
         lists = [golomb_decode(r.codes, r.first, r.low_bits, bytes(r.high), bytes(r.low))
                  for r in repeated.filter("codes > 0").collect()]
         known = spark.sparkContext.broadcast(
             np.sort(np.concatenate(lists)).tobytes() if lists else b"")
-    segments = saved(singles.select("doc_id", "sha", "text")
-                     .mapInArrow(_segments(known), _SEGMENTS), "segments")
+        around = singles.select("doc_id", "sha", "text")
+    else:
+        known = None
+        prints = singles.select("doc_id", "text").mapInArrow(_doc_prints, _PRINTS)
+        hits = (prints.join(repeated.mapInArrow(_names, "name long"), "name", "left_semi")
+                .groupBy("doc_id").agg(F.collect_set("name").alias("names")))
+        around = singles.join(hits, "doc_id").select("doc_id", "sha", "text", "names")
+    segments = saved(around.mapInArrow(_segments(known), _SEGMENTS), "segments")
     total = segments.agg(F.sum("strings")).first()[0] or 0
     parts = max(shuffle_parts(spark), -(-total // (4 * BLOCK)))
     blocks = saved(segments.repartitionByRange(parts, "doc_id", "sha", "at")
@@ -429,11 +534,13 @@ def suffix_dedup(docs: DataFrame, owners: int | None = None) -> DataFrame:
                    .mapInArrow(_sort_blocks, _BLOCKS), "blocks")
     names = blocks.select("block", "sizes", "bytes", "firsts").mapInArrow(
         _block_names(owners), _CODES)
-    answers = (names.groupBy("owner")
-               .applyInArrow(_earlier, "block long, owner int, marks binary, codes int")
-               .groupBy("block").agg(F.collect_list(F.struct("owner", "marks", "codes"))
-                                     .alias("answers")))
-    found = (blocks.join(answers, "block").drop("block").mapInArrow(_spans, _SPANS))
+    shared = names.groupBy("owner").applyInArrow(_shared, _ANSWERS)
+    asked = saved(_by_block(shared, "answers"), "shared")
+    pairs = (blocks.select("block", "sizes", "bytes", "firsts").join(asked, "block")
+             .mapInArrow(_send_pairs, _PAIRS))
+    earlier = _by_block(pairs.groupBy("owner").applyInArrow(_earlier, _ANSWERS), "earlier")
+    found = (blocks.join(asked, "block").join(earlier, "block", "left").drop("block")
+             .mapInArrow(_spans, _SPANS))
     spans = saved(found.groupBy("doc_id", "sha").agg(
         F.flatten(F.collect_list("starts")).alias("starts"),
         F.flatten(F.collect_list("ends")).alias("ends")), "spans")
