@@ -234,6 +234,15 @@ def test_suffix_dedup_filter_holds_at_every_size(spark, monkeypatch):
     assert results[0] == results[1] and kept[0] == kept[1] < 2000
 
 
+def test_suffix_dedup_owners_grow_with_the_strings(docs, monkeypatch):
+    asked, made = [], suffix_dedup._block_names
+    monkeypatch.setattr(suffix_dedup, "OWNER_STRINGS", 100)
+    monkeypatch.setattr(suffix_dedup, "_block_names", lambda n: asked.append(n) or made(n))
+    cols = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got(suffix_dedup.suffix_dedup(docs, owners=2), *cols) == brute.repeats(DOCS)
+    assert asked[0] > 2
+
+
 def test_suffix_array_is_sorted():
     import numpy as np
     rng = random.Random(5)

@@ -38,6 +38,8 @@ from tidemart.llm.shared import (
 LENGTH, GRAM = 100, 32
 #: Bytes of a block, at most (but for one segment's end).
 BLOCK = 1 << 20
+#: Strings whose names go to one owner, about; more strings have more owners.
+OWNER_STRINGS = 16 << 20
 #: Bits of the names that travel; strings of one name are told apart by a second hash.
 NAME_BITS = 62
 #: Repeated fingerprints go to all tasks up to this many bytes; beyond it they are joined.
@@ -533,7 +535,7 @@ def suffix_dedup(docs: DataFrame, owners: int | None = None) -> DataFrame:
                    .select("doc_id", "sha", "at", "bytes")
                    .mapInArrow(_sort_blocks, _BLOCKS), "blocks")
     names = blocks.select("block", "sizes", "bytes", "firsts").mapInArrow(
-        _block_names(owners), _CODES)
+        _block_names(max(owners, -(-total // OWNER_STRINGS))), _CODES)
     shared = names.groupBy("owner").applyInArrow(_shared, _ANSWERS)
     asked = saved(_by_block(shared, "answers"), "shared")
     pairs = (blocks.select("block", "sizes", "bytes", "firsts").join(asked, "block")
