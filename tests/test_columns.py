@@ -106,8 +106,8 @@ def test_shared_dir_fallback_sets_a_checkpoint_dir_only_when_unset():
             return self.value or default
 
     class Ctx:
-        def __init__(self):
-            self.dir = None
+        def __init__(self, master="local[2]"):
+            self.dir, self.master = None, master
 
         def getConf(self):
             return Conf(None)
@@ -119,11 +119,15 @@ def test_shared_dir_fallback_sets_a_checkpoint_dir_only_when_unset():
             self.dir = "file:" + d + "/abc"
 
     class Session:
-        def __init__(self, value):
+        def __init__(self, value, master="local[2]"):
             self.conf = Conf(value)
-            self.sparkContext = Ctx()
+            self.sparkContext = Ctx(master)
 
     assert shared_dir(Session("/shared/ckpt/")) == "/shared/ckpt"
     s = Session(None)
     first = shared_dir(s)
     assert first.startswith("file:") and shared_dir(s) == first
+    assert shared_dir(Session("/shared/ckpt", "spark://host:7077")) == "/shared/ckpt"
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(Session(None, master))
