@@ -87,7 +87,8 @@ def roots(n: int, links: Iterable[tuple[int, int]]) -> np.ndarray:
 
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
           "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
-          "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
+          "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary()),
+          "array<string>": pa.list_(pa.string())}
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
@@ -95,7 +96,7 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, _ARROW[t]) for n, t in (f.split(" ", 1) for f in ddl.split(", "))])
 
 
-def record_batch(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
+def record_batch(schema: pa.Schema, n: int, /, **columns) -> pa.RecordBatch:
     """``n`` rows of ``schema``: arrays, or one value for all rows; null where not given."""
     arrays = []
     for field in schema:
