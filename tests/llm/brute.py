@@ -167,3 +167,27 @@ def merkle(rows, fan=16):
                         sha("".join("".join(a) + "".join(b) for a, b in path)), digest,
                         digest == root))
     return out
+
+
+def ranking(docs, items, k=10):
+    """(item_id, rank, doc_id, score) of the best documents; ``docs`` and ``items`` are lists
+    of (id, text)."""
+    import math
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    held = [(i, Counter(term.findall(low(t or "")))) for i, t in docs]
+    sizes = [sum(c.values()) for _, c in held]
+    n_docs, n_terms = sum(s > 0 for s in sizes), sum(sizes)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for (i, c), n in zip(held, sizes):
+            m = 100 - 90 + (90 * n * n_docs) // max(n_terms, 1)
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    * (10 ** 9 * c[t] // (1000 * c[t] + 8 * m))
+                    for t in set(term.findall(low(text or ""))) if t in c)
+            if s > 0:
+                scores.append((-s, i is None, i))
+        scores.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(item, r, i, -s) for r, (s, _, i) in enumerate(scores[:k], 1)]
+    return out

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemart.llm.chat_windows import chat_windows, digests
 from tidemart.llm.decontamination import WINDOW, decontaminate
 from tidemart.llm.exact_dedup import exact_dedup
+from tidemart.llm.lexical_search import rank_documents
 from tidemart.llm.line_dedup import line_dedup
 from tidemart.llm.merge_dropout import Pieces, encode_pieces
 from tidemart.llm.merkle_manifest import build_manifest, leaf_digest, verify
@@ -99,15 +100,22 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify(build_manifest(docs, tampered_leaf(docs)))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("item_id", "rank", "doc_id", "score"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_token_files, op3_chat_windows, op4_exact_dedup, op5_token_counts,
     op6_decontamination, op7_near_dedup, op8_merge_dropout, op9_suffix_dedup,
-    op10_line_dedup, op11_merkle_manifest)}
+    op10_line_dedup, op11_merkle_manifest, op12_lexical_search)}
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = "string_split(coalesce(text, ''), chr(10))"
 _STRIPPED = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 _WORDS = (f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, "
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+_TERMS = (f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 
 #: The other queries have no SQL form (learnt scores, tokenizers, near duplicates, windows of
 #: a template, byte strings): tests/llm holds them against brute force.
@@ -148,4 +156,18 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), ''))
          AS kept_sha256
 FROM g GROUP BY doc_id""",
+    "op12_lexical_search": f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ws FROM documents),
+n AS (SELECT count(*) AS n, CAST(sum(len(ws)) AS BIGINT) AS l FROM d WHERE len(ws) > 0),
+t AS (SELECT doc_id, n_terms, term, count(*) AS tf FROM (
+        SELECT doc_id, len(ws) AS n_terms, unnest(ws) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM t GROUP BY term), n),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, CAST(sum(
+        w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n_terms * n) // l)))) AS BIGINT)
+        AS score FROM q JOIN w USING (term) JOIN t USING (term), n GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM s WHERE score > 0) WHERE rank <= 10""",
 }
