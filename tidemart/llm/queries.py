@@ -16,6 +16,7 @@ from tidemart.llm.line_dedup import line_dedup
 from tidemart.llm.merge_dropout import Pieces, encode_pieces
 from tidemart.llm.merkle_manifest import build_manifest, leaf_digest, verify
 from tidemart.llm.near_dedup import near_dedup
+from tidemart.llm.quality_ranking import THRESHOLD, fit_ranker, held_out_quality, rank_quality
 from tidemart.llm.shared import saved, table
 from tidemart.llm.suffix_dedup import suffix_dedup
 from tidemart.llm.token_counts import Vocabulary, token_counts
@@ -105,10 +106,19 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("item_id", "rank", "doc_id", "score"))
 
 
+def op13_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ranker = fit_ranker(docs, labels.filter(~held_out_quality()))
+    return (rank_quality(docs, ranker)
+            .select("doc_id", held_out_quality().alias("held_out"), "score",
+                    (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_token_files, op3_chat_windows, op4_exact_dedup, op5_token_counts,
     op6_decontamination, op7_near_dedup, op8_merge_dropout, op9_suffix_dedup,
-    op10_line_dedup, op11_merkle_manifest, op12_lexical_search)}
+    op10_line_dedup, op11_merkle_manifest, op12_lexical_search,
+    op13_quality_ranking)}
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = "string_split(coalesce(text, ''), chr(10))"
 _STRIPPED = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
