@@ -13,7 +13,7 @@ from __future__ import annotations
 import time
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampType)
@@ -24,8 +24,10 @@ from tidemart.functions.columns import (DEFAULT_BLOCK_BYTES, DEFAULT_BLOCKS_PER_
                                         unescape_partition_value)
 from tidemart.operators.project import range_predicate
 from tidemart.plans.mart import Mart, delete_path, path_exists
+from tidemart.sources.folders import (ASIDE, STAGED, Folder, begin_switch, new_version, put_back,
+                                      settle, supersede)
 from tidemart.sources.tables import (alter_partitions, clear_mart, refresh_catalog, spread_key,
-                                     write_tasks)
+                                     sql_text, write_tasks)
 
 #: above this many partitions a plan is joined with a shuffle, not broadcast
 BROADCAST_PLAN_ROWS = 200_000
@@ -257,87 +259,77 @@ def compact(spark: SparkSession, mart: Mart, column: str | None = None,
 
 
 # M6 ----------------------------------------------------------------------------
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _data_files(fs, folder) -> set[str]:
-    return {st.getPath().getName() for st in fs.listStatus(folder)
-            if st.isFile() and not st.getPath().getName().startswith(("_", "."))}
-
-
-def _rename(fs, source, target) -> None:
-    if not fs.rename(source, target):
-        raise RuntimeError(f"could not move {source} to {target}; nothing was deleted")
-
-
-def _finish_switch(fs, root_p, staged_p, old_p, rows) -> None:
-    """Bring an interrupted :func:`compact_flat` to an end without losing a row.
-
-    The old folder exists only while a switch is under way.  With the staged copy
-    still beside it the switch did not happen: the old folder is the mart, and files
-    that were appended to a recreated root meanwhile move into it.  Without the
-    staged copy the root is the compacted mart and the old folder is spare.
-    """
-    if not fs.exists(old_p):
-        if fs.exists(staged_p):
-            fs.delete(staged_p, True)  # the root was never touched
-        return
-    if fs.exists(root_p) and not fs.exists(staged_p) and rows(root_p) >= rows(old_p):
-        fs.delete(old_p, True)
-        return
-    if fs.exists(root_p):
-        for name in _data_files(fs, root_p):
-            _rename(fs, root_p.suffix(f"/{name}"), old_p.suffix(f"/{name}"))
-        fs.delete(root_p, True)
-    _rename(fs, old_p, root_p)
-    if fs.exists(staged_p):
-        fs.delete(staged_p, True)
-
-
 def compact_flat(spark: SparkSession, mart: Mart, block_bytes: int = DEFAULT_BLOCK_BYTES,
                  blocks_per_file: float = DEFAULT_BLOCKS_PER_FILE) -> dict:
-    """Rewrite an unpartitioned mart into ``factor`` files; at no point is the only
-    copy of a row deleted.
+    """Rewrite an unpartitioned mart into ``factor`` files of about equal size.
 
-    1. write the copy to a staged sibling and compare its row count; 2. move the
-    original aside; 3. if files were added to it since it was read, move it back and
-    raise; 4. move the copy into place; 5. delete the original.  The next call ends an
-    interrupted switch first (:func:`_finish_switch`), whatever was appended meanwhile.
-    """
-    root = mart.path.rstrip("/")
-    root_p, fs = _fs(spark, root)
-    staged_p, old_p = (_fs(spark, root + end)[0] for end in ("__staged", "__compacting"))
+    A verified copy is written first; then
 
-    def rows(folder) -> int:
-        return spark.read.schema(mart.schema).parquet(str(folder)).count()
+    * a registered mart is switched to the copy's folder by one change of its ``LOCATION``:
+      readers see the old files or the new ones, never none.  Files that reach the old folder
+      before the switch are moved over after it; address such a mart by its table, its folder
+      changes (``location`` in the result);
+    * a mart without a catalog entry is switched by two moves, between which its folder is
+      missing.  The second one refuses to move into a folder that someone has recreated.
 
-    _finish_switch(fs, root_p, staged_p, old_p, rows)
+    If files were added since the mart was read, nothing is switched and a RuntimeError says
+    so.  Wherever a run is cut off, the next writer or compaction ends the switch
+    (:func:`tidemart.sources.folders.settle`) with every row, those appended meanwhile
+    included, and with none that was cleared.
+    """
+    mart = settle(spark, mart)
+    root = Folder(spark, mart.path)
     inv = compaction_plan(partition_inventory(spark, mart, with_rows=False),
-                          block_bytes, blocks_per_file).collect()
-    if not inv or not inv[0]["needs_rewrite"]:
-        return {"rewritten": False, "files_before": inv[0]["files"] if inv else 0}
-    factor, files_before = int(inv[0]["factor"]), int(inv[0]["files"])
-    read = _data_files(fs, root_p)
-    src = spark.read.schema(mart.schema).parquet(root)
-    expected = src.count()
-    (src.select(*mart.columns, F.pmod(spread_key(src), F.lit(factor)).alias("__bucket"))
-     .repartition(factor, "__bucket").drop("__bucket")
-     .write.mode("errorifexists").parquet(str(staged_p)))
-    written = rows(staged_p)
-    if written != expected:
-        raise RuntimeError(f"compacted copy has {written} rows, original {expected}; "
-                           f"original left untouched at {root}")
-    _rename(fs, root_p, old_p)
-    if _data_files(fs, old_p) != read:
-        _finish_switch(fs, root_p, staged_p, old_p, rows)
-        raise RuntimeError(f"files were added to {root} while it was compacted; left as it was")
-    _rename(fs, staged_p, root_p)
-    fs.delete(old_p, True)
+                          block_bytes, blocks_per_file).first()
+    if inv is None or not inv["needs_rewrite"]:
+        return {"rewritten": False, "files_before": inv["files"] if inv else 0,
+                "location": mart.path}
+    factor, files_before = int(inv["factor"]), int(inv["files"])
+    copy = new_version(root) if mart.table else root.beside(STAGED)
+    read = root.files()
+    written = _write_copy(spark, mart, copy, factor)
+    if root.files() != read:
+        copy.delete()
+        raise RuntimeError(f"files were added to {mart.path} while it was compacted; "
+                           "it was left as it is")
+    if mart.table:
+        supersede(copy, root, read)
+        spark.sql(f"ALTER TABLE {mart.table} SET LOCATION {sql_text(copy.path)}")
+    else:
+        _switch_folder(root, copy, read)
+    mart = settle(spark, mart)
     refresh_catalog(spark, mart, "none")
-    return {"rewritten": True, "files_before": files_before, "factor": factor, "rows": written}
+    return {"rewritten": True, "files_before": files_before, "factor": factor, "rows": written,
+            "location": mart.path}
+
+
+def _write_copy(spark: SparkSession, mart: Mart, copy: Folder, factor: int) -> int:
+    """Write the mart's rows to ``copy`` in ``factor`` even files.  The rows are counted by
+    the tasks that write them (once for each, also when tasks are repeated) and compared with
+    the footers of the files they came from, so nothing is read twice."""
+    seen = Observation()
+    rows = spark.read.schema(mart.schema).parquet(mart.path).select(*mart.columns)
+    expected = rows.count()
+    (rows.repartition(factor).observe(seen, F.count(F.lit(1)).alias("rows"))
+     .write.mode("errorifexists").parquet(copy.path))
+    written = int(seen.get["rows"]) if expected else 0
+    if written != expected:
+        raise RuntimeError(f"compacted copy has {written} rows, {expected} were read; "
+                           f"{mart.path} was left as it is")
+    return written
+
+
+def _switch_folder(root: Folder, copy: Folder, read: set[str]) -> None:
+    begin_switch(root, read)
+    aside = root.beside(ASIDE)
+    root.move(aside)
+    try:
+        if aside.files() != read:
+            raise RuntimeError(f"files were added to {root.path} while it was compacted")
+        copy.move(root)
+    except RuntimeError:
+        put_back(root)
+        raise
 
 
 # M1 ----------------------------------------------------------------------------

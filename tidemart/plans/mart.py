@@ -46,11 +46,24 @@ class Mart:
     def with_path(self, path: str) -> "Mart":
         return replace(self, path=path)
 
+    def located(self, spark: SparkSession) -> "Mart":
+        """This mart at the place the catalog gives a registered flat mart now (compaction
+        moves it to a new folder); other marts stay where they are."""
+        if not self.table or self.is_partitioned:
+            return self
+        row = (spark.sql(f"DESC FORMATTED {self.table}")
+               .where("col_name = 'Location'").select("data_type").first())
+        return self if row is None else self.with_path(row[0])
+
     def read_files(self, spark: SparkSession) -> DataFrame:
-        """Rows as they are on disk (pinned schema); empty when nothing was written."""
-        if not path_exists(spark, self.path):
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(self.path)
+        """Rows as they are on disk (pinned schema); empty when nothing was written.  A flat
+        mart whose switch to a compacted copy was interrupted is read where it was put."""
+        path = self.located(spark).path.rstrip("/")
+        if not path_exists(spark, path):
+            path = f"{path}__compacting"
+            if self.is_partitioned or not path_exists(spark, path):
+                return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Rows through the catalog when the mart is registered, else from files."""

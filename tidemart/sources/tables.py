@@ -16,13 +16,14 @@ from pyspark.sql.types import StructType
 
 from tidemart.operators.project import conform_columns, conform_schema, rename_by_position
 from tidemart.plans.mart import Mart, path_exists
+from tidemart.sources.folders import settle
 
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _sql_text(s: str) -> str:
+def sql_text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -117,6 +118,7 @@ def overwrite_partitions(df: DataFrame, mart: Mart, by_position: bool = False) -
     tasks.  For an unpartitioned mart the whole table is replaced (refused when
     ``df`` reads from that same folder).
     """
+    mart = settle(df.sparkSession, mart)
     out = rename_by_position(df, mart.schema) if by_position else conform_schema(df, mart.schema)
     if mart.is_partitioned:
         (out.hint("rebalance", *mart.partition_by)
@@ -246,6 +248,7 @@ def load_from_dir(spark: SparkSession, source_dir: str | Sequence[str], mart: Ma
     """Read parquet from a folder (optionally keeping partition columns via
     ``base_dir``), spread it over ``n_files`` files per partition and write it
     into ``mart`` by position, replacing the partitions it covers or appending."""
+    mart = settle(spark, mart)
     dirs = [source_dir] if isinstance(source_dir, str) else list(source_dir)
     n = max(int(n_files), 1)
     if base_dir is not None:
@@ -278,6 +281,7 @@ def append_rows(spark: SparkSession, rows: DataFrame | Iterable[Mapping[str, obj
                 mart: Mart, strict: bool = True) -> Mart:
     """Append rows conformed to the mart's schema: missing values are NULL,
     unknown names are rejected (``strict``) or dropped."""
+    mart = settle(spark, mart)
     if isinstance(rows, DataFrame):
         df = conform_schema(rows, mart.schema, strict=strict)
     else:
@@ -309,7 +313,7 @@ def table_ddl(name: str, columns: Sequence[tuple[str, str]], location: str,
     cols = ",\n  ".join(f"{_q(n)} {t}" for n, t in columns)
     parts = f"\nPARTITIONED BY ({', '.join(_q(k) for k in partition_by)})" if partition_by else ""
     return [f"DROP TABLE IF EXISTS {name}",
-            f"CREATE TABLE {name} (\n  {cols}\n) USING PARQUET{parts}\nLOCATION {_sql_text(location)}"]
+            f"CREATE TABLE {name} (\n  {cols}\n) USING PARQUET{parts}\nLOCATION {sql_text(location)}"]
 
 
 def create_mart(spark: SparkSession, name: str, mart: Mart) -> Mart:
@@ -335,6 +339,7 @@ def recreate_flat_table(spark: SparkSession, name: str, columns: Sequence[tuple[
 def clear_mart(spark: SparkSession, mart: Mart) -> Mart:
     """Remove every row of a mart by overwriting it with an empty frame, whatever the
     session's partition overwrite mode is."""
+    mart = settle(spark, mart)
     empty = spark.createDataFrame([], mart.schema)
     writer = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if mart.is_partitioned:
