@@ -11,6 +11,7 @@ ever brought to the driver, and only to name the folders to read or delete.
 from __future__ import annotations
 
 import time
+from itertools import islice
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,8 +27,9 @@ from tidemart.operators.project import range_predicate
 from tidemart.plans.mart import Mart, delete_path, path_exists
 from tidemart.sources.folders import (ASIDE, STAGED, Folder, begin_switch, new_version, put_back,
                                       settle, supersede)
-from tidemart.sources.tables import (alter_partitions, clear_mart, refresh_catalog, spread_key,
-                                     sql_text, write_tasks)
+from tidemart.session import saved, unique_name
+from tidemart.sources.tables import (alter_partitions, clear_mart, column_plan, refresh_catalog,
+                                     spread_key, sql_text, table_ddl, write_tasks)
 
 #: above this many partitions a plan is joined with a shuffle, not broadcast
 BROADCAST_PLAN_ROWS = 200_000
@@ -35,6 +37,8 @@ BROADCAST_PLAN_ROWS = 200_000
 DEFAULT_MAX_JOB_BYTES = 2 * 1024 ** 4
 #: parallel folder deletions issued by the driver (metadata calls only)
 DELETE_THREADS = 16
+#: partitions dropped and deleted together
+DELETE_BATCH = 1000
 
 
 def _relative_partition(path: Column, keys: Sequence[str]) -> Column:
@@ -58,7 +62,7 @@ _LISTING_SCHEMA = StructType([
 
 # M2 (listing part) -------------------------------------------------------------
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
-    """Every visible file under ``root``: path, length, modification time.
+    """Every visible file under ``root`` that has bytes: path, length, modification time.
 
     Uses the ``binaryFile`` source without its content column, so no file is
     opened; names starting with ``_`` or ``.`` are skipped by Spark's listing.
@@ -69,28 +73,57 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
             .load(root).select("path", "modificationTime", "length"))
 
 
-def _rows_per_partition(spark: SparkSession, mart: Mart) -> DataFrame:
-    """Row count per partition from a scan that decodes no column: the key
-    values are constants of each file, so the per-row work is one short hash."""
+def partition_folders(spark: SparkSession, mart: Mart) -> DataFrame:
+    """``partition`` text of every key folder below the mart's location, also of folders
+    that hold no file: what a repair finds for a throw-away table over the location."""
+    if not path_exists(spark, mart.path):
+        return spark.createDataFrame([], "partition string")
+    probe = unique_name("folders")
+    try:
+        for stmt in table_ddl(probe, column_plan(mart.schema), mart.path, mart.partition_by):
+            spark.sql(stmt)
+        spark.sql(f"MSCK REPAIR TABLE {probe} ADD PARTITIONS")
+        return spark.sql(f"SHOW PARTITIONS {probe}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {probe}")  # external: the files stay
+
+
+def rows_per_partition(spark: SparkSession, mart: Mart) -> DataFrame:
+    """Key columns and ``rows`` of each partition, from the files' footers: the count is
+    pushed into the Parquet reader, so no row is read.  Readers that do not push it give the
+    same rows from a scan without columns."""
     keys = list(mart.partition_by)
     if not path_exists(spark, mart.path):
         return spark.createDataFrame(
             [], ", ".join([f"`{k}` string" for k in keys] + ["rows bigint"]))
-    data = spark.read.schema(mart.schema).parquet(mart.path)
+    # settings of its own: the session of the caller keeps its readers
+    counting = spark.newSession()
+    counting.conf.set("spark.sql.sources.useV1SourceList", "")
+    counting.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    data = counting.read.schema(mart.schema).parquet(mart.path)
     return data.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _without_scheme(location: Column) -> Column:
+    return F.regexp_replace(location, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+
+
 # M2 ----------------------------------------------------------------------------
 def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True,
-                        pattern: str | None = None) -> DataFrame:
-    """One row per partition folder of ``mart``.
+                        pattern: str | None = None, known: DataFrame | None = None,
+                        levels: int | None = None) -> DataFrame:
+    """One row per partition folder of ``mart``, folders without files included.
 
-    Columns: ``partition`` (folder text, as SHOW PARTITIONS prints it), one
-    column per partition key (decoded value, NULL for the NULL folder),
-    ``location``, ``files``, ``bytes``, ``modified_at`` (newest file),
+    Columns: ``partition`` (folder text, as SHOW PARTITIONS prints it), one column per
+    partition key (decoded value, NULL for the NULL folder), ``location``, ``files``,
+    ``bytes`` (both 0 for a folder without data), ``modified_at`` (newest file),
     ``modified_utc`` (its UTC text) and, when ``with_rows``, ``rows``.
-    An unpartitioned mart gives a single row with ``partition = ''``.
-    ``pattern`` keeps only folders whose full location matches it.
+    An unpartitioned mart gives a single row with ``partition = ''`` if it holds files.
+
+    ``pattern`` keeps only folders whose whole path, without scheme and authority, matches
+    it.  ``known`` (an earlier inventory with rows) saves counting: only folders whose files,
+    bytes or newest modification differ from it are counted.  ``levels`` rolls the folders
+    up to the first so many keys (1: first-level listing).
     """
     keys = list(mart.partition_by)
     files = file_listing(spark, mart.path)
@@ -104,27 +137,91 @@ def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True,
            .groupBy("partition", "location")
            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
                 F.max("modificationTime").alias("modified_at")))
+    if keys:
+        every = partition_folders(spark, mart).withColumnRenamed("partition", "__folder")
+        inv = (inv.join(every, F.col("partition") == F.col("__folder"), "full_outer")
+               .select(F.coalesce("partition", "__folder").alias("partition"),
+                       F.coalesce("location", F.concat(F.lit(Folder(spark, mart.path).qualified()),
+                                                       F.lit("/"), F.col("__folder")))
+                       .alias("location"),
+                       F.coalesce("files", F.lit(0).cast("bigint")).alias("files"),
+                       F.coalesce("bytes", F.lit(0).cast("bigint")).alias("bytes"),
+                       "modified_at"))
     if pattern:
-        inv = inv.where(F.col("location").rlike("^(?:" + pattern + ")$"))
+        inv = inv.where(_without_scheme(F.col("location")).rlike("^(?:" + pattern + ")$"))
     inv = inv.select("partition", *[_key_value(F.col("partition"), k).alias(k) for k in keys],
                      "location", "files", "bytes", "modified_at",
                      instant_text("modified_at").alias("modified_utc"))
     if with_rows:
-        rows = _rows_per_partition(spark, mart)
-        if keys:
-            rows = rows.select(*[F.col(k).alias(f"__r_{k}") for k in keys], "rows")
-            cond = [inv[k].eqNullSafe(rows[f"__r_{k}"]) for k in keys]
-            inv = inv.join(rows, cond, "left").drop(*[f"__r_{k}" for k in keys])
-        else:
-            inv = inv.join(rows.withColumn("partition", F.lit("")), "partition", "left")
-        inv = inv.withColumn("rows", F.coalesce(F.col("rows"), F.lit(0).cast("bigint")))
+        inv = _with_rows(spark, mart, inv, known)
+    if levels is not None and levels < len(keys):
+        inv = _rolled_up(inv, keys[:levels], with_rows)
     return inv
 
 
-def bytes_per_row(spark: SparkSession, mart: Mart) -> float | None:
-    """Stored bytes per row of the whole mart (a listing and a count from the
-    footers); None when the mart holds no rows yet."""
-    total = partition_inventory(spark, mart).agg(F.sum("bytes"), F.sum("rows")).first()
+def _with_rows(spark: SparkSession, mart: Mart, inv: DataFrame, known: DataFrame | None
+               ) -> DataFrame:
+    keys = list(mart.partition_by)
+    if known is not None:
+        same = ("files", "bytes", "modified_at")
+        seen = known.select(F.col("partition").alias("__part"),
+                            *[F.col(c).alias(f"__{c}") for c in same],
+                            F.col("rows").alias("__rows"))
+        inv = saved(inv, "inventory").join(seen, F.col("partition") == F.col("__part"), "left")
+        fresh = F.col("__rows").isNotNull()
+        for c in same:
+            fresh &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+        inv = inv.withColumn("__rows", F.when(fresh | (F.col("files") == 0),
+                                              F.coalesce("__rows", F.lit(0).cast("bigint"))))
+        inv = inv.drop("__part", *[f"__{c}" for c in same])
+        changed = [r["location"] for r in
+                   inv.filter("__rows is null").select("location").toLocalIterator()]
+        rows = _rows_of_folders(spark, mart, changed)
+    else:
+        inv = inv.withColumn("__rows", F.lit(None).cast("bigint"))
+        rows = rows_per_partition(spark, mart)
+    if keys:
+        rows = rows.select(*[F.col(k).cast("string").alias(f"__r_{k}") for k in keys], "rows")
+        cond = [inv[k].eqNullSafe(rows[f"__r_{k}"]) for k in keys]
+        inv = inv.join(rows, cond, "left").drop(*[f"__r_{k}" for k in keys])
+    else:
+        inv = inv.join(rows.withColumn("partition", F.lit("")), "partition", "left")
+    return inv.withColumn("rows", F.coalesce("__rows", "rows", F.lit(0).cast("bigint"))).drop("__rows")
+
+
+def _rows_of_folders(spark: SparkSession, mart: Mart, locations: Sequence[str]) -> DataFrame:
+    """:func:`rows_per_partition` that opens the footers of these folders only."""
+    if not locations:
+        return spark.createDataFrame(
+            [], ", ".join([f"`{k}` string" for k in mart.partition_by] + ["rows bigint"]))
+    data = (spark.read.schema(mart.schema).option("basePath", mart.path).parquet(*locations))
+    return data.groupBy(*mart.partition_by).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _rolled_up(inv: DataFrame, keys: Sequence[str], with_rows: bool) -> DataFrame:
+    part = F.regexp_extract("partition", "^" + "/".join(["[^/]*"] * len(keys)), 0)
+    above = F.expr("substr(location, 1, length(location) - length(partition) + length(__part))")
+    sums = [F.sum(c).alias(c) for c in ("files", "bytes")]
+    return (inv.withColumn("__part", part).withColumn("__loc", above)
+            .groupBy(F.col("__part").alias("partition"), *keys, F.col("__loc").alias("location"))
+            .agg(*sums, F.max("modified_at").alias("modified_at"),
+                 F.max("modified_utc").alias("modified_utc"),
+                 *([F.sum("rows").alias("rows")] if with_rows else [])))
+
+
+# A9 ----------------------------------------------------------------------------
+def directory_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """Total ``bytes`` of the visible files below a folder (0 when there are none)."""
+    return file_listing(spark, path).agg(
+        F.coalesce(F.sum("length"), F.lit(0).cast("bigint")).alias("bytes"))
+
+
+def bytes_per_row(spark: SparkSession, mart: Mart, inventory: DataFrame | None = None
+                  ) -> float | None:
+    """Stored bytes per row of the whole mart (a listing and a count from the footers, or an
+    ``inventory`` that has them); None when the mart holds no rows yet."""
+    inv = partition_inventory(spark, mart) if inventory is None else inventory
+    total = inv.agg(F.sum("bytes"), F.sum("rows")).first()
     return float(total[0]) / float(total[1]) if total[1] else None
 
 
@@ -345,17 +442,52 @@ def list_partitions(spark: SparkSession, mart: Mart) -> DataFrame:
 def last_partition(spark: SparkSession, mart: Mart, column: str | None = None) -> DataFrame:
     """The greatest partition text (string order of the whole ``k=v/...`` text)
     as ``partition`` plus its decoded ``spec`` map (only ``column`` if given).
+    Partitions whose folder is gone do not count, whatever the catalog says.
     Empty result when the mart has no partitions (or none at all)."""
     if not mart.is_partitioned:
         return spark.createDataFrame([], "partition string, spec map<string,string>")
-    parts = list_partitions(spark, mart)
-    top = parts.orderBy(F.col("partition").desc()).limit(1)
+    newest = _newest_on_disk(spark, mart)
+    top = spark.createDataFrame([(newest,)] if newest is not None else [], "partition string")
     spec = partition_spec_map(F.col("partition"))
     if column:
         spec = F.map_filter(spec, lambda k, _v: k == F.lit(column))
     return top.select("partition", spec.alias("spec"))
 
 
+def _newest_on_disk(spark: SparkSession, mart: Mart) -> str | None:
+    """Greatest partition text whose folder exists: partitions that only the catalog still
+    knows are passed over, from the greatest down (usually the first one exists)."""
+    if not mart.table:
+        return (partition_inventory(spark, mart, with_rows=False)
+                .agg(F.max("partition")).first()[0])
+    ordered = list_partitions(spark, mart).orderBy(F.col("partition").desc())
+    for row in ordered.toLocalIterator():
+        if path_exists(spark, f"{mart.path.rstrip('/')}/{row['partition']}"):
+            return row["partition"]
+    return None
+
+
+def partition_state(spark: SparkSession, mart: Mart, inventory: DataFrame | None = None
+                    ) -> DataFrame:
+    """The inventory with ``on_disk`` and ``in_catalog``: partitions that only the catalog of
+    a registered mart knows appear without files, those that only the disk knows are not
+    ``in_catalog``.  A mart without a catalog entry is as its disk says."""
+    inv = inventory if inventory is not None else partition_inventory(spark, mart, with_rows=False)
+    inv = inv.withColumn("on_disk", F.lit(True))
+    if not mart.table:
+        return inv.withColumn("in_catalog", F.lit(False))
+    listed = list_partitions(spark, mart).withColumnRenamed("partition", "__listed")
+    joined = inv.join(listed, F.col("partition") == F.col("__listed"), "full_outer")
+    root = F.lit(Folder(spark, mart.path).qualified())
+    return (joined.withColumn("in_catalog", F.col("__listed").isNotNull())
+            .withColumn("on_disk", F.coalesce("on_disk", F.lit(False)))
+            .withColumn("location", F.coalesce("location", F.concat(root, F.lit("/"), "__listed")))
+            .withColumn("partition", F.coalesce("partition", "__listed"))
+            .withColumns({k: _key_value(F.col("partition"), k) for k in mart.partition_by})
+            .withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("files", "bytes")})
+            .drop("__listed"))
+
+
 def last_partition_spec(spark: SparkSession, mart: Mart, column: str | None = None) -> dict:
     row = last_partition(spark, mart, column).first()
     return {} if row is None else dict(row["spec"])
@@ -370,9 +502,10 @@ def delete_partitions(spark: SparkSession, mart: Mart, column: str | None = None
     in ``[lower, upper]``; returns the removed partitions.
 
     Unknown key columns raise, NULL keys never match, and an unpartitioned mart
-    is emptied, and a window without bounds taken, only with ``allow_full_delete=True``.  Registered marts lose the
-    partitions from the catalog as well as from disk.  A current ``inventory``
-    may be passed to skip the listing.
+    is emptied, and a window without bounds taken, only with ``allow_full_delete=True``.
+    Catalog and disk are both looked at: partitions whose folder is gone leave the catalog,
+    folders that the catalog does not know or that hold no files (by their own time) go too.
+    A current ``inventory`` may be passed to skip the listing.
     """
     out_schema = "partition string, location string"
     if not mart.is_partitioned:
@@ -385,14 +518,33 @@ def delete_partitions(spark: SparkSession, mart: Mart, column: str | None = None
         raise ValueError("without bounds every partition would go; "
                          "pass allow_full_delete=True to do so")
     value = _window_value(mart, column)
-    inv = inventory if inventory is not None else partition_inventory(spark, mart, with_rows=False)
-    doomed = (inv.filter(range_predicate(value, lower, upper))
-              .select("partition", "location", *mart.partition_by).collect())
-    if mart.table and doomed:
-        alter_partitions(spark, mart.table, mart.partition_by, doomed, "DROP IF EXISTS")
-    _delete_folders(spark, [r["location"] for r in doomed])
+    state = partition_state(spark, mart, inventory)
+    if not column:
+        state = _dated_folders(spark, state)
+    doomed = saved(state.filter(range_predicate(value, lower, upper)).select(
+        "partition", "location", *mart.partition_by, "on_disk", "in_catalog"), "doomed")
+    rows = doomed.toLocalIterator()
+    while batch := list(islice(rows, DELETE_BATCH)):
+        listed = [r for r in batch if r["in_catalog"]]
+        if listed:
+            alter_partitions(spark, mart.table, mart.partition_by, listed, "DROP IF EXISTS")
+        _delete_folders(spark, [r["location"] for r in batch if r["on_disk"]])
     refresh_catalog(spark, mart, "none")
-    return spark.createDataFrame([(r["partition"], r["location"]) for r in doomed], out_schema)
+    return doomed.select("partition", "location")
+
+
+def _dated_folders(spark: SparkSession, state: DataFrame) -> DataFrame:
+    """``state`` with the folders' own modification time for folders without files (only
+    those are asked for, one metadata call each)."""
+    bare = [(r["location"], Folder(spark, r["location"]).modified_ms()) for r in
+            state.filter("on_disk and files = 0").select("location").toLocalIterator()]
+    if not bare:
+        return state
+    times = spark.createDataFrame(bare, "__bare string, __ms bigint")
+    return (state.join(times, F.col("location") == F.col("__bare"), "left")
+            .withColumn("modified_utc", F.coalesce("modified_utc",
+                                                   instant_text(F.timestamp_millis("__ms"))))
+            .drop("__bare", "__ms"))
 
 
 def _delete_folders(spark: SparkSession, locations: Sequence[str]) -> None:

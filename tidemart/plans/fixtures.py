@@ -17,6 +17,7 @@ from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, Stri
 from tidemart.functions.columns import TIME_FORMAT
 from tidemart.plans.mart import Mart
 from tidemart.session import work_path
+from tidemart.sources.folders import Folder
 from tidemart.sources.tables import overwrite_partitions
 
 LOADING_ID = 1001
@@ -120,5 +121,11 @@ def flat_copy(spark: SparkSession, df: DataFrame, label: str, files: int = 8) ->
     return path
 
 
+def empty_folder(spark: SparkSession, mart: Mart, partition: str, empty_file: str | None = None
+                 ) -> None:
+    """A partition folder without data: no file, or one of no bytes."""
+    Folder(spark, f"{mart.path}/{partition}").make(empty_file)
+
+
 def time_text(c: str):
     return F.date_format(c, TIME_FORMAT)

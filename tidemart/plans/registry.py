@@ -20,7 +20,7 @@ from tidemart.operators import project as proj
 from tidemart.plans import fixtures as fx
 from tidemart.plans.ledger import (RUN_LEDGER_SCHEMA, STEP_LEDGER_SCHEMA, Step, record_run,
                                    run_ledger_rows, run_statistics, stepped_load)
-from tidemart.plans.mart import Mart
+from tidemart.plans.mart import Mart, delete_path
 from tidemart.plans.refresh import RunSettings, refresh_mart
 from tidemart.session import unique_name, work_path
 from tidemart.sources import tables as src
@@ -251,10 +251,55 @@ def q_visible_paths(spark, sf):
 SELECT 'event_type=' || event_type || '/dt=' || dt AS partition FROM {_EV_PARTS}""")
 def q_partitions_with_data(spark, sf):
     mart = fx.events_mart(spark, sf, "with_data")
+    # two folders without data: only the filter keeps them out of the result
+    fx.empty_folder(spark, mart, "event_type=none/dt=2024-01-01")
+    fx.empty_folder(spark, mart, "event_type=none/dt=2024-01-02", empty_file="part-0.parquet")
     return parts.partitions_with_data(parts.partition_inventory(spark, mart, with_rows=False)) \
         .select("partition")
 
 
+@register("empty_partitions", f"""
+SELECT 'event_type=' || event_type || '/dt=' || dt AS partition, dt,
+       CAST(COUNT(*) AS BIGINT) AS rows, true AS has_data FROM {_EV} GROUP BY event_type, dt
+UNION ALL SELECT 'event_type=none/dt=' || dt, dt, 0, false FROM (SELECT DISTINCT dt FROM {_EV})""")
+def q_empty_partitions(spark, sf):
+    mart = fx.events_mart(spark, sf, "empty_folders")
+    for r in mart.read(spark).select("dt").distinct().toLocalIterator():
+        fx.empty_folder(spark, mart, f"event_type=none/dt={r['dt']}")
+    inv = parts.partition_inventory(spark, mart)
+    return inv.select("partition", "dt", "rows", (F.col("bytes") > 0).alias("has_data"))
+
+
+@register("directory_bytes", """
+SELECT 'source=' || source AS partition, CAST(SUM(strlen(coalesce(text, '')) + 1) AS BIGINT) AS bytes
+FROM documents GROUP BY source
+UNION ALL SELECT '', SUM(strlen(coalesce(text, '')) + 1) FROM documents""")
+def q_directory_bytes(spark, sf):
+    # lines of text have a known size: the bytes of a text and its line end
+    mart = Mart(work_path(spark, "bytes"), StructType([StructField("value", StringType()),
+                                                       StructField("source", StringType())]),
+                ("source",))
+    docs = fx.table(spark, sf, "documents").select(
+        F.coalesce("text", F.lit("")).alias("value"), "source")
+    docs.write.partitionBy("source").text(mart.path)
+    per_key = parts.partition_inventory(spark, mart, with_rows=False).select("partition", "bytes")
+    return per_key.unionByName(parts.directory_bytes(spark, mart.path)
+                               .select(F.lit("").alias("partition"), "bytes"))
+
+
+@register("partition_state", f"""
+SELECT 'event_type=' || event_type || '/dt=' || dt AS partition, dt < '2024-01-20' AS on_disk,
+       true AS in_catalog FROM {_EV_PARTS}
+UNION ALL SELECT 'event_type=none/dt=2024-01-01', true, false""")
+def q_partition_state(spark, sf):
+    mart = src.create_mart(spark, unique_name("state"), fx.events_mart(spark, sf, "state"))
+    late = parts.partition_inventory(spark, mart, with_rows=False).where("dt >= '2024-01-20'")
+    for r in late.select("location").toLocalIterator():
+        delete_path(spark, r["location"])  # behind the catalog
+    fx.empty_folder(spark, mart, "event_type=none/dt=2024-01-01")
+    return parts.partition_state(spark, mart).select("partition", "on_disk", "in_catalog")
+
+
 # ============================================================================
 # A / T: aggregates and ordering
 # ============================================================================

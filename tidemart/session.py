@@ -11,7 +11,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
@@ -55,6 +55,14 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemart/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back: one result for all later jobs, with its
+    lineage cut, also when executors are lost."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def unique_name(label: str) -> str:
     """A catalog table name that does not collide with earlier runs."""
     return f"tm_{label}_{uuid.uuid4().hex[:10]}"

@@ -41,6 +41,19 @@ class Folder:
     def child(self, name: str) -> "Folder":
         return Folder(self.spark, f"{self.path}/{name}")
 
+    def qualified(self) -> str:
+        """The path with its scheme, as file listings print it."""
+        return self._fs.makeQualified(self._p).toString()
+
+    def modified_ms(self) -> int:
+        return int(self._fs.getFileStatus(self._p).getModificationTime())
+
+    def make(self, empty_file: str | None = None) -> None:
+        """Create the folder, with an empty file in it if one is named."""
+        self._fs.mkdirs(self._p)
+        if empty_file:
+            self._fs.create(self.child(empty_file)._p, False).close()
+
     def exists(self) -> bool:
         return bool(self._fs.exists(self._p))
 
