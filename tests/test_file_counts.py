@@ -1,0 +1,149 @@
+"""File counts are what was asked for, files are even, and folders outside a plan are pruned."""
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+
+from tidemart.operators import partitions as P
+from tidemart.plans.mart import Mart
+from tidemart.sources import tables as S
+
+SCHEMA = StructType([StructField("id", LongType()), StructField("v", StringType()),
+                     StructField("dt", StringType())])
+
+
+def local(path):
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def per_file(spark, mart):
+    """partition folder -> rows of each of its files"""
+    out = {}
+    for r in mart.read_files(spark).groupBy("_metadata.file_path").count().collect():
+        folder = r["file_path"].rsplit("/", 2)[1]
+        out.setdefault(folder, []).append(r["count"])
+    return out
+
+
+def rows(spark, n, key):
+    return spark.createDataFrame([(i, "x" * 20, key(i)) for i in range(n)], SCHEMA)
+
+
+def source(spark, scratch, n, key, files=5):
+    path = scratch("src")
+    rows(spark, n, key).repartition(files).write.parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("n_files", [1, 8, 13])
+def test_load_writes_n_even_files_per_partition(spark, scratch, n_files):
+    path = source(spark, scratch, 9000, lambda i: [None, "", "a=b/c", "d1", "d2", "d3"][i % 6])
+    mart = Mart(scratch("mart"), SCHEMA, ("dt",))
+    S.load_from_dir(spark, path, mart, n_files=n_files)
+    found = per_file(spark, mart)
+    assert len(found) == 5 and all(len(f) == n_files for f in found.values())
+    assert all(max(f) < 1.5 * min(f) for f in found.values())
+    assert mart.read_files(spark).count() == 9000
+
+
+def test_load_of_a_flat_mart_and_of_partitioned_folders(spark, scratch):
+    path = source(spark, scratch, 800, lambda i: "d", files=3)
+    flat = Mart(scratch("flat"), SCHEMA)
+    S.load_from_dir(spark, path, flat, n_files=8)
+    assert sorted(len(f) for f in per_file(spark, flat).values()) == [8]
+    base = scratch("base")
+    rows(spark, 3000, lambda i: f"d{i % 3}").repartition(4).write.partitionBy("dt").parquet(base)
+    mart = Mart(scratch("kept"), SCHEMA, ("dt",))
+    S.load_from_dir(spark, [f"{base}/dt=d0", f"{base}/dt=d2"], mart, 6, base_dir=base)
+    S.load_from_dir(spark, f"{base}/dt=d0", mart, 2, overwrite=False, base_dir=base)
+    assert {k: len(f) for k, f in per_file(spark, mart).items()} == {"dt=d0": 8, "dt=d2": 6}
+
+
+def test_sized_write_gives_the_planned_files(spark, scratch):
+    path = source(spark, scratch, 20_000, lambda i: "hot" if i % 4 else f"c{i % 16}")
+    mart = Mart(scratch("sized"), SCHEMA, ("dt",))
+    S.overwrite_partitions_sized(spark.read.parquet(path), mart, 10.0, 12_500)
+    counts = {k: len(f) for k, f in per_file(spark, mart).items()}
+    assert counts == {"dt=hot": 12, "dt=c0": 1, "dt=c4": 1, "dt=c8": 1, "dt=c12": 1}
+    hot = per_file(spark, mart)["dt=hot"]
+    assert max(hot) < 1.5 * min(hot)
+
+
+def test_first_load_under_a_filter_is_sized_by_the_rows_that_survive(spark, scratch):
+    path = source(spark, scratch, 40_000, lambda i: "d", files=4)
+    df = spark.read.parquet(path)
+    size = P.directory_bytes(spark, path).first()["bytes"]
+    for share in (1, 10):
+        mart = Mart(scratch("first"), SCHEMA, ("dt",))
+        S.overwrite_partitions_sized(df.filter(F.col("id") % share == 0), mart, None, size // 20)
+        n = len(per_file(spark, mart)["dt=d"])
+        assert 20 / share <= n <= 20 / share + 2
+
+
+def test_empty_and_null_keys_of_a_registered_mart(spark, scratch):
+    mart = S.create_mart(spark, f"tm_keys_{uuid.uuid4().hex[:8]}", Mart(scratch("k"), SCHEMA, ("dt",)))
+    path = source(spark, scratch, 600, lambda i: ["", None, "d1"][i % 3])
+    S.overwrite_partitions_sized(spark.read.parquet(path), mart, 10.0, 100_000)
+    assert mart.read(spark).count() == 600
+    assert {r["dt"]: r["count"] for r in mart.read(spark).groupBy("dt").count().collect()} \
+        == {None: 400, "d1": 200}
+    S.overwrite_partitions(spark.read.parquet(path), mart)
+    assert mart.read(spark).count() == 600
+    empty = spark.read.parquet(path).filter("id < 0")
+    S.overwrite_partitions_sized(empty, mart, 10.0, 100_000)
+    S.overwrite_partitions_sized(empty, mart, None, 100_000)
+    assert mart.read(spark).count() == 600
+
+
+def keyed(spark, scratch, key_type, value):
+    schema = StructType([*SCHEMA.fields[:2], StructField("m", key_type)])
+    mart = Mart(scratch("mart"), schema, ("m",))
+    data = spark.createDataFrame([(i, "same", value if i % 3 else None) for i in range(9000)],
+                                 "id long, v string, m string")
+    data.repartition(11).write.partitionBy("m").parquet(mart.path)
+    size = P.partition_inventory(spark, mart, False).agg(F.max("bytes")).first()[0]
+    return mart, P.compaction_plan(P.partition_inventory(spark, mart, False), size // 5, 1.0)
+
+
+@pytest.mark.parametrize("key_type,value", [(StringType(), "01"), (IntegerType(), "7")])
+def test_compaction_gives_exactly_factor_even_files(spark, scratch, key_type, value):
+    mart, plan = keyed(spark, scratch, key_type, value)
+    before = mart.read_files(spark).agg(F.sum("id"), F.count("m")).first()
+    factors = {r["partition"]: r["factor"] for r in plan.filter("needs_rewrite").collect()}
+    assert len(factors) == 2 and max(factors.values()) >= 5
+    P.compact_partitions(spark, mart, plan)
+    found = per_file(spark, mart)
+    assert {k: len(f) for k, f in found.items()} == factors
+    assert all(max(f) < 1.5 * min(f) for f in found.values())
+    assert mart.read_files(spark).agg(F.sum("id"), F.count("m")).first() == before
+
+
+def test_compaction_refuses_keys_that_would_change_folders(spark, scratch):
+    mart, plan = keyed(spark, scratch, IntegerType(), "01")
+    with pytest.raises(ValueError, match="m=01"):
+        P.compact_partitions(spark, mart, plan)
+    assert mart.read_files(spark).count() == 9000
+
+
+def test_plan_prunes_folders_and_shuffles_once(spark, scratch):
+    mart = Mart(scratch("mart"), SCHEMA, ("dt",))
+    rows(spark, 4000, lambda i: f"d{i % 20}").repartition(6).write.partitionBy("dt").parquet(mart.path)
+    inv = P.partition_inventory(spark, mart, False)
+    plan = P.compaction_plan(P.compaction_candidates(inv, mart, "dt", "d3", "d4"))
+    frame = P.compaction_frame(spark, mart, P.plan_jobs(mart, plan))
+    text = frame._jdf.queryExecution().toString()
+    assert "dynamicpruning" in text
+    physical = frame._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Exchange shufflepartitionidpassthrough") == 1
+    assert "Exchange hashpartitioning" not in physical and "Exchange rangepartitioning" not in physical
+    assert frame.count() == 400  # d3 and d4 only
+    # folders that are not planned may vanish: they are not opened
+    for f in os.listdir(local(mart.path) + "/dt=d7"):
+        if f.endswith(".parquet"):
+            with open(f"{local(mart.path)}/dt=d7/{f}", "wb") as fh:
+                fh.write(b"no parquet")
+    done = P.compact_partitions(spark, mart, plan)
+    assert {r["partition"] for r in done.collect()} == {"dt=d3", "dt=d4"}

@@ -2,19 +2,20 @@
 
 Everything here works on a *partition inventory*: one row per partition folder
 with its file count, bytes, newest modification time and (optionally) rows.
-The inventory is itself a Spark job (a distributed file listing plus a
-footer-only row count), so it scales with the number of files, not with the
-driver.  Only partition-sized metadata (folder names, target file counts) is
-ever brought to the driver, and only to name the folders to read or delete.
+The inventory is a file listing, a repair of a throw-away table (folders without files) and
+a row count from the footers.  Spark's file index and the repair hold the paths on the
+driver; plans and counts stay DataFrames, and folders to delete come over in batches.
 """
 
 from __future__ import annotations
 
 import time
+from functools import reduce
 from itertools import islice
+from operator import or_
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampType)
@@ -28,11 +29,9 @@ from tidemart.plans.mart import Mart, delete_path, path_exists
 from tidemart.sources.folders import (ASIDE, STAGED, Folder, begin_switch, new_version, put_back,
                                       settle, supersede)
 from tidemart.session import saved, unique_name
-from tidemart.sources.tables import (alter_partitions, clear_mart, column_plan, refresh_catalog,
-                                     spread_key, sql_text, table_ddl, write_tasks)
+from tidemart.sources.tables import (alter_partitions, clear_mart, column_plan, file_plan,
+                                     key_text, place_in_files, refresh_catalog, sql_text, table_ddl)
 
-#: above this many partitions a plan is joined with a shuffle, not broadcast
-BROADCAST_PLAN_ROWS = 200_000
 #: input bytes rewritten by one compaction job (bounds one shuffle)
 DEFAULT_MAX_JOB_BYTES = 2 * 1024 ** 4
 #: parallel folder deletions issued by the driver (metadata calls only)
@@ -260,80 +259,56 @@ def _window_value(mart: Mart, column: str | None) -> Column:
 # M5 ----------------------------------------------------------------------------
 def compact_partitions(spark: SparkSession, mart: Mart, plan: DataFrame,
                        max_job_bytes: int = DEFAULT_MAX_JOB_BYTES) -> DataFrame:
-    """Rewrite every planned partition into at most ``factor`` files.
-
-    The chosen folders are read with the mart's pinned schema, each row gets a
-    bucket ``hash(file, row position) mod factor`` and the rows are hash
-    partitioned on (keys, bucket) with ``sum(factor)`` shuffle partitions; a
-    dynamic-overwrite path write then replaces exactly those folders.  A large
-    partition therefore spreads over many tasks, and identical rows do too.
-
-    Partitions are grouped into jobs of at most ``max_job_bytes`` input (a
-    partition larger than that is a job of its own), which bounds the shuffle
-    of one job however much of the mart is being compacted; small runs are a
-    single job.  Returns the rewritten partitions with their file counts.
+    """Rewrite every planned partition into ``factor`` files of about equal size.
+
+    The plan stays a DataFrame: it is joined with the mart on the partition keys, which prunes
+    the folders to read (dynamic partition pruning), and numbers the files, so one shuffle
+    sends each row to its file.  Rows take turns over a partition's files by their position,
+    so a large partition spreads over many tasks and identical rows do too; a repeated task
+    does the same.  A dynamic-overwrite path write then replaces exactly those folders.
+
+    Partitions are grouped into jobs of about ``max_job_bytes`` input, which bounds the
+    shuffle of one job however much of the mart is compacted; small runs are a single job.
+    Returns the rewritten partitions with their file counts.
     """
     keys = list(mart.partition_by)
     if not keys:
         raise ValueError("compact_partitions needs a partitioned mart; use compact_flat")
-    todo_df = plan.filter(F.col("needs_rewrite")).select("partition", "location", *keys,
-                                                          "files", "bytes", "factor",
-                                                          "target_bytes")
-    todo = todo_df.collect()  # one row per partition folder to rewrite
-    result_schema = StructType([StructField("partition", StringType()),
-                                StructField("files_before", LongType()),
-                                StructField("factor", LongType())])
-    if not todo:
-        return spark.createDataFrame([], result_schema)
-    for batch in _batches(todo, max_job_bytes):
-        out = compaction_frame(spark, mart, batch)
+    todo = plan_jobs(mart, plan, max_job_bytes)
+    renamed = [F.col(f"__k{i}") != key_text(F.col(k)) for i, k in enumerate(keys)]
+    if odd := todo.filter(reduce(or_, renamed)).first():
+        raise ValueError(f"{odd['partition']} would be written to another folder: its value is "
+                         "not how the key's type prints it; give the key type string")
+    for job in todo.select("__group").distinct().orderBy("__group").toLocalIterator():
+        out = compaction_frame(spark, mart, todo.filter(F.col("__group") == job["__group"]))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*keys).parquet(mart.path))
     refresh_catalog(spark, mart, "none")  # same partitions, new files
-    return spark.createDataFrame(
-        [(r["partition"], int(r["files"]), int(r["factor"])) for r in todo], result_schema)
-
-
-def _batches(todo, max_job_bytes: int):
-    batch, size = [], 0
-    for r in sorted(todo, key=lambda r: r["partition"]):
-        b = int(r["bytes"] or 0)
-        if batch and size + b > max_job_bytes:
-            yield batch
-            batch, size = [], 0
-        batch.append(r)
-        size += b
-    if batch:
-        yield batch
-
-
-def compaction_frame(spark: SparkSession, mart: Mart, todo) -> DataFrame:
-    """The rows of the planned partitions, bucketed and shuffled for the rewrite.
-
-    ``todo`` holds one (collected) plan row per partition: ``location``, the
-    key values and ``factor``.
-    """
-    keys = list(mart.partition_by)
-    if not todo:
-        return spark.createDataFrame([], mart.schema)
-    src = (spark.read.schema(mart.schema).option("basePath", mart.path)
-           .parquet(*[r["location"] for r in todo]))
-    src = src.select(*mart.columns, spread_key(src).alias("__spread"))
-    lookup = spark.createDataFrame([tuple(r[k] for k in keys) + (int(r["factor"]),) for r in todo],
-                                   StructType([StructField(f"__k{i}", StringType())
-                                               for i in range(len(keys))]
-                                              + [StructField("__factor", LongType())]))
-    if len(todo) <= BROADCAST_PLAN_ROWS:  # the plan has one row per partition: size known
-        lookup = F.broadcast(lookup)
-    cond = [src[k].eqNullSafe(lookup[f"__k{i}"]) for i, k in enumerate(keys)]
-    joined = src.join(lookup, cond, "inner")
-    bucket = F.pmod(F.col("__spread"), F.col("__factor")).alias("__bucket")
-    target = max(int(r["target_bytes"]) for r in todo)
-    n = write_tasks(sum(int(r["factor"]) for r in todo),
-                    sum(int(r["bytes"] or 0) for r in todo), target,
-                    int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return (joined.select(*mart.columns, bucket)
-            .repartition(n, *keys, "__bucket").drop("__bucket"))
+    return todo.select("partition", F.col("files").alias("files_before"), "factor")
+
+
+def plan_jobs(mart: Mart, plan: DataFrame, max_job_bytes: int = DEFAULT_MAX_JOB_BYTES
+              ) -> DataFrame:
+    """The partitions to rewrite with their job (``__group``) and the numbers of their files;
+    a saved table."""
+    before = F.sum("bytes").over(
+        Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1))
+    chosen = plan.filter(F.col("needs_rewrite")).withColumn(
+        "__job", F.floor(F.coalesce(before, F.lit(0)) / F.lit(int(max_job_bytes))))
+    typed = [F.col(k).cast(mart.schema[k].dataType) for k in mart.partition_by]
+    return file_plan(chosen, typed, F.col("factor"), F.col("__job"))
+
+
+def compaction_frame(spark: SparkSession, mart: Mart, todo: DataFrame) -> DataFrame:
+    """The rows of the planned partitions (:func:`plan_jobs`), placed for the rewrite."""
+    sums = todo.agg(F.sum("bytes"), F.max("target_bytes")).first()
+    src = spark.read.schema(mart.schema).parquet(mart.path)
+    # rows of a file belong to one partition: positions that take turns give even files
+    turn = F.shiftrightunsigned(F.xxhash64(src["_metadata.file_path"]), 16) \
+        + src["_metadata.row_index"]
+    # the comparison marks the plan as selective, so that its keys prune the scan
+    return place_in_files(src, todo.filter(F.col("files") > F.col("factor")), mart.partition_by,
+                          mart.columns, turn, float(sums[0] or 0), float(sums[1] or 1))
 
 
 def compact(spark: SparkSession, mart: Mart, column: str | None = None,

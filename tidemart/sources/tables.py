@@ -8,16 +8,23 @@ the new data are replaced and no session setting is changed.
 from __future__ import annotations
 
 import glob as _glob
+from itertools import islice
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemart.operators.project import conform_columns, conform_schema, rename_by_position
 from tidemart.plans.mart import Mart, path_exists
+from tidemart.session import saved
 from tidemart.sources.folders import settle
 
+#: partitions in one ALTER TABLE statement
+SPEC_BATCH = 200
+# fixed value: the folder of NULL and empty partition values
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -70,35 +77,41 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
 
 
 def refresh_catalog(spark: SparkSession, mart: Mart, partitions: str = "add",
-                    specs: Sequence[Mapping[str, object]] | None = None) -> None:
+                    specs: Iterable[Mapping[str, object]] | None = None) -> None:
     """Tell a registered mart's catalog entry about a change on disk.
 
     ``partitions``: ``"add"`` registers new partition folders (after a write),
     ``"sync"`` also forgets vanished ones, ``"none"`` only refreshes the file
     cache (the partition set did not change).  When the written partitions are
-    known (``specs``), only those are added instead of listing every folder.
+    known (``specs``, taken in batches), those are added instead of listing every
+    folder.  NULL and empty values share a folder that no statement can name: it is
+    found by the listing.
     """
     if not mart.table:
         return
     if mart.is_partitioned:
-        known = specs is not None and all(v is not None for sp in specs for v in sp.values())
-        if known and partitions == "add":
-            alter_partitions(spark, mart.table, mart.partition_by, specs, "ADD IF NOT EXISTS")
-        elif partitions in ("add", "sync"):
+        unnamed = specs is None
+        rows = iter(specs or ())
+        while batch := list(islice(rows, SPEC_BATCH)):
+            named = [r for r in batch if all(r[k] not in (None, "") for k in mart.partition_by)]
+            unnamed |= len(named) < len(batch)
+            if named:
+                alter_partitions(spark, mart.table, mart.partition_by, named, "ADD IF NOT EXISTS")
+        if partitions == "sync" or partitions == "add" and unnamed:
             spark.sql(f"MSCK REPAIR TABLE {mart.table} {partitions.upper()} PARTITIONS")
     spark.sql(f"REFRESH TABLE {mart.table}")
 
 
 def alter_partitions(spark: SparkSession, table: str, keys: Sequence[str],
-                     specs: Sequence[Mapping[str, object]], action: str, batch: int = 200) -> None:
-    """``ALTER TABLE t <action> PARTITION (...), ...`` in batches of ``batch`` specs."""
+                     specs: Sequence[Mapping[str, object]], action: str) -> None:
+    """``ALTER TABLE t <action> PARTITION (...), ...`` in batches."""
     def lit(v):
         return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
     specs = list(specs)
-    for i in range(0, len(specs), batch):
+    for i in range(0, len(specs), SPEC_BATCH):
         joiner = ", " if action.startswith("DROP") else " "
         parts = joiner.join("PARTITION (" + ", ".join(f"`{k}` = {lit(r[k])}" for k in keys) + ")"
-                            for r in specs[i:i + batch])
+                            for r in specs[i:i + SPEC_BATCH])
         spark.sql(f"ALTER TABLE {table} {action} {parts}")
 
 
@@ -131,96 +144,118 @@ def overwrite_partitions(df: DataFrame, mart: Mart, by_position: bool = False) -
     return mart
 
 
+# exact file counts ---------------------------------------------------------------
+def key_text(key: Column) -> Column:
+    """A partition value as its folder names it; NULL and '' share one folder."""
+    return F.coalesce(F.nullif(key.cast("string"), F.lit("")), F.lit(NULL_FOLDER))
+
+
+def file_plan(partitions: DataFrame, keys: Sequence[Column], files: Column,
+              group: Column | None = None) -> DataFrame:
+    """Saved plan of a write: key texts ``__k0...``, ``__files`` and ``__first``, the number
+    of files planned before (within ``group``), so that every file has a number of its own.
+    ``partitions`` has one row per partition; the running sum is one task over those rows."""
+    named = partitions.select("*", *[key_text(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                              files.cast("bigint").alias("__files"),
+                              (F.lit(0) if group is None else group).alias("__group"))
+    order = Window.partitionBy("__group").orderBy(*[f"__k{i}" for i in range(len(keys))])
+    before = F.sum("__files").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return saved(named.withColumn("__first", F.coalesce(before, F.lit(0))), "file-plan")
+
+
+def place_in_files(rows: DataFrame, plan: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                   spread: Column, total_bytes: float, target_file_bytes: float) -> DataFrame:
+    """``columns`` of ``rows``, shuffled once so that the write gives each partition as many
+    files as ``plan`` says: a row goes to the task ``__first + spread mod __files``.  Files
+    that share a task belong to different partitions, so each stays a file of its own."""
+    totals = plan.agg(F.sum("__files"), F.max("__files")).first()
+    total, most = int(totals[0] or 0), int(totals[1] or 0)
+    tasks = write_tasks(total, total_bytes, target_file_bytes, _shuffle_partitions(rows))
+    slim = plan.select("__first", "__files", *[f"__k{i}" for i in range(len(keys))])
+    cond = [key_text(rows[k]) == slim[f"__k{i}"] for i, k in enumerate(keys)]
+    numbered = rows.withColumn("__spread", spread).join(slim, cond)
+    n = max(tasks, most, 1)
+    file = (F.col("__first") + F.pmod(F.col("__spread"), F.col("__files"))) % n
+    return (numbered.select(*columns, file.cast("int").alias("__file"))
+            .repartitionById(n, "__file").drop("__file"))
+
+
 def overwrite_partitions_sized(df: DataFrame, mart: Mart, bytes_per_row: float | None,
-                               target_file_bytes: int, max_lookup_rows: int = 200_000,
-                               source_share: float = 1.0) -> Mart:
+                               target_file_bytes: int, source_share: float = 1.0) -> Mart:
     """:func:`overwrite_partitions` that writes each partition straight into
-    about ``rows * bytes_per_row / target_file_bytes`` files.
-
-    A first, cheap pass counts rows per partition key (only the key inputs are
-    read, combined map-side); each row then gets a bucket from the hash of its
-    source file and position, and the rows are shuffled on (keys, bucket) into
-    ``sum(buckets)`` tasks, one file each.  Large partitions are thereby split
-    and small ones are not, so no compaction rewrite is needed afterwards.
-    Falls back to the rebalanced write when ``df`` is not a projection of a
-    file scan (no per-row file position to hash).  ``bytes_per_row=None``
-    estimates it from the source files in the counting pass (see
+    ``rows * bytes_per_row / target_file_bytes`` files.
+
+    A first, cheap pass counts rows per partition (only the key inputs are read, combined
+    map-side); each row is then sent by the hash of its source file and position to one of
+    its partition's files.  Large partitions are thereby split and small ones are not, so no
+    compaction rewrite is needed afterwards.  Falls back to the rebalanced write when ``df``
+    is not a projection of a file scan (no per-row file position to hash).
+    ``bytes_per_row=None`` estimates it from the source files in the counting pass (see
     :func:`sized_write_frame`).
     """
-    sized = sized_write_frame(df, mart, bytes_per_row, target_file_bytes, max_lookup_rows,
-                              source_share)
+    sized = sized_write_frame(df, mart, bytes_per_row, target_file_bytes, source_share)
     if sized is None:
         return overwrite_partitions(df, mart)
-    out, written = sized
+    out, plan = sized
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*mart.partition_by).parquet(mart.path))
-    refresh_catalog(df.sparkSession, mart, specs=written)
+    specs = plan.select(*[F.nullif(f"__k{i}", F.lit(NULL_FOLDER)).alias(k)
+                          for i, k in enumerate(mart.partition_by)])
+    refresh_catalog(df.sparkSession, mart, specs=specs.toLocalIterator())
     return mart
 
 
 def sized_write_frame(df: DataFrame, mart: Mart, bytes_per_row: float | None,
-                      target_file_bytes: int, max_lookup_rows: int = 200_000,
-                      source_share: float = 1.0):
-    """``(frame, specs)``: the bucketed, shuffled rows of a sized write and the
-    partition specs it covers; None when not applicable.
-
-    With ``bytes_per_row=None`` the estimate comes from the same counting pass:
-    rows per (partition, source file) with the file's size, so the source's
-    stored bytes per row (times ``source_share``, the part of a row the load
-    keeps) cost no extra scan.
+                      target_file_bytes: int, source_share: float = 1.0):
+    """``(frame, plan)``: the placed rows of a sized write and its saved file plan; None when
+    not applicable.
+
+    With ``bytes_per_row=None`` the same pass also groups by source file: a file's stored
+    bytes count by the share of its rows that reach ``df`` (a filter drops some), times
+    ``source_share``, the part of a row that the load keeps.
     """
     from pyspark.errors import AnalysisException
     keys = list(mart.partition_by)
     if not keys:
         return None
     try:
-        path, size = df["_metadata.file_path"], df["_metadata.file_size"]
-        spread = F.xxhash64(path, df["_metadata.row_index"])
+        path, size, index = (df[f"_metadata.{c}"] for c in ("file_path", "file_size", "row_index"))
+        hidden = [path.alias("__path"), size.alias("__size"), index.alias("__index")]
+        out = df.select(*conform_columns(df, mart.schema), *hidden)
     except AnalysisException:
         return None
-    out = df.select(*conform_columns(df, mart.schema), spread.alias("__spread"))
+    texts = [f"__t{i}" for i in range(len(keys))]
+    narrow = out.select(*[key_text(out[k]).alias(t) for k, t in zip(keys, texts)],
+                        "__path", "__size", "__index")
+    n_rows = F.count(F.lit(1)).alias("n")
     if bytes_per_row is None:
-        per_file_key = (df.select(*conform_columns(df, mart.schema), path.alias("__f"),
-                                  size.alias("__z"))
-                        .groupBy(*keys, "__f").agg(F.count(F.lit(1)).alias("n"),
-                                                   F.max("__z").alias("z"))
-                        .cache())  # small: one row per (partition, file); one scan feeds both
-        counts = per_file_key.groupBy(*keys).agg(F.sum("n").alias("n")).collect()
-        total = (per_file_key.groupBy("__f").agg(F.sum("n").alias("n"), F.max("z").alias("z"))
-                 .agg(F.sum("z").alias("z"), F.sum("n").alias("n")).first())
-        per_file_key.unpersist()
-        if not total or not total["n"]:
-            return out.drop("__spread"), []
-        bytes_per_row = float(total["z"]) / total["n"] * max(float(source_share), 1e-6)
+        counted = saved(
+            narrow.groupingSets([texts, ["__path"]], *texts, "__path")
+            .agg(n_rows, F.max("__size").alias("size"), F.max("__index").alias("last"),
+                 F.grouping("__path").alias("by_key")), "load-counts")
+        counts = counted.filter("by_key = 1")
+        stored = counted.filter("by_key = 0").agg(
+            F.sum(F.col("size") * F.col("n") / (F.col("last") + 1)), F.sum("n")).first()
+        bytes_per_row = (float(stored[0]) / stored[1] if stored[1] else 1.0) * max(source_share, 1e-6)
     else:
-        counts = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
-    if not counts:
-        return out.drop("__spread"), []
+        counts = narrow.groupBy(*texts).agg(n_rows)
     per_file = max(float(target_file_bytes) / max(float(bytes_per_row), 1e-9), 1.0)
-    plan = [tuple(r[k] for k in keys) + (max(1, int(-(-r["n"] // per_file))),) for r in counts]
-    lookup = df.sparkSession.createDataFrame(
-        plan, ", ".join([f"`__k{i}` string" for i in range(len(keys))] + ["__buckets bigint"]))
-    if len(plan) <= max_lookup_rows:  # one row per partition: the size is known
-        lookup = F.broadcast(lookup)
-    cond = [out[k].eqNullSafe(lookup[f"__k{i}"]) for i, k in enumerate(keys)]
-    n = write_tasks(sum(p[-1] for p in plan), sum(r["n"] for r in counts) * float(bytes_per_row),
-                    target_file_bytes, _shuffle_partitions(df))
-    frame = (out.join(lookup, cond, "inner")
-             .select(*mart.columns, F.pmod(F.col("__spread"), F.col("__buckets")).alias("__bucket"))
-             .repartition(n, *keys, "__bucket").drop("__bucket"))
-    return frame, [{k: r[k] for k in keys} for r in counts]
-
-
-def write_tasks(buckets: int, total_bytes: float, target_file_bytes: float,
+    plan = file_plan(counts.select(*texts, "n"), [F.col(t) for t in texts],
+                     F.ceil(F.col("n") / F.lit(per_file)))
+    rows = int(plan.agg(F.sum("n")).first()[0] or 0)
+    spread = F.xxhash64("__path", "__index")
+    return place_in_files(out, plan, keys, mart.columns, spread, rows * float(bytes_per_row),
+                          target_file_bytes), plan
+
+
+def write_tasks(files: int, total_bytes: float, target_file_bytes: float,
                 parallelism: int = 1) -> int:
-    """Shuffle partitions for a bucketed write: at most one per bucket, about
-    ``total / target`` for big writes and at least ``parallelism`` (the
-    session's shuffle partitions) so small writes still use the cluster.
-    A task writes one file per partition it holds, so files per partition stay
-    at or below that partition's bucket count whatever the task count."""
+    """Shuffle partitions for a write of ``files`` files: at most one each, about
+    ``total / target`` for big writes and at least ``parallelism`` (the session's shuffle
+    partitions) so small writes still use the cluster."""
     import math
     needed = math.ceil(total_bytes / max(float(target_file_bytes), 1.0)) if total_bytes else 1
-    return max(1, min(int(buckets), max(needed, int(parallelism))))
+    return max(1, min(int(files), max(needed, int(parallelism))))
 
 
 def source_bytes_per_row(df: DataFrame) -> float | None:
@@ -245,31 +280,34 @@ def _shuffle_partitions(df: DataFrame) -> int:
 # S4 ----------------------------------------------------------------------------
 def load_from_dir(spark: SparkSession, source_dir: str | Sequence[str], mart: Mart,
                   n_files: int, overwrite: bool = True, base_dir: str | None = None) -> Mart:
-    """Read parquet from a folder (optionally keeping partition columns via
-    ``base_dir``), spread it over ``n_files`` files per partition and write it
-    into ``mart`` by position, replacing the partitions it covers or appending."""
+    """Read parquet from a folder (optionally keeping partition columns via ``base_dir``),
+    spread it over ``n_files`` files per partition (a flat mart: over ``n_files`` files) and
+    write it into ``mart`` by position, replacing the partitions it covers or appending."""
     mart = settle(spark, mart)
     dirs = [source_dir] if isinstance(source_dir, str) else list(source_dir)
     n = max(int(n_files), 1)
     if base_dir is not None:
         src = spark.read.schema(mart.schema).option("basePath", base_dir).parquet(*dirs)
+        names = None
     else:
         src = spark.read.parquet(*dirs)
-    bucket = F.pmod(spread_key(src), F.lit(n)).alias("__bucket")
-    data_cols = [c for c in src.columns]
-    if base_dir is not None:
-        out = src.select(*conform_columns(src, mart.schema), bucket)
-    else:
-        out = src.select(*conform_columns(src, mart.schema, source_names=data_cols), bucket)
+        names = src.columns
+    out = src.select(*conform_columns(src, mart.schema, source_names=names),
+                     src["_metadata.file_path"].alias("__path"),
+                     src["_metadata.row_index"].alias("__index"))
     if mart.is_partitioned:
-        out = out.repartition(max(n, _shuffle_partitions(src)), *mart.partition_by, "__bucket")
-        writer = out.drop("__bucket").write.partitionBy(*mart.partition_by)
+        keys = mart.partition_by
+        plan = file_plan(out.select(*[key_text(out[k]).alias(k) for k in keys]).distinct(),
+                         [F.col(k) for k in keys], F.lit(n))
+        placed = place_in_files(out, plan, keys, mart.columns, F.xxhash64("__path", "__index"),
+                                0, 1)
+        writer = placed.write.partitionBy(*keys)
         writer = (writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                   if overwrite else writer.mode("append"))
     else:
         if overwrite:
             _check_not_reading(src, mart.path)
-        writer = out.repartition(n, "__bucket").drop("__bucket").write
+        writer = out.select(*mart.columns).repartition(n).write
         writer = writer.mode("overwrite" if overwrite else "append")
     writer.parquet(mart.path)
     refresh_catalog(spark, mart)
