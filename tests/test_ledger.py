@@ -64,7 +64,8 @@ def test_refresh_mart_end_to_end_and_force_reload(spark, scratch):
     source = fx.orders_source(spark, SF_SMALL)
     n = source.count()
     run = RunSettings(loading_id=1, load_time="2001-09-01 00:00:00", retention_column="report_dt",
-                      application_id="app")
+                      application_id="app",
+                      business_date_column="report_dt")
     s1 = refresh_mart(spark, source, mart, ledger, run, "orders_mart").first()
     assert s1["count_rows"] == n and s1["is_change"] == 1 and s1["relevance_value"] == "2001-08-01 00:00:00"
     assert s1["business_date"] == "2001-08-01" and s1["max_cdc_date"] == "2001-09-01 00:00:00"
@@ -72,7 +73,8 @@ def test_refresh_mart_end_to_end_and_force_reload(spark, scratch):
     assert s1["rows_kept"] == kept == mart.read(spark).count()
     # a forced reload empties the mart first but the ledger keeps its history
     run2 = RunSettings(loading_id=2, load_time="2001-09-02 00:00:00", retention_column="report_dt",
-                       force_load=True)
+                       force_load=True,
+                      business_date_column="report_dt")
     s2 = refresh_mart(spark, source, mart, ledger, run2, "orders_mart").first()
     assert s2["is_force_load"] == 1 and s2["count_rows"] == n
     assert sorted(r["ctl_loading"] for r in ledger.read(spark).collect()) == [1, 2]
@@ -87,7 +89,8 @@ def test_refresh_appends_statistics(spark, scratch):
     ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)
     stats = Mart(scratch("stats"), STATISTICS_SCHEMA)
     run = RunSettings(9, "2001-09-01 00:00:00", entity_id=3, application_id="app-9",
-                      retention_column="report_dt")
+                      retention_column="report_dt",
+                      business_date_column="report_dt")
     refresh_mart(spark, fx.orders_source(spark, SF_SMALL), mart, ledger, run, "m", statistics=stats)
     got = {r["stat_id"]: r["value"] for r in stats.read(spark).collect()}
     assert got == {15: "app-9", 11: "2001-09-01 00:00:00", 2: "1", 5: "2001-08-01",
@@ -99,7 +102,8 @@ def test_refresh_defaults_load_time_and_application_id(spark, scratch):
     mart = fx.orders_mart(spark, "test-defaults")
     stats = Mart(scratch("stats"), STATISTICS_SCHEMA)
     s = refresh_mart(spark, fx.orders_source(spark, SF_SMALL), mart,
-                     Mart(scratch("ledger"), RUN_LEDGER_SCHEMA), RunSettings(7, lifetime_days=0),
+                     Mart(scratch("ledger"), RUN_LEDGER_SCHEMA), RunSettings(7, lifetime_days=0,
+                      business_date_column="report_dt"),
                      statistics=stats).first()
     assert s["ctl_validfrom"] and len(s["ctl_validfrom"]) == 19
     got = {r["stat_id"]: r["value"] for r in stats.read(spark).collect()}
@@ -110,7 +114,8 @@ def test_refresh_with_empty_source_skips_transfer(spark, scratch):
     mart = fx.orders_mart(spark, "test-empty")
     ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)
     empty = fx.orders_source(spark, SF_SMALL).where("1 = 0")
-    s = refresh_mart(spark, empty, mart, ledger, RunSettings(1, "2001-09-01 00:00:00")).first()
+    s = refresh_mart(spark, empty, mart, ledger, RunSettings(1, "2001-09-01 00:00:00",
+                      business_date_column="report_dt")).first()
     assert s["count_rows"] == 0 and s["is_change"] == 0 and s["relevance_value"] is None
 
 
@@ -192,7 +197,8 @@ def test_refresh_source_condition_limits_the_load(spark, scratch):
     ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)
     source = fx.orders_source(spark, SF_SMALL)
     run = RunSettings(1, "2001-09-01 00:00:00", lifetime_days=0,
-                      source_condition="report_dt >= '2001-01-01'")
+                      source_condition="report_dt >= '2001-01-01'",
+                      business_date_column="report_dt")
     s = refresh_mart(spark, source, mart, ledger, run).first()
     expected = source.where("report_dt >= '2001-01-01'").count()
     assert s["count_rows"] == expected == mart.read(spark).count()
@@ -205,7 +211,8 @@ def test_refresh_registered_mart_keeps_catalog_in_step(spark, scratch):
     ledger = S.create_mart(spark, "tm_test_refresh_reg_ledger", Mart(scratch("l"), RUN_LEDGER_SCHEMA))
     source = fx.orders_source(spark, SF_SMALL)
     for i in (1, 2):  # the second run is sized from the first run's bytes per row
-        run = RunSettings(i, "2001-09-01 00:00:00", retention_column="report_dt")
+        run = RunSettings(i, "2001-09-01 00:00:00", retention_column="report_dt",
+                      business_date_column="report_dt")
         s = refresh_mart(spark, source, mart, ledger, run).first()
         shown = sorted(r[0] for r in spark.sql("SHOW PARTITIONS tm_test_refresh_reg").collect())
         on_disk = sorted(r["partition"] for r in
@@ -222,7 +229,8 @@ def test_change_flag_when_retention_removes_everything(spark, scratch):
     # a load time safely before the files are written (second-granularity texts)
     started = (dt.datetime.now(dt.timezone.utc) - dt.timedelta(minutes=1)).strftime("%Y-%m-%d %H:%M:%S")
     s = refresh_mart(spark, fx.orders_source(spark, SF_SMALL), mart, ledger,
-                     RunSettings(1, started, retention_column="report_dt", lifetime_days=1)).first()
+                     RunSettings(1, started, retention_column="report_dt", lifetime_days=1,
+                      business_date_column="report_dt")).first()
     # every loaded partition is older than a day: all expire, yet the run did change the mart
     assert s["rows_kept"] == 0 and s["count_rows"] > 0 and s["is_change"] == 1
 
@@ -232,7 +240,8 @@ def test_first_load_is_sized_from_the_source(spark, scratch):
     from conftest import SF_CHECK
     mart = fx.orders_mart(spark, "test-first-sized")
     ledger = Mart(scratch("ledger"), RUN_LEDGER_SCHEMA)
-    run = RunSettings(1, "2001-09-01 00:00:00", lifetime_days=0, block_bytes=1024, blocks_per_file=1.0)
+    run = RunSettings(1, "2001-09-01 00:00:00", lifetime_days=0, block_bytes=1024, blocks_per_file=1.0,
+                      business_date_column="report_dt")
     refresh_mart(spark, fx.orders_source(spark, SF_CHECK), mart, ledger, run)
     root = mart.path[len("file:"):] if mart.path.startswith("file:") else mart.path
     counts = [len([f for f in os.listdir(os.path.join(root, d)) if f.endswith(".parquet")])

@@ -59,13 +59,15 @@ def test_empty_and_zero_byte_folders_have_no_bytes(spark, scratch, with_rows):
     assert plan["dt=2024-01-08"]["factor"] == plan["dt=2024-01-09"]["factor"] == 0
 
 
-def test_throw_away_table_leaves_nothing_behind(spark, scratch):
-    mart = made(spark, scratch)
-    before = {t.name for t in spark.catalog.listTables()}
-    n = len(os.listdir(local(mart.path)))
-    P.partition_folders(spark, mart)
-    assert {t.name for t in spark.catalog.listTables()} == before
-    assert len(os.listdir(local(mart.path))) == n and mart.read(spark).count() == 12
+def test_folder_names_with_marks(spark, scratch):
+    keys = ["a, b", "x=y/z", "[1]*?", "{q}", "é", "c:d", "%41", None]
+    schema = StructType([SCHEMA.fields[0], StructField("k", StringType())])
+    mart = Mart(scratch("marks"), schema, ("k",))
+    spark.createDataFrame(list(enumerate(keys)), schema).write.partitionBy("k").parquet(mart.path)
+    inv = P.partition_inventory(spark, mart).collect()
+    assert {r["k"] for r in inv} == set(keys)
+    assert all(r["files"] == 1 and r["rows"] == 1 for r in inv)
+    assert P.partition_folders(spark, Mart(scratch("absent"), SCHEMA, ("dt",))).count() == 0
 
 
 def test_two_levels_roll_up_and_pattern_without_scheme(spark, scratch):

@@ -2,9 +2,9 @@
 
 Everything here works on a *partition inventory*: one row per partition folder
 with its file count, bytes, newest modification time and (optionally) rows.
-The inventory is a file listing, a repair of a throw-away table (folders without files) and
-a row count from the footers.  Spark's file index and the repair hold the paths on the
-driver; plans and counts stay DataFrames, and folders to delete come over in batches.
+The inventory is a file listing, a listing of folder names (folders without files) and a row
+count from the footers.  Spark's file index and the folder names are held on the driver;
+plans and counts stay DataFrames, and folders to delete come over in batches.
 """
 
 from __future__ import annotations
@@ -28,9 +28,9 @@ from tidemart.operators.project import range_predicate
 from tidemart.plans.mart import Mart, delete_path, path_exists
 from tidemart.sources.folders import (ASIDE, STAGED, Folder, begin_switch, new_version, put_back,
                                       settle, supersede)
-from tidemart.session import saved, unique_name
-from tidemart.sources.tables import (alter_partitions, clear_mart, column_plan, file_plan,
-                                     key_text, place_in_files, refresh_catalog, sql_text, table_ddl)
+from tidemart.session import saved
+from tidemart.sources.tables import (alter_partitions, clear_mart, file_plan, key_text,
+                                     place_in_files, refresh_catalog, sql_text)
 
 #: input bytes rewritten by one compaction job (bounds one shuffle)
 DEFAULT_MAX_JOB_BYTES = 2 * 1024 ** 4
@@ -74,17 +74,9 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
 
 def partition_folders(spark: SparkSession, mart: Mart) -> DataFrame:
     """``partition`` text of every key folder below the mart's location, also of folders
-    that hold no file: what a repair finds for a throw-away table over the location."""
-    if not path_exists(spark, mart.path):
-        return spark.createDataFrame([], "partition string")
-    probe = unique_name("folders")
-    try:
-        for stmt in table_ddl(probe, column_plan(mart.schema), mart.path, mart.partition_by):
-            spark.sql(stmt)
-        spark.sql(f"MSCK REPAIR TABLE {probe} ADD PARTITIONS")
-        return spark.sql(f"SHOW PARTITIONS {probe}")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {probe}")  # external: the files stay
+    that hold no file (a listing of folder names, no file is looked at)."""
+    names = Folder(spark, mart.path).below([f"{k}=" for k in mart.partition_by])
+    return spark.createDataFrame([(n,) for n in names], "partition string")
 
 
 def rows_per_partition(spark: SparkSession, mart: Mart) -> DataFrame:
@@ -110,7 +102,8 @@ def _without_scheme(location: Column) -> Column:
 # M2 ----------------------------------------------------------------------------
 def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True,
                         pattern: str | None = None, known: DataFrame | None = None,
-                        levels: int | None = None) -> DataFrame:
+                        levels: int | None = None, rewritten: DataFrame | None = None
+                        ) -> DataFrame:
     """One row per partition folder of ``mart``, folders without files included.
 
     Columns: ``partition`` (folder text, as SHOW PARTITIONS prints it), one column per
@@ -121,8 +114,9 @@ def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True,
 
     ``pattern`` keeps only folders whose whole path, without scheme and authority, matches
     it.  ``known`` (an earlier inventory with rows) saves counting: only folders whose files,
-    bytes or newest modification differ from it are counted.  ``levels`` rolls the folders
-    up to the first so many keys (1: first-level listing).
+    bytes or newest modification differ from it are counted, except those in ``rewritten``
+    (``partition``), whose rows are known to be the same.  ``levels`` rolls the folders up to
+    the first so many keys (1: first-level listing).
     """
     keys = list(mart.partition_by)
     files = file_listing(spark, mart.path)
@@ -148,20 +142,26 @@ def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True,
                        "modified_at"))
     if pattern:
         inv = inv.where(_without_scheme(F.col("location")).rlike("^(?:" + pattern + ")$"))
-    inv = inv.select("partition", *[_key_value(F.col("partition"), k).alias(k) for k in keys],
-                     "location", "files", "bytes", "modified_at",
-                     instant_text("modified_at").alias("modified_utc"))
+    inv = key_columns(inv, mart).select(
+        "partition", *keys, "location", "files", "bytes", "modified_at",
+        instant_text("modified_at").alias("modified_utc"))
     if with_rows:
-        inv = _with_rows(spark, mart, inv, known)
+        inv = _with_rows(spark, mart, inv, known, rewritten)
     if levels is not None and levels < len(keys):
         inv = _rolled_up(inv, keys[:levels], with_rows)
     return inv
 
 
-def _with_rows(spark: SparkSession, mart: Mart, inv: DataFrame, known: DataFrame | None
-               ) -> DataFrame:
+def key_columns(inv: DataFrame, mart: Mart) -> DataFrame:
+    """``inv`` with the decoded key values of its partition texts."""
+    return inv.withColumns({k: _key_value(F.col("partition"), k) for k in mart.partition_by}) \
+        if mart.partition_by else inv
+
+
+def _with_rows(spark: SparkSession, mart: Mart, inv: DataFrame, known: DataFrame | None,
+               rewritten: DataFrame | None) -> DataFrame:
     keys = list(mart.partition_by)
-    if known is not None:
+    if known is not None and keys:
         same = ("files", "bytes", "modified_at")
         seen = known.select(F.col("partition").alias("__part"),
                             *[F.col(c).alias(f"__{c}") for c in same],
@@ -170,9 +170,13 @@ def _with_rows(spark: SparkSession, mart: Mart, inv: DataFrame, known: DataFrame
         fresh = F.col("__rows").isNotNull()
         for c in same:
             fresh &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+        if rewritten is not None:
+            done = rewritten.select(F.col("partition").alias("__done")).distinct()
+            inv = inv.join(done, F.col("partition") == F.col("__done"), "left")
+            fresh |= F.col("__done").isNotNull() & F.col("__rows").isNotNull()
         inv = inv.withColumn("__rows", F.when(fresh | (F.col("files") == 0),
                                               F.coalesce("__rows", F.lit(0).cast("bigint"))))
-        inv = inv.drop("__part", *[f"__{c}" for c in same])
+        inv = inv.drop("__part", "__done", *[f"__{c}" for c in same])
         changed = [r["location"] for r in
                    inv.filter("__rows is null").select("location").toLocalIterator()]
         rows = _rows_of_folders(spark, mart, changed)

@@ -114,6 +114,23 @@ def lineitem_file_per_flag(spark: SparkSession, sf_dir: str, label: str) -> Mart
     return mart
 
 
+SHIPMENTS_MART_SCHEMA = StructType([
+    StructField("ctl_loading", LongType()),
+    StructField("ctl_validfrom", StringType()),
+    StructField("l_orderkey", LongType()),
+    StructField("l_linenumber", IntegerType()),
+    StructField("l_quantity", DoubleType()),
+    StructField("report_dt", StringType()),
+])
+
+
+def shipments_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with a source-side ``report_dt`` text (month of shipment, with time)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.withColumn("report_dt", F.concat(F.date_format("l_shipdate", "yyyy-MM"),
+                                               F.lit("-01 00:00:00")))
+
+
 def flat_copy(spark: SparkSession, df: DataFrame, label: str, files: int = 8) -> str:
     """Write ``df`` as an unpartitioned parquet folder of ``files`` files."""
     path = work_path(spark, label)

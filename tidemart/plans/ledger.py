@@ -158,19 +158,25 @@ def stepped_load(spark: SparkSession, steps: Sequence[Step], step_ledger: Mart,
                  params: Mapping[str, object] | None = None) -> DataFrame:
     """Run the steps in ascending order, skipping those already finished in the
     newest run for this relevance (recovery mode), and record each step's row
-    counts before and after in the step ledger.  Returns this run's rows."""
+    counts before and after in the step ledger (the target is counted once between two
+    steps).  Returns this run's rows."""
+    def rows_of(mart: Mart | None) -> int:
+        return mart.read(spark).count() if mart is not None else 0
+
     done = -1  # nothing finished yet (so a step 0 still runs)
     if recovery_mode:
         done = resume_step(spark, step_ledger.read(spark), target_name, relevance_value,
                            True, none_value=-1).first()[0]
-    recorded = []
+    recorded, before = [], None
     for step in sorted(steps, key=lambda s: s.number):
         if step.number <= done:
             continue
-        before = target.read(spark).count() if target is not None else 0
+        if before is None:
+            before = rows_of(target)
         step.run(spark, dict(params or {}))
-        after = target.read(spark).count() if target is not None else 0
+        after = rows_of(target)
         row = (target_name, step.number, before, after, ctl_validfrom, relevance_value)
         append_rows(spark, spark.createDataFrame([row], STEP_LEDGER_SCHEMA), step_ledger)
         recorded.append(row)
+        before = after
     return spark.createDataFrame(recorded, STEP_LEDGER_SCHEMA)

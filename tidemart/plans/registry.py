@@ -21,7 +21,7 @@ from tidemart.plans import fixtures as fx
 from tidemart.plans.ledger import (RUN_LEDGER_SCHEMA, STEP_LEDGER_SCHEMA, Step, record_run,
                                    run_ledger_rows, run_statistics, stepped_load)
 from tidemart.plans.mart import Mart, delete_path
-from tidemart.plans.refresh import RunSettings, refresh_mart
+from tidemart.plans.refresh import RunSettings, Target, refresh_mart, refresh_marts
 from tidemart.session import unique_name, work_path
 from tidemart.sources import tables as src
 
@@ -764,7 +764,7 @@ def run_refresh(spark: SparkSession, sf: str) -> DataFrame:
     ledger = Mart(work_path(spark, "refresh_ledger"), RUN_LEDGER_SCHEMA)
     settings = RunSettings(loading_id=LOADING_ID, load_time=RUN_TS, entity_id=77,
                            application_id="fixed-app", lifetime_days=730,
-                           retention_column="report_dt")
+                           retention_column="report_dt", business_date_column="report_dt")
     return refresh_mart(spark, fx.orders_source(spark, sf), mart, ledger, settings,
                         table_name="orders_mart")
 
@@ -772,3 +772,44 @@ def run_refresh(spark: SparkSession, sf: str) -> DataFrame:
 @register("refresh_mart", _REFRESH_SQL)
 def q_refresh_mart(spark, sf):
     return run_refresh(spark, sf)
+
+
+def _summary_sql(name: str, dates: str, lifetime: str) -> str:
+    return f"""
+SELECT '{name}' AS calculated_table, {LOADING_ID} AS ctl_loading, '{RUN_TS}' AS ctl_validfrom,
+       max(d) || ' 00:00:00' AS relevance_value, 0 AS is_force_load,
+       CAST(COUNT(*) AS BIGINT) AS count_rows, 1 AS is_change, max(d) AS business_date,
+       '{RUN_TS}' AS max_cdc_date,
+       CAST(COUNT(*) FILTER (WHERE d > '{lifetime}') AS BIGINT) AS rows_kept FROM ({dates})"""
+
+
+_TWO_MARTS_SQL = (
+    _summary_sql("orders_mart", "SELECT strftime(o_orderdate, '%Y-%m') || '-01' AS d FROM orders",
+                 CUTOFF_730) + " UNION ALL " +
+    _summary_sql("shipments_mart",
+                 "SELECT strftime(l_shipdate, '%Y-%m') || '-01' AS d FROM lineitem",
+                 fn.cutoff_text(RUN_TS, 365)))
+
+
+@register("refresh_marts", f"""
+WITH s AS ({_TWO_MARTS_SQL})
+SELECT s.*, (SELECT min(business_date) FROM s) AS run_business_date,
+       (SELECT min(max_cdc_date) FROM s) AS run_max_cdc_date FROM s""")
+def q_refresh_marts(spark, sf):
+    """Two registered marts and their registered ledger, refreshed twice in the same way."""
+    targets = [Target("orders_mart", fx.orders_source(spark, sf),
+                      fx.orders_mart(spark, "two_orders").with_table(unique_name("two_orders"))),
+               Target("shipments_mart", fx.shipments_source(spark, sf),
+                      Mart(work_path(spark, "two_shipments"), fx.SHIPMENTS_MART_SCHEMA,
+                           ("report_dt",), unique_name("two_shipments")), lifetime_days=365)]
+    ledger = Mart(work_path(spark, "two_ledger"), RUN_LEDGER_SCHEMA, (), unique_name("two_ledger"))
+    run = RunSettings(loading_id=LOADING_ID, load_time=RUN_TS, application_id="fixed-app",
+                      business_date_column="report_dt", retention_column="report_dt")
+    refresh_marts(spark, targets, ledger, run)
+    result = refresh_marts(spark, targets, ledger, run)
+    marks = result.marks.select(F.col("business_date").alias("run_business_date"),
+                                F.col("max_cdc_date").alias("run_max_cdc_date"))
+    lines = ledger.read(spark).distinct()  # the second run's lines equal the first's
+    return (lines.join(result.summary.select("calculated_table", "business_date", "max_cdc_date",
+                                             "rows_kept"), "calculated_table")
+            .crossJoin(marks))  # one row

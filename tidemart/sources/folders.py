@@ -13,6 +13,7 @@ A mart without a catalog entry is switched by two moves under a record beside th
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -64,6 +65,28 @@ class Folder:
         names = [(st.isFile(), st.getPath().getName()) for st in self._fs.listStatus(self._p)]
         return {n for is_file, n in names if is_file and not n.startswith(("_", "."))}
 
+    def folders(self) -> list["Folder"]:
+        """The folders right below this one."""
+        if not self.exists():
+            return []
+        return [Folder(self.spark, st.getPath().toString())
+                for st in self._fs.listStatus(self._p) if st.isDirectory()]
+
+    def below(self, starts: list[str]) -> list[str]:
+        """Relative paths of the folders whose first name begins with the first of
+        ``starts``, the next with the next, and so on; they come over as one text."""
+        java = self._jvm.org.apache.hadoop.fs
+        pattern = "/".join(re.sub(r"([\\\[\]{}*?^,])", r"\\\1", x) + "*" for x in starts)
+        found = self._fs.globStatus(java.Path(self._p, pattern))
+        if not found or not len(found):
+            return []
+        n = len(found)
+        names = self.spark.sparkContext._gateway.new_array(self._jvm.java.lang.Object, n)
+        self._jvm.java.lang.System.arraycopy(java.FileUtil.stat2Paths(found), 0, names, 0, n)
+        text = self._jvm.java.util.Arrays.toString(names)
+        root = self.qualified() + "/"
+        return text[1 + len(root):-1].split(", " + root)  # a name holds no root: "/" is escaped
+
     def delete(self) -> None:
         if self.exists() and not self._fs.delete(self._p, True):
             raise RuntimeError(f"could not delete {self.path}")
