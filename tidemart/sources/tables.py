@@ -19,6 +19,7 @@ from tidemart.operators.project import conform_columns, conform_schema, rename_b
 from tidemart.plans.mart import Mart, path_exists
 from tidemart.session import saved
 from tidemart.sources.folders import settle
+from tidemart.sources.statements import one_statement, parameters, split_statements
 
 #: partitions in one ALTER TABLE statement
 SPEC_BATCH = 200
@@ -415,16 +416,12 @@ def run_sql_script(spark: SparkSession, statements: Sequence[str],
             stmt = stmt.format_map(dict(names))
         if not stmt.strip():
             continue
-        used = {k: v for k, v in (args or {}).items() if f":{k}" in stmt}
+        named = parameters(stmt)
+        used = {k: v for k, v in (args or {}).items() if k in named}
         result = spark.sql(stmt, args=used or None)
     return result
 
 
-def split_statements(text: str) -> list[str]:
-    """Split a script on ``;`` and drop empty pieces (a trailing ``;`` is fine)."""
-    return [s.strip() for s in text.split(";") if s.strip()]
-
-
 def run_sql_files(spark: SparkSession, pattern: str,
                   args: Mapping[str, object] | None = None,
                   names: Mapping[str, str] | None = None) -> DataFrame | None:
@@ -442,8 +439,9 @@ def run_sql_files(spark: SparkSession, pattern: str,
 # S13 ---------------------------------------------------------------------------
 def scalar_query(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None,
                  alias: str = "value", names: Mapping[str, str] | None = None) -> DataFrame:
-    """First cell of a query as text (NULL stays NULL), as a one-row frame."""
-    df = run_sql_script(spark, [sql], args, names)
+    """First cell of a query as text (NULL stays NULL), as a one-row frame.  ``sql`` holds one
+    statement."""
+    df = run_sql_script(spark, [one_statement(sql)], args, names)
     return df.select(F.col(df.columns[0]).cast("string").alias(alias)).limit(1)
 
 
@@ -455,15 +453,13 @@ def scalar_value(spark: SparkSession, sql: str, args: Mapping[str, object] | Non
 
 def scalar_from_file(spark: SparkSession, pattern: str, args: Mapping[str, object] | None = None,
                      names: Mapping[str, str] | None = None) -> str | None:
-    """First cell of the query in the first (sorted) script matching a glob."""
+    """First cell of the query in the first (sorted) script matching a glob; the script holds
+    one statement."""
     paths = sorted(_glob.glob(pattern))
     if not paths:
         raise FileNotFoundError(f"no SQL script matches {pattern}")
     with open(paths[0], encoding="utf-8") as fh:
-        statements = split_statements(fh.read())
-    if not statements:
-        raise ValueError(f"{paths[0]} holds no statement")
-    return scalar_value(spark, statements[-1], args, names)
+        return scalar_value(spark, fh.read(), args, names)
 
 
 def exists(spark: SparkSession, mart: Mart) -> bool:
