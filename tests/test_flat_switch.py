@@ -103,8 +103,6 @@ def test_cut_off_at_every_point(spark, scratch, registered):
             P.compact_flat(spark, mart)
             assert ids(spark, mart) == expected, (point, calls, action)
             assert ids(spark, mart.with_table(None).with_path(mart.located(spark).path)) == expected
-            P.compact_flat(spark, mart)
-            assert ids(spark, mart) == expected
             points = point
         if not cut:
             break

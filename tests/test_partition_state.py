@@ -59,6 +59,28 @@ def test_empty_and_zero_byte_folders_have_no_bytes(spark, scratch, with_rows):
     assert plan["dt=2024-01-08"]["factor"] == plan["dt=2024-01-09"]["factor"] == 0
 
 
+def test_only_folders_right_below_the_root_are_partitions(spark, scratch):
+    mart = made(spark, scratch)
+    before = set(by_partition(P.partition_inventory(spark, mart, False)))
+    spark.createDataFrame([(1, "v", "2024-01-01")], SCHEMA).write.partitionBy("dt") \
+        .parquet(mart.path + "/other/copy")
+    inv = by_partition(P.partition_inventory(spark, mart, False))
+    assert set(inv) == before
+    assert inv["dt=2024-01-01"]["location"].endswith(mart.path.rsplit("/", 1)[-1] + "/dt=2024-01-01")
+
+
+def test_a_neighbour_with_a_longer_name_is_not_the_same_folder(spark, scratch):
+    flat = Mart(scratch("f"), StructType(SCHEMA.fields[:2]))
+    rows = spark.createDataFrame([(1, "a")], flat.schema)
+    rows.write.parquet(flat.path)
+    rows.write.parquet(flat.path + "_more")
+    near = spark.read.parquet(flat.path + "_more")
+    S.overwrite_partitions(near, flat)
+    with pytest.raises(ValueError):
+        S.overwrite_partitions(spark.read.parquet(flat.path), flat)
+    assert flat.read(spark).count() == 1
+
+
 def test_folder_names_with_marks(spark, scratch):
     keys = ["a, b", "x=y/z", "[1]*?", "{q}", "é", "c:d", "%41", None]
     schema = StructType([SCHEMA.fields[0], StructField("k", StringType())])

@@ -37,18 +37,18 @@ def test_transfer_prunes_columns_and_shuffles_once(spark):
 
 def test_compaction_is_one_shuffle_with_a_broadcast_plan(spark):
     mart = fx.lineitem_small_files(spark, SF_SMALL, "test-plan-compact", writers=3)
-    todo = P.compaction_plan(P.partition_inventory(spark, mart, with_rows=False)) \
-        .filter("needs_rewrite").collect()
+    todo = P.plan_jobs(mart, P.compaction_plan(P.partition_inventory(spark, mart, with_rows=False)))
     text = plan_text(P.compaction_frame(spark, mart, todo))
     ex = exchanges(text)
     assert len(ex) == 1 and "REPARTITION_BY_NUM" in ex[0]
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "dynamicpruning" in text  # only planned folders are read
 
 
 def test_inventory_row_count_reads_no_column(spark):
     mart = fx.events_mart(spark, SF_SMALL, "test-plan-inventory")
     text = plan_text(P.partition_inventory(spark, mart))
-    assert "ReadSchema: struct<>" in text
+    assert "PushedAggregation: [COUNT(*)]" in text  # from footers, no row is read
     assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in text
     assert "SortAggregate" not in text
 
@@ -56,10 +56,10 @@ def test_inventory_row_count_reads_no_column(spark):
 def test_sized_write_is_one_shuffle(spark):
     src = fx.orders_source(spark, SF_SMALL)
     loaded = proj.transfer_projection(src, fx.ORDERS_MART_SCHEMA, {"ctl_loading": 1, "ctl_validfrom": "x"})
-    frame, specs = sized_write_frame(loaded, fx.orders_mart(spark, "test-plan-sized"), 40.0, 4096)
+    frame, plan = sized_write_frame(loaded, fx.orders_mart(spark, "test-plan-sized"), 40.0, 4096)
     text = plan_text(frame)
     ex = exchanges(text)
-    assert len(ex) == 1 and "REPARTITION_BY_NUM" in ex[0] and specs
+    assert len(ex) == 1 and "REPARTITION_BY_NUM" in ex[0] and plan.count()
 
 
 def test_partition_reads_are_pruned(spark):

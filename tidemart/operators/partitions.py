@@ -40,13 +40,15 @@ DELETE_THREADS = 16
 DELETE_BATCH = 1000
 
 
-def _relative_partition(path: Column, keys: Sequence[str]) -> Column:
+def _relative_partition(path: Column, keys: Sequence[str], root: str) -> Column:
     """``k1=v1/k2=v2`` folder text of a file path, NULL unless the file sits
-    exactly in a ``k1=../k2=..`` folder for the mart's keys."""
+    exactly in a ``k1=../k2=..`` folder for the mart's keys right below ``root``."""
     if not keys:
         return F.lit("")
-    pattern = "/(" + "/".join(java_quote(k) + "=[^/]*" for k in keys) + ")/[^/]+$"
-    return F.when(path.rlike(pattern), F.regexp_extract(path, pattern, 1))
+    pattern = "^(" + "/".join(java_quote(k) + "=[^/]*" for k in keys) + ")/[^/]+$"
+    below = F.substring(path, F.lit(len(root) + 2), F.length(path))
+    return F.when(path.startswith(root + "/") & below.rlike(pattern),
+                  F.regexp_extract(below, pattern, 1))
 
 
 def _key_value(part: Column, key: str) -> Column:
@@ -120,7 +122,7 @@ def partition_inventory(spark: SparkSession, mart: Mart, with_rows: bool = True,
     """
     keys = list(mart.partition_by)
     files = file_listing(spark, mart.path)
-    part = _relative_partition(F.col("path"), keys)
+    part = _relative_partition(F.col("path"), keys, Folder(spark, mart.path).qualified())
     # the folder is a function of the partition text, so grouping by both keeps
     # a hash aggregate (no string aggregation buffer)
     inv = (files.select(part.alias("partition"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 import glob as _glob
 from itertools import islice
 from typing import Iterable, Mapping, Sequence
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql.types import StructType
 from tidemart.operators.project import conform_columns, conform_schema, rename_by_position
 from tidemart.plans.mart import Mart, path_exists
 from tidemart.session import saved
-from tidemart.sources.folders import settle
+from tidemart.sources.folders import Folder, settle
 from tidemart.sources.statements import one_statement, parameters, split_statements
 
 #: partitions in one ALTER TABLE statement
@@ -117,8 +118,11 @@ def alter_partitions(spark: SparkSession, table: str, keys: Sequence[str],
 
 
 def _check_not_reading(df: DataFrame, path: str) -> None:
-    root = path.rstrip("/") + "/"
-    if any(root in f or f.startswith(root) for f in df.inputFiles()):
+    """Refuse to replace a folder with rows read from it (its files would be gone first)."""
+    def plain(uri: str) -> str:
+        return unquote(urlsplit(uri).path)
+    root = plain(Folder(df.sparkSession, path).qualified()) + "/"
+    if any(plain(f).startswith(root) for f in df.inputFiles()):
         raise ValueError(f"refusing to replace {path} with data read from it; "
                          "write a new copy instead (compact_flat)")
 

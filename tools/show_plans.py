@@ -32,10 +32,10 @@ def main():
     show("transfer: projection + rebalance on the partition key (first load)",
          loaded.hint("rebalance", "report_dt"))
     mart = fx.lineitem_small_files(spark, sf, "plans")
-    show("partition inventory (listing + footer row counts)", P.partition_inventory(spark, mart))
+    show("partition inventory (listing + counts pushed into the footers)", P.partition_inventory(spark, mart))
     plan = P.compaction_plan(P.partition_inventory(spark, mart, with_rows=False))
-    todo = plan.filter("needs_rewrite").collect()
-    show("compaction of all planned partitions (one job)", P.compaction_frame(spark, mart, todo))
+    show("compaction of all planned partitions (one job)",
+         P.compaction_frame(spark, mart, P.plan_jobs(mart, plan)))
     from tidemart.sources.tables import sized_write_frame
     show("sized write of a new load (mart already holds data)",
          sized_write_frame(loaded, fx.orders_mart(spark, "plans_sized"), 40.0, 64 * 1024)[0])
