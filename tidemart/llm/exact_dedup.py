@@ -42,18 +42,18 @@ def golomb_encode(values: np.ndarray) -> tuple[int, bytes, bytes]:
     ends = np.cumsum(quotients + 1) - 1
     high = np.zeros(int(ends[-1]) + 1 if len(ends) else 0, dtype=np.uint8)
     high[ends] = 1
-    shifts = np.arange(low_bits - 1, -1, -1, dtype=np.uint64)
-    low = ((gaps[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel()
+    bits = np.unpackbits(gaps.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    low = bits[:, 64 - low_bits:].ravel()
     return low_bits, np.packbits(high).tobytes(), np.packbits(low).tobytes()
 
 
 def golomb_decode(n: int, first: int, low_bits: int, high: bytes, low: bytes) -> np.ndarray:
     ends = np.flatnonzero(np.unpackbits(np.frombuffer(high, dtype=np.uint8)))[:n]
     quotients = (np.diff(ends, prepend=-1) - 1).astype(np.uint64)
-    bits = np.unpackbits(np.frombuffer(low, dtype=np.uint8))[:n * low_bits].reshape(n, low_bits)
-    gaps = np.zeros(n, dtype=np.uint64)
-    for k in range(low_bits):
-        gaps = (gaps << np.uint64(1)) | bits[:, k]
+    bits = np.zeros((n, 64), dtype=np.uint8)
+    bits[:, 64 - low_bits:] = np.unpackbits(
+        np.frombuffer(low, dtype=np.uint8))[:n * low_bits].reshape(n, low_bits)
+    gaps = np.packbits(bits, axis=1).view(">u8").ravel().astype(np.uint64)
     return np.cumsum(gaps + (quotients << np.uint64(low_bits)), dtype=np.uint64) + np.uint64(first)
 
 

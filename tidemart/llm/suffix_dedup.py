@@ -60,9 +60,21 @@ _NAME = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _SECOND = 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F
 
 
+#: Places that are named at once: their numbers stay in the processor's cache.
+PLACES = 1 << 14
+
+
 def prefix_names(data: np.ndarray, length: int, by: tuple[int, int] = _NAME,
                  start: int = 1) -> np.ndarray:
     """A 64-bit name of the ``length`` bytes from each place on, by doubling."""
+    n = len(data) - length + 1
+    if n <= PLACES:
+        return _prefix_names(data, length, by, start)
+    return np.concatenate([_prefix_names(data[k:k + PLACES + length - 1], length, by, start)
+                           for k in range(0, n, PLACES)])
+
+
+def _prefix_names(data: np.ndarray, length: int, by: tuple[int, int], start: int) -> np.ndarray:
     if len(data) < length:
         return np.zeros(0, dtype=_U)
     power, size = _mixed(data.astype(_U) + _U(start)), 1
@@ -118,7 +130,7 @@ def suffix_array(symbols: np.ndarray, covered: int = 1) -> np.ndarray:
     ones, twos = np.arange(1, n, 3), np.arange(2, n, 3)
     sample = np.concatenate([ones, twos])
     triples = (s[sample] << 2 * bits) | (s[sample + 1] << bits) | s[sample + 2]
-    order = np.argsort(triples, kind="stable")
+    order = np.argsort(triples)
     new = np.diff(triples[order], prepend=-1) != 0
     names = np.empty(len(sample), dtype=np.int64)
     names[order] = np.cumsum(new)
@@ -139,7 +151,7 @@ def suffix_array(symbols: np.ndarray, covered: int = 1) -> np.ndarray:
         return (((s[i] << bits) | s[i + 1]) << rank_bits) | rank[i + 2]
 
     rest = np.arange(0, n, 3)
-    rest = rest[np.argsort(one(rest), kind="stable")]
+    rest = rest[np.argsort(one(rest))]
     # how many sample suffixes come before each of the rest
     behind = np.searchsorted(np.sort(one(ones)), one(rest)) + np.searchsorted(
         np.sort(two(twos)), two(rest))
@@ -147,7 +159,7 @@ def suffix_array(symbols: np.ndarray, covered: int = 1) -> np.ndarray:
         np.arange(len(rest)) + behind,
         np.arange(len(sample)) + np.searchsorted(np.sort(behind), np.arange(len(sample)),
                                                  side="right")])
-    return np.concatenate([rest, sample[order]])[np.argsort(place, kind="stable")]
+    return np.concatenate([rest, sample[order]])[np.argsort(place)]
 
 
 def local_firsts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -332,12 +344,18 @@ def _firsts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return data, starts, first, names
 
 
+def _distinct(names: np.ndarray) -> np.ndarray:
+    """Sorted and each once (np.unique deals integers by hash first, which takes longer)."""
+    names = np.sort(names)
+    return names[np.diff(names, prepend=~names[:1]) != 0]
+
+
 def _block_names(owners: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(_CODES)
         for batch in batches:
             for row in batch.to_pylist():
-                yield _codes(schema, row["block"], np.unique(_firsts(row)[3]), owners)
+                yield _codes(schema, row["block"], _distinct(_firsts(row)[3]), owners)
     return run
 
 
