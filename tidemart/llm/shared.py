@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.plans.mart import delete_path
 from tidemart.session import work_path
 
 #: A-Z to a-z on UTF-8 bytes; every byte of a longer sequence is left alone.
@@ -57,6 +58,12 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``saved`` table that no later job reads."""
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        delete_path(table.sparkSession, folder)
+
+
 def if_small(df: DataFrame, size: Column, limit: int) -> DataFrame:
     """``df`` with a broadcast hint if its summed ``size`` is at most ``limit`` bytes,
     else as it is (the join then shuffles).  ``df`` should be a saved table."""

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.exact_dedup import golomb_decode, golomb_encode
 from tidemart.llm.shared import (
-    arrow_schema, if_small, record_batch, saved, ship_package, shuffle_parts, text_of,
+    arrow_schema, discard, if_small, record_batch, saved, ship_package, shuffle_parts, text_of,
 )
 
 #: Length of a repeated string; bytes of a fingerprint.
@@ -40,8 +40,10 @@ LENGTH, GRAM = 100, 32
 BLOCK = 1 << 20
 #: Strings whose names go to one owner, about; more strings have more owners.
 OWNER_STRINGS = 16 << 20
-#: Bits of the names that travel; strings of one name are told apart by a second hash.
-NAME_BITS = 62
+#: Bits of the names that travel; strings of one name are told apart by a second hash of 64
+#: bits.  Both have to agree: 112 bits, of which 2.5e10 strings (30 GB) share one by chance with
+#: a probability of 6e-14.  Strings that share a name only are sent on and found different.
+NAME_BITS = 48
 #: Repeated fingerprints go to all tasks up to this many bytes; beyond it they are joined.
 FILTER_BYTES = 64 << 20
 #: Spans and ids of copies are broadcast up to this many bytes; beyond it joins shuffle.
@@ -552,6 +554,7 @@ def suffix_dedup(docs: DataFrame, owners: int | None = None) -> DataFrame:
                    .sortWithinPartitions("doc_id", "sha", "at")
                    .select("doc_id", "sha", "at", "bytes")
                    .mapInArrow(_sort_blocks, _BLOCKS), "blocks")
+    discard(segments)  # the blocks hold the same bytes
     names = blocks.select("block", "sizes", "bytes", "firsts").mapInArrow(
         _block_names(max(owners, -(-total // OWNER_STRINGS))), _CODES)
     shared = names.groupBy("owner").applyInArrow(_shared, _ANSWERS)
