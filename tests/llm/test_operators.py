@@ -289,6 +289,28 @@ def test_token_counts_without_byte_fallback_join_unknown_characters():
         assert counter.count(text)[1] == len(plain.encode("▁" + text.replace(" ", "▁")).ids)
 
 
+def test_token_counts_of_rounded_scores_follow_the_whole_text():
+    """Sums of rounded scores differ by the order they are added in: ties go by whole texts."""
+    rng, by_word = random.Random(8), 0
+    for _ in range(60):
+        pieces = {c: -round(rng.uniform(1, 5), 1) for c in "▁abcd"}
+        for _ in range(25):
+            piece = "".join(rng.choice("abcd") for _ in range(rng.randint(2, 4)))
+            pieces[rng.choice(["", "▁"]) + piece] = -round(rng.uniform(1, 9), 1)
+        listed = (("<unk>", 0.0), *pieces.items())
+        plain = Tokenizer(models.Unigram(list(listed), 0))
+        counter = token_counts.Counter(
+            token_counts.Vocabulary(tuple(pieces.items()), False, min(pieces.values())))
+        assert not counter.splits
+        for _ in range(20):
+            text = " ".join("".join(rng.choice("abcd") for _ in range(rng.randint(1, 9)))
+                            for _ in range(rng.randint(1, 12)))
+            want = len(plain.encode("▁" + text.replace(" ", "▁")).ids)
+            assert counter.count(text)[1] == want
+            by_word += sum(counter.best("▁" + w)[1] for w in text.split(" ")) != want
+    assert by_word  # counting by words would have been wrong
+
+
 def test_merge_dropout(docs, empty):
     pieces = merge_dropout.Pieces.load(PIECES)
     encoded = merge_dropout.encode_pieces(docs, pieces, rate=0.3, seed=5).cache()

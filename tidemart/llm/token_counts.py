@@ -58,8 +58,11 @@ class Counter:
         for piece, score in vocabulary.pieces:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        # no piece goes on after another character into a space: words are independent
-        self.splits = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p, _ in vocabulary.pieces)
+        # words are independent if no piece goes on after another character into a space, and
+        # if scores add up without rounding: else a text's ties depend on all before them
+        whole = [self.unknown, *(score for _, score in vocabulary.pieces)]
+        self.splits = (all(x == int(x) and abs(x) < 1 << 20 for x in whole) and not any(
+            re.search(f"[^{SPACE}]{SPACE}", p) for p, _ in vocabulary.pieces))
         self.memory: dict[str, tuple[float, int]] = {}
 
     def best(self, text: str) -> tuple[float, int]:
