@@ -269,6 +269,19 @@ def test_token_files(spark, docs, empty):
     assert token_files.token_checksums(spark.read.schema(files.schema).parquet(path)).count() == 0
 
 
+def test_line_filters_hold_packed_bits():
+    """A worker's filters take a bit for each bit, and hold what was set."""
+    import numpy as np
+    bits, rng = 1 << 16, np.random.default_rng(1)
+    filter_, plain = np.zeros(bits // 8, dtype=np.uint8), np.zeros(bits, dtype=bool)
+    for _ in range(5):
+        places = line_dedup._bit_places(rng.integers(0, 1 << 63, 900, dtype=np.uint64), bits)
+        assert (line_dedup._held(filter_, places) == plain[places].all(axis=1)).all()
+        line_dedup._set(filter_, places)
+        plain[places.ravel()] = True
+        assert (np.packbits(plain) == filter_).all()
+
+
 def test_token_counts(docs, empty):
     vocabulary = token_counts.Vocabulary.load(PIECES)
     from sentencepiece import SentencePieceProcessor

@@ -59,12 +59,11 @@ _SEGMENT = "segment int, part int, once binary, twice binary"
 
 def _filters(bits: int, min_chars: int):
     """A partition's texts to its two filters, cut into compressed segments."""
-    width = bits // SEGMENTS
+    width = bits // 8 // SEGMENTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # bits rather than hashes are held: the memory is bounded by the filter's size
-        once = np.zeros(bits, dtype=bool)
-        twice = np.zeros(bits, dtype=bool)
+        once, twice = np.zeros(bits // 8, dtype=np.uint8), np.zeros(bits // 8, dtype=np.uint8)
         used = False
         for batch in batches:
             hashes = [xxhash.xxh3_64_intdigest(k) for text in batch.column(0).to_pylist()
@@ -74,9 +73,9 @@ def _filters(bits: int, min_chars: int):
             used = True
             values, count = np.unique(np.array(hashes, dtype=np.uint64), return_counts=True)
             places = _bit_places(values, bits)
-            again = (count > 1) | once[places].all(axis=1)
-            twice[places[again].ravel()] = True
-            once[places.ravel()] = True
+            again = (count > 1) | _held(once, places)
+            _set(twice, places[again])
+            _set(once, places)
         if not used:
             return
         part = TaskContext.get().partitionId()
@@ -84,13 +83,24 @@ def _filters(bits: int, min_chars: int):
         for s in range(SEGMENTS):
             cut = slice(s * width, (s + 1) * width)
             if once[cut].any():
-                yield record_batch(schema, 1, segment=s, part=part, once=_packed(once[cut]),
-                                   twice=_packed(twice[cut]))
+                yield record_batch(schema, 1, segment=s, part=part,
+                                   once=zlib.compress(once[cut].tobytes(), 1),
+                                   twice=zlib.compress(twice[cut].tobytes(), 1))
     return run
 
 
-def _packed(bits: np.ndarray) -> bytes:
-    return zlib.compress(np.packbits(bits).tobytes(), 1)
+def _bit(places: np.ndarray) -> np.ndarray:
+    return np.uint8(128) >> (places & 7).astype(np.uint8)
+
+
+def _set(filter_: np.ndarray, places: np.ndarray) -> None:
+    places = places.ravel()
+    np.bitwise_or.at(filter_, places >> 3, _bit(places))
+
+
+def _held(filter_: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Rows of ``places`` all of whose bits are set."""
+    return ((filter_[places >> 3] & _bit(places)) != 0).all(axis=1)
 
 
 def _merge(rows: pa.Table) -> pa.Table:
@@ -126,8 +136,7 @@ def _suspects(twice, bits: int, min_chars: int):
                 continue
             places = _bit_places(np.array([xxhash.xxh3_64_intdigest(k) for k in keys],
                                           dtype=np.uint64), bits)
-            seen = ((filter_[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1).all(axis=1)
-            hit = np.flatnonzero(seen)
+            hit = np.flatnonzero(_held(filter_, places))
             yield record_batch(schema, len(hit), doc_id=batch.column(0).take(pa.array(row[hit])),
                                version=batch.column(1).take(pa.array(row[hit])),
                                key=[keys[i] for i in hit], lines=[lines[i] for i in hit])
@@ -164,6 +173,8 @@ def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> D
                .groupBy("key").agg(F.count(F.lit(1)).alias("docs"),
                                    F.max("doc_id").alias("keep_id"))
                .filter(F.col("docs") >= min_docs).select("key", "keep_id"))
+    # a common line is one row here: where these fit, its many lines need not meet in a task
+    repeats = if_small(saved(repeats, "repeats"), 16 + F.length("key"), BROADCAST_BYTES)
     return (suspects.join(repeats, "key")
             .filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
             .groupBy("doc_id", "version")
