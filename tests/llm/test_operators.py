@@ -322,6 +322,8 @@ def test_token_counts_of_rounded_scores_follow_the_whole_text():
             assert counter.count(text)[1] == want
             by_word += sum(counter.best("▁" + w)[1] for w in text.split(" ")) != want
     assert by_word  # counting by words would have been wrong
+    registered = token_counts.Counter(token_counts.Vocabulary.load(PIECES))
+    assert registered.splits and registered.exact_chars > 9_000_000
 
 
 def test_merge_dropout(docs, empty):

@@ -60,9 +60,11 @@ class Counter:
         self.automaton.make_automaton()
         # words are independent if no piece goes on after another character into a space, and
         # if scores add up without rounding: else a text's ties depend on all before them
-        whole = [self.unknown, *(score for _, score in vocabulary.pieces)]
-        self.splits = (all(x == int(x) and abs(x) < 1 << 20 for x in whole) and not any(
-            re.search(f"[^{SPACE}]{SPACE}", p) for p, _ in vocabulary.pieces))
+        costs = [abs(x) for x in (self.unknown, *(score for _, score in vocabulary.pieces))]
+        self.splits = all(x == int(x) for x in costs) and not any(
+            re.search(f"[^{SPACE}]{SPACE}", p) for p, _ in vocabulary.pieces)
+        #: characters whose costs add up to less than 2 ** 53, so exactly
+        self.exact_chars = int((1 << 53) / max(*costs, 1)) - 1
         self.memory: dict[str, tuple[float, int]] = {}
 
     def best(self, text: str) -> tuple[float, int]:
@@ -95,7 +97,7 @@ class Counter:
         """Best score and number of pieces of a raw text."""
         if not text:
             return 0.0, 0
-        if not self.splits:
+        if not self.splits or len(text) >= self.exact_chars:
             return self.best(SPACE + text.replace(" ", SPACE))
         if "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
             words = [u[1:] for u in _UNITS.findall(SPACE + text.replace(" ", SPACE))]
