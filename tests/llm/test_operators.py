@@ -4,6 +4,7 @@ import os
 import random
 import sys
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidemart.llm import (  # noqa: E402
     chat_windows, decontamination, exact_dedup, line_dedup, merge_dropout, near_dedup,
     suffix_dedup, token_counts, token_files, toxicity,
 )
+from tidemart.llm.shared import roots  # noqa: E402
 from tidemart.session import work_path  # noqa: E402
 
 SCHEMA = "doc_id long, text string, sha string, size long, class string, ids array<int>"
@@ -151,6 +153,73 @@ def test_near_dedup_links_short_near_copies(spark):
     assert got(found, "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
 
 
+def places(n, depth, rng):
+    """Places of one tree that share the first ``depth`` hashes."""
+    width = 4 * near_dedup.DEPTH
+    return [b"\0" + b"\7" * (4 * depth) + rng.bytes(width - 4 * depth) for _ in range(n)]
+
+
+@pytest.mark.parametrize("depth, crowd, n", [(3, near_dedup.CROWD, 11_500), (6, 2000, 4000)])
+def test_crowded_region_loses_no_pair(spark, depth, crowd, n):
+    """One prefix for thousands of different sketches over several partitions; 500 far-apart
+    pairs share a sketch but for a few bits.  A crowd that shares all hashes is compared whole."""
+    rng, pairs = np.random.default_rng(depth), 500
+    sketches = [rng.bytes(near_dedup.BINS // 8) for _ in range(n)]
+    alike = [bytes([s[0] ^ 7]) + s[1:] for s in sketches[:pairs]]
+    rows = list(zip(places(n + pairs, depth, rng), range(n + pairs), sketches + alike, strict=True))
+    forest = spark.createDataFrame(rows, "place binary, node long, sketch binary")
+    links = near_dedup.forest_links(forest, 3, crowd).distinct().collect()
+    top = dict(enumerate(roots(n + pairs, ((r.a, r.b) for r in links)).tolist()))
+    assert all(top[k] == top[n + k] for k in range(pairs))
+    # and no link joins what sketches do not connect
+    bits = np.frombuffer(b"".join(sketches + alike), dtype=np.uint64).reshape(-1, 2)
+    need = int(np.ceil(near_dedup.SKETCH_SHARE * near_dedup.BINS))
+    near = []
+    for k, own in enumerate(bits):
+        far = np.bitwise_count(bits[k + 1:] ^ own).sum(axis=1)
+        near += [(k, k + 1 + int(j)) for j in np.flatnonzero(near_dedup.BINS - far >= need)]
+    connected = roots(n + pairs, near)
+    assert all(connected[r.a] == connected[r.b] for r in links)
+
+
+def test_deeper_prefix_decides_in_a_crowd(spark):
+    """Beyond the crowd's size those that share a longer prefix still meet."""
+    rng = np.random.default_rng(4)
+    sketches = [rng.bytes(near_dedup.BINS // 8) for _ in range(3000)]
+    where = places(3000, 3, rng)
+    rows = list(zip(where + where, range(6000), sketches + sketches, strict=True))
+    forest = spark.createDataFrame(rows, "place binary, node long, sketch binary")
+    links = near_dedup.forest_links(forest, 4, 1000).collect()
+    top = roots(6000, ((r.a, r.b) for r in links))
+    assert (top[:3000] == top[3000:]).all()
+
+
+def test_member_of_a_group_that_is_unlike_its_leader_goes_along():
+    """x is like the leader and y is like x, but y is not like the leader: y finds x."""
+    first = np.zeros(2, dtype=np.uint64)
+    x, y = first.copy(), first.copy()
+    x[0], y[0], y[1] = (1 << 30) - 1, (1 << 30) - 1, (1 << 15) - 1
+    block = np.stack([first, x])
+    along = near_dedup._leaders(block, near_dedup._groups(block))
+    assert along.tolist() == [0, 1]
+    assert near_dedup._groups(np.stack([first, y])).tolist() == [0, 1]
+    assert near_dedup._groups(np.stack([first, x, y])).tolist() == [0, 0, 0]
+
+
+def test_near_copies_within_boilerplate(spark):
+    """A thousand texts with 60 of 100 words in common: only the planted near copies link."""
+    rng = random.Random(3)
+    frame_words = [f"b{k}" for k in range(60)]
+    rows = []
+    for k in range(1000):
+        own = [f"w{rng.randrange(10 ** 9)}" for _ in range(40)]
+        rows.append((k, " ".join(frame_words + own)))
+        if k < 60:
+            rows.append((5000 + k, " ".join(frame_words + own[:-1] + ["other"])))
+    found = near_dedup.near_dedup(frame(spark, rows), words=4)
+    assert got(found, "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
+
+
 def test_near_dedup_null_ids_and_repeated_rows(spark):
     text = DOCS[50][1]
     rows = [(None, text), (5, text), (5, text), (7, None)]

@@ -6,8 +6,11 @@
 2. Each tree sorts the classes by its own order of the signature (range partitions, so
    a crowded prefix spreads over several of them).  Neighbours with a common prefix of
    MIN_DEPTH hashes form a region; within it, sketches tell which ones may be similar.
-   A crowded region is walked in blocks, the leaders of earlier blocks going along, and
-   those that share only a short prefix fall behind: the depth adapts to the region.
+   A region is walked in blocks, the leaders of earlier blocks going along.  Where leaders
+   become too many or a region reaches the edge of its partition, they are set aside and
+   meet in pairs of blocks, each pair a task's group of its own: none is dropped.  Only
+   where a prefix has more than CROWD leaders the common prefix must be one hash longer,
+   up to DEPTH: the depth adapts to the region.
 3. The candidates' connected components are clusters.  Each document of a cluster sends its
    text once, and its full set is compared within the cluster; large clusters are
    dealt into blocks, and each pair of blocks is a group of its own.
@@ -26,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.components import connected_components
@@ -39,8 +42,13 @@ TREES, DEPTH, MIN_DEPTH, BINS = 20, 6, 3, 128
 #: Share of sketch bits that possible neighbours have in common: at similarity 0.8 it is 0.9
 #: on average, with a deviation of about 0.03, in small sets too: each bin has a bit of its own.
 SKETCH_SHARE = 0.70
+#: A row goes along as a leader unless it has this share with one that does.  What is similar to
+#: the row (0.85 or more) has then SKETCH_SHARE with that leader, whatever bits differ.
+LEADER_SHARE = 0.85
 #: Rows of a region that are compared at once, and leaders that go along.
 BLOCK = 1024
+#: Leaders of a prefix that are compared; of more, a prefix that is one hash longer decides.
+CROWD = 16 * BLOCK
 #: Rows of the forest in a sorted partition, about.
 PARTITION_ROWS = 500_000
 #: Shingles of a cluster that are compared in one group; more are dealt into blocks.
@@ -154,12 +162,13 @@ def _sign(words: int):
     return run
 
 
-_WALKED = "kind int, part int, prefix binary, a long, b long"
+_WALKED = "a long, b long, place binary, sketch binary, origin long"
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (place, node, sketch) rows to links, and the partition's first and last row."""
-    schema, part = arrow_schema(_WALKED), TaskContext.get().partitionId()
+    """Sorted (place, node, sketch) rows to links (a, b), and to leaders (a, place, sketch,
+    origin) that have yet to meet those of the same prefix with another origin."""
+    schema = arrow_schema(_WALKED)
     batches = [b for b in batches if b.num_rows]
     if not batches:
         return
@@ -172,27 +181,50 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cuts = np.flatnonzero((places[1:, :short] != places[:-1, :short]).any(axis=1)) + 1
     starts = np.concatenate([[0], cuts])
     ends = np.concatenate([cuts, [n]])
-    a, b = [], []
-    for lo, hi in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
+    # a row alone has neighbours only beyond the partition's edge
+    some = (ends - starts > 1) | (starts == 0) | (ends == n)
+    a, b, aside, origins = [], [], [], []
+    origin = TaskContext.get().partitionId() << 32
+    for lo, hi in zip(starts[some], ends[some], strict=True):
         leaders = np.zeros(0, dtype=np.int64)
+        goes_on = lo == 0 or hi == n
         for at in range(lo, hi, BLOCK):
-            block = np.arange(at, min(at + BLOCK, hi))
-            depth = short
-            while len(leaders) > BLOCK:  # a crowded region: only nearer leaders go on
-                depth += 4
-                leaders = leaders[-BLOCK:] if depth > width else leaders[
-                    (places[leaders, :depth] == places[at, :depth]).all(axis=1)]
-            here = np.concatenate([leaders, block])
+            here = np.concatenate([leaders, np.arange(at, min(at + BLOCK, hi))])
             found = _groups(sketch[here])
-            root = here[found]
-            moved = np.flatnonzero(root != here)
-            a += nodes[root[moved]].tolist()
+            moved = np.flatnonzero(found != np.arange(len(here)))
+            a += nodes[here[found[moved]]].tolist()
             b += nodes[here[moved]].tolist()
-            leaders = here[np.unique(found)]
-    yield record_batch(schema, len(a), kind=0, part=part, a=a, b=b)
-    yield record_batch(schema, 2, kind=[1, 2], part=part,
-                       prefix=[places[0, :short].tobytes(), places[-1, :short].tobytes()],
-                       a=[int(nodes[0]), int(nodes[-1])])
+            last = at + BLOCK >= hi
+            if last and not goes_on:
+                break
+            leaders = here[_leaders(sketch[here], found)]
+            if last or len(leaders) > BLOCK:
+                aside.append(leaders)
+                origins += [origin] * len(leaders)
+                origin += 1
+                leaders, goes_on = leaders[:0], True
+    yield record_batch(schema, len(a), a=a, b=b)
+    for at in range(0, len(aside), 16):
+        some = np.concatenate(aside[at:at + 16])
+        begin = sum(map(len, aside[:at]))
+        yield record_batch(schema, len(some), a=nodes[some], origin=origins[begin:begin + len(some)],
+                           place=[p.tobytes() for p in places[some]],
+                           sketch=[s.tobytes() for s in sketch[some]])
+
+
+def _leaders(sketch: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """The rows that go along: the first of each group, and of the others those that have less
+    than LEADER_SHARE with each one of their group that goes along."""
+    far = BINS - int(np.ceil(LEADER_SHARE * BINS))
+    goes = found == np.arange(len(found))
+    away = np.bitwise_count(sketch ^ sketch[found]).sum(axis=1) > far
+    along = {}
+    for i in np.flatnonzero(away):
+        others = along.setdefault(found[i], [])
+        if not others or (np.bitwise_count(sketch[others] ^ sketch[i]).sum(axis=1) > far).all():
+            others.append(i)
+            goes[i] = True
+    return np.flatnonzero(goes)
 
 
 def _groups(sketch: np.ndarray) -> np.ndarray:
@@ -220,6 +252,58 @@ def _groups(sketch: np.ndarray) -> np.ndarray:
 _LINKS = "a long, b long"
 
 
+def _meet(group: pa.Table) -> pa.Table:
+    """Links of the leaders in a pair of blocks, by their sketches."""
+    nodes = group["a"].to_numpy()
+    found = _groups(np.frombuffer(b"".join(group["sketch"].to_pylist()), dtype=_U)
+                    .reshape(-1, BINS // 64))
+    moved = np.flatnonzero(found != np.arange(len(nodes)))
+    return pa.table({"a": pa.array(nodes[found[moved]], pa.int64()),
+                     "b": pa.array(nodes[moved], pa.int64())})
+
+
+def in_block_pairs(rows: DataFrame, id_col: str) -> DataFrame:
+    """Rows with ``blocks``, the blocks of their group, to rows with ``pair``: a row of block x
+    meets those of each block y in the pair (min(x, y), max(x, y))."""
+    return (rows.withColumn("block", F.expr(f"cast(pmod(xxhash64({id_col}), blocks) as int)"))
+            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+            .withColumn("pair", F.expr("struct(least(block, other) as x, "
+                                       "greatest(block, other) as y)"))
+            .drop("block", "other", "blocks"))
+
+
+def forest_links(forest: DataFrame, parts: int, crowd: int = CROWD) -> DataFrame:
+    """(place, node, sketch) rows, a place being a tree's number and DEPTH hashes of four bytes,
+    to links (a, b) that connect the nodes which sketches call alike within a region."""
+    walked = saved(forest.repartitionByRange(parts, "place", "node")
+                   .sortWithinPartitions("place", "node").mapInArrow(_walk, _WALKED), "walked")
+    links = walked.filter("b is not null").select("a", "b")
+    aside = walked.filter("b is null").select("a", "place", "sketch", "origin").withColumn(
+        "prefix", F.substring("place", 1, 1 + 4 * MIN_DEPTH))
+    for depth in range(MIN_DEPTH + 1, DEPTH + 1):
+        crowded = saved(aside.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
+                        .filter(F.col("n") > crowd).select(F.col("prefix").alias("crowded")),
+                        "crowded")
+        if crowded.isEmpty():
+            break
+        longer = F.substring("place", 1, 1 + 4 * depth)
+        aside = aside.join(crowded, F.col("prefix") == F.col("crowded"), "left").withColumn(
+            "prefix", F.when(F.col("crowded").isNull(), F.col("prefix")).otherwise(longer)
+        ).drop("crowded")
+    sizes = (aside.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"),
+                                         F.min("origin").alias("least"),
+                                         F.max("origin").alias("most"))
+             .filter("least < most")
+             .select(F.col("prefix").alias("met"),
+                     F.ceil(F.col("n") / (2 * BLOCK)).cast("int").alias("blocks")))
+    # up to two blocks' rows are one group
+    aside = aside.join(sizes, F.col("prefix") == F.col("met")).withColumn(
+        "blocks", F.expr("if(blocks = 1, 1, 2 * blocks)"))
+    met = (in_block_pairs(aside, "a").select("prefix", "pair", "a", "sketch")
+           .groupBy("prefix", "pair").applyInArrow(_meet, _LINKS))
+    return links.unionByName(met)
+
+
 def _confirm(words: int, percent: int):
     def run(group: pa.Table) -> pa.Table:
         """Links that connect the similar documents of a group, by their full sets."""
@@ -293,13 +377,7 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         F.expr(f"concat(unhex(lpad(hex(tree), 2, '0')), "
                f"substring(orders, tree * {4 * DEPTH} + 1, {4 * DEPTH}))").alias("place"),
         "node", "sketch")
-    walked = saved(forest.repartitionByRange(parts, "place", "node")
-                   .sortWithinPartitions("place", "node").mapInArrow(_walk, _WALKED), "walked")
-    # a region that goes on in the next partition: two rows for each partition
-    ends = walked.filter("kind > 0").withColumn(
-        "next", F.lead(F.struct("prefix", "a")).over(Window.orderBy("part", "kind")))
-    over = ends.filter("kind = 2 and prefix = next.prefix").select("a", F.col("next.a").alias("b"))
-    clusters = connected_components(walked.filter("kind = 0").select("a", "b").unionByName(over))
+    clusters = connected_components(forest_links(forest, parts))
 
     members = saved(clusters.join(classes.groupBy("node").agg(F.max("size").alias("size")), "node"),
                     "members")
@@ -307,16 +385,10 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         "root", F.ceil(F.col("weight") / F.lit(GROUP_SHINGLES / 2)).cast("int").alias("blocks"))
     members = members.join(weights, "root").select(
         "node", "root", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")).alias("blocks"))
-    # a document of block x meets the blocks y in the groups (min(x, y), max(x, y))
-    members = saved(members.select(
-        F.col("node").alias("member"), "root", "blocks",
-        F.expr("cast(pmod(xxhash64(node), blocks) as int)").alias("block")), "blocks")
-    members = if_small(members, F.lit(32), BROADCAST_BYTES)
-    sent = (texts.join(members, F.col("doc_id") == F.col("member"))
-            .select(F.col("doc_id").alias("node"), "text", "root", "block",
-                    F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-            .withColumn("pair", F.expr("struct(least(block, other) as x, "
-                                       "greatest(block, other) as y)")))
+    members = if_small(saved(members.withColumnRenamed("node", "member"), "blocks"),
+                       F.lit(32), BROADCAST_BYTES)
+    sent = in_block_pairs(texts.join(members, F.col("doc_id") == F.col("member"))
+                          .select(F.col("doc_id").alias("node"), "text", "root", "blocks"), "node")
     links = sent.select("root", "pair", "node", "text").groupBy("root", "pair").applyInArrow(
         _confirm(words, percent), _LINKS)
     found = connected_components(links).select(F.col("node").alias("linked"), "root")
