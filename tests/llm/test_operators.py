@@ -481,13 +481,61 @@ def test_chat_windows(spark):
         want[c] = (len(turns), brute.sha(said), len(learnt), brute.sha(learnt))
     assert got(chat_windows.digests(windows), "conv_id", "n_turns", "turns_sha256",
                "loss_chars", "loss_sha256") == want
-    # only a turn longer than a span (70 tokens here) takes its window over the budget
-    long_turn = F.expr("exists(split(formatted, '</turn>'), p -> length(p) > 260)")
-    assert windows.filter("tokens > 200").filter(~long_turn).count() == 0
+    # only a turn that is too long with the system turn takes its window over the budget, alone
+    alone = F.expr("size(filter(repeated, x -> not x)) - int(ords[0] = 1 and not repeated[0] and "
+                   "startswith(formatted, '<turn system>')) <= 1")
+    assert windows.filter("tokens > 200").filter(~alone).count() == 0
     assert windows.filter("window > 0").filter(F.expr("exists(repeated, x -> x)")).count() > 0
     assert chat_windows.digests(chat_windows.chat_windows(df.limit(0))).count() == 0
 
 
+def by_hand(tokens, system, budget, history_tokens, history_turns):
+    """(repeated ords, own ords) of each window, turn by turn."""
+    windows, own, used = [], [], 0
+    for k, n in enumerate(tokens):
+        if k == 0 and system:
+            continue
+        room = budget - (tokens[0] if system else 0)
+        if own and used + n <= room:
+            own.append(k)
+            used += n
+            continue
+        history = []
+        for j in reversed(own[-history_turns:]):
+            if sum(tokens[i] for i in [j, *history]) > min(history_tokens, room - n):
+                break
+            history.insert(0, j)
+        own, used = [k], n + sum(tokens[i] for i in history)
+        windows.append((history, own))
+    return windows
+
+
+def test_chat_windows_spans_are_greedy(spark):
+    """Windows hold what the budget allows, by a turn-by-turn account; they are well filled."""
+    rng = random.Random(5)
+    talks, rows = {}, []
+    for c in range(40):
+        system = c % 3 == 0
+        counts = [rng.choice([0, 5, 30, 60, 90, 300]) for _ in range(rng.randint(1, 60))]
+        talks[c] = (counts, system)
+        rows += [(c, k, "system" if system and k == 0 else "user", f"{c} {k}", n or None)
+                 for k, n in enumerate(counts)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, n int")
+    windows = chat_windows.chat_windows(df, 256, 64, 3, tokens=F.col("n")).collect()
+    assert {r.conv_id for r in windows} == set(talks)
+    filled = []
+    for c, (counts, system) in talks.items():
+        found = [([o - 1 for o, x in zip(r.ords, r.repeated, strict=True)
+                   if x and not (system and o == 1)],
+                  [o - 1 for o, x in zip(r.ords, r.repeated, strict=True)
+                   if not x and not (system and o == 1)])
+                 for r in sorted((r for r in windows if r.conv_id == c), key=lambda r: r.window)]
+        want = by_hand(counts, system, 256, 64, 3)
+        assert found == (want or [([], [])])
+        filled += [r.tokens for r in windows if r.conv_id == c and r.window < len(want) - 1]
+    assert sum(filled) / len(filled) > 0.7 * 256
+
+
 def test_chat_windows_run_no_python(spark):
     df = spark.createDataFrame([(1, 0, "user", "x")],
                                "conv_id long, turn long, role string, text string")

@@ -1,8 +1,8 @@
 """Chat formatting in budgeted windows, with DataFrame functions alone.
 
-A conversation becomes one or more windows.  Prefix sums of turn tokens deal the turns into
-turn-aligned spans; each window repeats the system turn and a limited history of the
-turns before its span.  Repeated turns are context: the loss mask covers the assistant
+A conversation becomes one or more windows.  Prefix sums of turn tokens choose turn-aligned
+spans: a span goes on up to the last turn whose sum the budget allows.  Each window repeats the
+system turn and a limited history of the turns before its span.  Repeated turns are context: the loss mask covers the assistant
 texts of a window's own span, so that every assistant text is learnt once.
 
 Template of a turn: ``<turn ROLE>\\nTEXT</turn>\\n``.  ``&`` and ``<`` in texts (and ``>``
@@ -35,6 +35,30 @@ def token_estimate(text: Column) -> Column:
     return F.ceil(F.octet_length(text) / 4).cast("long") + 3
 
 
+def span_starts(budget: int, history_tokens: int, history_turns: int) -> Column:
+    """Where spans begin (array of struct<ord, history>: the first turn, the turns repeated
+    before it) from ``turns``, an ordered array of struct<ord, before, sum> (prefix sums without
+    and with the turn), and ``room``, what the system turn leaves of the budget.
+
+    A span ends before the first turn whose sum exceeds ``top``.  ``tail`` has the sums before
+    the last turns of the span, newest first: history that may go along.
+    """
+    state = "struct<starts:array<struct<ord:bigint,history:int>>,top:bigint,tail:array<bigint>>"
+    return F.expr(f"""aggregate(turns,
+        cast(struct(array(), null, array()) as {state}),
+        (span, t) -> if(t.sum <= span.top,
+            cast(struct(span.starts, span.top,
+                        slice(concat(array(t.before), span.tail), 1, {history_turns})) as {state}),
+            element_at(transform(
+                array(size(filter(span.tail, s -> t.before - s <=
+                                  least({history_tokens}L, room - (t.sum - t.before))))),
+                n -> cast(struct(
+                    concat(span.starts, array(named_struct('ord', t.ord, 'history', n))),
+                    if(n = 0, t.before, element_at(span.tail, greatest(n, 1))) + room,
+                    slice(array(t.before), 1, {history_turns})) as {state})), 1)),
+        span -> span.starts)""")
+
+
 def chat_windows(conversations: DataFrame, budget: int = BUDGET,
                  history_tokens: int = HISTORY_TOKENS, history_turns: int = HISTORY_TURNS,
                  tokens: Column | None = None) -> DataFrame:
@@ -42,41 +66,46 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET,
     each of its turns within the conversation), repeated (is that turn context?) and
     loss (array of struct<start, len>, code points of ``formatted`` from 0).
 
-    ``conversations`` has conv_id, turn, role, text.  Turns go by turn, role, text (null
-    turns first); null roles and texts are empty; repeated rows are turns of their own;
-    rows with a null conv_id are one conversation.  A window holds at most ``budget``
-    tokens unless one of its turns is longer than a span, which is half of what the
-    system turn and the history leave; such a turn is never cut.
+    ``conversations`` has conv_id, turn, role, text, and ``tokens`` may count the tokens of a
+    turn (null: 0).  Turns go by turn, role, text (null turns first); null roles and texts are
+    empty; repeated rows are turns of their own; rows with a null conv_id are one conversation.
+    A window holds at most ``budget`` tokens unless one turn and the system turn are more: that
+    turn is never cut and is the only one of its window.
     """
     c = conversations
     text = F.coalesce(c["text"], F.lit(""))
     turns = c.select(
         "conv_id", "turn", F.coalesce(c["role"], F.lit("")).alias("role"), text.alias("text"),
-        (token_estimate(text) if tokens is None else tokens).alias("tokens"))
+        (token_estimate(text) if tokens is None
+         else F.coalesce(tokens.cast("long"), F.lit(0))).alias("tokens"))
     in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     whole = Window.partitionBy("conv_id")
-    to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     turns = (turns.withColumn("ord", F.row_number().over(in_order).cast("long"))
-             .withColumn("sum", F.sum("tokens").over(to_here))
-             .withColumn("top", F.first(F.struct("role", "tokens")).over(to_here))
-             .withColumn("system_tokens", F.when(F.col("top.role") == "system",
-                                                 F.col("top.tokens")).otherwise(0))
              .withColumn("is_system", (F.col("ord") == 1) & (F.col("role") == "system")))
-    # a turn belongs to the span in which its prefix sum ends; the first one may overhang
-    # by a span's width, so two widths, the system turn and the history fill the budget
-    width = F.greatest(F.lit(1), F.expr(f"({budget} - {history_tokens} - system_tokens) div 2"))
-    turns = turns.withColumn("span", F.when(F.col("is_system"), -1).otherwise(
-        F.floor((F.col("sum") - F.col("system_tokens") - 1) / width)))
+    in_order = Window.partitionBy("conv_id").orderBy("ord")
+    to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turns = turns.withColumn("sum", F.sum("tokens").over(to_here))
+    # spans begin where the prefix sums say; only sums are gathered, no texts
+    sums = turns.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.when(~F.col("is_system"), F.struct(
+            "ord", (F.col("sum") - F.col("tokens")).alias("before"), "sum")))).alias("turns"),
+        (F.lit(budget) - F.sum(F.when(F.col("is_system"), F.col("tokens")).otherwise(0)))
+        .alias("room"))
+    begins = sums.select(
+        F.col("conv_id").alias("id"),
+        span_starts(budget, history_tokens, history_turns).alias("starts")).select(
+        "id", F.expr("""inline(transform(starts, (s, i) -> struct(s.ord as begin, i as number,
+                        coalesce(get(starts, i + 1).history, 0) as keeps)))"""))
+    turns = turns.join(begins, F.col("conv_id").eqNullSafe(F.col("id"))
+                       & (F.col("ord") == F.col("begin")), "left")
     # the system turn goes with the first span
-    moved = ((F.lag("span").over(in_order) != F.col("span")) & (F.lag("span").over(in_order) >= 0))
-    turns = (turns.withColumn("window", F.sum(F.when(moved, 1).otherwise(0)).over(to_here))
+    turns = (turns.withColumn("window", F.coalesce(F.max("number").over(to_here), F.lit(0)))
              .withColumn("last_window", F.max("window").over(whole)))
     # the last turns of a span, as far as the history allows, follow into the next window
     in_window = Window.partitionBy("conv_id", "window")
-    follows = ((F.max("ord").over(in_window) - F.col("ord") < history_turns)
-               & (F.max("sum").over(in_window) - F.col("sum") + F.col("tokens") <= history_tokens)
-               & (F.col("window") < F.col("last_window")) & ~F.col("is_system"))
-    turns = turns.withColumn("follows", follows)
+    turns = turns.withColumn("follows", ~F.col("is_system") & (
+        F.max("ord").over(in_window) - F.col("ord")
+        < F.coalesce(F.max("keeps").over(in_window), F.lit(0))))
     places = (F.when(F.col("is_system"), F.sequence(F.col("window"), F.col("last_window")))
               .when(F.col("follows"), F.array(F.col("window"), F.col("window") + 1))
               .otherwise(F.array(F.col("window"))))
