@@ -6,6 +6,8 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 
 def sha(s):
     return hashlib.sha256(s.encode() if isinstance(s, str) else s).hexdigest()
@@ -118,6 +120,38 @@ def merges(text, ids, scores, spell):
         p[k:k + 2] = [p[k] + p[k + 1]]
 
 
+def mix64(x):
+    """The finisher of the splitmix64 generator."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2 ** 64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2 ** 64
+    return x ^ x >> 31
+
+
+def dropped_merges(text, doc, seed, rate, ids, scores, spell):
+    """Merge-dropout of a text without runs of spaces: for each word, again and again, the best
+    and leftmost pair that no draw has skipped; a draw is a keyed hash of document, position
+    of the word, and place and sizes of the pair."""
+    odd, out = 0x9E3779B97F4A7C15, []
+    drawn = xxhash.xxh3_64_intdigest(str(doc).encode(), seed=seed)
+    for number, word in enumerate(text.split(" ") if text else []):
+        key, p, skipped = mix64((drawn + (number + 1) * odd) % 2 ** 64), list("▁" + word), set()
+        while True:
+            starts = [sum(map(len, p[:k])) for k in range(len(p))]
+            found = [(-scores[x + y], at, k, (at, len(x), len(y)))
+                     for k, (at, x, y) in enumerate(zip(starts, p, p[1:]))
+                     if x + y in scores and (at, len(x), len(y)) not in skipped]
+            if not found:
+                break
+            _, _, k, (at, left, right) = min(found)
+            if mix64((key + (at * 2 ** 40 + left * 2 ** 20 + right) * odd) % 2 ** 64
+                     ) < rate * 2 ** 64:
+                skipped.add((at, left, right))
+            else:
+                p[k:k + 2] = [p[k] + p[k + 1]]
+        out += [x for q in p for x in ([ids[q]] if q in ids else spell(q))]
+    return out
+
+
 def merkle(rows, fan=16):
     """doc_id -> leaf, subroot, root, proof_sha256, folded_root, verified; ``rows`` are
     (doc_id, source, lang, n_chars, text)."""

@@ -413,7 +413,7 @@ def test_merge_dropout_at_rate_zero_is_the_plain_segmentation():
     from sentencepiece import SentencePieceProcessor
     model = SentencePieceProcessor(model_file=PIECES)
     pieces = merge_dropout.Pieces.load(PIECES)
-    codec = merge_dropout.Codec(pieces, 0.0, 1, 1)
+    codec = merge_dropout.Codec(pieces, 0.0, 1)
     import numpy as np
     for i, t in DOCS:
         if t and len(t) < 900 and "▁" not in t:
@@ -430,24 +430,47 @@ def test_merge_dropout_of_many_words_equals_one_by_one():
     words = sorted({"".join(rng.choices(letters, k=rng.randint(1, 24))) for _ in range(3000)}
                    | {"", "   lead", "▁", "▁▁x", "a" * 59, "b" * 60, "ab" * 500, "\0", "\0\0"})
     for rate in (0.0, 0.1, 0.7, 1.0):
-        codec = merge_dropout.Codec(pieces, rate, 3, 4)
-        for variant in range(codec.variants):
-            many = codec.words(words, variant)
-            assert many == [codec.word(w, variant) for w in words]
+        codec = merge_dropout.Codec(pieces, rate, 3)
+        for doc in range(4):
+            keys = codec.keys(doc, len(words))
+            many = codec.words(words, keys)
+            assert many == [codec.word(w, k) for w, k in zip(words, keys.tolist(), strict=True)]
     texts = ["", "a", " ", "  b  ", " ".join(words)]
-    codec = merge_dropout.Codec(pieces, 0.3, 3, 4)
+    codec = merge_dropout.Codec(pieces, 0.3, 3)
     assert [codec.decode(x) for x in codec.encode(texts, [1, 2, 3, 4, 5])] == texts
 
 
+def test_merge_dropout_equals_brute_force():
+    """Ids at several rates against plain merging with draws of its own, each occurrence by
+    itself; the worker's trees know much, little or nothing."""
+    pieces = merge_dropout.Pieces.load(PIECES)
+    rng = random.Random(11)
+    common = ["the", "understanding", "of", "internationalization", "naïve", "语言", "x😀y", "\0"]
+    texts = [" ".join(rng.choices(common, k=rng.randint(1, 40))) for _ in range(40)]
+    texts += [texts[0], texts[0], "", "a", "word " + "long" * 20 + " word"]
+    docs = [*range(40), 0, 900, 901, None, -5]
+    for rate in (0.1, 0.5, 1.0):
+        want = [brute.dropped_merges(t, d, 9, rate, pieces.ids, pieces.scores,
+                                     lambda q: [pieces.bytes_[b] for b in q.encode()])
+                for t, d in zip(texts, docs, strict=True)]
+        for room in ((400_000, 200_000), (60, 200_000), (400_000, 5), (0, 0)):
+            codec = merge_dropout.Codec(pieces, rate, 9, *room)
+            for _ in range(3):  # the second time most paths are known
+                found = codec.encode(texts, docs)
+                assert [memoryview(x).cast("I").tolist() for x in found] == want
+            assert codec.paths.nodes <= room[0] and len(codec.paths.leaves) <= room[1]
+
+
 def test_merge_dropout_segments_copies_and_repeated_words_differently():
-    """300 copies of one text: each has its own draws, and a word more than four segmentations."""
-    codec = merge_dropout.Codec(merge_dropout.Pieces.load(PIECES), 0.3, 1, merge_dropout.VARIANTS)
+    """300 copies of one text: each has its own draws, and a word has far more segmentations
+    than a fixed number of variants would give."""
+    codec = merge_dropout.Codec(merge_dropout.Pieces.load(PIECES), 0.3, 1)
     text = " ".join(["internationalization", "understandable", "everything"] * 20)
     found = codec.encode([text] * 300, list(range(300)))
     assert len(set(found)) == 300
-    assert codec.variants >= 8
-    assert len({codec.word("internationalization", v) for v in range(codec.variants)}) > 4
-    again = merge_dropout.Codec(codec.pieces, 0.3, 1, merge_dropout.VARIANTS)
+    assert len({codec.word("internationalization", k)
+                for k in codec.keys(7, 2000).tolist()}) > 50
+    again = merge_dropout.Codec(codec.pieces, 0.3, 1)
     assert again.encode([text] * 2, [7, 299]) == [found[7], found[299]]
 
 

@@ -1,17 +1,21 @@
 """SentencePiece encoding with seeded merge-dropout, and its inverse.
 
 The agenda holds the candidate merges of neighbouring pieces, best score first, then
-leftmost.  A candidate taken from it is skipped if a keyed 64-bit hash (seed and variant) of
-its word, its place and its pieces' sizes falls under the dropout rate.  The hash alone decides:
-a run repeated on any cluster gives the same pieces.  The variant is a keyed hash of the document
-and the word's position: one word is segmented in up to ``VARIANTS`` ways, each occurrence
-by its own draw, so copies of a text are segmented differently.
+leftmost.  A candidate taken from it is skipped if a keyed 64-bit hash of the word's occurrence
+(seed, document and the word's position in it), its place and its pieces' sizes falls under
+the dropout rate.  Each occurrence of a word is drawn anew, however often the word or the
+whole text occurs; the hash alone decides, so a run repeated on any cluster gives the same
+pieces.
 
 The words of a batch of documents that a worker does not know yet are merged together:
-each has its own agenda, and a step takes the top of every one.  Words are independent (no piece of the vocabulary goes on after another character into
-a space), so a worker remembers the pieces of a word and variant.  Characters without
-a piece are spelled in bytes, and so is the space mark itself where a text contains it:
-decoding is lossless for every text.
+each has its own agenda, and a step takes the top of every one.  Words are independent (no
+piece of the vocabulary goes on after another character into a space).  What an agenda does
+next depends on the skips so far alone, so a worker remembers a word as a tree: a node is the
+candidate on top, its two branches are the agenda with that candidate skipped or merged, a leaf
+holds the pieces.  An occurrence walks down by its own hashes; where the tree ends, its agenda is
+worked off and the path is added.  The trees' size is bounded, which changes no result: words
+beyond it are merged each time.  Characters without a piece are spelled in bytes, and so is the
+space mark itself where a text contains it: decoding is lossless for every text.
 """
 
 from __future__ import annotations
@@ -32,9 +36,9 @@ from sentencepiece import SentencePieceProcessor
 from tidemart.llm.shared import arrow_schema, record_batch, ship_package, text_of
 
 SPACE = "▁"
-DROPOUT, VARIANTS = 0.1, 8
-#: Words (with a variant) whose pieces a worker remembers, and their length.
-MEMORY, MEMORY_CHARS = 100_000, 40
+DROPOUT = 0.1
+#: Nodes and leaves of the words that a worker remembers, and the length of such a word.
+NODES, LEAVES, MEMORY_CHARS = 400_000, 200_000, 40
 _MASK = (1 << 64) - 1
 
 
@@ -187,10 +191,11 @@ class Merges:
             open_ = open_[(found != keys[open_]) & (found != -1)]
         return slots
 
-    def segment(self, symbols: np.ndarray, limit: int | None,
-                keys: np.ndarray) -> np.ndarray:
+    def segment(self, symbols: np.ndarray, limit: int | None, keys: np.ndarray,
+                trace: list | None = None) -> np.ndarray:
         """Pieces of words: ``symbols`` has a word in each column, a row of ``none`` before
-        and after it and -1 nowhere; the result has -1 where a symbol was merged away."""
+        and after it and -1 nowhere; the result has -1 where a symbol was merged away.
+        ``trace`` gets the columns, candidates and skips of each step."""
         rows, n = symbols.shape
         out = symbols.copy()
         word = np.arange(n)
@@ -223,6 +228,8 @@ class Merges:
             if limit is not None:
                 place = ((a - 1) << 40) + (left.astype(np.int64) << 20) + right
                 skip = mixed(keys[word[at]] + place.view(np.uint64) * self._ODD) <= np.uint64(limit)
+                if trace is not None:
+                    trace.append((word[at], place, skip))
                 agendas[left_at[skip]] = self._NEVER
                 go = np.flatnonzero(~skip)
                 at, a, left_at, right_at = at[go], a[go], left_at[go], right_at[go]
@@ -241,29 +248,81 @@ class Merges:
         return out
 
 
+#: Codes of an occurrence on its way: a node (0 or more), not known, or -2 - the leaf.
+_UNKNOWN = -1
+
+
+class Paths:
+    """Decision trees of words, in flat arrays that tasks of a worker share."""
+
+    def __init__(self, nodes: int, leaves: int):
+        self.place = np.zeros(nodes, dtype=np.int64)  # the candidate on top of the agenda
+        self.branch = np.full(2 * nodes, _UNKNOWN, dtype=np.int32)  # merged, skipped
+        self.root: dict[str, int] = {}
+        self.leaves: list[bytes] = []
+        self.nodes, self.limits = 0, (nodes, leaves)
+
+    def walk(self, words: list[str], keys: np.ndarray, limit: int | None) -> np.ndarray:
+        """The code at which each occurrence ends: a leaf, or not known."""
+        get = self.root.get
+        codes = np.fromiter([get(w, _UNKNOWN) for w in words], np.int64, len(words))
+        at = np.flatnonzero(codes >= 0)
+        while len(at):
+            node = codes[at]
+            skip = mixed(keys[at] + self.place[node].view(np.uint64)
+                         * np.uint64(_ODD)) <= np.uint64(limit)
+            codes[at] = found = self.branch[2 * node + skip]
+            at = at[found >= 0]
+        return codes
+
+    def learn(self, word: str, places: list[int], skips: list[bool], ids: bytes) -> None:
+        """Add the path of an occurrence, if there is room."""
+        if (self.nodes + len(places) > self.limits[0]
+                or len(self.leaves) == self.limits[1]):
+            return
+        slot, code = -1, self.root.get(word, _UNKNOWN)
+        for place, skip in zip(places, skips, strict=True):
+            if code == _UNKNOWN:
+                code, self.nodes = self.nodes, self.nodes + 1
+                self.place[code] = place
+                if slot < 0:
+                    self.root[word] = code
+                else:
+                    self.branch[slot] = code
+            slot = 2 * code + skip
+            code = int(self.branch[slot])
+        if code == _UNKNOWN:  # else another occurrence of the batch was as this one
+            code = -2 - len(self.leaves)
+            self.leaves.append(ids)
+            if slot < 0:
+                self.root[word] = code
+            else:
+                self.branch[slot] = code
+
+
 class Codec:
-    def __init__(self, pieces: Pieces, rate: float, seed: int, variants: int):
+    def __init__(self, pieces: Pieces, rate: float, seed: int, nodes: int = NODES,
+                 leaves: int = LEAVES):
         self.pieces, self.rate, self.seed = pieces, rate, seed
-        self.variants = variants if rate else 1
         self.ranks = ranks(pieces.scores)
         self.limit = skip_limit(rate)
         self.merges = Merges(pieces.ids, self.ranks)
-        self.memory: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.size = 0
+        self.paths = Paths(nodes, leaves)
         self.texts: dict[int, bytes] = {i: n.replace(SPACE, " ").encode()
                                         for n, i in pieces.ids.items()}
         self.texts |= {i: bytes([b]) for b, i in enumerate(pieces.bytes_)}
 
-    def _key(self, word: str, variant: int) -> int:
-        return xxhash.xxh3_64_intdigest(
-            word.encode(), seed=(self.seed * 1_000_003 + variant) & _MASK)
+    def keys(self, doc: int | None, n: int) -> np.ndarray:
+        """The keys of a document's ``n`` words, by position."""
+        first = xxhash.xxh3_64_intdigest(str(doc).encode(), seed=self.seed & _MASK)
+        return mixed(np.uint64(first) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_ODD))
 
-    def word(self, word: str, variant: int) -> bytes:
-        """Ids of a word with one space before it, as 32-bit integers."""
+    def word(self, word: str, key: int) -> bytes:
+        """Ids of a word with one space before it, as 32-bit integers; ``key`` decides
+        which merges are skipped."""
         lead = len(word) - len(word.lstrip(" "))
         # a space mark in the text itself must not become a space: it has no symbol
         symbols = [SPACE] * (lead + 1) + ["" if c == SPACE else c for c in word[lead:]]
-        key = self._key(word, variant)
         ids: list[int] = []
         runs = [symbols]
         if "" in symbols:  # nothing merges over such a place
@@ -285,15 +344,15 @@ class Codec:
                                                           for b in p.encode()]
         return np.array(ids, dtype="<u4").tobytes()
 
-    def words(self, words: list[str], variant: int) -> list[bytes]:
+    def words(self, words: list[str], keys: np.ndarray) -> list[bytes]:
         """``word`` of many: long words and those with a space mark by themselves, the
-        rest in columns of similar length."""
+        rest in columns of similar length.  Their paths are remembered."""
         made = self.merges
         out = [b""] * len(words)
         classes: dict[int, list[int]] = {}
         for k, w in enumerate(words):
             if len(w) >= made.LENGTH or SPACE in w:
-                out[k] = self.word(w, variant)
+                out[k] = self.word(w, int(keys[k]))
             else:
                 classes.setdefault(len(w) + 3 & ~3, []).append(k)
         for length, members in classes.items():
@@ -310,8 +369,8 @@ class Codec:
                 rows = np.arange(length + 1)[:, None]
                 filled = rows >= lengths
                 symbols[1:-1][filled] = made.none
-                keys = np.array([self._key(words[k], variant) for k in part], dtype=np.uint64)
-                found = made.segment(symbols, self.limit, keys)[1:-1]
+                trace: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+                found = made.segment(symbols, self.limit, keys[part], trace)[1:-1]
                 found[filled] = -1
                 stays = found.T >= 0
                 ids = found.T[stays]
@@ -323,8 +382,25 @@ class Codec:
                 for k, end in zip(part, (4 * ends).tolist(), strict=True):
                     out[k] = data[at:end]
                     at = end
+                self._learn([words[k] for k in part], [out[k] for k in part], trace)
         return out
 
+    def _learn(self, words: list[str], ids: list[bytes], trace: list) -> None:
+        """Remember the paths of words that were merged together."""
+        if not (self.paths.nodes < self.paths.limits[0]
+                and len(self.paths.leaves) < self.paths.limits[1]):
+            return
+        column = np.concatenate([t[0] for t in trace]) if trace else np.zeros(0, dtype=np.int64)
+        order = np.argsort(column, kind="stable")
+        ends = np.cumsum(np.bincount(column, minlength=len(words))).tolist()
+        places = np.concatenate([t[1] for t in trace])[order].tolist() if trace else []
+        skips = np.concatenate([t[2] for t in trace])[order].tolist() if trace else []
+        at = 0
+        for word, x, end in zip(words, ids, ends, strict=True):
+            if len(word) <= MEMORY_CHARS:
+                self.paths.learn(word, places[at:end], skips[at:end], x)
+            at = end
+
     def _spell(self, ids: np.ndarray, ends: np.ndarray, spelled: np.ndarray,
                points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``ids`` with byte pieces for the characters (``points``) at ``spelled``."""
@@ -349,42 +425,31 @@ class Codec:
             words = [*joined, " " * lead + words[-1]]
         return words
 
-    def _turns(self, doc: int, n: int) -> list[int]:
-        """The variant of each of a document's ``n`` words, by keyed hash."""
-        if self.variants == 1:
-            return [0] * n
-        first = xxhash.xxh3_64_intdigest(str(doc).encode(), seed=self.seed & _MASK)
-        drawn = mixed(np.uint64(first) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_ODD))
-        return (((drawn >> np.uint64(32)) * np.uint64(self.variants)) >> np.uint64(32)).tolist()
-
-    def encode(self, texts: list[str], docs: list[int]) -> list[bytes]:
+    def encode(self, texts: list[str], docs: list[int | None]) -> list[bytes]:
         """Ids of each text; the empty text has none."""
-        found: list[tuple[list[str], list[int], list[bytes | None]]] = []
-        new: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        known = [m.get for m in self.memory]
-        for text, doc in zip(texts, docs, strict=True):
-            words = self._split(text) if text else []
-            turns = self._turns(doc, len(words))
-            ids = [known[v](w) for v, w in zip(turns, words, strict=True)]
-            if None in ids:
-                for v, w, x in zip(turns, words, ids, strict=True):
-                    if x is None:
-                        new[v][w] = b""
-            found.append((words, turns, ids))
-        for variant, made in enumerate(new):
-            if made:
-                new[variant] = dict(zip(made, self.words(list(made), variant), strict=True))
-        out = [b"".join([new[v][w] if x is None else x
-                         for w, v, x in zip(words, turns, ids, strict=True)])
-               if None in ids else b"".join(ids) for words, turns, ids in found]
-        for variant, made in enumerate(new):
-            for w, ids in made.items():
-                if self.size >= MEMORY:
-                    break
-                if len(w) <= MEMORY_CHARS:
-                    self.memory[variant][w] = ids
-                    self.size += 1
-        return out
+        parts = [self._split(t) if t else [] for t in texts]
+        words = [w for part in parts for w in part]
+        if not words:
+            return [b""] * len(texts)
+        if self.limit is None:  # no draws: the occurrences of a word are alike
+            keys = np.zeros(len(words), dtype=np.uint64)
+        else:
+            keys = np.concatenate([self.keys(d, len(p)) for d, p in zip(docs, parts, strict=True)])
+        codes = self.paths.walk(words, keys, self.limit)
+        new = np.flatnonzero(codes == _UNKNOWN)
+        leaves = self.paths.leaves
+        ids = [b"" if c == _UNKNOWN else leaves[-2 - c] for c in codes.tolist()]
+        if self.limit is None:
+            names = list(dict.fromkeys(words[k] for k in new.tolist()))
+            made = dict(zip(names, self.words(names, keys[:len(names)]), strict=True))
+            for k in new.tolist():
+                ids[k] = made[words[k]]
+        else:
+            for k, x in zip(new.tolist(), self.words([words[k] for k in new.tolist()], keys[new]),
+                            strict=True):
+                ids[k] = x
+        ends = np.cumsum([0, *map(len, parts)]).tolist()
+        return [b"".join(ids[a:b]) for a, b in zip(ends, ends[1:])]
 
     def decode(self, ids: bytes) -> str:
         texts = self.texts
@@ -395,20 +460,20 @@ class Codec:
 _CODECS: dict[tuple, Codec] = {}
 
 
-def codec(pieces: Pieces, rate: float, seed: int, variants: int) -> Codec:
-    key = (zlib.crc32(repr(sorted(pieces.ids.items())).encode()), rate, seed, variants)
+def codec(pieces: Pieces, rate: float, seed: int) -> Codec:
+    key = (zlib.crc32(repr(sorted(pieces.ids.items())).encode()), rate, seed)
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(pieces, rate, seed, variants)
+        _CODECS[key] = Codec(pieces, rate, seed)
     return _CODECS[key]
 
 
 _IDS = "doc_id long, n_pieces long, ids_crc32 long, lossless boolean, ids array<int>"
 
 
-def _encode(pieces, rate: float, seed: int, variants: int, keep_ids: bool):
+def _encode(pieces, rate: float, seed: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, made = arrow_schema(_IDS), codec(pieces.value, rate, seed, variants)
+        schema, made = arrow_schema(_IDS), codec(pieces.value, rate, seed)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
@@ -427,7 +492,7 @@ def _encode(pieces, rate: float, seed: int, variants: int, keep_ids: bool):
 
 
 def encode_pieces(docs: DataFrame, pieces: Pieces, rate: float = DROPOUT, seed: int = 1,
-                  variants: int = VARIANTS, keep_ids: bool = True) -> DataFrame:
+                  keep_ids: bool = True) -> DataFrame:
     """doc_id, n_pieces, ids_crc32 (of the ids as little-endian 32-bit integers), lossless
     (the ids decode to the very text) and ids (null unless kept) for each row of ``docs``
     (doc_id, text).  Null and empty texts have no pieces; rate 0 gives the tokenizer's
@@ -435,12 +500,12 @@ def encode_pieces(docs: DataFrame, pieces: Pieces, rate: float = DROPOUT, seed:
     ship_package(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(pieces)
     return (docs.select(F.col("doc_id").cast("long"), text_of(docs).alias("text"))
-            .mapInArrow(_encode(held, rate, seed, variants, keep_ids), _IDS))
+            .mapInArrow(_encode(held, rate, seed, keep_ids), _IDS))
 
 
 def _decode(pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, made = arrow_schema("doc_id long, text string"), codec(pieces.value, 0.0, 0, 1)
+        schema, made = arrow_schema("doc_id long, text string"), codec(pieces.value, 0.0, 0)
         for batch in batches:
             texts = [made.decode(np.array(x or (), dtype="<u4").tobytes())
                      for x in batch.column(1).to_pylist()]
