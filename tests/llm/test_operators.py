@@ -1,6 +1,7 @@
 """Each operator against brute force, on small tables with the awkward cases."""
 
 import os
+import hashlib
 import random
 import sys
 
@@ -322,6 +323,50 @@ def test_suffix_array_is_sorted():
         assert sorted(order) == list(range(n)) and keys == sorted(keys)
 
 
+def test_suffix_array_with_long_repeats_and_ties():
+    """Suffixes that agree on LENGTH bytes come next to each other, in any order."""
+    import numpy as np
+    rng = random.Random(8)
+    for _ in range(60):
+        unit = [rng.randint(1, 3) for _ in range(rng.choice([1, 2, 7, 130, 300]))]
+        s = [x for _ in range(rng.randint(1, 12)) for x in
+             (*unit, *(rng.randint(1, 3) for _ in range(rng.choice([0, 0, 1, 40]))))]
+        order = suffix_dedup.suffix_array(np.array(s)).tolist()
+        keys = [s[i:i + suffix_dedup.LENGTH] for i in order]
+        assert sorted(order) == list(range(len(s))) and keys == sorted(keys)
+
+
+def test_strings_are_ordered_by_name_second_hash_and_place():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    for names, seconds in ((1 << 40, 1 << 60), (50, 1 << 60), (50, 2), (1, 1), (3, 40)):
+        name = rng.integers(0, names, 500).astype(np.uint64)
+        second = rng.integers(0, seconds, 500).astype(np.uint64)
+        assert (suffix_dedup._order(name, second) == np.lexsort((second, name))).all()
+
+
+def test_suffix_dedup_of_null_and_repeated_ids(spark):
+    """A null id is the smallest; rows that repeat id and text are one document; one id with
+    two texts goes by their hashes."""
+    rng = random.Random(6)
+
+    def words(n):
+        return " ".join(str(rng.random()) for _ in range(n))
+    passage, own = words(15), words(15)
+    two = [f"{words(9)} {a}{own}{b} {words(9)}" for a, b in ("AB", "CD")]
+    tail = "tail " + passage + " end"
+    rows = [(3, tail), (None, "head " + passage), (3, tail), (8, two[0]), (8, two[1]), (9, None), (None, None)]
+    found = [(r.doc_id, r.n_bytes, r.n_removed) for r in
+             suffix_dedup.suffix_dedup(frame(spark, rows)).collect()]
+    inside = len(passage) + 1  # and the space before it
+    first = min(two, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    second = two[1] if first == two[0] else two[0]
+    assert sorted(found, key=str) == sorted([
+        (None, len(rows[1][1]), 0), (None, 0, 0), (9, 0, 0),
+        *[(3, len(rows[0][1]), inside)] * 2,
+        (8, len(first), 0), (8, len(second), len(own))], key=str)
+
+
 def test_token_files(spark, docs, empty):
     spec = open(public_tokenizers.path("byte_bpe_50k.json")).read()
     want = brute.tokens(DOCS, Tokenizer.from_str(spec))

@@ -129,39 +129,51 @@ def suffix_array(symbols: np.ndarray, covered: int = 1) -> np.ndarray:
     bits = int(s.max()).bit_length()
     if 3 * bits > 62:
         raise ValueError("a block has too many names")
-    ones, twos = np.arange(1, n, 3), np.arange(2, n, 3)
-    sample = np.concatenate([ones, twos])
-    triples = (s[sample] << 2 * bits) | (s[sample + 1] << bits) | s[sample + 2]
+    rests, ones, twos = (n + 2) // 3, (n + 1) // 3, n // 3  # suffixes at 0, 1, 2 modulo 3
+
+    def third(x: np.ndarray, start: int, count: int) -> np.ndarray:
+        return x[start:start + 3 * count:3]
+
+    def pair(start: int, count: int) -> np.ndarray:
+        return (third(s, start, count) << bits) | third(s, start + 1, count)
+
+    sample = np.concatenate([np.arange(1, n, 3), np.arange(2, n, 3)])
+    triples = np.concatenate([(pair(k, count) << bits) | third(s, k + 2, count)
+                              for k, count in ((1, ones), (2, twos))])
     order = np.argsort(triples)
     new = np.diff(triples[order], prepend=-1) != 0
     names = np.empty(len(sample), dtype=np.int64)
     names[order] = np.cumsum(new)
     if not new.all() and 3 * covered < LENGTH:
-        again = np.concatenate([names[:len(ones)], [1], names[len(ones):] + 1])
-        again[:len(ones)] += 1  # 1 ends the first half: smaller than any name
+        again = np.concatenate([names[:ones], [1], names[ones:] + 1])
+        again[:ones] += 1  # 1 ends the first half: smaller than any name
         order = suffix_array(again, 3 * covered)
-        order = order[order != len(ones)]
-        order = np.where(order > len(ones), order - 1, order)
+        order = order[order != ones]
+        order = np.where(order > ones, order - 1, order)
     rank = np.zeros(n + 3, dtype=np.int64)
     rank[sample[order]] = np.arange(1, len(sample) + 1)
     rank_bits = int(len(sample) + 1).bit_length()
 
-    def one(i: np.ndarray) -> np.ndarray:
-        return (s[i] << rank_bits) | rank[i + 1]
+    def one(start: int, count: int) -> np.ndarray:
+        return (third(s, start, count) << rank_bits) | third(rank, start + 1, count)
 
-    def two(i: np.ndarray) -> np.ndarray:
-        return (((s[i] << bits) | s[i + 1]) << rank_bits) | rank[i + 2]
+    def two(start: int, count: int) -> np.ndarray:
+        return (pair(start, count) << rank_bits) | third(rank, start + 2, count)
 
-    rest = np.arange(0, n, 3)
-    rest = rest[np.argsort(one(rest))]
+    firsts = one(0, rests)
+    order_of_rest = np.argsort(firsts)
+    rest = 3 * order_of_rest
     # how many sample suffixes come before each of the rest
-    behind = np.searchsorted(np.sort(one(ones)), one(rest)) + np.searchsorted(
-        np.sort(two(twos)), two(rest))
+    behind = np.searchsorted(np.sort(one(1, ones)), firsts[order_of_rest]) + np.searchsorted(
+        np.sort(two(2, twos)), two(0, rests)[order_of_rest])
+    # falls only among suffixes that agree on LENGTH bytes: kept in one order
+    behind = np.maximum.accumulate(behind)
     place = np.concatenate([
         np.arange(len(rest)) + behind,
-        np.arange(len(sample)) + np.searchsorted(np.sort(behind), np.arange(len(sample)),
-                                                 side="right")])
-    return np.concatenate([rest, sample[order]])[np.argsort(place)]
+        np.arange(len(sample)) + np.searchsorted(behind, np.arange(len(sample)), side="right")])
+    merged = np.empty(n, dtype=np.int64)
+    merged[place] = np.concatenate([rest, sample[order]])
+    return merged
 
 
 def local_firsts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -172,10 +184,7 @@ def local_firsts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     order = suffix_array(data.astype(np.int64) + 1)
     order = order[wanted[order]]
     # adjacent prefixes, eight bytes at a time, where all before were equal
-    words = np.lib.stride_tricks.sliding_window_view(data, 8)
-    packed = np.zeros(len(words), dtype=_U)
-    for k in range(8):
-        packed = (packed << _U(8)) | words[:, k]
+    packed = np.lib.stride_tricks.sliding_window_view(data, 8).copy().view(_U).ravel()
     same = np.arange(1, len(order))
     for at in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
         same = same[packed[order[same] + at] == packed[order[same - 1] + at]]
@@ -338,10 +347,16 @@ def _sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _sorted_block(number, rows)
 
 
-def _firsts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a block: the bytes, the strings' places, which ones are firsts, and their names."""
+def _block_strings(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: the bytes, the strings' places, and which ones are firsts."""
     data, starts = np.frombuffer(row["bytes"], dtype=np.uint8), _starts(np.array(row["sizes"]))
     first = np.unpackbits(np.frombuffer(row["firsts"], dtype=np.uint8))[:len(starts)].astype(bool)
+    return data, starts, first
+
+
+def _firsts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``_block_strings`` and the names of the firsts."""
+    data, starts, first = _block_strings(row)
     names = (prefix_names(data, LENGTH) >> _U(64 - NAME_BITS))[starts[first]]
     return data, starts, first, names
 
@@ -380,6 +395,18 @@ def _shared(table: pa.Table) -> pa.Table:
     return _bitmaps(rows, count[place] > 1)
 
 
+def _order(name: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The order by name, second hash and place.  Few names stand for several strings, so
+    only those are sorted by the second hash."""
+    order = np.argsort(name, kind="stable")
+    n, s = name[order], second[order]
+    several = n[1:][(n[1:] == n[:-1]) & (s[1:] != s[:-1])]
+    if len(several):
+        at = np.flatnonzero(np.isin(n, several))
+        order[at] = order[at][np.lexsort((s[at], n[at]))]
+    return order
+
+
 _PAIRS = _CODES + ", seconds binary"
 
 
@@ -397,7 +424,7 @@ def _pairs(row: dict, block: tuple) -> tuple[np.ndarray,
     owner = np.repeat([a["owner"] for a in answers], [a["codes"] for a in answers])[place[again]]
     second = prefix_names(data, LENGTH, _SECOND, 257)[starts[first][again]]
     name = names[again]
-    order = np.lexsort((second, name))
+    order = _order(name, second)
     new = np.ones(len(order), dtype=bool)
     new[1:] = ((name[order][1:] != name[order][:-1])
                | (second[order][1:] != second[order][:-1]))
@@ -428,7 +455,7 @@ def _earlier(table: pa.Table) -> pa.Table:
     rows, lists = _decoded(table)
     name = np.concatenate(lists)
     second = np.concatenate([np.frombuffer(r["seconds"], dtype=_U) for r in rows])
-    order = np.lexsort((second, name))  # stable: the blocks' order within equal strings
+    order = _order(name, second)  # the blocks' order within equal strings
     marked = np.zeros(len(order), dtype=bool)
     marked[order[1:]] = ((name[order[1:]] == name[order[:-1]])
                          & (second[order[1:]] == second[order[:-1]]))
@@ -444,18 +471,17 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             sizes = np.array(row["sizes"])
-            block = _firsts(row)
-            data, starts, first, _ = block
-            at, _ = _pairs(row, block)
             marks = np.concatenate([np.zeros(0, dtype=np.uint8), *(
                 np.unpackbits(np.frombuffer(a["marks"], dtype=np.uint8))[:a["codes"]]
                 for a in sorted(row["earlier"] or (), key=lambda a: a["owner"]))]).astype(bool)
-            gone = np.ones(len(starts), dtype=bool)
-            gone[np.flatnonzero(first)] = [False] * len(at) if not len(marks) else (
-                (at >= 0) & marks[at])
+            data, starts, first = _block_strings(row)
+            gone = ~first
+            if marks.any():  # a first of the block starts in an earlier one
+                at, _ = _pairs(row, _firsts(row))
+                gone[np.flatnonzero(first)] = (at >= 0) & marks[at]
             edge = np.zeros(len(data) + 1, dtype=np.int32)
-            np.add.at(edge, starts[gone], 1)
-            np.add.at(edge, starts[gone] + LENGTH, -1)
+            edge[starts[gone]] += 1  # no place comes twice
+            edge[starts[gone] + LENGTH] -= 1
             covered = (np.cumsum(edge[:-1]) > 0).astype(np.int8)
             out = []
             ends = np.cumsum(sizes)
