@@ -115,3 +115,118 @@ def test_labels_of_held_out_rows_are_not_read(spark, scratch):
     a = {r["doc_id"]: r["score"] for r in op13_quality_ranking(spark, SF_CHECK).collect()}
     b = {r["doc_id"]: r["score"] for r in op13_quality_ranking(spark, path).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def brute_fit(x, good):
+    """The fit of one block, in plain numpy: weights, mean, spread, (level, threshold)."""
+    order = sorted(range(len(x)), key=lambda i: (x[i].astype("<f8").tobytes(), good[i]))
+    x, good = x[order], good[order]
+    mean, spread = x.mean(axis=0), x.std(axis=0)
+    spread[spread < 1e-9] = 1.0
+    z, fold, raw = (x - mean) / spread, np.zeros(len(x), dtype=int), np.zeros(len(x))
+    for k in (False, True):
+        fold[good == k] = np.arange((good == k).sum()) % qr.FOLDS
+    for k in range(qr.FOLDS):
+        rest = fold != k
+        raw[~rest] = z[~rest] @ qr.bradley_terry(z[rest & good], z[rest & ~good])
+    return qr.bradley_terry(z[good], z[~good]), mean, spread, qr.best_quantile(
+        raw, good, np.ones(len(x)))
+
+
+def made_texts(spark, n):
+    """Texts whose quality shows in capitals and marks, three good ones for a bad one."""
+    rng, rows = np.random.default_rng(7), []
+    for i in range(n):
+        words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 8)))
+                 for _ in range(rng.integers(3, 12))]
+        good = i % 4 > 0
+        loud = rng.random(len(words)) < (0.2 if good else 0.5)
+        rows.append((i, " ".join(w.upper() + "!" if s else w for w, s in zip(words, loud)),
+                     int(good)))
+    return spark.createDataFrame(rows, "doc_id long, text string, quality int")
+
+
+def test_one_block_is_the_plain_fit(spark):
+    docs = made_texts(spark, 300)
+    rows = docs.collect()
+    x = np.array([qr.features(r["text"]) for r in rows])
+    w, mean, spread, (level, threshold) = brute_fit(x, np.array([r["quality"] > 0 for r in rows]))
+    made = qr.fit_ranker(docs, docs)
+    assert np.allclose(made.weights, w, atol=1e-8) and np.allclose(made.mean, mean)
+    assert np.allclose(made.spread, spread)
+    assert made.threshold == pytest.approx(threshold, abs=1e-8)
+    assert made.quantile == pytest.approx(level)
+
+
+def test_many_blocks_use_every_row(spark, monkeypatch):
+    monkeypatch.setattr(qr, "BLOCK_ROWS", 40)
+    docs = made_texts(spark, 300)
+    rows = docs.select(qr.F.col("doc_id").alias("label_id"), qr.F.col("quality").alias("good"),
+                       "text").mapInArrow(qr._feature_rows, qr._ROW)
+    blocks, n = qr.block_rows(qr.numbered(rows), 225, 75)
+    assert n == 8 and blocks.count() == blocks.filter("own").count() == 300
+    mean, spread = qr.mean_and_spread(rows)
+    sums = {k: np.zeros(1 + qr.N_FEATURES * (qr.N_FEATURES + 1)) for k in range(qr.FOLDS + 1)}
+    held = {}
+    for r in blocks.collect():
+        held.setdefault(r["block"], []).append(r)
+    fits = [np.zeros(qr.N_FEATURES) for _ in sums]
+    for _ in range(qr.STEPS):
+        for k in sums:
+            total = 0
+            for block in held.values():
+                z = (np.array([np.frombuffer(r["x"]) for r in block]) - mean) / spread
+                good, fold = (np.array([r[c] for r in block]) for c in ("good", "fold"))
+                total = total + qr.pair_sums(z[(fold != k) & (good == 1)],
+                                             z[(fold != k) & (good == 0)], fits[k])
+            assert total[0] > 0
+            fits[k], _ = qr.newton_step(fits[k], total)
+    found = qr.fit_blocks(blocks, n, mean, spread)
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(found, fits, strict=True))
+    made = qr.fit_ranker(docs, docs)
+    assert np.allclose(made.weights, fits[-1], atol=1e-6)
+    right = (qr.rank_quality(docs, made).join(docs.select("doc_id", "quality"), "doc_id")
+             .filter("(score >= 0.7) = (quality = 1)").count())
+    assert right >= 240
+
+
+def test_a_rare_class_stands_in_every_block(spark, monkeypatch):
+    monkeypatch.setattr(qr, "BLOCK_ROWS", 20)
+    docs = made_texts(spark, 200).withColumn("quality", qr.F.expr("int(doc_id % 64 > 0)"))
+    rows = docs.select(qr.F.col("doc_id").alias("label_id"), qr.F.col("quality").alias("good"),
+                       "text").mapInArrow(qr._feature_rows, qr._ROW)
+    blocks, n = qr.block_rows(qr.numbered(rows), 196, 4)
+    assert n == 10 and blocks.filter("own").groupBy("good").count().orderBy("good").collect() \
+        == [(0, 4), (1, 196)]
+    assert blocks.filter("good = 0").groupBy("block").count().count() == 10
+    assert blocks.filter("good = 0").groupBy("x").agg(qr.F.count_distinct("fold").alias("n")) \
+        .filter("n > 1").count() == 0
+    scores = qr.rank_quality(docs, qr.fit_ranker(docs, docs)).collect()
+    assert len(scores) == 200 and len({r["score"] for r in scores}) > 100
+
+
+def test_best_level_is_the_best_quantile(spark):
+    rng = np.random.default_rng(3)
+    raw, good = np.round(rng.normal(size=3000), 2), rng.random(3000) < 0.7
+    raw[good] += 1
+    rows = spark.createDataFrame([(float(r), int(g)) for r, g in zip(raw, good)],
+                                 "raw double, good int").repartition(5)
+    for weight in ((1.0, 1.0), (3.0, 0.5)):
+        order = np.lexsort((good, raw))
+        level, at = qr.best_quantile(raw[order], good[order],
+                                     np.where(good[order], weight[1], weight[0]))
+        found = qr.best_level(rows, weight)
+        assert found == (pytest.approx(level), pytest.approx(at))
+
+
+def test_rows_beyond_the_first_thousands_are_learnt_from(spark):
+    """Good rows that shout: only labelled ids with a large hash are such rows."""
+    rows = spark.range(16000).select(qr.F.col("id").alias("doc_id"),
+                                     (qr.F.col("id") % 2).cast("int").alias("quality"))
+    place = qr.F.row_number().over(qr.Window.partitionBy("quality").orderBy(
+        qr.F.xxhash64("doc_id"), "doc_id"))
+    docs = rows.withColumn("text", qr.F.when(qr.F.col("quality") == 0, "bad ### words ##")
+                           .when(place <= 6144, "plain words stand here")
+                           .otherwise("#1 #2 #3 SHOUTED #4 #5")).localCheckpoint()
+    found = qr.rank_quality(docs, qr.fit_ranker(docs, docs)).join(docs, "doc_id")
+    assert found.filter("(score >= 0.7) <> (quality = 1)").count() == 0
