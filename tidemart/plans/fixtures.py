@@ -22,6 +22,8 @@ from tidemart.sources.tables import overwrite_partitions
 
 LOADING_ID = 1001
 RUN_TS = "2001-09-01 00:00:00"
+#: rows that one task of an unclustered write sorts by partition, about
+WRITER_ROWS = 2_000_000
 
 ORDERS_MART_SCHEMA = StructType([
     StructField("ctl_loading", LongType()),
@@ -93,10 +95,12 @@ def lineitem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_small_files(spark: SparkSession, sf_dir: str, label: str,
                          writers: int = 8) -> Mart:
-    """lineitem by ship month, written by ``writers`` tasks without clustering,
-    so every month ends up with up to ``writers`` small files."""
+    """lineitem by ship month, written by ``writers`` tasks without clustering (more, if a
+    task would sort over ``WRITER_ROWS`` rows), so every month ends up with up to as many
+    small files."""
     mart = Mart(work_path(spark, label), LINEITEM_MART_SCHEMA, ("ship_month",))
     rows = lineitem_rows(spark, sf_dir)
+    writers = max(writers, -(-rows.count() // WRITER_ROWS))  # counted from the footers
     (rows.repartition(writers, F.xxhash64(*[F.col(c) for c in rows.columns]))
      .write.mode("overwrite").partitionBy("ship_month").parquet(mart.path))
     return mart
