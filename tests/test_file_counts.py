@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tidemart.operators import partitions as P
+from tidemart.plans import fixtures as fx
 from tidemart.plans.mart import Mart
 from tidemart.sources import tables as S
 
@@ -147,3 +148,22 @@ def test_plan_prunes_folders_and_shuffles_once(spark, scratch):
                 fh.write(b"no parquet")
     done = P.compact_partitions(spark, mart, plan)
     assert {r["partition"] for r in done.collect()} == {"dt=d3", "dt=d4"}
+
+
+def test_unclustered_fixture_gets_writers_for_its_rows(spark, scratch, monkeypatch):
+    monkeypatch.setattr(fx, "WRITER_ROWS", 500)
+    folder = scratch("rows")
+    (spark.range(6000).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber",
+        "1.0D AS l_quantity", "1.0D AS l_extendedprice", "0.0D AS l_discount", "0.0D AS l_tax",
+        "'A' AS l_returnflag", "'F' AS l_linestatus",
+        "timestamp_ntz'1996-02-01 00:00:00' AS l_shipdate")
+     .write.parquet(f"{folder}/lineitem.parquet"))
+    mart = fx.lineitem_small_files(spark, folder, "writers")
+    files = per_file(spark, mart)["ship_month=1996-02"]
+    assert len(files) == 12 and sum(files) == 6000 and max(files) < 700
+
+
+def test_a_task_gets_a_part_of_a_target_of_small_files():
+    assert S.write_tasks(84, 800, 100, 12) == 64
+    assert S.write_tasks(84, 10, 100, 12) == 12 and S.write_tasks(5, 10_000, 100, 12) == 5

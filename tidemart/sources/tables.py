@@ -22,6 +22,8 @@ from tidemart.session import saved
 from tidemart.sources.folders import Folder, settle
 from tidemart.sources.statements import one_statement, parameters, split_statements
 
+#: write tasks for the bytes of one target file, when a task writes several smaller files
+TASKS_PER_TARGET = 8
 #: partitions in one ALTER TABLE statement
 SPEC_BATCH = 200
 # fixed value: the folder of NULL and empty partition values
@@ -256,10 +258,12 @@ def sized_write_frame(df: DataFrame, mart: Mart, bytes_per_row: float | None,
 def write_tasks(files: int, total_bytes: float, target_file_bytes: float,
                 parallelism: int = 1) -> int:
     """Shuffle partitions for a write of ``files`` files: at most one each, about
-    ``total / target`` for big writes and at least ``parallelism`` (the session's shuffle
-    partitions) so small writes still use the cluster."""
+    ``TASKS_PER_TARGET * total / target`` for big writes (a task sorts its rows by partition, and
+    they take several times their stored bytes) and at least ``parallelism`` (the session's
+    shuffle partitions) so small writes still use the cluster."""
     import math
-    needed = math.ceil(total_bytes / max(float(target_file_bytes), 1.0)) if total_bytes else 1
+    needed = (math.ceil(TASKS_PER_TARGET * total_bytes / max(float(target_file_bytes), 1.0))
+              if total_bytes else 1)
     return max(1, min(int(files), max(needed, int(parallelism))))
 
 
