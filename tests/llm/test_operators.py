@@ -643,3 +643,16 @@ def test_exception_phrases_are_spared():
     made = toxicity.build_automaton(model)
     assert not toxicity.hits(toxicity.fold("A trash can, clown fish"), made)
     assert len(toxicity.hits(toxicity.fold("trash! Cl0wns"), made)) == 2
+
+
+def test_encoder_pieces_at_odd_spaces():
+    """New and remembered pieces give the ids of the whole text, whatever the spaces are."""
+    from pathlib import Path
+
+    from tidemart.llm import queries, token_files
+    made = token_files.Encoder(Path(queries.BYTE_BPE).read_text())
+    texts = ["a  b", " ", "", "x \n y", "x y ", "\u3000a \u3000b", "a \u00a0b", "some words stand here"]
+    for _ in range(2):
+        assert made.encode(texts) == made._encode(texts)
+    parts, ids, gap = made._known("some words unseen99".split(" "))
+    assert gap == [2] and ids[1] == made.memory["words"]

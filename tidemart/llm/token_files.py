@@ -46,7 +46,6 @@ MEMORY, MEMORY_CHARS = 480_000, 40
 TOGETHER = 300
 
 _BOUNDARY = re.compile(r" (?=\S)")
-_ODD_SPACE = re.compile(r" (?:\s|\Z)")
 
 
 class Encoder:
@@ -91,6 +90,13 @@ class Encoder:
             at = cut
         return out
 
+    def _known(self, parts: list[str]) -> tuple[list[str], list[bytes | None], list[int]]:
+        """``parts`` with their remembered ids and the places of those not remembered; the
+        first part counts as remembered, as its ids depend on its place."""
+        ids = list(map(self.memory.get, parts))
+        ids[0] = b"0"  # a mark
+        return parts, ids, ([] if all(ids) else [k for k, x in enumerate(ids) if x is None])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.splits:
             return self._encode(texts)
@@ -104,10 +110,10 @@ class Encoder:
             if any(s in text for s in self.special):
                 whole.append(i)
                 text = ""
-            parts = _BOUNDARY.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-            ids = list(map(memory.get, parts))
-            ids[0] = b""
-            gap = [k for k, known in enumerate(ids) if known is None]
+            parts, ids, gap = self._known(text.split(" "))
+            # remembered pieces start with a non-space: other starts are among the gaps
+            if any(not parts[k] or parts[k][0].isspace() for k in gap):
+                parts, ids, gap = self._known(_BOUNDARY.split(text))
             for k in gap:
                 new[parts[k]] = b""
             gaps.append(gap)
